@@ -24,6 +24,7 @@ def queries() -> dict[str, Query]:
     """Name to query; the pipeline's is added where corpus_pipeline is imported."""
     return {
         "op2_mpeg_audio": _on("mpeg_audio", "op2_mpeg_audio", "documents"),
+        "op10_language_id": _on("langid", "op10_language_id", "documents"),
         "op9_byte_bpe": _on("bpe", "op9_byte_bpe", "documents"),
     }
 
