@@ -25,6 +25,7 @@ def queries() -> dict[str, Query]:
     return {
         "op2_mpeg_audio": _on("mpeg_audio", "op2_mpeg_audio", "documents"),
         "op10_language_id": _on("langid", "op10_language_id", "documents"),
+        "op5_ngram_jaccard": _on("jaccard", "op5_ngram_jaccard", "documents"),
         "op9_byte_bpe": _on("bpe", "op9_byte_bpe", "documents"),
     }
 
