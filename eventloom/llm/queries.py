@@ -23,9 +23,11 @@ def _on(module: str, function: str, *tables: str) -> Query:
 def queries() -> dict[str, Query]:
     """Name to query; the pipeline's is added where corpus_pipeline is imported."""
     return {
+        "op1_decontaminate": _on("decontam", "op1_decontaminate", "documents", "benchmark"),
         "op2_mpeg_audio": _on("mpeg_audio", "op2_mpeg_audio", "documents"),
         "op10_language_id": _on("langid", "op10_language_id", "documents"),
         "op5_ngram_jaccard": _on("jaccard", "op5_ngram_jaccard", "documents"),
+        "op8_line_dedup": _on("line_dedup", "op8_line_dedup", "documents"),
         "op9_byte_bpe": _on("bpe", "op9_byte_bpe", "documents"),
     }
 
