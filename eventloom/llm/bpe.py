@@ -30,10 +30,10 @@ LETTER, NUMBER, OTHER, APOS1, APOS2, JOIN, SPACE, LAST, CUT = range(9)
 BEGIN, IN_LETTER, IN_NUMBER, IN_OTHER, JOINED, IN_SPACE, ONE_LEFT, TWO_LEFT = range(8)
 STATES, CLASSES = 8, 9
 #: Code points that one vectorised pass takes; a longer text is a pass of its own.
-CHUNK = 1 << 20
+CHUNK = 1 << 18
 ROW = 256
 #: Words whose ids a worker remembers before it starts anew, looked at once a chunk.
-CACHE = 600_000
+CACHE = 250_000
 
 
 def _step(state: int, kind: int) -> tuple[int, bool]:
@@ -155,6 +155,7 @@ class Codec:
         #: Word to its place in first and size; these point into store.
         self.cache: dict[str, int] = {}
         self.first, self.size = np.zeros(1 << 12, dtype=np.int64), np.zeros(1 << 12, dtype=np.int64)
+        self.bytes: np.ndarray | None = None
         self.store, self.used = np.zeros(1 << 14, dtype=np.int32), 0
 
     def merge(self, piece: bytes) -> tuple[int, ...]:
@@ -259,9 +260,14 @@ class Codec:
         per_text = np.bincount(text_of, weights=sizes, minlength=len(texts)).astype(np.int64)
         return ids, per_text
 
-    def decode(self, ids) -> bytes:
-        """Bytes of some ids."""
-        return b"".join(map(self.pieces.__getitem__, ids))
+    def decode(self, ids: np.ndarray) -> np.ndarray:
+        """Bytes of some ids, as an array."""
+        if self.bytes is None:
+            self.bytes = np.frombuffer(b"".join(self.pieces), dtype=np.uint8)
+            self.places = np.cumsum(self.lengths, dtype=np.int64) - self.lengths
+        sizes = self.lengths[ids].astype(np.int64)
+        ends = np.cumsum(sizes)
+        return self.bytes[np.arange(ends[-1] if len(ends) else 0) + np.repeat(self.places[ids] - ends + sizes, sizes)]
 
 
 _codecs: dict[int, Codec] = {}
@@ -336,9 +342,9 @@ def decoder(spark: SparkSession, vocab_path: str | None = None):
     @F.arrow_udf("binary")
     def decode(ids: pa.Array) -> pa.Array:
         coder = codec(shared.value)
-        bounds, flat = ids.offsets.to_pylist(), ids.values.to_pylist()
+        bounds, flat = ids.offsets.to_pylist(), ids.values.to_numpy(zero_copy_only=False)
         valid = ids.is_valid().to_pylist()
-        return pa.array([coder.decode(flat[a:b]) if ok else None for a, b, ok in zip(bounds, bounds[1:], valid)], pa.binary())
+        return pa.array([coder.decode(flat[a:b]).tobytes() if ok else None for a, b, ok in zip(bounds, bounds[1:], valid)], pa.binary())
 
     return decode
 
