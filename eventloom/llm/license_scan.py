@@ -79,11 +79,8 @@ def shingles(ws: Column, size: int) -> Column:
 
 def minima(hashes: Column, bands: int) -> Column:
     """(band, low): in each band the least of the hashes under the band's own hash function."""
-    return F.array(*[F.struct(F.lit(b).alias("band"), F.array_min(F.transform(hashes, _seeded(b))).alias("low")) for b in range(bands)])
-
-
-def _seeded(band: int):
-    return lambda h: F.xxhash64(h, F.lit(band))
+    low = lambda band: F.array_min(F.transform(hashes, lambda h: F.xxhash64(h, band)))
+    return F.transform(F.sequence(F.lit(0), F.lit(bands - 1)), lambda band: F.struct(band.alias("band"), low(band).alias("low")))
 
 
 def bands_for(shingles_of: int, span: int, size: int) -> int:
