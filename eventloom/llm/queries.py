@@ -26,8 +26,10 @@ def queries() -> dict[str, Query]:
         "op1_decontaminate": _on("decontam", "op1_decontaminate", "documents", "benchmark"),
         "op2_mpeg_audio": _on("mpeg_audio", "op2_mpeg_audio", "documents"),
         "op10_language_id": _on("langid", "op10_language_id", "documents"),
+        "op3_hmm_score": _on("hmm", "op3_hmm_score", "documents"),
         "op4_license_scan": _on("license_scan", "op4_license_scan", "documents"),
         "op5_ngram_jaccard": _on("jaccard", "op5_ngram_jaccard", "documents"),
+        "op6_pack_tokens": _on("packing", "op6_pack_tokens", "documents"),
         "op7_html_main": _on("html_main", "op7_html_main", "pages"),
         "op8_line_dedup": _on("line_dedup", "op8_line_dedup", "documents"),
         "op9_byte_bpe": _on("bpe", "op9_byte_bpe", "documents"),
