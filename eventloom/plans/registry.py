@@ -2,5 +2,11 @@
 
 from __future__ import annotations
 
+from . import market_queries
+
+MODULES = (market_queries,)
 QUERIES: dict = {}
 ORACLE_SQL: dict[str, str] = {}
+for _m in MODULES:
+    QUERIES |= _m.QUERIES
+    ORACLE_SQL |= _m.ORACLE_SQL
