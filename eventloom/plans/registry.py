@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import market_queries
+from . import event_queries, market_queries
 
-MODULES = (market_queries,)
+MODULES = (market_queries, event_queries)
 QUERIES: dict = {}
 ORACLE_SQL: dict[str, str] = {}
 for _m in MODULES:
