@@ -25,8 +25,9 @@ def new_run() -> str:
 
 def latest(records: DataFrame) -> DataFrame:
     """The last record of each run and step, with metadata of all its records merged, later ones winning."""
-    order = F.array_sort(F.collect_list(F.struct("at", "metadata")))
-    merged = F.aggregate(order, F.create_map().cast("map<string,string>"), lambda acc, x: F.map_concat(F.map_filter(acc, lambda k, v: ~F.map_contains_key(x["metadata"], k)), x["metadata"]))
+    order = F.array_sort(F.collect_list(F.struct("at", F.map_entries("metadata").alias("m"))))
+    empty = F.map_from_entries(F.array().cast("array<struct<key:string,value:string>>"))
+    merged = F.aggregate(order, empty, lambda acc, x: F.map_concat(F.map_filter(acc, lambda k, v: ~F.map_contains_key(F.map_from_entries(x["m"]), k)), F.map_from_entries(x["m"])))
     return records.groupBy("run_id", "step").agg(F.max_by("status", "at").alias("status"), F.max("at").alias("at"), F.max_by("rows", "at").alias("rows"), F.max_by("message", "at").alias("message"), merged.alias("metadata"))
 
 
