@@ -110,9 +110,9 @@ def fit(
     key: str = "doc_id",
     sample_rows: int = 6000,
     shards: int = 6,
-    alpha: float = 2.0,
-    beta: float = 1.0,
-    l1: float = 1e-4,
+    alpha: float = 1.0,
+    beta: float = 0.02,
+    l1: float = 1e-5,
     l2: float = 1e-4,
     epochs: int = 3,
 ) -> dict:
