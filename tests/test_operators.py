@@ -128,3 +128,24 @@ def test_lineage(spark, tmp_path):
     lineage.record(spark, path, "r", "s", "success", DAY + dt.timedelta(minutes=1), 5, metadata={"b": "2"})
     r = lineage.latest(spark.read.parquet(path)).first()
     assert (r["status"], r["rows"], r["metadata"]) == ("success", 5, {"a": "1", "b": "2"})
+
+
+def test_enrichment(spark):
+    from eventloom.operators import enrich
+
+    t = F.lit("公司拟在北京市扩产锂矿设备，全国首个，风险可控")
+    r = spark.range(1).select(
+        enrich.sentiment_score(t, F.lit("利好")).alias("s"), enrich.chain_stages(t).alias("c"), enrich.impact_scope(t, F.lit(1), F.lit(0), F.lit(0), F.lit(0)).alias("i"), enrich.confidence(t, F.lit("重大合同"), F.lit("其他"), F.lit("利好"), F.array(F.lit("x")), F.lit(9)).alias("k"),
+        enrich.primary_industry(enrich.industry_scores(F.lit("锂"), F.lit(""), F.lit("锂 药"), F.lit(""), F.lit(""), {"医药": ("药",), "金属": ("锂",)})).alias("p"),
+    ).first()
+    assert r["s"] == 57 and r["c"] == ["上游资源材料", "设备零部件"] and r["i"] == "全国面"
+    assert r["k"] == pytest.approx(0.35 + 0.15 + 0.1 + 0.1 + 0.12 - 0.02) and tuple(r["p"]) == ("金属", 1)
+
+
+def test_source_priority(spark):
+    from eventloom.operators import enrich
+
+    cache = spark.createDataFrame([("hs300", "2025-01-01", 0.1)], "entity string, day string, daily_return double")
+    market = spark.createDataFrame([("hs300", "2025-01-01", 0.2), ("x", "2025-01-02", 0.3), ("y", "2025-01-02", None)], "entity string, day string, daily_return double")
+    got = sorted((r["entity"], r["daily_return"], r["source"]) for r in enrich.resolved_series([("cache", cache), ("fallback", market)]).collect())
+    assert got == [("hs300", 0.1, "cache"), ("x", 0.3, "fallback")]
