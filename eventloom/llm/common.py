@@ -80,3 +80,16 @@ def crc_mod(column: str | Column, n: int) -> Column:
 def word_bytes(text: str | None) -> list[bytes]:
     """A-Z lowered, split at WORD_BREAKS; bytes.lower and bytes.split touch ASCII only."""
     return text.encode("utf-8", "surrogatepass").lower().split() if text else []
+
+
+def at_most(table: DataFrame, count: str, rows: int) -> DataFrame:
+    """Rows of the highest counts, at most so many; counts of like size are in or out together."""
+    level = F.floor(F.log2(F.col(count).cast("double")) * 8)
+    sizes = sorted(((r[0], r[1]) for r in table.groupBy(level.alias("l")).agg(F.count(F.lit(1))).collect()), reverse=True)
+    total, least = 0, None
+    for value, n in sizes:
+        total += n
+        if total > rows:
+            break
+        least = value
+    return table.filter(F.lit(False) if least is None else level >= least)

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch, crc_mod, word_bytes
+from .common import Scratch, at_most, crc_mod, word_bytes
 
 SYMBOLS, CLASSES, KNOWN = 4096, 1024, 400_000
 STATES, PASSES, SEED = 8, 4, 11
@@ -64,19 +64,6 @@ def _counts(texts: DataFrame) -> DataFrame:
     return texts.mapInArrow(count, "w binary, c long").groupBy("w").agg(F.sum("c").alias("c"))
 
 
-def at_most(table: DataFrame, count: str, rows: int) -> DataFrame:
-    """Rows of the highest counts, at most so many; counts of like size are in or out together."""
-    level = F.floor(F.log2(F.col(count).cast("double")) * 8)
-    sizes = sorted(((r[0], r[1]) for r in table.groupBy(level.alias("l")).agg(F.count(F.lit(1))).collect()), reverse=True)
-    total, least = 0, None
-    for value, n in sizes:
-        total += n
-        if total > rows:
-            break
-        least = value
-    return table.filter(F.lit(False) if least is None else level >= least)
-
-
 class Vocabulary:
     """The broadcast part of the counts, and each word's symbol."""
 
