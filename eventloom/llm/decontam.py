@@ -9,6 +9,13 @@ that differ in at most RADIUS bits agree in a whole block (pigeonhole), so
 looking up every block finds all within the radius.  The candidates' spans are
 then compared by weighted Jaccard of word shingles, each with its count as weight.
 
+Fingerprints lose edited copies, so the seeds decide what is a candidate: a
+span that is similar enough shares a run of consecutive words with the item,
+whose least length ``run_words`` derives from the threshold.  Every such run of
+an item is looked up at every word of a text, and every span around a common
+run is compared, so that no span over the threshold is lost.  A span has the
+item's length; where the text begins or ends within it, what is left of it.
+
 Items are broadcast in groups of a checked size; more items mean more passes
 over the texts, never fewer comparisons.
 
@@ -22,6 +29,7 @@ earliest.
 from __future__ import annotations
 
 from collections import Counter
+from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
@@ -37,6 +45,8 @@ SHINGLE = 5
 THRESHOLD = 0.8
 #: Words in one vectorised pass; items, and characters of items, in one broadcast.
 WORDS, ITEMS, ITEM_CHARS = 1 << 17, 20_000, 16 << 20
+#: Leading bits of a seed's hash that are looked up before the seed.
+LEADING = 20
 _PUNCTUATION = bytes(c for c in range(128) if not chr(c).isalnum())
 _LOWER = bytes.maketrans(_PUNCTUATION, b" " * len(_PUNCTUATION))
 BLOCKS = [(i * BITS // (RADIUS + 1), (i + 1) * BITS // (RADIUS + 1)) for i in range(RADIUS + 1)]
@@ -59,9 +69,9 @@ def words(text: str | None) -> np.ndarray:
     return np.fromiter(map(_hashes.__getitem__, found), dtype=np.uint64, count=len(found))
 
 
-def shingles(v: np.ndarray) -> np.ndarray:
-    """Hash of each run of SHINGLE words; of all words where there are fewer."""
-    k = min(SHINGLE, len(v))
+def shingles(v: np.ndarray, size: int = SHINGLE) -> np.ndarray:
+    """Hash of each run of ``size`` words; of all words where there are fewer."""
+    k = min(size, len(v))
     h = np.full(len(v) - k + 1 if k else 0, np.uint64(k))
     for i in range(k):
         h = h * np.uint64(0x9E3779B97F4A7C15) + v[i : len(v) - k + 1 + i]
@@ -84,18 +94,72 @@ def window(n: int) -> tuple[int, int]:
     return step, q // coarse * coarse * step
 
 
+def run_words(v: np.ndarray, threshold: float) -> int:
+    """The least length of the longest run of words that a span over the threshold has in common with an item.
+
+    A span of p shingles shares at least t (m + p) / (1 + t) with the item's m.
+    The others cut the shared ones into runs; so may each place of the item
+    where a run of SHINGLE - 1 words occurs that it has twice.
+    """
+    k, t = min(SHINGLE, len(v)), Fraction(threshold) - Fraction(1, 10**12)
+    m = len(v) - k + 1
+    if k < SHINGLE:
+        return k
+    inner, counts = np.unique(shingles(v, k - 1), return_counts=True)
+    twice = int(counts[counts > 1].sum())
+    least = m
+    for p in range(max(1, -(-t.numerator * m // t.denominator)), m + 1):
+        both = -(-t.numerator * (m + p) // (t.numerator + t.denominator))
+        least = min(least, -(-both // (p - both + twice + 1)))
+    return max(1, least) + k - 1
+
+
+def best_span(doc: np.ndarray, v: np.ndarray, starts: list[tuple[int, int]]) -> tuple[float, int]:
+    """(similarity, start) of the best span of an item's length among ranges of starts; a negative start is cut to 0."""
+    n, k = len(v), min(SHINGLE, len(v))
+    wanted = Counter(shingles(v).tolist())
+    m, best = n - k + 1, (0.0, 0)
+    for first, last in starts:
+        base = max(0, first)
+        h = shingles(doc[base : last + n], k).tolist() if min(len(doc), last + n) - base >= k else []
+        have, both, lo, hi = Counter(), 0, base, base  # shingles that start in lo..hi - 1 are counted
+        for s in range(first, last + 1):
+            start, stop = max(0, s), min(s + n, len(doc)) - k + 1
+            while hi < stop:
+                x = h[hi - base]
+                if x in wanted:
+                    have[x] += 1
+                    both += have[x] <= wanted[x]
+                hi += 1
+            while lo < min(start, hi):
+                x = h[lo - base]
+                if x in wanted:
+                    both -= have[x] <= wanted[x]
+                    have[x] -= 1
+                lo += 1
+            found = (both / (m + max(0, stop - start) - both), start)
+            if (-found[0], found[1]) < (-best[0], best[1]):
+                best = found
+    return best
+
+
 def _pack(ones: np.ndarray, width: int) -> np.ndarray:
     return np.packbits(ones * 2 > width, axis=1).view(np.uint64).ravel() if len(ones) else np.zeros(0, dtype=np.uint64)
 
 
+def _mixed(h: np.ndarray) -> np.ndarray:
+    """Hashes whose leading bits depend on all bits."""
+    return (h ^ h >> np.uint64(29)) * np.uint64(0xBF58476D1CE4E5B9)
+
+
 def _bits(v: np.ndarray) -> np.ndarray:
     return np.unpackbits(np.ascontiguousarray(v).view(np.uint8)).reshape(-1, BITS)
 
 
 class Index:
-    """Fingerprints of items by window size, with a lookup for each block of bits."""
+    """Fingerprints of items by window size, with a lookup for each block of bits, and seeds by their length."""
 
-    def __init__(self, items: list[tuple[int, str]]):
+    def __init__(self, items: list[tuple[int, str]], threshold: float = THRESHOLD):
         self.items = [(key, v) for key, text in items if len(v := words(text))]
         by: dict[tuple[int, int], list[tuple[int, int, np.ndarray]]] = {}
         for place, (_, v) in enumerate(self.items):
@@ -112,6 +176,44 @@ class Index:
                 order = np.argsort(value, kind="stable")
                 lookups.append((lo, hi, order, np.searchsorted(value[order], np.arange((1 << hi - lo) + 1))))
             self.classes[step, width] = (prints, np.array([r[0] for r in rows]), np.array([r[1] for r in rows]), lookups)
+        runs: dict[int, list[tuple[int, np.ndarray]]] = {}
+        for place, (_, v) in enumerate(self.items):
+            k = run_words(v, threshold)
+            runs.setdefault(k, []).append((place, np.unique(_mixed(shingles(v, k)))))
+        #: By length of the run: its hashes in order, the item of each, and which leading bits occur.
+        self.seeds = {}
+        for k, rows in runs.items():
+            h, place = np.concatenate([r[1] for r in rows]), np.repeat([r[0] for r in rows], [len(r[1]) for r in rows])
+            order, known = np.argsort(h, kind="stable"), np.zeros(1 << LEADING, dtype=bool)
+            known[h >> np.uint64(64 - LEADING)] = True
+            self.seeds[k] = (h[order], place[order], known)
+
+    def around_seeds(self, docs: list[np.ndarray]) -> dict[tuple[int, int], list[tuple[int, int]]]:
+        """Of each (document, item) with a common run: the ranges of starts of all spans that hold one."""
+        sizes = np.array([len(v) for v in docs])
+        ends, flat = np.cumsum(sizes), np.concatenate(docs)
+        out: dict[tuple[int, int], list[tuple[int, int]]] = {}
+        for k, (seeds, places, known) in self.seeds.items():
+            if len(flat) < k:
+                continue
+            h = _mixed(shingles(flat, k))
+            at = np.flatnonzero(known[h >> np.uint64(64 - LEADING)])
+            doc = np.searchsorted(ends, at, side="right")
+            inside = at + k <= ends[doc]
+            at, doc = at[inside], doc[inside]
+            first, n = (np.searchsorted(seeds, h[at], side=side) for side in ("left", "right"))
+            n -= first
+            begin = at - (ends[doc] - sizes[doc])
+            for i in np.flatnonzero(n).tolist():
+                d, p = int(doc[i]), int(begin[i])
+                for place in places[first[i] : first[i] + n[i]].tolist():
+                    ranges = out.setdefault((d, place), [])
+                    lo = p + k - len(self.items[place][1])
+                    if ranges and lo <= ranges[-1][1] + 1:
+                        ranges[-1] = (ranges[-1][0], p)
+                    else:
+                        ranges.append((lo, p))
+        return out
 
     def near(self, found: np.ndarray, kind: tuple[int, int]) -> tuple[np.ndarray, np.ndarray]:
         """All (window, item fingerprint) within RADIUS bits."""
@@ -130,6 +232,10 @@ class Index:
     def search(self, docs: list[np.ndarray], threshold: float) -> list[list[dict]]:
         """The matches of each document: the best span of each item that is similar enough."""
         best: list[dict[int, tuple[float, int]]] = [{} for _ in docs]
+        for (d, place), ranges in (self.around_seeds(docs) if docs else {}).items():
+            s, start = best_span(docs[d], self.items[place][1], ranges)
+            if s >= threshold:
+                best[d][place] = (s, start)
         for step in {s for s, _ in self.classes}:
             blocks = [len(v) // step for v in docs]
             first = np.concatenate([[0], np.cumsum(blocks)])
@@ -173,11 +279,11 @@ def _searcher(spark: SparkSession, items: list[tuple[int, str]], threshold: floa
 
     @F.arrow_udf(MATCHES)
     def search(texts: pa.Array) -> pa.Array:
-        key = hash(tuple(shared.value))
+        key = hash((threshold, *shared.value))
         if key not in _index:
             if len(_index) > 1:
                 _index.clear()
-            _index[key] = Index(shared.value)
+            _index[key] = Index(shared.value, threshold)
         out, held, size = [], [], 0
         for t in texts.to_pylist():
             held.append(words(t))

@@ -285,6 +285,38 @@ def test_hamming_lookup_is_complete():
     assert set(zip(x.tolist(), y.tolist())) == set(zip(*(v.tolist() for v in np.nonzero(all_pairs))))
 
 
+def test_decontamination_equals_brute_force_on_near_copies():
+    random.seed(9)
+    word = lambda: "".join(random.choice("abcdefghij") for _ in range(5))
+    items = [[word() for _ in range(n)] for n in (16, 20, 30, 41, 55, 59, 75, 100)]
+    items.append([*items[4][:20], *items[4][8:12], *items[4][20:], *items[4][9:13]])  # with runs of four words that it has twice
+    index = decontam.Index([(k, " ".join(v)) for k, v in enumerate(items)])
+    texts = []
+    for i in range(270):
+        v = list(items[i % 9])
+        for _ in range(1 + len(v) // 45):
+            x = random.randrange(len(v))
+            v[x : x + random.randrange(2)] = [word()] if random.random() < 0.7 else []
+        if i % 4 == 0:
+            cut = random.randrange(1 + len(v) // 9)
+            v = v[cut:] if i % 8 else v[: len(v) - cut]
+        around = [[word() for _ in range(random.randrange(0, 12))] for _ in range(2)]
+        texts.append(" ".join(around[0] + v + around[1]))
+    docs = [decontam.words(t) for t in texts]
+    got = index.search(docs, 0.8)
+    n = 0
+    for d, found in zip(docs, got):
+        wanted = []
+        for k, v in index.items:
+            spans = ((decontam.similarity(d[max(0, s) : max(0, s + len(v))], v), -max(0, s)) for s in range(1 - len(v), len(d)))
+            s, start = max(spans)
+            if s >= 0.8:
+                wanted.append((k, s, -start))
+        assert [(m["item_id"], m["similarity"], m["start_word"]) for m in found] == wanted
+        n += sum(w[1] < 0.9 for w in wanted)
+    assert n > 50  # near copies at 0.8 to 0.9
+
+
 # -- license scan
 
 
