@@ -7,7 +7,12 @@ element that holds it (the article if there is one, else the nearest division);
 if only the body holds it, parts of the body that are mostly links stay out.
 Elements that are no article text (menus, headers, footers, sidebars, notices, adverts, forms,
 scripts, styles, reader comments, hidden parts), known by name, role, class or
-id, are left out, before the scan as well as from its result.
+id, are left out, before the scan as well as from its result.  An element is
+never left out if it holds the page's main text by its marks (the main element
+or, without one, the article with the most words), or most of the words outside
+of links of that element or, without one, of the page; only readers' comments
+stay out even then.  Names that say what a layout has or lacks (has-sidebar,
+no-sidebar) are no marks.
 
 Weights: for each tag name, the log odds of lying outside of the main text
 rather than inside, over the labelled pages, shifted to lie in [LOW, HIGH].
@@ -55,12 +60,25 @@ MARKS = re.compile(
     r"|recommendations|widget|widgets|pagination|pager|copyright|skip|search|form|hidden)(?![a-z])",
     re.I,
 )
+#: Names of layouts by what they have or lack, and words that mark readers' text.
+LAYOUT = re.compile(r"(?:^|(?<=\s))(?:has|have|with|without|no)[-_]\S*", re.I)
+READERS = re.compile(r"(?:^|[^a-z])(?:comment|comments|commentlist|disqus|respond|reply|replies|discussion)(?![a-z])", re.I)
 ATTRIBUTE = re.compile(r"([a-zA-Z-]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))")
 HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 MAIN = frozenset(("article", "main"))
 DIVISIONS = MAIN | {"div", "section", "td", "body", "html"}
 
 
+def marked(value: str, marks: re.Pattern) -> bool:
+    """Whether a class or id has one of the words; layouts' names don't count."""
+    return bool(marks.search(re.sub(r"([a-z])([A-Z])", r"\1-\2", LAYOUT.sub("", value))))
+
+
+def names(attributes: str) -> list[str]:
+    """The values of class and id."""
+    return [next((v for v in values if v), "") for key, *values in ATTRIBUTE.findall(attributes) if key.lower() in ("class", "id")]
+
+
 def left_out(name: str, attributes: str, in_main: bool) -> bool:
     """Whether an element is no article text; a header inside an article is."""
     if name in OUT:
@@ -73,7 +91,7 @@ def left_out(name: str, attributes: str, in_main: bool) -> bool:
         key, value = key.lower(), next((v for v in values if v), "")
         if key == "role" and value.lower() in ROLES or key == "aria-hidden" and value.lower() == "true" or key == "style" and HIDDEN.search(value):
             return True
-        if key in ("class", "id") and name not in MAIN and MARKS.search(re.sub(r"([a-z])([A-Z])", r"\1-\2", value)):
+        if key in ("class", "id") and name not in MAIN and marked(value, MARKS):
             return True
     return False
 
@@ -86,47 +104,78 @@ class Page:
         self.tokens: list[tuple[int, str, int, bool]] = []
         #: Of each element: parent, name, first token, token after the last.
         self.elements: list[list] = [[-1, "", 0, 0]]
-        stack, out, at = [0], [False], 0
+        #: Of each element: whether its name or attributes leave it out, and its attributes.
+        self.own: list[tuple[bool, str]] = [(False, "")]
+        stack, at = [0], 0
         for m in TOKEN.finditer(source):
             if m.start() > at:
-                self.tokens.append((0, source[at : m.start()], stack[-1], not out[-1]))
+                self.tokens.append((0, source[at : m.start()], stack[-1], True))
             at = m.end()
             name = (m[3] or m[6] or "").lower()
             if not name:
                 continue
             if m[2] or m[5]:
-                self._close(name, stack, out)
-                self.tokens.append((1, name, stack[-1], not out[-1]))
+                self._close(name, stack)
+                self.tokens.append((1, name, stack[-1], True))
                 continue
             attributes = m[4] or m[7] or ""
             if name in CLOSES_P and "p" in (self.elements[e][1] for e in stack[-4:]):
-                self._close("p", stack, out)
+                self._close("p", stack)
             for e in reversed(stack) if name in SAME else ():
                 if self.elements[e][1] in HOLDS[name]:
                     break
                 if self.elements[e][1] in SAME[name]:
-                    self._close(self.elements[e][1], stack, out)
+                    self._close(self.elements[e][1], stack)
                     break
             if name in VOID or attributes.endswith("/"):
-                self.tokens.append((1, name, stack[-1], not out[-1]))
+                self.tokens.append((1, name, stack[-1], True))
                 continue
             in_main = any(self.elements[e][1] in MAIN for e in stack)
             self.elements.append([stack[-1], name, len(self.tokens), -1])
-            out.append(out[-1] or left_out(name, attributes, in_main))
+            self.own.append((left_out(name, attributes, in_main), attributes))
             stack.append(len(self.elements) - 1)
-            self.tokens.append((1, name, stack[-1], not out[-1]))
+            self.tokens.append((1, name, stack[-1], True))
         if at < len(source):
-            self.tokens.append((0, source[at:], stack[-1], not out[-1]))
+            self.tokens.append((0, source[at:], stack[-1], True))
         for e in stack:
             self.elements[e][3] = len(self.tokens)
+        self._leave_out()
+
+    def _leave_out(self) -> None:
+        """Marks the tokens of left-out elements, but of none that holds the main text."""
+        if not any(own for own, _ in self.own):
+            return
+        words, in_link = [0] * len(self.elements), [False] * len(self.elements)
+        for e, (up, name, _, _) in enumerate(self.elements):
+            in_link[e] = name == "a" or up >= 0 and in_link[up]
+        for kind, what, e, _ in self.tokens:
+            if kind == 0 and not in_link[e]:
+                words[e] += len(what.split())
+        for e in range(len(self.elements) - 1, 0, -1):
+            words[self.elements[e][0]] += words[e]
+        mains = [e for e, x in enumerate(self.elements) if x[1] == "main" and words[e]]
+        mains = mains or [e for e, x in enumerate(self.elements) if x[1] == "article" and words[e] and not any(marked(v, MARKS) for v in names(self.own[e][1]))]
+        scope = max(mains, key=lambda e: words[e], default=0)
+        holds, e = set(), scope
+        while e > 0:
+            holds.add(e)
+            e = self.elements[e][0]
+        out = [False] * len(self.elements)
+        for e in range(1, len(self.elements)):
+            own, attributes = self.own[e]
+            if own and e not in holds and words[e] * 2 > words[scope]:
+                within = scope == 0 or self.elements[scope][2] <= self.elements[e][2] < self.elements[scope][3]
+                own = not within or any(marked(v, READERS) for v in names(attributes))
+            out[e] = out[self.elements[e][0]] or own and e not in holds
+        self.tokens = [(kind, what, e, not out[e]) for kind, what, e, _ in self.tokens]
 
-    def _close(self, name: str, stack: list[int], out: list[bool]) -> None:
+    def _close(self, name: str, stack: list[int]) -> None:
         """Ends the innermost open element of a name with all in it; a stray end tag does nothing."""
         for i in range(len(stack) - 1, 0, -1):
             if self.elements[stack[i]][1] == name:
                 for e in stack[i:]:
                     self.elements[e][3] = len(self.tokens) + 1
-                del stack[i:], out[i:]
+                del stack[i:]
                 return
 
     def region(self, weights: dict[str, float]) -> tuple[int, int]:

@@ -387,6 +387,22 @@ def test_html_main_text(spark, sf):
         assert got[r["page_id"]]["text"] == wanted and got[r["page_id"]]["n_chars"] == len(wanted)
 
 
+def test_html_main_text_in_wrappers():
+    weights = {"p": -0.3, "li": -4.0, "div": -4.0, "a": -4.0}
+    text = lambda s: (lambda p: p.text(p.region(weights)))(html_main.Page(s))
+    menu, words = "<nav><a>Home</a> <a>News</a></nav>", "One two three four five six seven eight nine ten."
+    side = "<div class='sidebar'>far from it</div><div id='comments'><article class='comment'><p>a reader says this and that</article></div>"
+    opens = [("<div class='layout has-sidebar'>", "</div>"), ("<div class='with-sidebar'>", "</div>"), ("<div id='no-sidebar'>", "</div>"), ("<form>", "</form>"), ("<div class='sidebar-left'>", "</div>"), ("<div style='display:none'>", "</div>")]
+    for tag in ("article", "main", "div class='content'"):
+        inner = f"<{tag}><h1>Title</h1><p>{words}<div class='ad'>buy now</div></{tag.split()[0]}>"
+        for a, b in opens:
+            assert text(f"<body>{menu}{a}{inner}{side}{b}<footer>f</footer></body>") == f"Title {words}", (tag, a)
+    assert text(f"<main><div class='grid with-search'><div class='search'><p>{words}</div></div></main>") == words
+    long = "<p>a reader says this and that at length and more than the page itself does</p>" * 3
+    assert text(f"<main><div class='post'><p>{words}</div><div class='comments'>{long}</div></main>") == words
+    assert text(f"<div class='post'><p>{words}</div><nav><ul>{'<li><a>some other page</a>' * 20}</ul></nav>") == words
+
+
 # -- language
 
 
