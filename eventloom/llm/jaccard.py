@@ -18,6 +18,10 @@ n-grams.  Two documents link when their sets' Jaccard similarity is at least
   follow the shorter prefix is less than the overlap needed.
 * Pairs left are verified on whole sets.
 
+A document's links all lie in its component.  They are counted there on whole
+sets, in blocks of about BLOCK sets against each other; a task holds one pair of
+blocks and gives counts, never pairs, and a set counts once for each of its copies.
+
 Edge cases: words are split at ASCII white space after A-Z are lowered; fewer
 than n words are one n-gram; null or blank texts have the empty set, link to
 nothing and are their own component.  Rows repeated with the same id are one
@@ -46,6 +50,8 @@ HINTS = 1_000_000
 LOCAL, REPORT = 4_000_000, 2
 #: Rows of a column from which pairs are formed by central rows first.
 SMALL = 16
+#: Sets of a component in one block when links are counted, and sets in one product.
+BLOCK, TILE = 1024, 256
 BASE = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -285,11 +291,17 @@ def _whole_sets(docs: DataFrame, pairs: DataFrame, n: int) -> DataFrame:
     return docs.join(ids, "id", "left_semi").select("id", "text").mapInArrow(whole, "id long, s array<long>")
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, n: int, t: Fraction, scratch: Scratch) -> DataFrame:
-    """Pairs (a, b) whose whole sets are similar."""
+def _one_set_each(docs: DataFrame, pairs: DataFrame, n: int, scratch: Scratch) -> DataFrame:
+    """(id, s): one set for each document in some pairs."""
     sets = scratch.put(_whole_sets(docs, pairs, n), "sets")
     if not sets.groupBy("id").agg(F.count(F.lit(1)).alias("k")).filter("k > 1").isEmpty():
         sets = scratch.put(sets.dropDuplicates(["id"]), "sets")  # rows repeated with one id: one of them counts
+    return sets
+
+
+def _verified(pairs: DataFrame, docs: DataFrame, n: int, t: Fraction, scratch: Scratch) -> DataFrame:
+    """Pairs (a, b) whose whole sets are similar."""
+    sets = _one_set_each(docs, pairs, n, scratch)
     left, right = (sets.select(F.col("id").alias(k), F.col("s").alias(f"s{k}")) for k in ("a", "b"))
 
     @F.arrow_udf("boolean")
@@ -307,11 +319,60 @@ def _verified(pairs: DataFrame, docs: DataFrame, n: int, t: Fraction, scratch: S
     return pairs.select("a", "b").join(right, "b").join(left, "a").filter(similar("sa", "sb")).select("a", "b")
 
 
-def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text", n: int = N_WORDS, threshold: Fraction = THRESHOLD) -> DataFrame:
+def _tile_links(cells, cut, t: Fraction):
+    """(row, links) of the cells of block pairs: how many documents of the other block each row's set is similar to."""
+    second, weight, comp, sets = cells[1], cells[3], cells[4], cells[5]
+    size = np.array([len(x) for x in sets], dtype=np.int64)
+    num, den = t.numerator, t.numerator + t.denominator
+    links = np.zeros(len(size), dtype=np.int64)
+    for lo, hi in zip(cut[:-1].tolist(), cut[1:].tolist()):
+        at = np.arange(lo, hi)
+        a, b = at[second[lo:hi] == 0], at[second[lo:hi] == 1]
+        alone = not len(b)  # a block with itself
+        b = a if alone else b
+        for i in range(0, len(a), TILE):
+            for j in range(i if alone else 0, len(b), TILE):
+                x, y = a[i : i + TILE], b[j : j + TILE]
+                same = alone and i == j
+                both = _incidence([sets[k] for k in (x if same else (*x, *y))])
+                common = (both[: len(x)] @ both[0 if same else len(x) :].T).astype(np.int64)
+                ok = (comp[x][:, None] == comp[y]) & (common * den >= num * (size[x][:, None] + size[y]))
+                if same:  # both halves of the square, without the diagonal
+                    np.fill_diagonal(ok, False)
+                    links[x] += ok @ weight[y]
+                else:
+                    links[x] += ok @ weight[y]
+                    links[y] += weight[x] @ ok
+    return links
+
+
+def _links(comp: DataFrame, copies: DataFrame, docs: DataFrame, n: int, t: Fraction, scratch: Scratch) -> DataFrame:
+    """(v, links): how many documents with another set each set (by its smallest id) of a component is similar to."""
+    sets = _one_set_each(docs, comp.select(F.col("v").alias("a"), F.col("v").alias("b")), n, scratch)
+    sizes = comp.groupBy("c").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("blocks"))
+    members = scratch.put(comp.join(sizes, "c").join(copies.select(F.col("id").alias("v"), "copies"), "v"), "members")
+    own = F.pmod(F.xxhash64("v"), F.col("blocks"))
+    # a row of block i is on the first side of (i, j) for j >= i, on the second of (j, i) for j < i
+    other = members.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    keyed = other.select(F.xxhash64("c", F.least("own", "other"), F.greatest("own", "other")).alias("h"), (F.col("own") > F.col("other")).cast("int").alias("second"), "v", "copies", "c", (F.col("own") == F.col("other")).alias("within"))
+    # a pair of blocks of which one is empty has nothing to count
+    sides = keyed.groupBy("h").agg((F.max("within") | (F.min("second") < F.max("second"))).alias("whole")).filter("whole").select("h")
+    cells = keyed.join(sides, "h").join(sets, F.col("v") == F.col("id")).select("h", "second", "v", "copies", "c", "s")
+
+    def count(batches):
+        for cells, cut in _runs(batches, 6):
+            links = _tile_links(cells, cut, t)
+            yield pa.RecordBatch.from_arrays([pa.array(cells[2], pa.int64()), pa.array(links, pa.int64())], names=["v", "links"])
+
+    got = cells.repartition("h").sortWithinPartitions("h").mapInArrow(count, "v long, links long")
+    return got.groupBy("v").agg(F.sum("links").alias("links"))
+
+
+def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text", n: int = N_WORDS, threshold: Fraction = THRESHOLD, links: bool = True) -> DataFrame:
     """(id, n_shingles, component_id, n_links) of each row of ``docs``.
 
-    ``n_links`` counts the verified links that formed the component; it is
-    enough to span the component, not all of its pairs.
+    ``n_links`` is the number of other documents whose similarity to this one
+    is at least ``threshold``; without ``links`` it is null and costs nothing.
     """
     spark = docs.sparkSession
     t, scratch = Fraction(threshold), Scratch(spark, "jaccard")
@@ -320,7 +381,8 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text",
     full = rows.filter("n > 0 AND id IS NOT NULL")
     # one row for each set: its smallest id stands for it
     firsts = [F.first(c).alias(c) for c in ("n", "prefix", "last_rank", "last", "usual")]
-    reps = scratch.put(full.groupBy("set_key").agg(F.min("id").alias("id"), *firsts), "reps")
+    distinct = full.groupBy("set_key", "id").agg(*firsts)
+    reps = scratch.put(distinct.groupBy("set_key").agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("copies"), *firsts), "reps")
     every, central, crossing = 0, 1, 2
     first = scratch.put(_product(reps, ["usual"], {every: _all_pairs, central: _central_pairs}, t), "first")
     stars = first.filter(F.col("kind") == central)
@@ -348,20 +410,25 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text",
     more = scratch.put(_verified(pairs, docs, n, t, scratch), "more")
     if not more.isEmpty():
         comp = components(found.unionByName(more), scratch)
-    links = found.unionByName(more).join(comp, F.col("a") == F.col("v")).groupBy("c").agg(F.count(F.lit(1)).alias("n_links"))
-    of_set = reps.select("set_key", F.col("id").alias("v")).join(comp, "v", "left").withColumn("c", F.coalesce("c", "v"))
-    of_set = of_set.join(links, "c", "left").select("set_key", F.col("c"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
+    of_set = reps.select("set_key", F.col("id").alias("v"), "copies").join(comp, "v", "left").withColumn("c", F.coalesce("c", "v"))
+    if links:
+        of_set = of_set.join(scratch.put(_links(comp, reps, docs, n, t, scratch), "links"), "v", "left")
+    else:
+        of_set = of_set.withColumn("links", F.lit(None).cast("long"))
+    n_links = F.coalesce("links", F.lit(0)) + F.col("copies") - 1
+    of_set = of_set.select("set_key", "c", (n_links if links else F.col("links")).alias("n_links"))
     out = rows.select("id", "n", F.when((F.col("n") > 0) & F.col("id").isNotNull(), F.col("set_key")).alias("set_key")).join(of_set, "set_key", "left")
-    return out.select("id", F.col("n").cast("long").alias("n_shingles"), F.coalesce("c", "id").alias("component_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
+    n_links = F.coalesce("n_links", F.lit(0).cast("long")) if links else F.col("n_links")
+    return out.select("id", F.col("n").cast("long").alias("n_shingles"), F.coalesce("c", "id").alias("component_id"), n_links.alias("n_links"))
 
 
 def op5_ngram_jaccard(docs: DataFrame) -> DataFrame:
-    """Set size and component of every document."""
+    """Set size, component and number of links of every document."""
     return jaccard_components(docs).select(F.col("id").alias("doc_id"), "n_shingles", "component_id", "n_links")
 
 
 def keep_one(docs: DataFrame, key: str = "doc_id") -> DataFrame:
     """The rows of each component's smallest id; rows repeated with one id stay or go together; null ids stay."""
-    found = jaccard_components(docs, key).filter("id IS NOT NULL AND id <> component_id").select("id").distinct()
+    found = jaccard_components(docs, key, links=False).filter("id IS NOT NULL AND id <> component_id").select("id").distinct()
     name = fresh(docs, "id")
     return docs.join(found.withColumnRenamed("id", name), docs[key].cast("long") == F.col(name), "left_anti").select(*docs.columns)

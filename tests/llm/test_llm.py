@@ -211,6 +211,27 @@ def test_jaccard_groups_with_chains_and_boilerplate(spark):
     assert {i: (r["n_shingles"], r["component_id"]) for i, r in got.items()} == brute_components(texts)
 
 
+def test_jaccard_counts_every_link(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "BLOCK", 20)
+    monkeypatch.setattr(jaccard, "TILE", 7)
+    random.seed(6)
+    word = lambda: "".join(random.choice("abcdefgh") for _ in range(6))
+    source, texts = [word() for _ in range(120)], {}
+    for i in range(150):  # copies with 0 to 4 words changed: some link to some only
+        w = list(source)
+        for _ in range(i % 5):
+            w[random.randrange(len(w))] = word()
+        texts[i] = " ".join(w)
+    for i in range(150, 160):
+        texts[i] = " ".join(word() for _ in range(50))
+    texts |= {160: texts[150], 161: texts[150] + " more", 162: "", 163: None}
+    given = [*texts.items(), (0, texts[0]), (None, texts[150])]
+    got = {r["doc_id"]: r["n_links"] for r in jaccard.op5_ngram_jaccard(spark.createDataFrame(given, "doc_id long, text string").repartition(5)).collect()}
+    sets = {i: set(jaccard.shingle_set(x).tolist()) for i, x in texts.items()}
+    wanted = {i: sum(i != j and bool(a) and len(a & b) * 5 >= len(a | b) * 4 for j, b in sets.items()) for i, a in sets.items()}
+    assert got == wanted | {None: 0} and len(set(wanted.values())) > 10
+
+
 # -- line dedup
 
 
