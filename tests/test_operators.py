@@ -4,7 +4,7 @@ import datetime as dt
 
 import pytest
 from eventloom.functions import numeric, text
-from eventloom.operators import detect, event_study, graph, lineage, linking, panel, quality, retrieval, rules, samples, upsert
+from eventloom.operators import canonical, detect, event_study, graph, lineage, linking, panel, quality, retrieval, rules, samples, upsert
 from eventloom.sources import files
 from eventloom.streaming import jobs
 from pyspark.sql import functions as F
@@ -149,3 +149,10 @@ def test_source_priority(spark):
     market = spark.createDataFrame([("hs300", "2025-01-01", 0.2), ("x", "2025-01-02", 0.3), ("y", "2025-01-02", None)], "entity string, day string, daily_return double")
     got = sorted((r["entity"], r["daily_return"], r["source"]) for r in enrich.resolved_series([("cache", cache), ("fallback", market)]).collect())
     assert got == [("hs300", 0.1, "cache"), ("x", 0.3, "fallback")]
+
+
+def test_names_of_one_character_merge(spark):
+    day = dt.date(2024, 1, 1)
+    names = {1: "a", 2: "alpha", 3: "a", 4: "bet", 5: "", 6: "t", 7: "a"}
+    events = spark.createDataFrame([(i, "s", "x", day + dt.timedelta(days=20 * (i == 7)), [], n, [], []) for i, n in names.items()], "id long, subject string, industry string, day date, entities array<string>, name string, name_tokens array<string>, all_tokens array<string>")
+    assert {tuple(r) for r in canonical.merge_pairs(events).collect()} == {(1, 2), (1, 3), (2, 3), (4, 6)}
