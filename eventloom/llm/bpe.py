@@ -8,14 +8,17 @@ associative and their closure is a small monoid, so a chunk of text is cut
 into rows, each row is folded to one function, the functions are scanned, and
 all rows run at once from the states that the scan gives.
 
-Edge cases: null text is the empty text and has no ids; texts are never cut,
-long ones are their own chunk; special tokens are ordinary text; equal rows
-have equal results; an empty table gives an empty table.
+Edge cases: null text is the empty text and has no ids; a text longer than a
+chunk is read in slices that carry the splitter's state and the unfinished word,
+so its ids are those of the whole text; special tokens are ordinary text; equal
+rows have equal results; ties of rank go to the leftmost pair; an empty table
+gives an empty table; ``encode`` replaces a column that has the output's name.
 """
 
 from __future__ import annotations
 
 import base64
+import hashlib
 import heapq
 import sys
 import unicodedata
@@ -23,17 +26,19 @@ from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 LETTER, NUMBER, OTHER, APOS1, APOS2, JOIN, SPACE, LAST, CUT = range(9)
 BEGIN, IN_LETTER, IN_NUMBER, IN_OTHER, JOINED, IN_SPACE, ONE_LEFT, TWO_LEFT = range(8)
 STATES, CLASSES = 8, 9
-#: Code points that one vectorised pass takes; a longer text is a pass of its own.
+#: Code points that one vectorised pass takes.
 CHUNK = 1 << 18
 ROW = 256
-#: Words whose ids a worker remembers before it starts anew, looked at once a chunk.
-CACHE = 250_000
+#: Code points after a slice that the pattern looks at.
+AHEAD = 2
+#: Words, and their code points, that a worker remembers before it starts anew, looked at once a chunk.
+CACHE, CACHE_POINTS = 150_000, 4 << 20
 
 
 def _step(state: int, kind: int) -> tuple[int, bool]:
@@ -115,12 +120,15 @@ def classes(points: np.ndarray) -> np.ndarray:
     return kind
 
 
-def starts(points: np.ndarray) -> np.ndarray:
-    """Positions at which a word starts, by a scan of transition functions."""
-    n = len(points)
-    if not n:
-        return np.zeros(0, dtype=np.int64)
-    kind = classes(points)
+def starts(points: np.ndarray, at: int = BEGIN, ahead: int = 0) -> tuple[np.ndarray, int]:
+    """Positions at which a word starts, by a scan of transition functions, and the state at the end.
+
+    ``at`` is the state before the first; the last ``ahead`` points are only looked at.
+    """
+    n = len(points) - ahead
+    if n <= 0:
+        return np.zeros(0, dtype=np.int64), at
+    kind = classes(points)[:n]
     rows = -(-n // ROW)
     grid = np.full(rows * ROW, CUT, dtype=np.uint8)
     grid[:n] = kind
@@ -131,16 +139,41 @@ def starts(points: np.ndarray) -> np.ndarray:
     for j in range(1, ROW):
         whole = then[whole * m + FUNCTION[grid[j]]].astype(np.intp)
     state = np.zeros(rows, dtype=np.intp)
-    at = BEGIN
     for r, f in enumerate(whole.tolist()):  # the scan over the rows' functions
         state[r] = at
         at = int(VALUES[f][at])
+    last = n - (rows - 1) * ROW  # real points of the last row
     marks = np.empty((ROW, rows), dtype=bool)
     for j in range(ROW):
         key = state * CLASSES + grid[j]
         marks[j] = STARTS[key]
         state = NEXT[key].astype(np.intp)
-    return np.flatnonzero(marks.T.reshape(-1)[:n])
+        if j + 1 == last:
+            at = int(state[-1])
+    return np.flatnonzero(marks.T.reshape(-1)[:n]), at
+
+
+def _points(text: str) -> np.ndarray:
+    return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+
+
+def word_slices(text: str, size: int = CHUNK):
+    """The words of a text in order, in lists for about ``size`` code points each."""
+    state, held = BEGIN, ""
+    for a in range(0, len(text), size):
+        part = text[a : a + size]
+        after = text[a + size : a + size + AHEAD]
+        at, state = starts(_points(part + after), state, len(after))
+        if not len(at):
+            held += part
+            continue
+        bounds = at.tolist()
+        words = [part[x:y] for x, y in zip(bounds, bounds[1:])]
+        first = held + part[: bounds[0]]
+        yield [first, *words] if first else words
+        held = part[bounds[-1] :]
+    if held:
+        yield [held]
 
 
 class Codec:
@@ -151,12 +184,13 @@ class Codec:
         self.pieces = [b""] * (max(self.ranks.values(), default=-1) + 1)
         for piece, rank in self.ranks.items():
             self.pieces[rank] = piece
-        self.lengths = np.array([len(p) for p in self.pieces], dtype=np.int32)
         #: Word to its place in first and size; these point into store.
         self.cache: dict[str, int] = {}
+        self.cached_points = 0
         self.first, self.size = np.zeros(1 << 12, dtype=np.int64), np.zeros(1 << 12, dtype=np.int64)
-        self.bytes: np.ndarray | None = None
         self.store, self.used = np.zeros(1 << 14, dtype=np.int32), 0
+        self.bytes = Strings(self.pieces)
+        self.decimals = Strings([b"%d " % i for i in range(len(self.pieces))])
 
     def merge(self, piece: bytes) -> tuple[int, ...]:
         """Ids of one word: the pair of lowest rank, the leftmost of these, is joined first."""
@@ -221,14 +255,16 @@ class Codec:
         self.first[at], self.size[at] = used, len(ids)
         self.used = used + len(ids)
         self.cache[piece] = at
+        self.cached_points += len(piece)
         return at
 
     def words(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all words in a row, and how many each word has."""
         cache = self.cache
-        if len(cache) > CACHE:
+        if len(cache) > CACHE or self.cached_points > CACHE_POINTS:
             cache.clear()
-            self.used = 0
+            self.used = self.cached_points = 0
+            self.store = self.store[: 1 << 20]
         found = np.fromiter(map(cache.get, pieces, repeat(-1)), dtype=np.int64, count=len(pieces))
         for i in np.flatnonzero(found < 0).tolist():
             at = cache.get(pieces[i])
@@ -242,16 +278,19 @@ class Codec:
         """All ids of some texts in one array, and how many each text has."""
         if not texts:
             return np.zeros(0, dtype=np.int32), np.zeros(0, dtype=np.int64)
+        if len(texts) == 1:
+            ids = [i for _, i in self.slices(texts[0])] or [np.zeros(0, dtype=np.int32)]
+            return np.concatenate(ids), np.array([sum(map(len, ids))])
         lengths = np.array([len(t) for t in texts], dtype=np.int64)
         joined = "".join(texts)
-        plain = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+        plain = _points(joined)
         ends = np.cumsum(lengths)
         cuts = ends + np.arange(len(texts))  # a cut stands after each text
         points = np.full(len(plain) + len(texts), sys.maxunicode + 1, dtype=np.uint32)
         inside = np.ones(len(points), dtype=bool)
         inside[cuts] = False
         points[inside] = plain
-        at = starts(points)
+        at, _ = starts(points)
         at = at[points[at] <= sys.maxunicode]
         text_of = np.searchsorted(cuts, at)
         real = at - text_of
@@ -260,12 +299,48 @@ class Codec:
         per_text = np.bincount(text_of, weights=sizes, minlength=len(texts)).astype(np.int64)
         return ids, per_text
 
+    def slices(self, text: str):
+        """(words, ids) of a long text, slice by slice."""
+        for words in word_slices(text):
+            yield words, self.words(words)[0]
+
     def decode(self, ids: np.ndarray) -> np.ndarray:
         """Bytes of some ids, as an array."""
-        if self.bytes is None:
-            self.bytes = np.frombuffer(b"".join(self.pieces), dtype=np.uint8)
-            self.places = np.cumsum(self.lengths, dtype=np.int64) - self.lengths
-        sizes = self.lengths[ids].astype(np.int64)
+        return self.bytes.joined(ids)
+
+    def digests(self, texts: list[str]):
+        """(number of ids, sha256 of their decimals, sha256 of the decoded bytes) of each text."""
+        if len(texts) == 1 and len(texts[0]) > CHUNK:
+            n, of_ids, of_bytes, gap = 0, hashlib.sha256(), hashlib.sha256(), b""
+            for _, ids in self.slices(texts[0]):
+                n += len(ids)
+                of_ids.update(gap)
+                of_ids.update(self.decimals.joined(ids)[:-1].data)
+                of_bytes.update(self.decode(ids).data)
+                gap = b" "
+            yield n, of_ids.hexdigest(), of_bytes.hexdigest()
+            return
+        ids, counts = self.encode_texts(texts)
+        ends = np.cumsum(counts)
+        bounds = np.concatenate([[0], ends])
+        parts = []
+        for strings, trim in ((self.decimals, 1), (self.bytes, 0)):
+            sizes = np.concatenate([[0], np.cumsum(strings.lengths[ids])])[bounds].tolist()
+            data = memoryview(strings.joined(ids))
+            parts.append([hashlib.sha256(data[a : max(a, b - trim)]).hexdigest() for a, b in zip(sizes, sizes[1:])])
+        yield from zip(counts.tolist(), *parts)
+
+
+class Strings:
+    """Byte strings by number, joined by array gathers."""
+
+    def __init__(self, strings: list[bytes]):
+        self.lengths = np.array([len(x) for x in strings], dtype=np.int64)
+        self.bytes = np.frombuffer(b"".join(strings), dtype=np.uint8)
+        self.places = np.cumsum(self.lengths) - self.lengths
+
+    def joined(self, ids: np.ndarray) -> np.ndarray:
+        sizes = self.lengths[ids]
         ends = np.cumsum(sizes)
         return self.bytes[np.arange(ends[-1] if len(ends) else 0) + np.repeat(self.places[ids] - ends + sizes, sizes)]
 
@@ -282,11 +357,11 @@ def codec(content: bytes) -> Codec:
     return _codecs[key]
 
 
-def chunks(texts: list[str | None]):
-    """Runs of texts of about CHUNK code points, at least one text each."""
+def chunks(texts: pa.Array):
+    """Runs of texts of about CHUNK code points, at least one text each; only one run is Python strings at a time."""
     batch, size = [], 0
     for t in texts:
-        t = t or ""
+        t = t.as_py() or ""
         if batch and size + len(t) > CHUNK:
             yield batch
             batch, size = [], 0
@@ -320,13 +395,13 @@ def encoder(spark: SparkSession, vocab_path: str | None = None):
     def encode(texts: pa.Array) -> pa.Array:
         coder = codec(shared.value)
         ids, counts = [], []
-        for batch in chunks(texts.to_pylist()):
+        for batch in chunks(texts):
             a, b = coder.encode_texts(batch)
             ids.append(a)
             counts.append(b)
         flat = np.concatenate(ids) if ids else np.zeros(0, dtype=np.int32)
         bounds = np.concatenate([[0], *[c for c in counts]]).cumsum().astype(np.int32)
-        sizes = coder.lengths[flat].astype(np.int64) if len(flat) else np.zeros(0, dtype=np.int64)
+        sizes = coder.bytes.lengths[flat]
         before = np.concatenate([[0], np.cumsum(sizes)])
         first = before[:-1] - np.repeat(before[bounds[:-1]], np.diff(bounds))
         lists = [pa.ListArray.from_arrays(pa.array(bounds), pa.array(x.astype(np.int32))) for x in (flat, first)]
@@ -349,24 +424,26 @@ def decoder(spark: SparkSession, vocab_path: str | None = None):
     return decode
 
 
+def digester(spark: SparkSession, vocab_path: str | None = None):
+    """A column function: text to struct(n_tokens, ids_sha256, decoded_sha256); the ids stay in the worker, chunk by chunk."""
+    shared = _vocabulary(spark, vocab_path)
+
+    @F.arrow_udf("struct<n_tokens:bigint,ids_sha256:string,decoded_sha256:string>")
+    def digest(texts: pa.Array) -> pa.Array:
+        coder = codec(shared.value)
+        rows = [row for batch in chunks(texts) for row in coder.digests(batch)]
+        columns = [pa.array([r[k] for r in rows], t) for k, t in enumerate((pa.int64(), pa.string(), pa.string()))]
+        return pa.StructArray.from_arrays(columns, names=["n_tokens", "ids_sha256", "decoded_sha256"])
+
+    return digest
+
+
 def encode(df: DataFrame, text: str = "text", out: str = "encoded", vocab_path: str | None = None) -> DataFrame:
     """``df`` with a column ``out``: struct(ids, offsets) of the whole text."""
     return df.withColumn(out, encoder(df.sparkSession, vocab_path)(F.coalesce(F.col(text), F.lit(""))))
 
 
-def ids_text(ids: Column) -> Column:
-    """Decimal ids joined by one space."""
-    return F.array_join(ids.cast("array<string>"), " ")
-
-
 def op9_byte_bpe(docs: DataFrame, vocab_path: str | None = None) -> DataFrame:
     """Digest of each document's ids and of the bytes that they decode to."""
-    spark = docs.sparkSession
-    coded = encode(docs.select("doc_id", "text"), vocab_path=vocab_path).select("doc_id", F.col("encoded.ids").alias("ids"))
-    coded = coded.withColumn("decoded", decoder(spark, vocab_path)("ids"))
-    return coded.select(
-        "doc_id",
-        F.size("ids").cast("long").alias("n_tokens"),
-        F.sha2(ids_text(F.col("ids")).cast("binary"), 256).alias("ids_sha256"),
-        F.sha2("decoded", 256).alias("decoded_sha256"),
-    )
+    found = digester(docs.sparkSession, vocab_path)(F.coalesce("text", F.lit("")))
+    return docs.select("doc_id", found.alias("d")).select("doc_id", "d.*")
