@@ -1,20 +1,21 @@
 """Benchmark decontamination: SimHash of item-sized windows, multi-index Hamming blocks, exact check.
 
 A fingerprint has bit j set if most words of a window have bit j set in their
-hash.  Items of like length share a window of whole blocks of ``step`` words;
-a document's windows start at every block, an item's at its first ``step``
-words, so a passage that is copied anywhere has a window whose fingerprint
-equals one of the item's.  Fingerprints are cut into RADIUS + 1 blocks: two
-that differ in at most RADIUS bits agree in a whole block (pigeonhole), so
-looking up every block finds all within the radius.  The candidates' spans are
-then compared by weighted Jaccard of word shingles, each with its count as weight.
-
-Fingerprints lose edited copies, so the seeds decide what is a candidate: a
-span that is similar enough shares a run of consecutive words with the item,
-whose least length ``run_words`` derives from the threshold.  Every such run of
-an item is looked up at every word of a text, and every span around a common
-run is compared, so that no span over the threshold is lost.  A span has the
-item's length; where the text begins or ends within it, what is left of it.
+hash.  A span that is similar enough lacks at most a fifth of an item's shingles
+(where the text ends; a ninth elsewhere), so an item's windows are shorter by that much (and by ``step`` -
+1 words): one at every word of the item, so that one of them lies whole in any
+such span.  Windows of a text start at every ``step``-th word, which is 1 for
+short items.  Copies that are cut at the borders, or edited within SHINGLE - 1
+words of one, so have a window in common with the item, word by word; items of
+fewer than about 50 words have no other copies over the threshold.  Edits in the
+middle of longer ones flip a few bits of the windows over them.
+
+Fingerprints are cut into BLOCKS of bits.  Two that differ in at most RADIUS
+bits differ in at most one bit of some block (pigeonhole), so a lookup of every
+block's value among the values of the items, each with every one of its bits
+flipped, finds all within the radius.  The spans around a hit are then compared
+by weighted Jaccard of word shingles, each with its count as weight; the best
+one decides.  The README tells the recall on near copies.
 
 Items are broadcast in groups of a checked size; more items mean more passes
 over the texts, never fewer comparisons.
@@ -22,34 +23,38 @@ over the texts, never fewer comparisons.
 Edge cases: words are runs of bytes other than ASCII white space and
 punctuation, lowered; items without words match nothing; items with fewer
 than five words are one shingle; null and empty texts match nothing; a text is
-searched whole; equal texts give equal results; ties between spans go to the
-earliest.
+searched whole; equal texts give equal results; items repeated are one, with
+different texts each its own; ties between spans go to the earliest; a span has
+the item's length, or what is left of it where the text begins or ends in it;
+further columns of both tables don't matter; empty tables give no matches.
 """
 
 from __future__ import annotations
 
-from collections import Counter
-from fractions import Fraction
+from collections import Counter, OrderedDict
 
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql.types import ArrayType, DataType, DoubleType, IntegerType, StructField, StructType
 
 from .common import fresh
 
-RADIUS = 5
-BITS = 64
+BITS, BLOCKS = 64, 4
+RADIUS = 2 * BLOCKS - 1
 SHINGLE = 5
 THRESHOLD = 0.8
 #: Words in one vectorised pass; items, and characters of items, in one broadcast.
-WORDS, ITEMS, ITEM_CHARS = 1 << 17, 20_000, 16 << 20
-#: Leading bits of a seed's hash that are looked up before the seed.
-LEADING = 20
+WORDS, ITEMS, ITEM_CHARS = 1 << 16, 20_000, 4 << 20
+#: Bytes of indexes that a worker keeps.
+KEPT = 256 << 20
 _PUNCTUATION = bytes(c for c in range(128) if not chr(c).isalnum())
 _LOWER = bytes.maketrans(_PUNCTUATION, b" " * len(_PUNCTUATION))
-BLOCKS = [(i * BITS // (RADIUS + 1), (i + 1) * BITS // (RADIUS + 1)) for i in range(RADIUS + 1)]
+#: What flips none or one bit of a block.
+FLIPS = np.array([0, *(1 << i for i in range(BITS // BLOCKS))], dtype=np.int64)
 
 
 class _Hashes(dict):
@@ -86,32 +91,20 @@ def similarity(a: np.ndarray, b: np.ndarray) -> float:
     return both / total if total else 0.0
 
 
-def window(n: int) -> tuple[int, int]:
-    """(step, width) of the windows for an item of n words: width + step - 1 <= n, width a multiple of step."""
-    step = 8 if n >= 23 else 4 if n >= 11 else 1
-    q = (n - step + 1) // step
-    coarse = 1 if q <= 6 else 1 << (q.bit_length() - 3)  # fewer sizes for long items
-    return step, q // coarse * coarse * step
+def slack(n: int, threshold: float = THRESHOLD) -> int:
+    """How many words a similar enough span may lack at the borders of an item of n words."""
+    m = max(1, n - SHINGLE + 1)
+    return int(m * (1 - threshold) + 1e-9)
 
 
-def run_words(v: np.ndarray, threshold: float) -> int:
-    """The least length of the longest run of words that a span over the threshold has in common with an item.
-
-    A span of p shingles shares at least t (m + p) / (1 + t) with the item's m.
-    The others cut the shared ones into runs; so may each place of the item
-    where a run of SHINGLE - 1 words occurs that it has twice.
-    """
-    k, t = min(SHINGLE, len(v)), Fraction(threshold) - Fraction(1, 10**12)
-    m = len(v) - k + 1
-    if k < SHINGLE:
-        return k
-    inner, counts = np.unique(shingles(v, k - 1), return_counts=True)
-    twice = int(counts[counts > 1].sum())
-    least = m
-    for p in range(max(1, -(-t.numerator * m // t.denominator)), m + 1):
-        both = -(-t.numerator * (m + p) // (t.numerator + t.denominator))
-        least = min(least, -(-both // (p - both + twice + 1)))
-    return max(1, least) + k - 1
+def window(n: int, threshold: float = THRESHOLD) -> tuple[int, int]:
+    """(step, width) of the windows for an item of n words: width + step - 1 + slack <= n."""
+    step = 1
+    while n >= 24 * step:
+        step *= 2
+    width = max(1, n - slack(n, threshold) - step + 1)
+    grain = 1 << max(0, width.bit_length() - 3)  # four widths between powers of two
+    return step, width // grain * grain
 
 
 def best_span(doc: np.ndarray, v: np.ndarray, starts: list[tuple[int, int]]) -> tuple[float, int]:
@@ -143,170 +136,160 @@ def best_span(doc: np.ndarray, v: np.ndarray, starts: list[tuple[int, int]]) ->
     return best
 
 
-def _pack(ones: np.ndarray, width: int) -> np.ndarray:
-    return np.packbits(ones * 2 > width, axis=1).view(np.uint64).ravel() if len(ones) else np.zeros(0, dtype=np.uint64)
+def _bits(v: np.ndarray) -> np.ndarray:
+    return np.unpackbits(np.ascontiguousarray(v).view(np.uint8)).reshape(-1, BITS)
 
 
-def _mixed(h: np.ndarray) -> np.ndarray:
-    """Hashes whose leading bits depend on all bits."""
-    return (h ^ h >> np.uint64(29)) * np.uint64(0xBF58476D1CE4E5B9)
+def _sums(v: np.ndarray, wide: bool) -> np.ndarray:
+    """Running counts of each bit; a difference over a window is right modulo the type's range."""
+    out = np.zeros((len(v) + 1, BITS), dtype=np.uint32 if wide else np.uint8)
+    np.cumsum(_bits(v), axis=0, out=out[1:])
+    return out
 
 
-def _bits(v: np.ndarray) -> np.ndarray:
-    return np.unpackbits(np.ascontiguousarray(v).view(np.uint8)).reshape(-1, BITS)
+def prints(sums: np.ndarray, width: int, step: int = 1) -> np.ndarray:
+    """Fingerprints of the windows that start at every ``step``-th word."""
+    n = len(sums) - width
+    if n <= 0:
+        return np.zeros(0, dtype=np.uint64)
+    ones = sums[width::step] - sums[:n:step]
+    return np.packbits(ones > width // 2).view(np.uint64)
 
 
 class Index:
-    """Fingerprints of items by window size, with a lookup for each block of bits, and seeds by their length."""
+    """Fingerprints of items by window size, with a lookup for each block of bits."""
 
-    def __init__(self, items: list[tuple[int, str]], threshold: float = THRESHOLD):
+    def __init__(self, items: list[tuple[object, str]], threshold: float = THRESHOLD):
         self.items = [(key, v) for key, text in items if len(v := words(text))]
-        by: dict[tuple[int, int], list[tuple[int, int, np.ndarray]]] = {}
+        self.threshold = threshold
+        by: dict[tuple[int, int], list[tuple[int, np.ndarray]]] = {}
         for place, (_, v) in enumerate(self.items):
-            step, width = window(len(v))
-            ones = np.vstack([np.zeros((1, BITS), dtype=np.int32), np.cumsum(_bits(v), axis=0, dtype=np.int32)])
-            for o in range(step):
-                by.setdefault((step, width), []).append((place, o, ones[o + width] - ones[o]))
+            step, width = window(len(v), threshold)
+            by.setdefault((step, width), []).append((place, prints(_sums(v, width > 255), width)))
+        #: By step and width: fingerprints, the item and the offset of each, and the lookups.
         self.classes = {}
-        for (step, width), rows in by.items():
-            prints = _pack(np.array([r[2] for r in rows]), width)
+        size = 64 // BLOCKS
+        for kind, rows in by.items():
+            every = np.concatenate([r[1] for r in rows])
+            places = np.repeat([r[0] for r in rows], [len(r[1]) for r in rows])
+            offsets = np.concatenate([np.arange(len(r[1])) for r in rows])
             lookups = []
-            for lo, hi in BLOCKS:
-                value = (prints >> np.uint64(lo) & np.uint64((1 << hi - lo) - 1)).astype(np.int64)
-                order = np.argsort(value, kind="stable")
-                lookups.append((lo, hi, order, np.searchsorted(value[order], np.arange((1 << hi - lo) + 1))))
-            self.classes[step, width] = (prints, np.array([r[0] for r in rows]), np.array([r[1] for r in rows]), lookups)
-        runs: dict[int, list[tuple[int, np.ndarray]]] = {}
-        for place, (_, v) in enumerate(self.items):
-            k = run_words(v, threshold)
-            runs.setdefault(k, []).append((place, np.unique(_mixed(shingles(v, k)))))
-        #: By length of the run: its hashes in order, the item of each, and which leading bits occur.
-        self.seeds = {}
-        for k, rows in runs.items():
-            h, place = np.concatenate([r[1] for r in rows]), np.repeat([r[0] for r in rows], [len(r[1]) for r in rows])
-            order, known = np.argsort(h, kind="stable"), np.zeros(1 << LEADING, dtype=bool)
-            known[h >> np.uint64(64 - LEADING)] = True
-            self.seeds[k] = (h[order], place[order], known)
-
-    def around_seeds(self, docs: list[np.ndarray]) -> dict[tuple[int, int], list[tuple[int, int]]]:
-        """Of each (document, item) with a common run: the ranges of starts of all spans that hold one."""
-        sizes = np.array([len(v) for v in docs])
-        ends, flat = np.cumsum(sizes), np.concatenate(docs)
-        out: dict[tuple[int, int], list[tuple[int, int]]] = {}
-        for k, (seeds, places, known) in self.seeds.items():
-            if len(flat) < k:
-                continue
-            h = _mixed(shingles(flat, k))
-            at = np.flatnonzero(known[h >> np.uint64(64 - LEADING)])
-            doc = np.searchsorted(ends, at, side="right")
-            inside = at + k <= ends[doc]
-            at, doc = at[inside], doc[inside]
-            first, n = (np.searchsorted(seeds, h[at], side=side) for side in ("left", "right"))
-            n -= first
-            begin = at - (ends[doc] - sizes[doc])
-            for i in np.flatnonzero(n).tolist():
-                d, p = int(doc[i]), int(begin[i])
-                for place in places[first[i] : first[i] + n[i]].tolist():
-                    ranges = out.setdefault((d, place), [])
-                    lo = p + k - len(self.items[place][1])
-                    if ranges and lo <= ranges[-1][1] + 1:
-                        ranges[-1] = (ranges[-1][0], p)
-                    else:
-                        ranges.append((lo, p))
-        return out
+            for block in range(BLOCKS):
+                value = every.view(np.uint16).reshape(-1, BLOCKS)[:, block].astype(np.int64)
+                near = (value[:, None] ^ FLIPS).ravel()
+                order = np.argsort(near, kind="stable").astype(np.int32)
+                bounds = np.searchsorted(near[order], np.arange((1 << size) + 1)).astype(np.int32)
+                lookups.append((order // np.int32(len(FLIPS)), bounds))
+            self.classes[kind] = (every, places, offsets, lookups)
+        self.bytes = sum(x.nbytes for c in self.classes.values() for pair in c[3] for x in pair)
 
     def near(self, found: np.ndarray, kind: tuple[int, int]) -> tuple[np.ndarray, np.ndarray]:
         """All (window, item fingerprint) within RADIUS bits."""
-        prints, _, _, lookups = self.classes[kind]
-        got = []
-        for lo, hi, order, bounds in lookups:
-            value = (found >> np.uint64(lo) & np.uint64((1 << hi - lo) - 1)).astype(np.int64)
-            first, n = bounds[value], bounds[value + 1] - bounds[value]
-            at = np.repeat(np.arange(len(found)), n)
-            to = order[np.arange(len(at)) - np.repeat(np.cumsum(n) - n, n) + np.repeat(first, n)]
-            close = np.bitwise_count(found[at] ^ prints[to]) <= RADIUS
-            got.append(at[close] * len(prints) + to[close])
+        every, _, _, lookups = self.classes[kind]
+        values, got = found.view(np.uint16).reshape(-1, BLOCKS), []
+        for block, (of, bounds) in enumerate(lookups):
+            value = values[:, block]
+            first = bounds[value]
+            n = bounds[value.astype(np.int32) + 1] - first
+            some = np.flatnonzero(n)
+            n = n[some]
+            at = np.repeat(some, n)
+            to = of[np.arange(len(at)) - np.repeat(np.cumsum(n) - n, n) + np.repeat(first[some], n)]
+            close = np.bitwise_count(found[at] ^ every[to]) <= RADIUS
+            got.append(at[close] * len(every) + to[close])
         both = np.unique(np.concatenate(got))
-        return both // len(prints), both % len(prints)
+        return both // len(every), both % len(every)
 
-    def search(self, docs: list[np.ndarray], threshold: float) -> list[list[dict]]:
+    def search(self, docs: list[np.ndarray], threshold: float | None = None) -> list[list[dict]]:
         """The matches of each document: the best span of each item that is similar enough."""
-        best: list[dict[int, tuple[float, int]]] = [{} for _ in docs]
-        for (d, place), ranges in (self.around_seeds(docs) if docs else {}).items():
-            s, start = best_span(docs[d], self.items[place][1], ranges)
+        threshold = self.threshold if threshold is None else threshold
+        sizes = np.array([len(v) for v in docs], dtype=np.int64)
+        ends = np.cumsum(sizes)
+        flat = np.concatenate(docs) if docs else np.zeros(0, dtype=np.uint64)
+        sums: dict[bool, np.ndarray] = {}
+        ranges: dict[tuple[int, int], set[int]] = {}
+        for kind in self.classes if len(flat) else ():
+            step, width = kind
+            wide = width > 255
+            if wide not in sums:
+                sums[wide] = _sums(flat, wide)
+            at, hit = self.near(prints(sums[wide], width, step), kind)
+            _, places, offsets, _ = self.classes[kind]
+            at = at * step
+            doc = np.searchsorted(ends, at, side="right")
+            inside = at + width <= ends[doc]
+            start = at - (ends[doc] - sizes[doc]) - offsets[hit]
+            for d, place, s in zip(doc[inside].tolist(), places[hit[inside]].tolist(), start[inside].tolist()):
+                ranges.setdefault((d, place), set()).add(s)
+        best: list[list[tuple[int, float, int]]] = [[] for _ in docs]
+        for (d, place), starts in ranges.items():
+            v = self.items[place][1]
+            s, start = best_span(docs[d], v, _around(sorted(starts), slack(len(v), threshold) + 1, len(v), len(docs[d])))
             if s >= threshold:
-                best[d][place] = (s, start)
-        for step in {s for s, _ in self.classes}:
-            blocks = [len(v) // step for v in docs]
-            first = np.concatenate([[0], np.cumsum(blocks)])
-            total = int(first[-1])
-            if not total:
-                continue
-            flat = np.concatenate([v[: b * step] for v, b in zip(docs, blocks)])
-            ones = _bits(flat).reshape(total, step, BITS).sum(axis=1, dtype=np.uint8)
-            sums = np.zeros((total + 1, BITS), dtype=np.int32)
-            np.cumsum(ones, axis=0, out=sums[1:])
-            doc_of = np.repeat(np.arange(len(docs)), blocks)
-            left = first[doc_of + 1] - np.arange(total)
-            for kind in self.classes:
-                if kind[0] != step:
-                    continue
-                q = kind[1] // step
-                at = np.flatnonzero(left >= q)
-                hits, prints = self.near(_pack(sums[at + q] - sums[at], kind[1]), kind)
-                _, places, offsets, _ = self.classes[kind]
-                tried = set()
-                for h, p in zip(hits.tolist(), prints.tolist()):
-                    d = int(doc_of[at[h]])
-                    place, start = int(places[p]), max(0, (int(at[h]) - int(first[d])) * step - int(offsets[p]))
-                    if (d, place, start) in tried:
-                        continue
-                    tried.add((d, place, start))
-                    v = self.items[place][1]
-                    s = similarity(docs[d][start : start + len(v)], v)
-                    if s >= threshold and (place not in best[d] or (-s, start) < (-best[d][place][0], best[d][place][1])):
-                        best[d][place] = (s, start)
-        return [[{"item_id": self.items[p][0], "similarity": s, "start_word": start, "n_words": len(self.items[p][1])} for p, (s, start) in sorted(found.items(), key=lambda x: self.items[x[0]][0])] for found in best]
-
-
-MATCHES = "array<struct<item_id:bigint,similarity:double,start_word:int,n_words:int>>"
-_TYPE = pa.list_(pa.struct([("item_id", pa.int64()), ("similarity", pa.float64()), ("start_word", pa.int32()), ("n_words", pa.int32())]))
-_index: dict[int, Index] = {}
-
-
-def _searcher(spark: SparkSession, items: list[tuple[int, str]], threshold: float):
-    shared = spark.sparkContext.broadcast(items)
-
-    @F.arrow_udf(MATCHES)
+                best[d].append((place, s, start))
+        return [[{"item_id": self.items[p][0], "similarity": s, "start_word": start, "n_words": len(self.items[p][1])} for p, s, start in sorted(found)] for found in best]
+
+
+def _around(starts: list[int], reach: int, n: int, size: int) -> list[tuple[int, int]]:
+    """Ranges of starts within ``reach`` of some, merged where they meet; at least a word of the text stays in each span."""
+    out: list[tuple[int, int]] = []
+    for s in starts:
+        lo, hi = max(1 - n, s - reach), min(size - 1, s + reach)
+        if out and lo <= out[-1][1] + 1:
+            out[-1] = (out[-1][0], max(hi, out[-1][1]))
+        else:
+            out.append((lo, hi))
+    return out
+
+
+def _type(key: DataType) -> ArrayType:
+    return ArrayType(StructType([StructField("item_id", key), StructField("similarity", DoubleType()), StructField("start_word", IntegerType()), StructField("n_words", IntegerType())]))
+
+
+_index: OrderedDict[tuple, Index] = OrderedDict()
+
+
+def _indexed(key: tuple, items: list, threshold: float) -> Index:
+    """The index of some items, made once in a worker's life as long as the indexes have room."""
+    if key not in _index:
+        _index[key] = Index(items, threshold)
+        while len(_index) > 1 and sum(i.bytes for i in _index.values()) > KEPT:
+            _index.popitem(last=False)
+    return _index[key]
+
+
+def _searcher(spark: SparkSession, items: list[tuple[object, str]], threshold: float, key: DataType):
+    shared = spark.sparkContext.broadcast((hash((threshold, *items)), items))
+    kind = _type(key)
+    arrow = to_arrow_type(kind)
+
+    @F.arrow_udf(kind)
     def search(texts: pa.Array) -> pa.Array:
-        key = hash((threshold, *shared.value))
-        if key not in _index:
-            if len(_index) > 1:
-                _index.clear()
-            _index[key] = Index(shared.value, threshold)
+        name, given = shared.value
+        index = _indexed((name, threshold), given, threshold)
         out, held, size = [], [], 0
-        for t in texts.to_pylist():
-            held.append(words(t))
+        for t in texts:  # one text at a time is a Python string
+            held.append(words(t.as_py()))
             size += len(held[-1])
             if size >= WORDS:
-                out += _index[key].search(held, threshold)
+                out += index.search(held)
                 held, size = [], 0
         if held:
-            out += _index[key].search(held, threshold)
-        return pa.array(out, _TYPE)
+            out += index.search(held)
+        return pa.array(out, arrow)
 
     return search
 
 
 def matches(spark: SparkSession, benchmark: DataFrame, text: Column, threshold: float = THRESHOLD) -> Column:
-    """A column: the benchmark items (item_id, text) that a text holds, with their best spans."""
-    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").filter("item_id IS NOT NULL AND text IS NOT NULL").distinct()
+    """A column: the benchmark items (item_id, text) that a text holds, with their best spans, by item."""
+    items = benchmark.select("item_id", "text").filter("item_id IS NOT NULL AND text IS NOT NULL").distinct()
     n, chars = items.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.length("text")), F.lit(0))).first()
     groups = max(1, -(-n // ITEMS), -(-chars // ITEM_CHARS))
     out = []
     for g in range(groups):
         part = items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(groups)) == g).orderBy("item_id", "text").collect()
-        out.append(_searcher(spark, [tuple(r) for r in part], threshold)(text))
+        out.append(_searcher(spark, [tuple(r) for r in part], threshold, items.schema["item_id"].dataType)(text))
     return out[0] if groups == 1 else F.flatten(F.array(*out))
 
 
