@@ -4,13 +4,18 @@
 frame with the table of a variable bitrate, then frames without main data
 whose ancillary bytes are the payload (players decode silence).  ``parse``
 reads any MPEG audio: it follows frame headers, searches for the next
-believable header after damage, parses ID3 tags and Xing, Info and VBRI
-tables, verifies the frames' CRC-16 and the tag's CRC-32, and gives exact
-durations in samples and the byte offset of every frame.
+believable header at the start and after damage (one that another header of the
+same kind follows), parses ID3 tags and the frame counts, byte counts and seek
+tables of Xing, Info and VBRI headers, verifies the frames' CRC-16 in all three
+layers and the tag's CRC-32, and gives exact durations in samples and the byte
+offset of every frame.  An ID3v1 tag is one only where no frame is: frames are
+followed to the end, and the last 128 bytes are looked at if none covers them.
 
 Edge cases: null is the empty text, which is stored as 64 zero bytes; equal
 texts give equal streams; bytes that hold no frame give zero frames and an
-empty payload; texts are never cut.
+empty payload; a stream whose payload isn't the one that its tag tells has
+``payload_ok`` false; texts are never cut; an empty table gives an empty table;
+``with_media`` and ``with_audio`` replace a column of their output's name.
 """
 
 from __future__ import annotations
@@ -33,6 +38,14 @@ BITRATES = {
     (False, 3): [0, 8, 16, 24, 32, 40, 48, 56, 64, 80, 96, 112, 128, 144, 160],
 }
 RATES = {3: [44100, 48000, 32000], 2: [22050, 24000, 16000], 0: [11025, 12000, 8000]}
+# Fixed values of the standard: bits of allocation by subband of layer II, tables B.2a to B.2d and that of low rates.
+ALLOCATION = {
+    "a": [4] * 11 + [3] * 12 + [2] * 4,
+    "b": [4] * 11 + [3] * 12 + [2] * 7,
+    "c": [4] * 2 + [3] * 6,
+    "d": [4] * 2 + [3] * 10,
+    "low": [4] * 4 + [3] * 7 + [2] * 19,
+}
 
 BLOCK = 64
 RATE_INDEX, SAMPLE_RATE, PER_FRAME = 2, 32000, 1152
@@ -43,7 +56,7 @@ BEFORE = 4 + 2 + SIDE + 2  # header, CRC, side information, and the length of th
 class Header:
     """The fields of one frame header."""
 
-    __slots__ = ("version", "layer", "crc", "kbps", "rate", "length", "samples", "mono", "side")
+    __slots__ = ("version", "layer", "crc", "kbps", "rate", "length", "samples", "mono", "side", "bound")
 
     def __init__(self, word: bytes):
         version, layer = word[1] >> 3 & 3, 4 - (word[1] >> 1 & 3)
@@ -53,10 +66,41 @@ class Header:
         self.rate = RATES[version][word[2] >> 2 & 3]
         pad = word[2] >> 1 & 1
         self.mono = word[3] >> 6 == 3
+        # the first subband that both channels of joint stereo share
+        self.bound = ((word[3] >> 4 & 3) + 1) * 4 if word[3] >> 6 == 1 else 32
         self.samples = 384 if layer == 1 else 1152 if layer == 2 or first else 576
         self.length = (12 * self.kbps * 1000 // self.rate + pad) * 4 if layer == 1 else self.samples // 8 * self.kbps * 1000 // self.rate + pad
         self.side = ((17 if self.mono else 32) if first else (9 if self.mono else 17)) if layer == 3 else 0
 
+    def like(self, other: Header | None) -> bool:
+        """Whether another header may be of the same stream."""
+        return other is not None and (self.version, self.layer, self.rate) == (other.version, other.layer, other.rate)
+
+    def allocation(self) -> list[int]:
+        """Bits of the allocation of each subband of a layer I or II frame."""
+        if self.layer == 1:
+            return [4] * 32
+        if self.version != 3:
+            return ALLOCATION["low"]
+        each = self.kbps if self.mono else self.kbps / 2
+        if each <= 48:
+            return ALLOCATION["d" if self.rate == 32000 else "c"]
+        return ALLOCATION["a" if self.rate == 48000 or each <= 80 else "b"]
+
+    def guarded_bits(self, body: bytes) -> int:
+        """How many bits of a frame's body its CRC covers."""
+        if self.layer == 3:
+            return 8 * self.side
+        bits = int.from_bytes(body[:64].ljust(64, b"\0"), "big")
+        at = select = 0
+        for subband, width in enumerate(self.allocation()):
+            for _ in range(1 if self.mono or subband >= self.bound else 2):
+                used = bits >> 512 - at - width & (1 << width) - 1
+                at += width
+                # layer II goes on with 2 bits for each channel of a subband in use
+                select += 2 * (used > 0) * (2 if subband >= self.bound and not self.mono else 1) if self.layer == 2 else 0
+        return at + select
+
 
 @lru_cache(4096)
 def header(word: bytes) -> Header | None:
@@ -69,13 +113,12 @@ def header(word: bytes) -> Header | None:
 
 
 @lru_cache(4096)
-def crc16(data: bytes) -> int:
-    """CRC-16 of the standard over the header's last two bytes and the side information."""
+def crc16(data: bytes, bits: int | None = None) -> int:
+    """CRC-16 of the standard over the header's last two bytes and the first bits of the body."""
     crc = 0xFFFF
-    for byte in data:
-        crc ^= byte << 8
-        for _ in range(8):
-            crc = (crc << 1 ^ 0x8005 if crc & 0x8000 else crc << 1) & 0xFFFF
+    for i in range(8 * len(data) if bits is None else min(bits, 8 * len(data))):
+        top = (crc >> 15) ^ (data[i >> 3] >> 7 - (i & 7) & 1)
+        crc = (crc << 1 ^ 0x8005 if top else crc << 1) & 0xFFFF
     return crc
 
 
@@ -147,40 +190,75 @@ def tags(data: bytes) -> tuple[dict[str, str], int]:
     return out, 10 + size
 
 
+def _xing(data: bytes, at: int) -> dict:
+    """Frames, bytes and seek offsets of a Xing or Info header."""
+    (flags,), at = struct.unpack(">I", data[at : at + 4]), at + 4
+    out = {"table_frames": -1, "table_bytes": -1, "table_seek": []}
+    for bit, name in ((1, "table_frames"), (2, "table_bytes")):
+        if flags & bit:
+            out[name] = struct.unpack(">I", data[at : at + 4])[0]
+            at += 4
+    if flags & 4 and out["table_bytes"] >= 0:
+        out["table_seek"] = [x * out["table_bytes"] // 256 for x in data[at : at + 100]]
+    return out
+
+
+def _vbri(data: bytes, at: int) -> dict:
+    """The same of a VBRI header, whose table holds the bytes of each group of frames."""
+    n_bytes, frames, entries, scale, size = struct.unpack(">IIHHH", data[at + 10 : at + 24])
+    ends, total = [], 0
+    for i in range(entries):
+        cell = data[at + 26 + i * size : at + 26 + (i + 1) * size]
+        if len(cell) < size:
+            break
+        total += int.from_bytes(cell, "big") * scale
+        ends.append(total)
+    return {"table_frames": frames, "table_bytes": n_bytes, "table_seek": ends}
+
+
+def _table(data: bytes, at: int, body: int, after: int) -> dict | None:
+    """The table that a first frame holds instead of sound, if it does."""
+    mark = data[body : body + 4]
+    if mark in (b"Xing", b"Info") and body + 8 <= after:
+        return {"table": mark.decode(), **_xing(data[:after], body + 4)}
+    if data[at + 36 : at + 40] == b"VBRI" and at + 62 <= after:
+        return {"table": "VBRI", **_vbri(data[:after], at + 36)}
+    return None
+
+
 def parse(data: bytes) -> dict:
     """Frames, exact length, seek offsets, checksums and the payload of any MPEG audio bytes."""
     found, at = tags(data)
-    end = len(data) - 128 if data[-128:-125] == b"TAG" else len(data)
-    out = {"frames": 0, "samples": 0, "sample_rate": 0, "channels": 0, "version": 0, "layer": 0, "kbps_min": 0, "kbps_max": 0, "crc_ok": 0, "crc_bad": 0, "resyncs": 0, "skipped_bytes": 0, "table": "none", "table_frames": -1, "offsets": [], "duration_us": 0}
-    payload, micros, good = [], 0, True
+    end = len(data)
+    old_tag = end - 128 if end >= 128 and data[-128:-125] == b"TAG" else end
+    out = {"frames": 0, "samples": 0, "sample_rate": 0, "channels": 0, "version": 0, "layer": 0, "kbps_min": 0, "kbps_max": 0, "crc_ok": 0, "crc_bad": 0, "resyncs": 0, "skipped_bytes": 0, "table": "none", "table_frames": -1, "table_bytes": -1, "table_seek": [], "offsets": [], "duration_us": 0, "old_tag": False}
+    payload, micros, good, lost = [], 0, False, False
     while at + 4 <= end:
+        if at == old_tag:
+            out["old_tag"] = True
+            break
         h = header(data[at : at + 4])
         after = at + h.length if h else 0
-        if not h or after > end or not good and after + 4 <= end and not header(data[after : after + 4]):
-            lost = data.find(b"\xff", at + 1, end)
-            lost = end if lost < 0 else lost
-            out["resyncs"] += good
-            out["skipped_bytes"] += lost - at
-            at, good = lost, False
+        if not h or after > end or not good and after != old_tag and after + 4 <= end and not h.like(header(data[after : after + 4])):
+            to = data.find(b"\xff", at + 1, end)
+            to = end if to < 0 else to
+            to = old_tag if at < old_tag < to else to
+            out["resyncs"] += not lost
+            out["skipped_bytes"] += to - at
+            at, good, lost = to, False, True
             continue
-        good = True
+        good, lost = True, False
         start = at + 4 + 2 * h.crc
         body = start + h.side
         if not out["frames"] and out["table"] == "none" and h.layer == 3:
-            mark, vbri = data[body : body + 4], data[at + 36 : at + 40]
-            if mark in (b"Xing", b"Info"):
-                flags = struct.unpack(">I", data[body + 4 : body + 8])[0]
-                out["table"] = mark.decode()
-                out["table_frames"] = struct.unpack(">I", data[body + 8 : body + 12])[0] if flags & 1 else -1
-                at = after
-                continue
-            if vbri == b"VBRI":
-                out["table"] = "VBRI"
-                out["table_frames"] = struct.unpack(">I", data[at + 50 : at + 54])[0]
+            told = _table(data, at, body, after)
+            if told:
+                out |= told
                 at = after
                 continue
-        if h.crc and h.layer == 3:
-            right = int.from_bytes(data[at + 4 : at + 6], "big") == crc16(data[at + 2 : at + 4] + data[start:body])
+        if h.crc:
+            guarded = data[start : min(after, start + 64)]
+            right = int.from_bytes(data[at + 4 : at + 6], "big") == crc16(data[at + 2 : at + 4] + guarded[: h.side or 64], 16 + h.guarded_bits(guarded))
             out["crc_ok" if right else "crc_bad"] += 1
         if h.layer == 3 and not any(data[start:body]):
             n = int.from_bytes(data[body : body + 2], "big")
@@ -204,25 +282,25 @@ def parse(data: bytes) -> dict:
 PARSED = (
     "struct<payload:binary,payload_ok:boolean,tags:map<string,string>,frames:int,samples:bigint,duration_us:bigint,sample_rate:int,"
     "channels:int,version:int,layer:int,kbps_min:int,kbps_max:int,crc_ok:int,crc_bad:int,resyncs:int,skipped_bytes:bigint,"
-    "table:string,table_frames:bigint,offsets:array<bigint>>"
+    "table:string,table_frames:bigint,table_bytes:bigint,table_seek:array<bigint>,old_tag:boolean,offsets:array<bigint>>"
 )
 _TYPE = pa.struct(
-    [("payload", pa.binary()), ("payload_ok", pa.bool_()), ("tags", pa.map_(pa.string(), pa.string())), ("frames", pa.int32()), ("samples", pa.int64()), ("duration_us", pa.int64()), ("sample_rate", pa.int32()), ("channels", pa.int32()), ("version", pa.int32()), ("layer", pa.int32()), ("kbps_min", pa.int32()), ("kbps_max", pa.int32()), ("crc_ok", pa.int32()), ("crc_bad", pa.int32()), ("resyncs", pa.int32()), ("skipped_bytes", pa.int64()), ("table", pa.string()), ("table_frames", pa.int64()), ("offsets", pa.list_(pa.int64()))]
+    [("payload", pa.binary()), ("payload_ok", pa.bool_()), ("tags", pa.map_(pa.string(), pa.string())), ("frames", pa.int32()), ("samples", pa.int64()), ("duration_us", pa.int64()), ("sample_rate", pa.int32()), ("channels", pa.int32()), ("version", pa.int32()), ("layer", pa.int32()), ("kbps_min", pa.int32()), ("kbps_max", pa.int32()), ("crc_ok", pa.int32()), ("crc_bad", pa.int32()), ("resyncs", pa.int32()), ("skipped_bytes", pa.int64()), ("table", pa.string()), ("table_frames", pa.int64()), ("table_bytes", pa.int64()), ("table_seek", pa.list_(pa.int64())), ("old_tag", pa.bool_()), ("offsets", pa.list_(pa.int64()))]
 )
 
 
 def to_media(texts: pa.Array) -> pa.Array:
     """Stream of each text: its UTF-8 with zero bytes up to a positive multiple of 64."""
     out = []
-    for data in texts.cast(pa.binary()).to_pylist():
-        data = data or b""
+    for x in texts.cast(pa.binary()):  # one text at a time is a Python object
+        data = x.as_py() or b""
         out.append(wrap(data + bytes(-len(data) % BLOCK if data else BLOCK)))
     return pa.array(out, pa.binary())
 
 
 def read_media(media: pa.Array) -> pa.Array:
     """Each stream as a PARSED struct; a null stream is an empty one."""
-    rows = [parse(x or b"") for x in media.to_pylist()]
+    rows = [parse(x.as_py() or b"") for x in media]
     for r in rows:
         r["tags"] = list(r["tags"].items())
     return pa.array(rows, _TYPE)
@@ -259,4 +337,5 @@ def op2_mpeg_audio(docs: DataFrame) -> DataFrame:
         a.frames.alias("n_frames"),
         a.duration_us.alias("duration_us"),
         a.offsets.alias("seek_offsets"),
+        a.payload_ok.alias("payload_ok"),
     )
