@@ -1,44 +1,51 @@
 """Main text of HTML pages: the maximum-scoring subsequence of words and tags.
 
-A page is a sequence of tags and runs of words.  A word scores 1; a tag scores
-a negative weight by its name, learnt from labelled pages.  One linear scan
-finds the contiguous region of the highest sum.  The region then grows to the
-element that holds it (the article if there is one, else the nearest division);
-if only the body holds it, parts of the body that are mostly links stay out.
-Elements that are no article text (menus, headers, footers, sidebars, notices, adverts, forms,
-scripts, styles, reader comments, hidden parts), known by name, role, class or
-id, are left out, before the scan as well as from its result.  An element is
-never left out if it holds the page's main text by its marks (the main element
-or, without one, the article with the most words), or most of the words outside
-of links of that element or, without one, of the page; only readers' comments
-stay out even then.  Names that say what a layout has or lacks (has-sidebar,
-no-sidebar) are no marks.
-
-Weights: for each tag name, the log odds of lying outside of the main text
-rather than inside, over the labelled pages, shifted to lie in [LOW, HIGH].
-Labelled pages are those that mark their main text themselves, by an article
-or main element; the fit takes a sample of at most about ``fit_pages`` of them,
-drawn by a hash of the key.
+A page is a sequence of tags and runs of words.  A word scores 1; a tag costs
+as many words as it is times likelier outside of the main text than inside, as
+labelled pages show for its name and for the words of its class and id.  One
+linear scan finds the contiguous region of the highest sum, which is then
+widened to the borders of the blocks that it begins and ends in; the words of
+that region are the main text.
+
+What lies inside an article and is no article text is passed over by the scan
+and left out of the region: elements that say so by their name or role (menus,
+footers, sidebars, forms and the like, headers outside of an article, hidden
+parts), and those with a word of class or id that is OUTSIDE times likelier
+outside.  An element is never passed over if it holds the page's main text by
+its marks (the main element or, without one, the article with the most words),
+or most of the words outside of links of that element or, without one, of the
+page; only readers' comments stay out even then.
+
+Costs: (outside + prior) / (inside + prior) over the labelled pages, between
+LEAST and one more than the most words that a labelled page has outside of its
+main text.  Labelled pages are those that mark their main text themselves, by an
+article or main element; the label is that element's inside, and the element's
+own tags are outside.  The fit takes a sample of at most about ``fit_pages``
+pages, drawn by a hash of the key.  Priors stand for a few observations: names
+that hold text, and words that name menus, adverts, comments and so on.
 
 Edge cases: null and empty html give the empty text; so do pages without words
-outside left-out elements; tags that never close end with their parent, those
-cut off at the page's end are dropped; unknown tags get the weight UNSEEN; equal
-pages give equal texts; ties go to the earlier and shorter region; pages are
-read whole.
+outside left-out elements; without labelled pages the priors decide; tags that
+never close end with their parent, those cut off at the page's end are dropped;
+a slash at a tag's end closes nothing; references are decoded in each run of
+text by itself; equal pages give equal texts; ties go to the earlier and shorter
+region; pages are read whole; ``with_main_text`` replaces a column that has the
+output's name.
 """
 
 from __future__ import annotations
 
 import html as html_module
 import re
-from math import log
+from collections import Counter
 
-import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-LOW, HIGH, UNSEEN = -6.0, -0.2, -1.5
+LEAST, OUTSIDE = 0.05, 10.0
+#: The most words outside of main texts where no labelled page tells.
+MOST_WORDS = 60.0
 #: A comment, a raw-text element, a declaration, a tag, or a tag that the page's end cuts off.
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template|textarea|svg|iframe)\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</\1\s*>|\Z)|<[!?][^>]*>"
@@ -52,238 +59,294 @@ CLOSES_P = frozenset("address article aside blockquote div dl fieldset footer fo
 SAME = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 HOLDS = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"tr", "table"}, "th": {"tr", "table"}, "option": {"select"}}
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert menu menubar toolbar".split())
-#: Words of class and id attributes that mark what isn't article text.
-MARKS = re.compile(
-    r"(?:^|[^a-z])(?:ad|ads|adv|advert|adverts|advertisement|advertising|sponsor|sponsored|promo|promotion|banner|menu|nav|navbar|navigation|breadcrumb|breadcrumbs"
-    r"|sidebar|side|aside|rail|footer|foot|header|masthead|topbar|toolbar|comment|comments|commentlist|disqus|respond|reply|replies|discussion|cookie|cookies|consent|gdpr"
-    r"|notice|notices|notification|alert|warning|modal|popup|overlay|newsletter|subscribe|subscription|signup|login|share|sharing|social|related|recommended"
-    r"|recommendations|widget|widgets|pagination|pager|copyright|skip|search|form|hidden)(?![a-z])",
-    re.I,
+MAIN = frozenset(("article", "main"))
+#: Names that hold text, by prior.
+TEXT = frozenset("p br b i em strong span h1 h2 h3 h4 h5 h6 blockquote pre code sub sup q cite small mark u s html body".split())
+#: Names that hold anything; where such an element has a class or id, that is what it is counted by.
+BOXES = frozenset("div section td th tr table tbody thead tfoot dl dt dd center figure figcaption details summary".split())
+#: Words of classes and ids that lie outside, by prior; the second only outside of an article.
+MARKS = frozenset(
+    "ad ads adv advert adverts advertisement advertising sponsor sponsored promo promotion menu nav navbar navigation breadcrumb breadcrumbs sidebar aside rail footer foot"
+    " comment comments commentlist disqus respond reply replies cookie cookies consent gdpr notice notices notification alert warning modal popup overlay newsletter subscribe"
+    " subscription signup login share sharing social related recommended recommendations widget widgets pagination pager copyright".split()
 )
-#: Names of layouts by what they have or lack, and words that mark readers' text.
-LAYOUT = re.compile(r"(?:^|(?<=\s))(?:has|have|with|without|no)[-_]\S*", re.I)
-READERS = re.compile(r"(?:^|[^a-z])(?:comment|comments|commentlist|disqus|respond|reply|replies|discussion)(?![a-z])", re.I)
+HEADS = frozenset("banner header masthead topbar toolbar side search skip form discussion".split())
+#: Words that mark readers' text.
+READERS = frozenset("comment comments commentlist disqus respond reply replies".split())
+#: Names of layouts by what they have or lack are no marks.
+LAYOUT = re.compile(r"(?:has|have|with|without|no)[-_]", re.I)
 ATTRIBUTE = re.compile(r"([a-zA-Z-]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))")
 HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
-MAIN = frozenset(("article", "main"))
-DIVISIONS = MAIN | {"div", "section", "td", "body", "html"}
+PARTS = re.compile(r"[a-z]+|[A-Z]+(?![a-z])|[A-Z][a-z]*")
+
+
+class Element:
+    """A tag's name, the words of its class and id as keys, and what its attributes say."""
+
+    __slots__ = ("name", "keys", "out", "readers")
+
+    def __init__(self, name: str, attributes: str, in_main: bool):
+        self.name, self.keys, self.readers = name, (name,), False
+        self.out = name in OUT and not (name in ("header", "label") and in_main)
+        if not attributes or name in ("html", "body"):
+            return
+        if "hidden" in attributes.lower() and re.search(r"(?:^|\s)hidden(?:\s|$|=)", re.sub(r"\"[^\"]*\"|'[^']*'", "", attributes), re.I):
+            self.out = True
+        found = []
+        for key, *values in ATTRIBUTE.findall(attributes):
+            key, value = key.lower(), next((v for v in values if v), "")
+            if key == "role" and value.lower() in ROLES or key == "aria-hidden" and value.lower() == "true" or key == "style" and HIDDEN.search(value):
+                self.out = True
+            elif key in ("class", "id"):
+                found += [v for v in value.split() if not LAYOUT.match(v)]
+        words = {p.lower() for v in found for p in PARTS.findall(v)}
+        self.readers = bool(words & READERS)
+        if name not in MAIN:
+            # the words one by one in an article and elsewhere: what a header or a discussion is depends on it
+            self.keys += tuple(sorted(f"{'+' if in_main else '.'}{w}" for w in words))
 
 
-def marked(value: str, marks: re.Pattern) -> bool:
-    """Whether a class or id has one of the words; layouts' names don't count."""
-    return bool(marks.search(re.sub(r"([a-z])([A-Z])", r"\1-\2", LAYOUT.sub("", value))))
+def prior(key: str) -> tuple[float, float]:
+    """Observations (outside, inside) that stand for no page."""
+    if key[0] in ".+":
+        return (OUTSIDE, 0.5) if key[1:] in MARKS or key[0] == "." and key[1:] in HEADS else (0.5, 5.0)
+    return (0.5, 5.0) if key in TEXT else (0.5, 2.0) if key in BOXES else (0.5, 0.5)
 
 
-def names(attributes: str) -> list[str]:
-    """The values of class and id."""
-    return [next((v for v in values if v), "") for key, *values in ATTRIBUTE.findall(attributes) if key.lower() in ("class", "id")]
+class Weights:
+    """Costs of keys in words."""
 
+    def __init__(self, counts: dict[str, tuple[int, int]] | None = None, most: float = MOST_WORDS):
+        self.most = most
+        self.costs = {k: self._cost(k, o, i) for k, (o, i) in (counts or {}).items()}
 
-def left_out(name: str, attributes: str, in_main: bool) -> bool:
-    """Whether an element is no article text; a header inside an article is."""
-    if name in OUT:
-        return not (name in ("header", "label") and in_main)
-    if not attributes or name in ("html", "body"):
-        return False
-    if re.search(r"(?:^|\s)hidden(?:\s|$|=)", re.sub(r"\"[^\"]*\"|'[^']*'", "", attributes), re.I):
-        return True
-    for key, *values in ATTRIBUTE.findall(attributes):
-        key, value = key.lower(), next((v for v in values if v), "")
-        if key == "role" and value.lower() in ROLES or key == "aria-hidden" and value.lower() == "true" or key == "style" and HIDDEN.search(value):
-            return True
-        if key in ("class", "id") and name not in MAIN and marked(value, MARKS):
-            return True
-    return False
+    def _cost(self, key: str, outside: int, inside: int) -> float:
+        o, i = prior(key)
+        return min(self.most + 1, max(LEAST, (outside + o) / (inside + i)))
+
+    def of(self, key: str) -> float:
+        got = self.costs.get(key)
+        return self._cost(key, 0, 0) if got is None else got
+
+    def cost(self, element: Element) -> float:
+        """What the element's tags cost each: the most of its keys."""
+        return max(map(self.of, element.keys))
+
+    def outside(self, element: Element) -> bool:
+        """Whether a word of class or id is mostly seen outside of main texts."""
+        return any(self.of(k) >= min(OUTSIDE, self.most + 1) for k in element.keys[1:])
 
 
 class Page:
     """A page as tokens: runs of text, tags, and the element in which each lies."""
 
     def __init__(self, source: str):
-        #: (kind, text or name, element, counts): kind 0 text, 1 tag; counts is False in left-out elements.
-        self.tokens: list[tuple[int, str, int, bool]] = []
-        #: Of each element: parent, name, first token, token after the last.
-        self.elements: list[list] = [[-1, "", 0, 0]]
-        #: Of each element: whether its name or attributes leave it out, and its attributes.
-        self.own: list[tuple[bool, str]] = [(False, "")]
-        stack, at = [0], 0
+        #: (text or None, parent element, the tag's element): None for a tag; the tag's element of a void or stray tag is only its name.
+        self.tokens: list[tuple[str | None, int, Element | None]] = []
+        #: Of each element: what it is, its parent, first token, token after the last.
+        self.kinds: list[Element] = [Element("", "", False)]
+        self.up, self.first, self.after = [-1], [0], [0]
+        self._open, self._in_main, stack, at = Counter(), 0, [0], 0
+        plain: dict[str, Element] = {}
         for m in TOKEN.finditer(source):
             if m.start() > at:
-                self.tokens.append((0, source[at : m.start()], stack[-1], True))
+                self.tokens.append((source[at : m.start()], stack[-1], None))
             at = m.end()
             name = (m[3] or m[6] or "").lower()
             if not name:
                 continue
             if m[2] or m[5]:
-                self._close(name, stack)
-                self.tokens.append((1, name, stack[-1], True))
+                closed = self._close(name, stack)
+                self.tokens.append((None, stack[-1], closed or plain.setdefault(name, Element(name, "", False))))
                 continue
             attributes = m[4] or m[7] or ""
-            if name in CLOSES_P and "p" in (self.elements[e][1] for e in stack[-4:]):
+            if name in CLOSES_P and any(self.kinds[e].name == "p" for e in stack[-4:]):
                 self._close("p", stack)
-            for e in reversed(stack) if name in SAME else ():
-                if self.elements[e][1] in HOLDS[name]:
-                    break
-                if self.elements[e][1] in SAME[name]:
-                    self._close(self.elements[e][1], stack)
-                    break
-            if name in VOID or attributes.endswith("/"):
-                self.tokens.append((1, name, stack[-1], True))
+            same = SAME.get(name)
+            if same and any(self._open[x] for x in same):
+                for e in reversed(stack):
+                    if self.kinds[e].name in HOLDS[name]:
+                        break
+                    if self.kinds[e].name in same:
+                        self._close(self.kinds[e].name, stack)
+                        break
+            kind = Element(name, attributes, self._in_main > 0) if attributes.strip(" /\n\t") or name in OUT else plain.get(name) or plain.setdefault(name, Element(name, "", False))
+            if name in VOID:
+                self.tokens.append((None, stack[-1], kind))
                 continue
-            in_main = any(self.elements[e][1] in MAIN for e in stack)
-            self.elements.append([stack[-1], name, len(self.tokens), -1])
-            self.own.append((left_out(name, attributes, in_main), attributes))
-            stack.append(len(self.elements) - 1)
-            self.tokens.append((1, name, stack[-1], True))
+            self.kinds.append(kind)
+            self.up.append(stack[-1])
+            self.first.append(len(self.tokens))
+            self.after.append(-1)
+            stack.append(len(self.kinds) - 1)
+            self._open[name] += 1
+            self._in_main += name in MAIN
+            self.tokens.append((None, stack[-1], kind))
         if at < len(source):
-            self.tokens.append((0, source[at:], stack[-1], True))
+            self.tokens.append((source[at:], stack[-1], None))
         for e in stack:
-            self.elements[e][3] = len(self.tokens)
-        self._leave_out()
+            self.after[e] = len(self.tokens)
 
-    def _leave_out(self) -> None:
-        """Marks the tokens of left-out elements, but of none that holds the main text."""
-        if not any(own for own, _ in self.own):
-            return
-        words, in_link = [0] * len(self.elements), [False] * len(self.elements)
-        for e, (up, name, _, _) in enumerate(self.elements):
-            in_link[e] = name == "a" or up >= 0 and in_link[up]
-        for kind, what, e, _ in self.tokens:
-            if kind == 0 and not in_link[e]:
-                words[e] += len(what.split())
-        for e in range(len(self.elements) - 1, 0, -1):
-            words[self.elements[e][0]] += words[e]
-        mains = [e for e, x in enumerate(self.elements) if x[1] == "main" and words[e]]
-        mains = mains or [e for e, x in enumerate(self.elements) if x[1] == "article" and words[e] and not any(marked(v, MARKS) for v in names(self.own[e][1]))]
-        scope = max(mains, key=lambda e: words[e], default=0)
-        holds, e = set(), scope
+    def _close(self, name: str, stack: list[int]) -> Element | None:
+        """Ends the innermost open element of a name with all in it; a stray end tag does nothing."""
+        if not self._open[name]:
+            return None
+        while True:
+            e = stack.pop()
+            kind = self.kinds[e]
+            self.after[e] = len(self.tokens) + 1
+            self._open[kind.name] -= 1
+            self._in_main -= kind.name in MAIN
+            if kind.name == name:
+                return kind
+
+    def words(self) -> list[int]:
+        """Of each element: words outside of links in it and below."""
+        words, in_link = [0] * len(self.kinds), [False] * len(self.kinds)
+        for e, kind in enumerate(self.kinds):
+            in_link[e] = kind.name == "a" or e > 0 and in_link[self.up[e]]
+        for text, e, _ in self.tokens:
+            if text is not None and not in_link[e]:
+                words[e] += len(text.split())
+        for e in range(len(self.kinds) - 1, 0, -1):
+            words[self.up[e]] += words[e]
+        return words
+
+    def main(self, words: list[int]) -> int:
+        """The element that marks the main text, 0 if none does: the largest main element or, without one, article."""
+        for name in ("main", "article"):
+            found = [e for e, k in enumerate(self.kinds) if k.name == name and words[e] and not k.readers]
+            if found:
+                return max(found, key=lambda e: words[e])
+        return 0
+
+    def passed_over(self, weights: Weights) -> list[bool]:
+        """Of each element, whether it is no article text; what holds the main text stays."""
+        own = [kind.out or len(kind.keys) > 1 and weights.outside(kind) for kind in self.kinds]
+        out = [False] * len(self.kinds)
+        if not any(own):
+            return out
+        words = self.words()
+        scope = e = self.main(words)
+        holds = set()
         while e > 0:
             holds.add(e)
-            e = self.elements[e][0]
-        out = [False] * len(self.elements)
-        for e in range(1, len(self.elements)):
-            own, attributes = self.own[e]
-            if own and e not in holds and words[e] * 2 > words[scope]:
-                within = scope == 0 or self.elements[scope][2] <= self.elements[e][2] < self.elements[scope][3]
-                own = not within or any(marked(v, READERS) for v in names(attributes))
-            out[e] = out[self.elements[e][0]] or own and e not in holds
-        self.tokens = [(kind, what, e, not out[e]) for kind, what, e, _ in self.tokens]
-
-    def _close(self, name: str, stack: list[int]) -> None:
-        """Ends the innermost open element of a name with all in it; a stray end tag does nothing."""
-        for i in range(len(stack) - 1, 0, -1):
-            if self.elements[stack[i]][1] == name:
-                for e in stack[i:]:
-                    self.elements[e][3] = len(self.tokens) + 1
-                del stack[i:]
-                return
-
-    def region(self, weights: dict[str, float]) -> tuple[int, int]:
-        """Tokens of the maximum-scoring subsequence, grown to the element around it."""
-        best, run, start, span = 0.0, 0.0, 0, (0, 0)
-        for i, (kind, what, _, counts) in enumerate(self.tokens):
-            score = (len(what.split()) if counts else 0.0) if kind == 0 else (weights.get(what, UNSEEN) if counts else 0.0)
-            if run <= 0:
-                run, start = 0.0, i
-            run += score
-            if run > best:
-                best, span = run, (start, i + 1)
-        if span[1] <= span[0]:
-            return 0, 0
-        return self._grown(*span)
-
-    def _grown(self, first: int, after: int) -> tuple[int, int]:
-        e = self.tokens[first][2]
-        while e > 0 and not (self.elements[e][2] <= first and after <= self.elements[e][3]):
-            e = self.elements[e][0]
-        around = e
-        while around > 0 and self.elements[around][1] not in MAIN:
-            around = self.elements[around][0]
-        e = around if around > 0 else e
-        while e > 0 and self.elements[e][1] not in DIVISIONS:
-            e = self.elements[e][0]
-        if e <= 0 or self.elements[e][1] == "body":
-            self._drop_links(e)
-        return (self.elements[e][2], self.elements[e][3]) if e > 0 else (0, len(self.tokens))
-
-    def _drop_links(self, parent: int) -> None:
-        """Leaves out the children of an element most of whose words are in links."""
-        for e, (up, _, first, after) in enumerate(self.elements):
-            if e == 0 or up != parent:
-                continue
-            words = links = 0
-            for kind, what, own, counts in self.tokens[first:after]:
-                if kind == 0 and counts:
-                    n = len(what.split())
-                    words += n
-                    while own > e and self.elements[own][1] != "a":
-                        own = self.elements[own][0]
-                    links += n if own > e else 0
-            if words and links * 2 > words:
-                for i in range(first, min(after, len(self.tokens))):
-                    self.tokens[i] = (*self.tokens[i][:3], False)
-
-    def text(self, span: tuple[int, int]) -> str:
-        """The region's text: references decoded, blocks joined by one space."""
+            e = self.up[e]
+        for e in range(1, len(self.kinds)):
+            if own[e] and e not in holds and words[e] * 2 > words[scope]:
+                within = scope == 0 or self.first[scope] <= self.first[e] < self.after[scope]
+                own[e] = not within or self.kinds[e].readers
+            out[e] = out[self.up[e]] or own[e] and e not in holds
+        return out
+
+    def scores(self, weights: Weights, out: list[bool]) -> list[float]:
+        """1 for each word, less for each tag; nothing for what is passed over."""
+        costs: dict[int, float] = {}
+        found = []
+        for text, e, kind in self.tokens:
+            if text is not None:
+                found.append(0.0 if out[e] else float(len(text.split())))
+            elif out[e]:
+                found.append(0.0)
+            else:
+                key = id(kind)
+                if key not in costs:
+                    costs[key] = -weights.cost(kind)
+                found.append(costs[key])
+        return found
+
+    def text(self, weights: Weights) -> str:
+        """The main text: the best region's words, blocks joined by one space."""
+        out = self.passed_over(weights)
+        lo, hi = best_region(self.scores(weights, out))
+        if lo == hi:
+            return ""
+        inline = [text is not None or kind.name in INLINE for text, _, kind in self.tokens]
+        while lo > 0 and inline[lo - 1]:
+            lo -= 1
+        while hi < len(self.tokens) and inline[hi]:
+            hi += 1
         parts = []
-        for kind, what, _, counts in self.tokens[span[0] : span[1]]:
-            if kind == 0:
-                if counts:
-                    parts.append(what)
-            elif what not in INLINE:
+        for text, e, kind in self.tokens[lo:hi]:
+            if text is not None:
+                if not out[e]:
+                    parts.append(html_module.unescape(text) if "&" in text else text)
+            elif kind.name not in INLINE:
                 parts.append("\n")
-        # a reference never spans tags of blocks, so decoding the joined source is safe
-        return " ".join(html_module.unescape("".join(parts)).split())
-
-
-def _counts(source: str) -> dict[tuple[str, bool], int]:
-    """Tags of a page that marks its main text: how many lie inside and outside."""
-    page = Page(source)
-    spans = [(x[2], x[3]) for x in page.elements if x[1] in MAIN]
-    out: dict[tuple[str, bool], int] = {}
-    if spans:
-        lo, hi = max(spans, key=lambda s: sum(len(t[1]) for t in page.tokens[s[0] : s[1]] if t[0] == 0 and t[3]))
-        for i, (kind, name, _, _) in enumerate(page.tokens):
-            if kind == 1:
-                key = (name, lo <= i < hi)
-                out[key] = out.get(key, 0) + 1
-    return out
-
-
-def fit(pages: DataFrame, html: str = "html", key: str = "page_id", fit_pages: int = 4000) -> dict[str, float]:
-    """Weights of tag names from the labelled pages among ``pages``."""
+        return " ".join("".join(parts).split())
+
+
+def best_region(scores: list[float]) -> tuple[int, int]:
+    """(first, after) of the maximum-scoring subsequence, the earliest and shortest of those; empty if no score is positive."""
+    best, run, start, span = 0.0, 0.0, 0, (0, 0)
+    for i, score in enumerate(scores):
+        if run <= 0:
+            run, start = 0.0, i
+        run += score
+        if run > best:
+            best, span = run, (start, i + 1)
+    return span
+
+
+def page_counts(source: str) -> tuple[dict[str, tuple[int, int]], int]:
+    """Of a page that marks its main text: (outside, inside) of each key, and the words outside; of another, nothing."""
+    page, counts = Page(source), {}
+    words = page.words()
+    e = page.main(words)
+    if not e:
+        return {}, 0
+    lo, hi = page.first[e], page.after[e]
+    left = [kind.out for kind in page.kinds]
+    for k, kind in enumerate(page.kinds):
+        if not k:
+            continue
+        left[k] = left[k] or left[page.up[k]]
+        if left[k]:  # the scan passes it over
+            continue
+        inside = lo < page.first[k] < hi
+        holds = page.first[k] < lo and page.after[k] >= hi
+        for key in kind.keys[len(kind.keys) > 1 and kind.name in BOXES :]:
+            o, i = counts.get(key, (0, 0))
+            counts[key] = (o + (not inside and not holds), i + (inside or holds))
+    for n, (text, up, kind) in enumerate(page.tokens):  # void tags aren't elements
+        if text is None and kind.name in VOID and not left[up]:
+            o, i = counts.get(kind.name, (0, 0))
+            counts[kind.name] = (o + (not lo <= n < hi), i + (lo <= n < hi))
+    outside = sum(len(t.split()) for n, (t, k, _) in enumerate(page.tokens) if t is not None and not lo <= n < hi and not left[k])
+    return counts, outside
+
+
+def fit(pages: DataFrame, html: str = "html", key: str = "page_id", fit_pages: int = 4000) -> Weights:
+    """Costs of keys from the labelled pages among ``pages``; the driver gets the counts of the sample's keys."""
     marked = pages.select(F.col(html).alias("html"), F.col(key).alias("key")).filter(F.lower("html").rlike("<(article|main)[\\s>]"))
     n = marked.count()
     drawn = F.xxhash64(F.coalesce(F.col("key").cast("string"), F.lit(""))).bitwiseAND((1 << 40) - 1) / float(1 << 40)
 
     def count(batches):
-        total: dict[tuple[str, bool], int] = {}
+        outside, inside, most = Counter(), Counter(), 0
         for batch in batches:
-            for source in batch.column(0).to_pylist():
-                for k, v in _counts(source).items():
-                    total[k] = total.get(k, 0) + v
-        if total:
-            yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in total]), pa.array([k[1] for k in total]), pa.array(list(total.values()))], names=["tag", "inside", "n"])
+            for source in batch.column(0):
+                counts, words = page_counts(source.as_py())
+                most = max(most, words)
+                for k, (o, i) in counts.items():
+                    outside[k] += o
+                    inside[k] += i
+        keys = list(outside)
+        yield pa.RecordBatch.from_arrays([pa.array([*keys, ""]), pa.array([*map(outside.get, keys), most]), pa.array([*map(inside.get, keys), 0])], names=["key", "o", "i"])
 
     sample = marked.filter(drawn < min(1.0, fit_pages / max(1, n))).select("html")
-    rows = sample.mapInArrow(count, "tag string, inside boolean, n long").groupBy("tag").agg(F.sum(F.when(F.col("inside"), F.col("n")).otherwise(0)).alias("i"), F.sum(F.when(F.col("inside"), 0).otherwise(F.col("n"))).alias("o"))
-    found = {r["tag"]: (r["i"], r["o"]) for r in rows.orderBy(F.desc(F.col("i") + F.col("o")), "tag").limit(1000).collect()}
-    inside, outside = (1 + sum(x[k] for x in found.values()) for k in (0, 1))
-    odds = {k: log((o + 0.5) / outside) - log((i + 0.5) / inside) for k, (i, o) in found.items()}
-    return {k: float(np.clip(-1.5 - x, LOW, HIGH)) for k, x in odds.items()}
+    rows = sample.mapInArrow(count, "key string, o long, i long").groupBy("key").agg(F.sum("o").alias("o"), F.sum("i").alias("i"), F.max("o").alias("most")).collect()
+    most = max((r["most"] for r in rows if not r["key"]), default=0)
+    return Weights({r["key"]: (r["o"], r["i"]) for r in rows if r["key"]}, float(most) if most else MOST_WORDS)
 
 
-def with_main_text(pages: DataFrame, weights: dict[str, float], html: str = "html", out: str = "main_text") -> DataFrame:
+def with_main_text(pages: DataFrame, weights: Weights, html: str = "html", out: str = "main_text") -> DataFrame:
     """``pages`` with a column ``out``: the main text of each whole page."""
     shared = pages.sparkSession.sparkContext.broadcast(weights)
 
     @F.arrow_udf("string")
     def extract(sources: pa.Array) -> pa.Array:
-        texts = []
-        for source in sources.to_pylist():
-            page = Page(source) if source else None
-            texts.append(page.text(page.region(shared.value)) if page else "")
-        return pa.array(texts, pa.string())
+        return pa.array([Page(x.as_py()).text(shared.value) if x.is_valid else "" for x in sources], pa.string())
 
     return pages.withColumn(out, extract(F.col(html)))
 
