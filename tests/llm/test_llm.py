@@ -70,6 +70,13 @@ def test_bpe_equals_the_library(spark, sf, docs):
     alphabet = "ab sStr'veldm \n\t  12.!é日　\x85😀'''re"
     texts = ["".join(random.choice(alphabet) for _ in range(random.randint(0, 40))) for _ in range(3000)]
     texts += ["x'll've", "'re", "  's", "\n's", "''s", "a" * 3000, "ab" * 700 + "!" * 500, " ", ""]
+    for size in (1, 2, 5, 257):  # a text in slices has the same words
+        for t in texts[:300]:
+            assert [i for ws in bpe.word_slices(t, size) for w in ws for i in coder.merge(w.encode())] == enc.encode_ordinary(t)
+    long = "".join(texts) * 6
+    ((n, a, b),) = coder.digests([long])
+    wanted = enc.encode_ordinary(long)
+    assert len(long) > bpe.CHUNK and (n, a, b) == (len(wanted), hashlib.sha256(" ".join(map(str, wanted)).encode()).hexdigest(), hashlib.sha256(long.encode()).hexdigest())
     ids, n = coder.encode_texts(texts)
     ends = np.cumsum(n)
     assert [ids[e - k : e].tolist() for e, k in zip(ends, n)] == [enc.encode_ordinary(t) for t in texts]
@@ -107,6 +114,63 @@ def test_mpeg_round_trip_and_damage():
     assert mpeg_audio.parse(b"no audio")["frames"] == 0
 
 
+def test_mpeg_marks_in_payloads():
+    for word in (b"TAG", b"ID3", b"Xing", b"VBRI", b"\xff\xfa\xe8\xc0"):
+        for n in (256, 3072):
+            for at in [*range(min(n, 260)), *range(n - 260, n - len(word) + 1)]:
+                payload = bytearray(b"x" * n)
+                payload[at : at + len(word)] = word
+                payload = bytes(payload[:n])
+                r = mpeg_audio.parse(mpeg_audio.wrap(payload))
+                assert r["payload"] == payload and r["payload_ok"] and not r["resyncs"] and not r["old_tag"]
+
+
+def test_mpeg_tags_and_tables():
+    media = mpeg_audio.wrap(b"z" * 6400)
+    r = mpeg_audio.parse(media + b"TAG" + bytes(125))
+    assert r["old_tag"] and r["payload_ok"] and not r["skipped_bytes"] and r["table_bytes"] == 288 + sum(b - a for a, b in zip(r["offsets"], [*r["offsets"][1:], len(media)]))
+    assert len(r["table_seek"]) == 100 and r["table_seek"] == sorted(r["table_seek"])
+    r = mpeg_audio.parse(b"junk \xff\xfb\x90\xc0 no frame follows this one " + media[media.index(b"\xff\xfb") :])
+    assert r["payload"] == b"z" * 6400 and r["resyncs"] == 1
+    frame = bytes([0xFF, 0xFB, 0x58, 0xC0]) + bytes(284)
+    vbri = bytearray(frame)
+    vbri[36:70] = b"VBRI" + (1).to_bytes(2, "big") + bytes(4) + (1152).to_bytes(4, "big") + (4).to_bytes(4, "big") + b"\0\4\0\2\0\2\0\1" + b"\0\x90" * 4
+    r = mpeg_audio.parse(bytes(vbri) + frame * 4)
+    assert (r["table"], r["table_frames"], r["table_bytes"], r["table_seek"], r["frames"]) == ("VBRI", 4, 1152, [288, 576, 864, 1152], 4)
+
+
+def bitwise_crc(bits):
+    crc = 0xFFFF
+    for b in bits:
+        crc = ((crc << 1) ^ (0x8005 if (crc >> 15) ^ b else 0)) & 0xFFFF
+    return crc
+
+
+def test_mpeg_crc_of_layers_one_and_two():
+    random.seed(12)
+    bits_of = lambda data: [x >> 7 - i & 1 for x in data for i in range(8)]
+    for layer, mode in itertools.product((1, 2), (0x00, 0x50, 0xC0)):  # stereo, joint from subband 8, mono
+        head = bytes([0xFF, 0xFE if layer == 1 else 0xFC, 0x90, mode])
+        size = mpeg_audio.header(head).length
+        body = bytes(random.randrange(256) for _ in range(size - 6))
+        bits, at, chosen = bits_of(body), 0, 0
+        kbps = 288 if layer == 1 else 160
+        widths = [4] * 32 if layer == 1 else [4] * 11 + [3] * 12 + [2] * (4 if mode != 0xC0 and kbps / 2 <= 80 else 7)
+        for sb, w in enumerate(widths):
+            shared = mode == 0x50 and sb >= 8
+            for _ in range(1 if mode == 0xC0 or shared else 2):
+                chosen += 2 * any(bits[at : at + w]) * (2 if shared else 1)
+                at += w
+        guarded = at + (chosen if layer == 2 else 0)
+        crc = bitwise_crc(bits_of(head[2:]) + bits[:guarded])
+        good = head + crc.to_bytes(2, "big") + body
+        r = mpeg_audio.parse(good * 3)
+        assert (r["layer"], r["frames"], r["crc_ok"], r["crc_bad"]) == (layer, 3, 3, 0)
+        bad = bytearray(good)
+        bad[6] ^= 0x10
+        assert mpeg_audio.parse(good + bytes(bad) + good)["crc_bad"] == 1
+
+
 def test_mpeg_query(spark, sf, docs):
     got = rows(mpeg_audio.op2_mpeg_audio(table(spark, sf, "documents")))
     for i, t in docs.items():
@@ -338,6 +402,50 @@ def test_decontamination_equals_brute_force_on_near_copies():
     assert n > 50  # near copies at 0.8 to 0.9
 
 
+def test_decontamination_recall_by_length():
+    rng = np.random.default_rng(4)
+    random.seed(4)
+    word = lambda: f"w{rng.integers(1 << 60)}"
+    for n in (6, 9, 12, 16, 20, 24, 30, 40, 50, 59, 75, 100, 150, 300):
+        found = wanted = 0
+        for _ in range(120):
+            item = [word() for _ in range(n)]
+            copy, kind = list(item), random.randrange(4)
+            size = random.randint(1, max(1, n // 10))
+            at = random.randrange(n - size + 1)
+            if kind == 0:  # words changed here and there
+                for _ in range(random.randint(1, max(1, n // 40))):
+                    copy[random.randrange(n)] = word()
+            elif kind == 1:  # a run of words replaced
+                copy[at : at + size] = [word() for _ in range(size)]
+            elif kind == 2:  # words that are missing or more
+                copy[at : at + 1] = [] if random.random() < 0.5 else [word(), copy[at]]
+            else:  # cut at the borders
+                cut = random.randint(0, size)
+                copy = copy[cut : n - (size - cut)]
+            text = " ".join([word() for _ in range(random.randrange(30))] + copy + [word() for _ in range(random.randrange(30))])
+            doc, v = decontam.words(text), decontam.words(" ".join(item))
+            best = max(decontam.similarity(doc[max(0, s) : max(0, s + n)], v) for s in range(1 - n, len(doc)))
+            if best >= 0.8:
+                got = decontam.Index([(1, " ".join(item))]).search([doc])[0]
+                wanted += 1
+                found += bool(got)
+                assert not got or got[0]["similarity"] == best
+        assert found >= 0.95 * wanted, (n, found, wanted)
+        assert n < 16 or wanted >= 5
+
+
+def test_decontamination_edges(spark):
+    text = "one two three four five six seven eight"
+    docs = spark.createDataFrame([(1, text, 0.5), (1, text, 0.5), (2, None, 0.5), (3, "", 0.5), (None, f"{text} and {text}", 0.5), (4, f"{text} nine " * 20_000, 0.5)], "doc_id long, text string, similarity double")
+    bench = spark.createDataFrame([("a", text, 1), ("a", text, 2), ("b", text.upper(), 1), ("b", "!", 1), (None, text, 1), ("c", None, 1)], "item_id string, text string, doc_id int")
+    found = sorted(((r["doc_id"] or 0, r["item_id"], r["similarity"], r["start_word"]) for r in decontam.op1_decontaminate(docs, bench).collect()))
+    assert found == [(i, k, 1.0, 0) for i in (0, 1, 1, 4) for k in "ab"][:2] + sorted([(1, "a", 1.0, 0), (1, "a", 1.0, 0), (1, "b", 1.0, 0), (1, "b", 1.0, 0), (4, "a", 1.0, 0), (4, "b", 1.0, 0)])
+    assert decontam.op1_decontaminate(docs, bench.limit(0)).count() == 0 and decontam.op1_decontaminate(docs.limit(0), bench).count() == 0
+    kept = decontam.keep_clean(docs, bench)
+    assert sorted(r["doc_id"] for r in kept.collect()) == [2, 3] and kept.columns == docs.columns
+
+
 # -- license scan
 
 
@@ -393,12 +501,15 @@ def test_packing_is_lossless(spark, sf, docs):
 # -- HTML
 
 
+def main_text(source, weights=None):
+    return html_main.Page(source).text(weights or html_main.Weights())
+
+
 def test_html_main_text(spark, sf):
-    weights = {"p": -0.3, "li": -4.0, "div": -4.0, "a": -4.0}
-    text = lambda s: (lambda p: p.text(p.region(weights)))(html_main.Page(s))
-    page = "<body><div id='top-menu'><a>Home</a></div><div class='content'><h1>Title</h1><p>One two <b>th</b>ree &amp; four.<div class='ad'>buy now</div><p>Five.<ul><li>six<li>seven</ul></div><div class='comments'><p>a long reader comment with words</div><footer>f</footer></body>"
-    assert text(page) == "Title One two three & four. Five. six seven"
-    assert text("<p>") == "" and text("plain &lt; text") == "plain < text" and text("<article>a<script>var x='</p>'</script> b") == "a b"
+    page = "<body><div id='top-menu'><a>Home</a></div><div class='content'><h1>Title</h1><p>One two <b>th</b>ree &amp; four.<div class='ad'>buy now</div><p>Five.<ul><li>six more<li>seven more</ul></div><div class='comments'><p>a long reader comment with words</div><footer>f</footer></body>"
+    assert main_text(page) == "Title One two three & four. Five. six more seven more"
+    assert main_text("<p>") == "" and main_text("plain &lt; text") == "plain < text" and main_text("<article>a<script>var x='</p>'</script> b") == "a b"
+    assert main_text("<p>&am<b>p;</b> x y z") == "&amp; x y z" and main_text("<div/>a b c <a href=/x/>d</a> e") == "a b c d e"
     got = rows(html_main.op7_html_main(table(spark, sf, "pages")), "page_id")
     for r in table(spark, sf, "pages").collect():
         inner = re.search(r"<article>(.*?)(</article>|$)", r["html"], re.S)[1]
@@ -408,20 +519,59 @@ def test_html_main_text(spark, sf):
         assert got[r["page_id"]]["text"] == wanted and got[r["page_id"]]["n_chars"] == len(wanted)
 
 
+def test_html_region_is_the_maximum_over_all():
+    random.seed(8)
+    names = ("p", "div", "h1", "li", "section", "span", "article", "x")
+    weights = html_main.Weights({"p": (0, 40), "div": (30, 10), "li": (90, 9), "article": (50, 0)}, 20.0)
+    for _ in range(150):
+        source = "".join(random.choice(("w " * random.randrange(6), f"<{random.choice(names)}>", f"</{random.choice(names)}>")) for _ in range(random.randrange(30)))
+        page = html_main.Page(source)
+        scores = page.scores(weights, page.passed_over(weights))
+        sums = {(a, b): sum(scores[a:b]) for a in range(len(scores)) for b in range(a + 1, len(scores) + 1)}
+        best = max(sums.values(), default=0)
+        lo, hi = html_main.best_region(scores)
+        assert sum(scores[lo:hi]) == pytest.approx(max(0, best)) and (lo == hi) == (best <= 0)
+
+
+def test_html_weights_decide(spark):
+    pages = [(i, f"<body><div class='teaser'>{'word ' * 9}</div><article><h1>T {i}</h1><p>one two three</p><div class='lead'>four five</div></article><section class='more'>{'other ' * 12}</section></body>") for i in range(40)]
+    df = spark.createDataFrame(pages, "page_id long, html string")
+    learnt = html_main.fit(df)
+    assert learnt.of(".teaser") > 10 > learnt.of("+lead") and learnt.most == 21
+    unmarked = pages[0][1].replace("article", "div")
+    assert main_text(unmarked, learnt) == "T 0 one two three four five"
+    assert main_text(unmarked) == f"{'word ' * 9}T 0 one two three four five {'other ' * 12}".strip()
+    cut = html_main.Weights({"p": (50, 0)}, 30.0)
+    assert main_text("<p>one two</p><h2>three four five</h2>", cut) == "three four five" and main_text("<p>one two</p><h2>three four five</h2>") == "one two three four five"
+
+
 def test_html_main_text_in_wrappers():
-    weights = {"p": -0.3, "li": -4.0, "div": -4.0, "a": -4.0}
-    text = lambda s: (lambda p: p.text(p.region(weights)))(html_main.Page(s))
     menu, words = "<nav><a>Home</a> <a>News</a></nav>", "One two three four five six seven eight nine ten."
     side = "<div class='sidebar'>far from it</div><div id='comments'><article class='comment'><p>a reader says this and that</article></div>"
     opens = [("<div class='layout has-sidebar'>", "</div>"), ("<div class='with-sidebar'>", "</div>"), ("<div id='no-sidebar'>", "</div>"), ("<form>", "</form>"), ("<div class='sidebar-left'>", "</div>"), ("<div style='display:none'>", "</div>")]
     for tag in ("article", "main", "div class='content'"):
         inner = f"<{tag}><h1>Title</h1><p>{words}<div class='ad'>buy now</div></{tag.split()[0]}>"
         for a, b in opens:
-            assert text(f"<body>{menu}{a}{inner}{side}{b}<footer>f</footer></body>") == f"Title {words}", (tag, a)
-    assert text(f"<main><div class='grid with-search'><div class='search'><p>{words}</div></div></main>") == words
+            assert main_text(f"<body>{menu}{a}{inner}{side}{b}<footer>f</footer></body>") == f"Title {words}", (tag, a)
+    assert main_text(f"<main><div class='grid with-search'><div class='search'><p>{words}</div></div></main>") == words
     long = "<p>a reader says this and that at length and more than the page itself does</p>" * 3
-    assert text(f"<main><div class='post'><p>{words}</div><div class='comments'>{long}</div></main>") == words
-    assert text(f"<div class='post'><p>{words}</div><nav><ul>{'<li><a>some other page</a>' * 20}</ul></nav>") == words
+    assert main_text(f"<main><div class='post'><p>{words}</div><div class='comments'>{long}</div></main>") == words
+    assert main_text(f"<div class='post'><p>{words}</div><nav><ul>{'<li><a>some other page</a>' * 20}</ul></nav>") == words
+    assert main_text(f"<article><div class='article-header'><h1>Title</h1></div><p>{words}</p></article>") == f"Title {words}"
+    assert main_text(f"<div class='content has-sidebar'><p>{words}</p></div>") == words
+    assert main_text(f"<article><p>{words}</p><section class='discussion'><p>{words}</p></section></article>") == f"{words} {words}"
+
+
+def test_html_edges(spark):
+    df = spark.createDataFrame([(1, "u", None, "x"), (2, None, "", "x"), (3, "u", "<p>a b", "x"), (3, "u", "<p>a b", "x"), (None, "u", "<nav>n</nav>", "x")], "page_id long, url string, html string, main_text string")
+    assert sorted((r["page_id"] or 0, r["text"], r["n_chars"]) for r in html_main.op7_html_main(df).collect()) == [(0, "", 0), (1, "", 0), (2, "", 0), (3, "a b", 3), (3, "a b", 3)]
+    assert html_main.op7_html_main(df.limit(0)).count() == 0
+    import time
+
+    for deep in ("<ul><li>" * 50_000, "<div>" * 100_000, "<div>" * 50_000 + "<li>" * 50_000):
+        began = time.time()
+        main_text(deep + "a b")
+        assert time.time() - began < 5
 
 
 # -- language
