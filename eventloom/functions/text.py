@@ -38,11 +38,19 @@ def first_label(text: Column, rules: Iterable[tuple[str, Iterable[str]]], defaul
     return F.coalesce(*[F.when(any_hit(text, ks), label) for label, ks in rules], F.lit(default))
 
 
+def best_rule(text: Column, rules: dict[str, Iterable[str]], default: str) -> Column:
+    """struct(label, hits) of the rule with the most keywords in the text; ties go to the earlier, none to the default without hits."""
+    none = F.struct(F.lit(default).alias("label"), F.array().cast("array<string>").alias("hits"))
+    if not rules:
+        return none
+    found = [F.struct((-F.size(h)).alias("n"), F.lit(i).alias("i"), F.lit(label).alias("label"), h.alias("hits")) for i, (label, h) in enumerate((k, hits(text, ks)) for k, ks in rules.items())]
+    best = F.array_min(F.array(*found))
+    return F.when(best["n"] < 0, F.struct(best["label"].alias("label"), best["hits"].alias("hits"))).otherwise(none)
+
+
 def best_label(text: Column, rules: dict[str, Iterable[str]], default: str) -> Column:
     """Label with the most keywords in the text; ties go to the earlier rule, none to the default."""
-    counted = [F.struct((-n_hits(text, ks)).alias("n"), F.lit(i).alias("i"), F.lit(label).alias("label")) for i, (label, ks) in enumerate(rules.items())]
-    best = F.array_min(F.array(*counted))
-    return F.when(best.n < 0, best.label).otherwise(default)
+    return best_rule(text, rules, default)["label"]
 
 
 def canonical(text: Column) -> Column:
@@ -144,3 +152,96 @@ def cosine(a: Column, b: Column) -> Column:
     """Cosine similarity of two arrays, with 1e-8 in the divisor."""
     dot = lambda x, y: F.aggregate(F.zip_with(x, y, lambda p, q: p.cast("double") * q.cast("double")), F.lit(0.0), lambda s, v: s + v)
     return dot(a, b) / (F.sqrt(dot(a, a)) * F.sqrt(dot(b, b)) + 1e-8)
+
+
+# -- times of list pages; ``now`` is a parameter
+
+
+def _stamp(t: Column) -> Column:
+    return F.date_format(t, "yyyy-MM-dd HH:mm:ss")
+
+
+def _this_year_or_last(month_day_time: Column, now: str) -> Column:
+    """A time without a year: this year's, or last year's if that is over a day ahead."""
+    at = F.lit(now).cast("timestamp")
+    this = F.try_to_timestamp(F.concat(F.year(at).cast("string"), F.lit("-"), month_day_time), F.lit("yyyy-MM-dd HH:mm"))
+    last = F.try_to_timestamp(F.concat((F.year(at) - 1).cast("string"), F.lit("-"), month_day_time), F.lit("yyyy-MM-dd HH:mm"))
+    return F.when(this > at + F.expr("INTERVAL 1 DAY"), last).otherwise(this)
+
+
+def relative_time(value: Column, now: str, minutes: str = "分钟前", hours: str = "小时前") -> Column:
+    """Time as text from "n minutes ago", "n hours ago", month and day, or a full time; else now."""
+    v = F.trim(F.coalesce(value, F.lit("")))
+    at = F.lit(now).cast("timestamp")
+    back = lambda unit, seconds: F.when(v.rlike(f"^[0-9]{{1,2}}{unit}$"), F.timestamp_seconds(F.unix_timestamp(at) - F.regexp_extract(v, "^([0-9]+)", 1).try_cast("int") * seconds))
+    short = F.when(v.rlike("^[0-9]{2}-[0-9]{2}\\s+[0-9]{2}:[0-9]{2}$"), _this_year_or_last(F.regexp_replace(v, "\\s+", " "), now))
+    full = F.when(v.rlike("^[0-9]{4}-[0-9]{2}-[0-9]{2}\\s+[0-9]{2}:[0-9]{2}$"), F.try_to_timestamp(F.regexp_replace(v, "\\s+", " "), F.lit("yyyy-MM-dd HH:mm")))
+    return _stamp(F.coalesce(back(minutes, 60), back(hours, 3600), short, full, at))
+
+
+def yearless_time(value: Column, now: str, month: str = "月", day: str = "日") -> Column:
+    """Time as text from a month, day and clock somewhere in a text; else now."""
+    pattern = f"([0-9]{{2}}){month}([0-9]{{2}}){day}\\s+([0-9]{{2}}:[0-9]{{2}})"
+    v = F.coalesce(value, F.lit(""))
+    found = F.when(F.rlike(v, F.lit(pattern)), F.concat(F.regexp_extract(v, pattern, 1), F.lit("-"), F.regexp_extract(v, pattern, 2), F.lit(" "), F.regexp_extract(v, pattern, 3)))
+    return _stamp(F.coalesce(_this_year_or_last(found, now), F.lit(now).cast("timestamp")))
+
+
+def time_or_now(value: Column, fmt: str, now: str) -> Column:
+    """A time by a format, else now, as text."""
+    return _stamp(F.coalesce(F.try_to_timestamp(F.trim(value), F.lit(fmt)), F.lit(now).cast("timestamp")))
+
+
+def strict_time(value: Column) -> Column:
+    """A timestamp from one of three formats; anything else is an error."""
+    t = normalized_time(value)
+    return F.when(t.isNotNull(), t).otherwise(F.raise_error(F.concat(F.lit("unsupported time: "), F.coalesce(value, F.lit("null")))).cast("timestamp"))
+
+
+def valid_json(value: Column, default: str) -> Column:
+    """A JSON text, or the default where it can't be read."""
+    return F.when(F.try_parse_json(value).isNotNull(), value).otherwise(default)
+
+
+def allowed(value: Column, labels: Iterable[str], default: str) -> Column:
+    """A label of a fixed list, else the default."""
+    return F.when(value.isin(*labels), value).otherwise(default)
+
+
+def anchored(text: Column, rules: Iterable[tuple[str, Iterable[str]]], current: Column) -> Column:
+    """The first label with a word in the text, else what is there."""
+    return F.coalesce(*[F.when(any_hit(text, ks), label) for label, ks in rules], current)
+
+
+def channel(source_type: Column, source: Column, rules: Iterable[tuple[str, Iterable[str]]], known: Iterable[str], default: str) -> Column:
+    """The channel of a source: by a word in its type or name, else a known type, else the default."""
+    t = F.trim(F.coalesce(source_type, F.lit("")))
+    both = F.concat_ws(" ", F.coalesce(source_type, F.lit("")), F.coalesce(source, F.lit("")))
+    return F.coalesce(*[F.when(any_hit(both, ks), label) for label, ks in rules], F.when(t.isin(*known), t), F.lit(default))
+
+
+def stance(value: Column, good: Iterable[str] = ("利好", "正"), bad: Iterable[str] = ("利空", "负")) -> Column:
+    """1, -1 or 0 by words of a sentiment label."""
+    v = F.trim(F.coalesce(value, F.lit("")))
+    return F.when(any_hit(v, good), 1).when(any_hit(v, bad), -1).otherwise(0)
+
+
+def query_part(url: Column, key: str) -> Column:
+    """A parameter of a url's query, decoded and trimmed; blank without it."""
+    raw = F.coalesce(F.regexp_extract(F.coalesce(url, F.lit("")), f"[?&]{key}=([^&#]*)", 1), F.lit(""))
+    return F.trim(F.coalesce(F.try_url_decode(raw), F.lit("")))
+
+
+def derived_files(host: str, item: Column, time: Column) -> Column:
+    """The two addresses under which an announcement's file may stand; none without an id or a day."""
+    day = F.substring(F.trim(F.coalesce(time, F.lit(""))), 1, 10)
+    urls = F.array(*[F.concat(F.lit(f"{host}finalpage/"), day, F.lit("/"), item, F.lit(ext)) for ext in (".PDF", ".pdf")])
+    return F.when((F.coalesce(item, F.lit("")) != "") & (F.length(day) == 10), urls).otherwise(F.array().cast("array<string>"))
+
+
+def state_json(html: Column, variable: str = "window.initialState") -> Column:
+    """The JSON object that a page's script assigns to a variable; null where it can't be read."""
+    import re
+
+    raw = F.regexp_extract(html, f"(?s){re.escape(variable)}\\s*=\\s*(\\{{.*?\\}})</script>", 1)
+    return F.when(F.try_parse_json(F.nullif(raw, F.lit(""))).isNotNull(), raw)

@@ -1,13 +1,13 @@
 """Event detection and classification: a decision list over keyword hits, and labels by hit counts.
 
 Rows are documents with source, title, content, publish_time, url and
-symbol_or_subject.  Everything is a column expression; the only shuffle is the
-window that counts equal documents of the batch.
+symbol_or_subject.  Everything is a column expression; the only shuffles count
+equal documents of the batch and join the counts above one back.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as T
@@ -22,9 +22,14 @@ def _starts(source: Column, prefixes) -> Column:
 
 
 def with_duplicates(docs: DataFrame) -> DataFrame:
-    """``docs`` with dedup_key and how many rows of the batch share it."""
+    """``docs`` with dedup_key and how many rows of the batch share it.
+
+    Counts are made from the keys alone; only keys that occur more than once
+    meet the documents again, so texts aren't sorted by key.
+    """
     keyed = docs.withColumn("dedup_key", T.dedup_key(F.col("title"), F.col("content")))
-    return keyed.withColumn("duplicate_group_size", F.count(F.lit(1)).over(Window.partitionBy("dedup_key")).cast("int"))
+    shared = keyed.groupBy("dedup_key").agg(F.count(F.lit(1)).cast("int").alias("duplicate_group_size")).filter("duplicate_group_size > 1")
+    return keyed.join(shared, "dedup_key", "left").withColumn("duplicate_group_size", F.coalesce("duplicate_group_size", F.lit(1))).select(*docs.columns, "dedup_key", "duplicate_group_size")
 
 
 def detected(docs: DataFrame, pack: RulePack) -> DataFrame:
@@ -84,8 +89,12 @@ def classified(docs: DataFrame, pack: RulePack) -> DataFrame:
     return labels.withColumns({"intensity_score": F.least(base + bonus, F.lit(100)), "event_id": event_id})
 
 
+def first_of_keys(found: DataFrame, order: str) -> DataFrame:
+    """The first row of each dedup key by a unique column; an order of two or more fields is a struct column."""
+    first = found.groupBy("dedup_key").agg(F.min(order).alias(order))
+    return found.join(first, ["dedup_key", order], "left_semi")
+
+
 def structured_events(docs: DataFrame, pack: RulePack, order: str) -> DataFrame:
     """Events of a batch with their labels, the first by ``order`` of those that share a dedup key."""
-    found = detected(with_duplicates(docs), pack).filter("is_event")
-    first = F.row_number().over(Window.partitionBy("dedup_key").orderBy(order))
-    return classified(found.withColumn("_n", first).filter("_n = 1").drop("_n"), pack)
+    return classified(first_of_keys(detected(with_duplicates(docs), pack).filter("is_event"), order), pack)

@@ -49,22 +49,74 @@ def aligned(events: DataFrame, days: DataFrame, max_gap: int = 7) -> DataFrame:
     return nearest.select("event_id", "entity", F.col("day").alias("event_date"), chosen.day.alias("trade_day"), chosen.idx.alias("idx"), how.alias("alignment"))
 
 
-def market_model(events: DataFrame, days: DataFrame, window: tuple[int, int] = ESTIMATION, min_points: int = MIN_POINTS) -> DataFrame:
-    """(event_id, estimation_points, alpha, beta): least squares of r on m over the estimation window."""
-    e = events.filter("idx IS NOT NULL").select("event_id", "entity", F.col("idx").alias("at"))
-    points = e.join(days, "entity").filter(F.col("idx").between(F.col("at") + window[0], F.col("at") + window[1]))
-    fit = points.groupBy("event_id").agg(F.count("r").alias("estimation_points"), F.regr_slope("r", "m").alias("beta"), F.regr_intercept("r", "m").alias("alpha"))
+def _with_model(days: DataFrame, window: tuple[int, int], min_points: int) -> DataFrame:
+    """``days`` with estimation_points, alpha and beta: least squares of r on m over the window before each day, null below ``min_points``."""
+    past = Window.partitionBy("entity").orderBy("idx").rangeBetween(*window)
+    out = days.withColumns({"estimation_points": F.count("r").over(past), "_b": F.regr_slope("r", "m").over(past), "_a": F.regr_intercept("r", "m").over(past)})
     enough = F.col("estimation_points") >= min_points
-    return fit.select("event_id", "estimation_points", F.when(enough, F.col("alpha")).alias("alpha"), F.when(enough, F.col("beta")).alias("beta"))
+    return out.withColumns({"alpha": F.when(enough, F.col("_a")), "beta": F.when(enough, F.col("_b"))}).drop("_a", "_b")
+
+
+def _with_sums(days: DataFrame, windows: tuple[int, ...]) -> DataFrame:
+    """``days`` with counts and sums of r and m over [day, day + w]."""
+    for w in windows:
+        ahead = Window.partitionBy("entity").orderBy("idx").rangeBetween(0, w)
+        days = days.withColumns({f"_n{w}": F.count("r").over(ahead), f"_r{w}": F.sum("r").over(ahead), f"_m{w}": F.sum("m").over(ahead)})
+    return days
+
+
+def _cars(windows: tuple[int, ...]) -> list:
+    """Sums of r - (alpha + beta m) over [day, day + w], null where days are missing."""
+    return [F.when(F.col(f"_n{w}") == w + 1, F.col(f"_r{w}") - (w + 1) * F.col("alpha") - F.col("beta") * F.col(f"_m{w}")).alias(f"car_w{w}") for w in windows]
+
+
+def _of(events: DataFrame, days: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Events on a day, and the days of their entities."""
+    placed = events.filter("idx IS NOT NULL")
+    return placed, days.join(placed.select("entity").distinct(), "entity", "left_semi")
+
+
+def studied(events: DataFrame, days: DataFrame, window: tuple[int, int] = ESTIMATION, min_points: int = MIN_POINTS, windows: tuple[int, ...] = (1, 3, 5)) -> DataFrame:
+    """Events (event_id, entity, idx, ...) with estimation_points, alpha, beta and car_w* of their day.
+
+    All that a study needs is computed for each day from one sort by entity, so
+    the work grows with days, and events only look their day up.
+    """
+    placed, known = _of(events, days)
+    table = _with_sums(_with_model(known, window, min_points), windows)
+    table = table.select("entity", "idx", "estimation_points", "alpha", "beta", *_cars(windows))
+    return placed.join(table, ["entity", "idx"])
+
+
+def market_model(events: DataFrame, days: DataFrame, window: tuple[int, int] = ESTIMATION, min_points: int = MIN_POINTS) -> DataFrame:
+    """(event_id, entity, estimation_points, alpha, beta): least squares of r on m over the estimation window."""
+    placed, known = _of(events, days)
+    table = _with_model(known, window, min_points).select("entity", "idx", "estimation_points", "alpha", "beta")
+    return placed.join(table, ["entity", "idx"]).filter("estimation_points > 0").select("event_id", "entity", "estimation_points", "alpha", "beta")
 
 
 def abnormal_returns(events: DataFrame, days: DataFrame, model: DataFrame, windows: tuple[int, ...] = (1, 3, 5)) -> DataFrame:
-    """(event_id, car_w*): sums of r - (alpha + beta m) over [t, t + w], null where days are missing."""
-    e = events.filter("idx IS NOT NULL").select("event_id", "entity", F.col("idx").alias("at")).join(model.filter("beta IS NOT NULL"), "event_id")
-    span = e.join(days, "entity").filter(F.col("idx").between(F.col("at"), F.col("at") + max(windows)))
-    span = span.withColumn("ar", F.col("r") - (F.col("alpha") + F.col("beta") * F.col("m"))).withColumn("k", F.col("idx") - F.col("at"))
-    sums = [F.when(F.count_if(F.col("k") <= w) == w + 1, F.sum(F.when(F.col("k") <= w, F.col("ar")))).alias(f"car_w{w}") for w in windows]
-    return span.groupBy("event_id").agg(*sums)
+    """(event_id, entity, car_w*): sums of r - (alpha + beta m) over [t, t + w], null where days are missing."""
+    placed, known = _of(events, days)
+    keys = [c for c in ("event_id", "entity") if c in model.columns]
+    own = placed.join(model.filter("beta IS NOT NULL").select(*keys, "alpha", "beta"), keys)
+    sums = _with_sums(known, windows).drop("day", "r", "m")
+    return own.join(sums, ["entity", "idx"]).select("event_id", "entity", *_cars(windows))
+
+
+def outcomes(events: DataFrame, days: DataFrame) -> DataFrame:
+    """(reason, n): why aligned events have no study, or how they were aligned."""
+    found = events.join(studied(events, days).select("event_id", "entity", "beta", "estimation_points"), ["event_id", "entity"], "left")
+    reason = F.when(F.col("idx").isNull(), F.col("alignment")).when(F.coalesce("estimation_points", F.lit(0)) < MIN_POINTS, "insufficient_estimation_points").when(F.col("beta").isNull(), "no_market_variance").otherwise(F.concat(F.lit("studied_"), "alignment"))
+    return found.groupBy(reason.alias("reason")).agg(F.count(F.lit(1)).alias("n"))
+
+
+def report(rows: DataFrame, groupings: list[str], metrics: list[str]) -> DataFrame:
+    """(grouping, bucket, metric, n, mean, t_stat): each metric over all rows and by each grouping column, in one pass."""
+    cells = F.array(F.struct(F.lit("all").alias("grouping"), F.lit("all").alias("bucket")), *[F.struct(F.lit(g).alias("grouping"), F.col(g).cast("string").alias("bucket")) for g in groupings])
+    values = F.array(*[F.struct(F.lit(m).alias("metric"), F.col(m).alias("v")) for m in metrics])
+    long = rows.select(F.explode(cells).alias("g"), values.alias("vs")).select("g.*", F.explode("vs").alias("x")).select("grouping", "bucket", "x.metric", "x.v")
+    return mean_and_t(long, ["grouping", "bucket", "metric"], "v")
 
 
 def mean_and_t(df: DataFrame, by: list[str], metric: str) -> DataFrame:

@@ -31,18 +31,33 @@ def propagated(links: DataFrame, relations: DataFrame, min_source: float = 0.35,
 
 
 def connected(edges: DataFrame, cut) -> DataFrame:
-    """(v, c): vertices of edges (a, b) with their component's smallest vertex.
+    """(v, c): vertices of edges (a, b) with their component's smallest vertex; ``cut`` writes a table and reads it back.
 
-    Labels sink to the smallest of the neighbours and of the label's own label
-    until nothing changes; ``cut`` writes a table and reads it back.
+    Each round every root points to its smallest neighbour where that is
+    smaller, pointers are halved until they end at roots, and the edges are
+    rewritten to roots; edges inside a component vanish.  No vertex's whole
+    neighbourhood is gathered: only minima are, so a hub is no hot spot.
     """
-    both = cut(edges.filter("a <> b").select("a", "b").unionByName(edges.filter("a <> b").select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
-    labels = cut(both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("v"), F.least("a", "m").alias("c")))
-    while True:
-        near = both.join(labels.select(F.col("v").alias("b"), "c"), "b").groupBy("a").agg(F.min("c").alias("m"))
-        own = labels.join(near, labels.v == near.a).select("v", F.col("c").alias("old"), F.least("c", "m").alias("c"))
-        jump = labels.select(F.col("v").alias("c"), F.col("c").alias("up"))
-        new = cut(own.join(jump, "c", "left").select("v", "old", F.least("c", F.coalesce("up", "c")).alias("c")))
-        labels = new.select("v", "c")
-        if new.filter("c <> old").isEmpty():
-            return labels
+    live = cut(edges.filter("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+    members = cut(live.select(F.explode(F.array("a", "b")).alias("v")).distinct().withColumn("c", F.col("v")))
+    while not live.isEmpty():
+        # b > a on every edge, so the smallest smaller neighbour of b is the least a
+        parent = cut(live.groupBy("b").agg(F.min("a").alias("p")).select(F.col("b").alias("r"), "p"))
+        while True:
+            up = parent.select(F.col("r").alias("p"), F.col("p").alias("q"))
+            jumped = cut(parent.join(up, "p", "left").select("r", F.coalesce("q", "p").alias("p"), F.col("q").isNotNull().alias("moved")))
+            parent = jumped.select("r", "p")
+            if jumped.filter("moved").isEmpty():
+                break
+        as_a = parent.select(F.col("r").alias("a"), F.col("p").alias("pa"))
+        as_b = parent.select(F.col("r").alias("b"), F.col("p").alias("pb"))
+        moved = live.join(as_a, "a", "left").join(as_b, "b", "left").select(F.coalesce("pa", "a").alias("x"), F.coalesce("pb", "b").alias("y"))
+        as_c = parent.select(F.col("r").alias("c"), F.col("p").alias("pc"))
+        members = cut(members.join(as_c, "c", "left").select("v", F.coalesce("pc", "c").alias("c")))
+        live = cut(moved.filter("x <> y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct())
+    return members
+
+
+def without_stale_edges(old: DataFrame, new: DataFrame) -> DataFrame:
+    """Stored propagation edges after a run: those of untouched events and the new ones."""
+    return old.join(new.select("event_id").distinct(), "event_id", "left_anti").unionByName(new.select(*old.columns))

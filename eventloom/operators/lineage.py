@@ -35,3 +35,16 @@ def artifact(df: DataFrame, key: str) -> DataFrame:
     """(key, rows, content_hash): size and an order-free hash of a table's rows."""
     row = F.xxhash64(*[F.col(c) for c in sorted(df.columns)])
     return df.agg(F.count(F.lit(1)).alias("rows"), F.coalesce(F.bit_xor(row), F.lit(0)).alias("content_hash")).select(F.lit(key).alias("key"), "rows", "content_hash")
+
+
+def file_record(spark: SparkSession, key: str, path: str) -> DataFrame:
+    """(key, rows, bytes, sha256) of a written text dataset: its lines, size, and the hash of its files' hashes in order."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("path", "length", F.sha2("content", 256).alias("h"))
+    one = files.agg(F.coalesce(F.sum("length"), F.lit(0)).alias("bytes"), F.sha2(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("path", "h"))), lambda x: x["h"]), "\n").cast("binary"), 256).alias("sha256"))
+    rows = spark.read.option("recursiveFileLookup", "true").text(path).agg(F.count(F.lit(1)).alias("rows"))
+    return rows.crossJoin(one).select(F.lit(key).alias("key"), "rows", "bytes", "sha256")  # two rows of aggregates
+
+
+def versions(old: DataFrame, new: DataFrame) -> DataFrame:
+    """Dataset versions by key and content hash: a new record takes the place of one with the same key and hash."""
+    return old.join(new.select("key", "content_hash"), ["key", "content_hash"], "left_anti").unionByName(new.select(*old.columns))

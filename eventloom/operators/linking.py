@@ -1,39 +1,195 @@
-"""Event-entity links: a score from symbol, name, industry, keyword and tag matches, and the best few of each event.
+"""Event-entity links: candidates, a score from symbol, name, industry, keyword and tag matches, the best few of each event.
 
-Keyword hits are counted once for each event and each entity, before they
-meet.  Candidates come from hash joins on the symbol and on the industry, and
-from a scan of names only for events without a symbol, never from all pairs
-of the two tables.
+An event's and an entity's own features are computed once, before they meet.
+No event meets every entity: a pair can only score by the symbol (hash join), by
+the entity's name in the event's text or by one of its tags there (one pass of
+an automaton over each text, then hash joins), or by the industry alone.  By
+industry alone an entity's score depends on two numbers, its own keyword hits
+and the event's hits up to six, so the best ``top_k`` entities of each industry
+and each number of hits stand for all: no other can be among an event's best.
+
+Entities: entity, place (their order, which breaks ties), code, name,
+industry, text, tags (array).  Events: event_id, members (array of event
+numbers), name, summary, industry, subject, title, content, symbol.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from dataclasses import dataclass, field
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions import text as T
+from . import entities as E
+from .upsert import without_stale
+
+
+@dataclass(frozen=True)
+class LinkRules:
+    """Keywords by event industry, categories of industry codes by prefix, and symbols that name no entity."""
+
+    keywords: dict
+    categories: dict
+    generic_symbols: tuple
+    labels: tuple = ()
+    specific: str = "^[0-9]{6}$"
+    other: str = "其他"
+    by_name: dict = field(default_factory=dict)
+    limits: tuple = (2, 4)
+    other_threshold: float = 0.45
+
+
+# Keywords of industries, and categories of industry codes.
+PUBLISHED = LinkRules(
+    keywords={
+        "军工": ("军工", "战机", "导弹", "无人机", "航空", "空战", "低空", "国防", "航天", "舰船", "雷达", "坦克", "军品", "装备", "高超音速"),
+        "新能源": ("新能源", "储能", "电池", "电网", "光伏", "输变电", "充电桩", "锂电", "风电", "逆变器", "硅料", "碳酸锂", "氢能", "核电", "电车", "电动", "碳中和", "绿电"),
+        "科技": ("AI", "人工智能", "机器人", "算力", "芯片", "数字化", "招标投标", "半导体", "集成电路", "5G", "通信", "物联网", "云计算", "大数据", "软件", "智能化", "大模型", "数字人民币", "低空经济", "信创", "自动驾驶"),
+        "消费": ("消费", "旅游", "酒店", "饮料", "保险", "食品", "白酒", "零售", "餐饮", "家电", "医药", "药", "创新药", "房产", "地产", "银行", "金融", "证券", "医美", "啤酒", "乳品", "中药"),
+        "其他": ("政策", "方案", "通知", "信用"),
+    },
+    categories={
+        "C26": "新能源", "C27": "消费", "C28": "消费", "C36": "新能源", "C38": "新能源", "C39": "科技", "C40": "科技", "I63": "科技", "I64": "科技", "I65": "科技", "J66": "其他", "J67": "其他", "J68": "其他", "J69": "其他", "Z03": "军工", "Z08": "科技",
+        "A": "消费", "C": "消费", "D": "新能源", "E": "消费", "F": "消费", "G": "消费", "H": "消费", "K": "消费", "L": "消费", "M": "消费", "N": "消费", "O": "消费", "P": "科技", "Q": "消费", "R": "消费", "S": "消费",
+    },
+    generic_symbols=("政策/宏观", "政策/通知", "行业/市场新闻", "行业/股市快讯", "政策类事件", "公司行为事件", "行业/技术事件", "宏观/地缘事件", "印巴空战", "印巴冲突", "储能政策", "机器人技术突破"),
+    labels=("军工", "新能源", "科技", "消费", "金融", "其他"),
+)
+
+
+def category(code: Column, rules: LinkRules) -> Column:
+    """The category of an industry code (by its first three, two or one characters) or name."""
+    t = F.trim(F.coalesce(code, F.lit("")))
+    first = F.when(F.contains(t, F.lit(" ")), F.substring_index(t, " ", 1)).otherwise(t)
+    key = F.when(first.rlike("^\\p{L}[0-9]{2}"), F.substring(first, 1, 3)).otherwise(first)
+    table = F.create_map(*[F.lit(x) for kv in rules.categories.items() for x in kv])
+    found = F.coalesce(*[F.element_at(table, k) for k in (key, F.substring(key, 1, 2), F.substring(key, 1, 1))], F.lit(rules.other))
+    return F.when(t == "", rules.other).when(t.isin(*rules.labels), t).otherwise(found) if rules.labels else F.when(t == "", rules.other).otherwise(found)
+
+
+def cluster_events(events: DataFrame, clusters: DataFrame) -> DataFrame:
+    """One event a cluster: the representative's columns, members' texts joined in their order, members' numbers.
+
+    ``events``: id (number, the order), event_id, and the columns of an event;
+    ``clusters``: canonical_event_id, event_id, is_representative.  Events
+    without a cluster stay as they are.
+    """
+    joined = events.join(clusters.select("event_id", "canonical_event_id", "is_representative"), "event_id", "left")
+    key = F.coalesce("canonical_event_id", F.concat(F.lit("\0"), F.col("event_id")))
+    texts = ("title", "content", "symbol", "summary")
+    member = F.struct("id", *[F.trim(F.coalesce(c, F.lit(""))).alias(c) if c == "symbol" else F.coalesce(c, F.lit("")).alias(c) for c in texts])
+    rest = [c for c in events.columns if c not in ("id", *texts)]
+    first = F.min_by(F.struct(*rest), F.struct((~F.coalesce("is_representative", F.lit(False))).alias("later"), "id"))
+    by = joined.groupBy(key.alias("_k")).agg(F.array_sort(F.collect_list(member)).alias("m"), first.alias("r"), F.first("canonical_event_id").alias("canonical_event_id"))
+    text = lambda c: F.array_join(F.array_distinct(F.filter(F.transform("m", lambda x: x[c]), lambda x: x != "")), " | ")
+    return by.select("r.*", *[text(c).alias(c) for c in texts], F.transform("m", lambda x: x["id"]).alias("members"), F.coalesce("canonical_event_id", "r.event_id").alias("canonical_event_id"), F.size("m").alias("cluster_size"))
+
+
+def _hits_by(text: Column, rules: LinkRules, industry: Column) -> Column:
+    """How many of an industry's keywords a text holds."""
+    cases = None
+    for name, words in rules.keywords.items():
+        if name != rules.other:
+            n = T.n_hits(text, words)
+            cases = F.when(industry == name, n) if cases is None else cases.when(industry == name, n)
+    rest = T.n_hits(text, rules.keywords[rules.other])
+    return rest if cases is None else cases.otherwise(rest)
+
+
+def event_features(events: DataFrame, entities: DataFrame, rules: LinkRules) -> DataFrame:
+    """Events with event_hits, title_hits, specific, generic, wanted category, and the names and tags in their texts."""
+    t = lambda c: F.coalesce(c, F.lit(""))
+    symbol = F.trim(t("symbol"))
+    body = F.concat_ws(" ", t("title"), t("content"))
+    whole = F.concat_ws(" ", t("name"), t("summary"), t("industry"), t("subject"), t("title"), t("content"), symbol)
+    names = E.held(events, entities.select("name"))
+    tags = E.held(events, entities.select(F.explode("tags").alias("name")))
+    mapped = F.coalesce(*[F.when(F.col("industry") == k, v) for k, v in rules.by_name.items()], F.col("industry"))
+    out = events.withColumns({"symbol": symbol, "specific": symbol.rlike(rules.specific), "names": names(body), "found_tags": tags(whole), "event_hits": _hits_by(whole, rules, F.col("industry")), "title_hits": _hits_by(t("title"), rules, F.col("industry")), "wanted": mapped})
+    generic = ~F.col("specific") | F.col("symbol").isin(*rules.generic_symbols) if rules.generic_symbols else ~F.col("specific")
+    return out.withColumn("generic", generic)
+
+
+def entity_features(entities: DataFrame, rules: LinkRules) -> DataFrame:
+    """A row for each entity and event industry: entity_hits, and the entity's category."""
+    per = F.array(*[F.struct(F.lit(k).alias("event_industry"), T.n_hits(F.col("text"), ws).alias("entity_hits")) for k, ws in rules.keywords.items()])
+    out = entities.withColumn("category", category(F.col("industry"), rules)).withColumn("x", F.explode(per))
+    return out.select("entity", "place", "code", F.col("name").alias("entity_name"), "category", "tags", "x.event_industry", "x.entity_hits")
+
 
 def scored(pairs: DataFrame) -> DataFrame:
     """Candidate pairs with ``score``.
 
-    Columns: industry_match, symbol_match, name_match (0 or 1), event_hits,
-    entity_hits, tag_hits, title_hits (counts), specific (the event names a symbol).
+    Columns: industry_match, symbol_match, name_match, title_match (0 or 1),
+    event_hits, entity_hits, tag_hits, title_hits (counts), specific and
+    generic (of the event's symbol), generic_other (generic, of no industry).
+    Without the last two every event that isn't specific is generic.
     """
+    for c, default in (("generic", ~F.col("specific")), ("generic_other", F.lit(False)), ("title_match", F.col("name_match"))):
+        pairs = pairs if c in pairs.columns else pairs.withColumn(c, default)
     similar, tags, title = F.least(F.col("entity_hits") / 3, F.lit(1.0)), F.least(F.col("tag_hits") / 2, F.lit(1.0)), F.least(F.col("title_hits") / 2, F.lit(1.0))
     together = F.least((F.col("event_hits") + F.col("entity_hits")) / 6, F.lit(1.0))
     direct = (F.col("symbol_match") > 0) | (F.col("name_match") > 0)
     chain = F.when(F.col("name_match") > 0, 1.0).when(F.col("symbol_match") > 0, 0.9).when((F.col("entity_hits") > 0) | (F.col("tag_hits") > 0), 0.7).otherwise(0.2)
     nothing = (F.col("event_hits") == 0) & (F.col("entity_hits") == 0) & (tags == 0) & (title == 0)
+    vague = F.col("generic_other") & (tags == 0) & (F.col("entity_hits") < 2) & (F.col("title_match") == 0)
     general = 0.24 * F.col("industry_match") + 0.18 * similar + 0.18 * tags + 0.10 * title + 0.14 * chain + 0.10 * together
     exact = 0.28 * F.col("industry_match") + 0.18 * similar + 0.10 * tags + 0.08 * title + 0.20 * chain + 0.14 * together + 0.06 * F.col("symbol_match") + 0.04 * F.col("name_match")
-    score = F.when(direct, exact).when(F.col("specific") | (F.col("industry_match") == 0) | nothing, 0.0).otherwise(general)
+    zero = ~direct & (F.col("specific") | F.col("generic") & ((F.col("industry_match") == 0) | nothing | vague))
+    score = F.when(zero, 0.0).when(F.col("generic") & ~direct, general).otherwise(exact)
     return pairs.withColumn("score", F.floor(score * 1e4 + 0.5) / 1e4)
 
 
-def best_links(pairs: DataFrame, top_k: int = 3, min_score: float = 0.35) -> DataFrame:
-    """The links of each event by falling score; without a direct match in front, at most min(top_k, 2) stay."""
-    ranked = Window.partitionBy("event_id").orderBy(F.desc("score"), "entity")
-    direct = ((F.col("symbol_match") > 0) | (F.col("name_match") > 0)).cast("int")
-    found = scored(pairs).filter(F.col("score") >= min_score).withColumns({"rank": F.row_number().over(ranked), "direct_first": F.first(direct).over(ranked)})
-    limit = F.when(F.col("specific") | (F.col("direct_first") > 0), top_k).otherwise(min(top_k, 2))
-    kind = F.when(direct > 0, "direct_match").when(F.col("industry_match") > 0, "industry_match").otherwise("candidate")
-    return found.filter(F.col("rank") <= limit).withColumn("link_type", kind).drop("direct_first")
+def candidates(events: DataFrame, entities: DataFrame, rules: LinkRules, top_k: int) -> DataFrame:
+    """Pairs with the columns of ``scored``: all that match by symbol, name or tag, and the best of the industry."""
+    industry = F.when(F.col("industry").isin(*rules.keywords), F.col("industry")).otherwise(rules.other)
+    ev = event_features(events, entities, rules).withColumn("event_industry", industry).withColumn("level", F.least("event_hits", F.lit(6)))
+    of = entity_features(entities, rules)
+    one = of.filter(F.col("event_industry") == rules.other)
+    slim = ev.select("event_id", "symbol", "names", "found_tags", "wanted", "event_industry", "level", "generic")
+    by_symbol = slim.filter("symbol <> ''").join(one.select("entity", F.substring_index("code", ".", 1).alias("symbol")), "symbol").select("event_id", "entity")
+    by_name = slim.select("event_id", F.explode("names").alias("entity_name")).join(one.select("entity", "entity_name"), "entity_name").select("event_id", "entity")
+    tagged = slim.filter("generic").select("event_id", F.col("wanted").alias("category"), F.explode("found_tags").alias("tag"))
+    by_tag = tagged.join(one.select("entity", "category", F.explode(F.array_distinct("tags")).alias("tag")), ["category", "tag"]).select("event_id", "entity")
+    level = of.withColumn("level", F.explode(F.sequence(F.lit(0), F.lit(6))))
+    least = level.withColumns({"industry_match": F.lit(1), "symbol_match": F.lit(0), "name_match": F.lit(0), "title_match": F.lit(0), "tag_hits": F.lit(0), "title_hits": F.lit(2), "event_hits": F.col("level"), "specific": F.lit(False), "generic": F.lit(True), "generic_other": F.col("event_industry") == rules.other})
+    order = Window.partitionBy("category", "event_industry", "level").orderBy(F.desc("score"), "place")
+    # entities of no industry's keywords too: an event of another name falls to the other keywords, where its category still decides
+    best = scored(least).withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= top_k).select("category", "event_industry", "level", "entity")
+    by_industry = slim.filter("generic").withColumnRenamed("wanted", "category").join(best, ["category", "event_industry", "level"]).select("event_id", "entity")
+    pairs = by_symbol.unionByName(by_name).unionByName(by_tag).unionByName(by_industry).distinct()
+    both = pairs.join(ev.drop("subject", "summary"), "event_id").join(of, ["entity", "event_industry"])
+    within = lambda c: F.coalesce((F.col("entity_name") != "") & F.contains(F.coalesce(c, F.lit("")), F.col("entity_name")), F.lit(False)).cast("int")
+    return both.select(
+        "event_id", "entity", "place", (F.col("category") == F.col("wanted")).cast("int").alias("industry_match"), ((F.substring_index("code", ".", 1) == F.col("symbol")) & (F.col("symbol") != "")).cast("int").alias("symbol_match"),
+        F.array_contains("names", F.col("entity_name")).cast("int").alias("name_match"), within(F.col("title")).alias("title_match"), "event_hits", "entity_hits",
+        F.size(F.filter("tags", lambda x: F.array_contains("found_tags", x))).alias("tag_hits"), "title_hits", "specific", "generic", (F.col("generic") & (F.col("industry") == rules.other)).alias("generic_other"), "members",
+    )
+
+
+def best_links(pairs: DataFrame, rules: LinkRules, top_k: int = 3, min_score: float = 0.35) -> DataFrame:
+    """The best links of each event: entity, score, rank, link_type.
+
+    A generic event without a direct match in the first place gets at most two
+    (of no industry) or four; one of no industry needs a higher score.
+    """
+    direct = (F.col("symbol_match") > 0) | (F.col("name_match") > 0)
+    least = F.when(F.col("generic_other"), max(min_score, rules.other_threshold)).otherwise(min_score)
+    order = Window.partitionBy("event_id").orderBy(F.desc("score"), "place")
+    ranked = scored(pairs).filter(F.col("score") >= least).withColumns({"rank": F.row_number().over(order), "first_direct": F.first(direct).over(order)})
+    few, some = rules.limits
+    limit = F.when(~F.col("generic") | F.col("first_direct"), top_k).when(F.col("generic_other"), min(top_k, few)).otherwise(min(top_k, some))
+    kind = F.when(direct, "direct_match").when(F.col("industry_match") > 0, "industry_match").otherwise("candidate")
+    return ranked.filter(F.col("rank") <= limit).withColumn("link_type", kind).drop("first_direct")
+
+
+def links(events: DataFrame, entities: DataFrame, rules: LinkRules, top_k: int = 3, min_score: float = 0.35) -> DataFrame:
+    """Links of every member of every event: (member, entity, score, rank, link_type, event_id)."""
+    best = best_links(candidates(events, entities, rules, top_k), rules, top_k, min_score)
+    return best.select(F.explode("members").alias("member"), "entity", "score", "rank", "link_type", "event_id")
+
+
+def refreshed(old: DataFrame, new: DataFrame) -> DataFrame:
+    """Stored links after a run: those of untouched members, and the new ones; an old link of a touched member that isn't new goes."""
+    return without_stale(old, new.select(*old.columns), ["member"])

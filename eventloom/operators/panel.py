@@ -25,9 +25,12 @@ def compound(returns: Column, at_least: int = 1) -> Column:
     return lambda frame: F.when(F.count(returns).over(frame) >= at_least, F.product(1 + returns).over(frame) - 1)
 
 
-def daily_panel(series: DataFrame, variant: str = "previous", entity: str = "entity", day: str = "day") -> DataFrame:
+def daily_panel(series: DataFrame, variant: str = "previous", entity: str = "entity", day: str = "day", change: str | None = None) -> DataFrame:
     """Features and forward labels of each (entity, day) of a series with close and volume.
 
+    With ``change``, a column of changes in percent, these are the returns, and
+    close isn't read.
+
     variant ``previous``: the volume ratio is to the 4 rows before, and one
     return is enough.  ``rolling``: the ratio is to 20 rows with the current
     one, compounds need two returns (so the 1-row forward one is always null),
@@ -36,7 +39,7 @@ def daily_panel(series: DataFrame, variant: str = "previous", entity: str = "ent
     least = 2 if variant == "rolling" else 1
     r = F.col("daily_return")
     by = Window.partitionBy(entity).orderBy(day)
-    panel = simple_returns(series, entity, day)
+    panel = simple_returns(series, entity, day) if change is None else series.withColumn("daily_return", F.col(change) / 100)
     out = {}
     for n in HORIZONS:
         frame = by.rowsBetween(1 - n, 0)
@@ -61,3 +64,13 @@ def limit_flags(df: DataFrame, code: str, change: str) -> DataFrame:
     """``df`` with is_limit_up and is_limit_down: change in percent within 0.3 of the limit."""
     edge = board_limit(F.col(code)) * 100 - 0.3
     return df.withColumns({"is_limit_up": F.col(change) >= edge, "is_limit_down": F.col(change) <= -edge})
+
+
+def joined_panel(quotes: DataFrame, basics: DataFrame, factors: DataFrame, entity: str = "entity", day: str = "day", change: str = "pct_chg", volume: str = "volume") -> DataFrame:
+    """The panel of changes of quotes, with each day's basics (valuations, their own volume ratio) and adjustment factor joined.
+
+    Entities and days are those of the quotes; what the other tables lack is null.
+    """
+    panel = daily_panel(quotes.withColumnRenamed(volume, "volume"), "previous", entity, day, change).drop("volume_ratio").withColumnRenamed("volume", volume)
+    limits = limit_flags(panel, "code", change) if "code" in quotes.columns else panel
+    return limits.join(basics, [entity, day], "left").join(factors, [entity, day], "left")

@@ -67,6 +67,19 @@ def merged(pack: RulePack, feedback: dict[str, dict[str, list[str]]]) -> RulePac
     return replace(pack, **out)
 
 
+def feedback(rows) -> dict[str, dict[str, list[str]]]:
+    """Keywords by dimension and label from a table (dimension, label, keyword, enabled); only enabled, filled rows count.
+
+    A rule table is small by nature; it is read to the driver, where rules are literals of expressions.
+    """
+    out: dict[str, dict[str, list[str]]] = {}
+    for r in rows.select("dimension", "label", "keyword", "enabled").distinct().orderBy("dimension", "label", "keyword").collect():
+        words = [(r[c] or "").strip() for c in ("dimension", "label", "keyword")]
+        if all(words) and str(r["enabled"]).strip().lower() not in ("0", "false", "no", "n", ""):
+            out.setdefault(words[0], {}).setdefault(words[1], []).append(words[2])
+    return out
+
+
 def from_json(text: str) -> RulePack:
     """A pack from a JSON object with the fields' names."""
     return RulePack(**{k: tuple(map(lambda x: tuple(x) if isinstance(x, list) else x, v)) if isinstance(v, list) else v for k, v in json.loads(text).items()})

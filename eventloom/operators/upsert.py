@@ -54,8 +54,8 @@ def staged(rows: DataFrame, types: dict[str, str], defaults: dict[str, object])
     return rows.select([F.coalesce(F.nullif(F.trim(c), F.lit("")).try_cast(types.get(c, "string")), F.lit(defaults.get(c))).alias(c) for c in rows.columns])
 
 
-def sharded(rows: DataFrame, key: str, shards: int, shard: int) -> DataFrame:
-    """Rows whose place in the order of ``key`` leaves ``shard`` modulo ``shards``.
+def numbered(rows: DataFrame, key: str, out: str) -> DataFrame:
+    """``rows`` with their place, from 0, in the order of a unique key.
 
     Places come from counts by range partition, so no task sees all rows: the
     rows are range partitioned by the key, numbered inside, and shifted by the
@@ -65,5 +65,9 @@ def sharded(rows: DataFrame, key: str, shards: int, shard: int) -> DataFrame:
     parts = parts.withColumn("_p", F.shiftright("_g", 33))
     sizes = parts.groupBy("_p").agg(F.count(F.lit(1)).alias("_n"), F.min("_g").alias("_lo"))
     starts = sizes.withColumn("_start", F.coalesce(F.sum("_n").over(Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    place = F.col("_start") + F.col("_g") - F.col("_lo")
-    return parts.join(starts, "_p").filter(F.pmod(place, F.lit(shards)) == shard).select(*rows.columns)
+    return parts.join(starts, "_p").withColumn(out, F.col("_start") + F.col("_g") - F.col("_lo")).select(*rows.columns, out)
+
+
+def sharded(rows: DataFrame, key: str, shards: int, shard: int) -> DataFrame:
+    """Rows whose place in the order of ``key`` leaves ``shard`` modulo ``shards``."""
+    return numbered(rows, key, "_place").filter(F.pmod("_place", F.lit(shards)) == shard).drop("_place")

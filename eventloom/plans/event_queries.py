@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 
 
-from ..operators import canonical, detect, graph, linking, quality, retrieval, rules, upsert
+from ..operators import canonical, detect, graph, quality, retrieval, rules, upsert
 from ..sources import files
 from . import bindings as b
 
@@ -36,27 +36,6 @@ def classify_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "event_id", "subject_type", "industry_type", "predictability_type", "duration_type", "sentiment", *[F.col(c).cast("long") for c in ("heat_score", "novelty_score", "intensity_score")])
 
 
-def structured_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = detect.structured_events(documents(spark, sf_dir), PACK, "doc_id")
-    return found.groupBy("subject_type", "sentiment").agg(F.count(F.lit(1)).alias("events"), F.sum("heat_score").alias("heat"), F.min("doc_id").alias("first_doc"))
-
-
-def _entities(spark: SparkSession, sf_dir: str) -> DataFrame:
-    s = b.table(spark, sf_dir, "supplier").join(b.table(spark, sf_dir, "nation"), F.col("s_nationkey") == F.col("n_nationkey"))
-    return s.select(F.col("s_suppkey").alias("entity"), F.col("n_regionkey").alias("industry"), F.pmod("s_suppkey", F.lit(7)).alias("entity_hits"))
-
-
-def link_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders as events scored against the suppliers of their lines and the suppliers of one nation as peers."""
-    o = b.table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("event_id"), F.pmod("o_custkey", F.lit(5)).alias("event_industry"), F.pmod("o_orderkey", F.lit(4)).alias("event_hits"), (F.col("o_orderstatus") == "F").alias("specific"))
-    own = b.table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("event_id"), F.col("l_suppkey").alias("entity"), (F.col("l_linenumber") == 1).cast("int").alias("symbol_match"))
-    own = own.groupBy("event_id", "entity").agg(F.max("symbol_match").alias("symbol_match"))
-    pairs = own.join(o, "event_id").join(_entities(spark, sf_dir), "entity")
-    pairs = pairs.withColumns({"industry_match": (F.col("industry") == F.col("event_industry")).cast("int"), "name_match": (F.pmod(F.col("event_id") + F.col("entity"), F.lit(11)) == 0).cast("int"), "tag_hits": F.pmod(F.col("event_id") + F.col("entity"), F.lit(3)), "title_hits": F.pmod(F.col("event_id"), F.lit(3))})
-    found = linking.best_links(pairs)
-    return found.select("event_id", "entity", "score", F.col("rank").cast("long"), "link_type")
-
-
 def _relations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Suppliers of a region as related: by neighbouring keys of their part lines, half of them undirected."""
     l = b.table(spark, sf_dir, "lineitem")  # noqa: E741
@@ -65,23 +44,24 @@ def _relations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def propagate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    links = b.links(spark, sf_dir).groupBy("event_id", "entity").agg(F.max("score").alias("score")).filter("score >= 0.9")
+    links = b.links(spark, sf_dir).groupBy("event_id", "entity").agg(F.max("score").alias("score"))
     found = graph.propagated(links, _relations(spark, sf_dir))
     return found.groupBy("source", "target").agg(F.count(F.lit(1)).alias("edges"), F.max("score").alias("best"), F.max("relation_id").alias("relation_id"))
 
 
 def cluster_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = graph.cluster_links(b.links(spark, sf_dir).withColumn("cluster", F.pmod("event_id", F.lit(500))))
-    return found.select("cluster", "entity", "score", "events", F.element_at("members", 1).alias("first_member"))
+    return found.select("cluster", "entity", "score", "events", F.array_join(F.col("members").cast("array<string>"), ",").alias("members"))
 
 
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents as named events: subject by language, name from the first words, tokens of the title."""
+    """Documents as named events: subject by language, the title's letters as name and its words as tokens, long numbers as entities."""
     d = documents(spark, sf_dir).filter(F.length("title") > 0)
     tokens = F.array_distinct(F.filter(F.regexp_extract_all(F.lower("title"), F.lit("[a-z]+"), F.lit(0)), lambda x: F.length(x) >= 4))
+    numbers = F.array_distinct(F.regexp_extract_all("content", F.lit("[0-9]{7,}"), F.lit(0)))
     return d.select(
-        F.col("doc_id").alias("id"), F.col("lang").alias("subject"), F.col("source").alias("industry"), F.to_date("publish_time").alias("day"), F.array().cast("array<string>").alias("entities"),
-        F.lower(F.regexp_replace("title", "[^A-Za-z]", "")).alias("name"), tokens.alias("name_tokens"), tokens.alias("all_tokens"), F.pmod("doc_id", F.lit(100)).alias("heat"), F.lit(0).alias("intensity"),
+        F.col("doc_id").alias("id"), F.col("lang").alias("subject"), F.col("source").alias("industry"), "source", F.concat(F.lit("s"), (F.col("doc_id") % 3).cast("string")).alias("impact_scope"), F.to_date("publish_time").alias("day"), numbers.alias("entities"),
+        F.lower(F.regexp_replace("title", "[^A-Za-z]", "")).alias("name"), tokens.alias("name_tokens"), F.array_union(tokens, numbers).alias("all_tokens"), F.pmod("doc_id", F.lit(100)).alias("heat"), F.pmod("doc_id", F.lit(7)).alias("intensity"),
     )
 
 
@@ -90,12 +70,8 @@ def canonical_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _cut(spark: SparkSession):
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        import tempfile
-
-        root = f"file://{tempfile.mkdtemp(prefix='eventloom-')}"
-    base, n = f"{root.rstrip('/')}/canonical-{uuid.uuid4().hex}", iter(range(1 << 20))
+    """Writes a table to the shared folder and reads it back; only a local session without one gets a folder of its machine."""
+    base, n = f"{b.shared_folder(spark)}/canonical-{uuid.uuid4().hex}", iter(range(1 << 20))
 
     def cut(df: DataFrame) -> DataFrame:
         path, schema = f"{base}/{next(n)}", df.schema
@@ -108,8 +84,9 @@ def _cut(spark: SparkSession):
 def canonical_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = _cut(spark)
     events = cut(_events(spark, sf_dir))
-    found = canonical.canonical_rows(canonical.clusters(events, cut(canonical.merge_pairs(events)), cut))
-    return found.select("canonical_id", "cluster", "cluster_size", "date_start", "date_end", "representative", "industry", F.col("max_heat").cast("long"))
+    found = canonical.canonical_rows(canonical.clusters(events, cut(canonical.merge_pairs(events, cut=cut)), cut), ("subject", "industry", "impact_scope"))
+    lists = [F.array_join(F.col("members").cast("array<string>"), ",").alias("members"), F.array_join("entities", ",").alias("entities"), F.array_join(F.transform("sources", lambda x: F.concat_ws(":", x["source"], x["n"].cast("string"))), ",").alias("sources")]
+    return found.select("canonical_id", "cluster", "cluster_size", "date_start", "date_end", "representative", "subject", "industry", "impact_scope", F.col("max_heat").cast("long"), F.col("max_intensity").cast("long"), *lists)
 
 
 def fill_report(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -168,7 +145,7 @@ def shard_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 def page_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Titles, charsets and link counts of pages by patterns."""
     p = files.article(b.table(spark, sf_dir, "pages"), "html")
-    return p.select("page_id", "title", F.size(files.links_of(F.col("html"), '<a href="([^"]+)"')).cast("long").alias("n_links"), F.length("body").cast("long").alias("n_body"))
+    return p.select("page_id", "title", F.array_join(files.links_of(F.col("html"), '<a href="([^"]+)"'), " ").alias("links"), F.md5(F.col("body").cast("binary")).alias("body"))
 
 
 def event_props(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -192,7 +169,7 @@ def vector_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 def text_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines of documents packed into chunks of at most 400 characters."""
     found = retrieval.chunked(b.table(spark, sf_dir, "documents"), "doc_id", "text", 400)
-    return found.groupBy("doc_id").agg(F.count(F.lit(1)).alias("chunks"), F.sum(F.length("content")).alias("chars"))
+    return found.select("doc_id", F.col("chunk").cast("long"), F.md5(F.col("content").cast("binary")).alias("content"))
 
 
 def order_partners(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -203,7 +180,7 @@ def order_partners(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (detect_events, classify_events, structured_events, link_events, propagate, cluster_links, canonical_pairs, canonical_clusters, fill_report, source_overview, profile_progress, dictionary_misses, year_rollup, quality_sample, dedup_urls, upsert_documents, pending_orders, shard_scan, page_articles, event_props, keyword_search, vector_top_k, text_chunks, order_partners)
+    for f in (detect_events, classify_events, propagate, cluster_links, canonical_pairs, canonical_clusters, fill_report, source_overview, profile_progress, dictionary_misses, year_rollup, quality_sample, dedup_urls, upsert_documents, pending_orders, shard_scan, page_articles, event_props, keyword_search, vector_top_k, text_chunks, order_partners)
 }
 
 
@@ -234,6 +211,14 @@ def _best(text: str, rules_of: dict, default: str) -> str:
     return f"CASE WHEN {most} = 0 THEN {_q(default)} {cases} END"
 
 
+def _plain(x: str) -> str:
+    """Text without tags, as without_tags gives it."""
+    x = f"regexp_replace(regexp_replace({x}, '(?is)<(?:script|style)\\b.*?</(?:script|style)>', ' ', 'g'), '(?s)<[^>]+>', ' ', 'g')"
+    for name, char in (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "''"), ("&amp;", "&")):
+        x = f"replace({x}, '{name}', '{char}')"
+    return f"trim(regexp_replace({x}, '\\s+', ' ', 'g'))"
+
+
 _CANON = "lower(regexp_replace(regexp_replace({0}, '\\s+', '', 'g'), '[，。、“”‘’!！?？:：;；,.]', '', 'g'))"
 _DOCS = f"""docs AS (SELECT doc_id, source, lang, split_part(text, chr(10), 1) AS title, substr(text, length(split_part(text, chr(10), 1)) + 2) AS content,
   make_timestamp((1704067200 + (doc_id % 365) * 86400) * 1000000) AS publish_time FROM documents),
@@ -279,40 +264,34 @@ def _classify_sql(source: str) -> str:
 
 
 _FULL = f"WITH {_DOCS}, {_detect_sql()}"
-_EVENTS = f"""WITH {_DOCS}, ev AS (SELECT doc_id AS id, lang AS subject, source AS industry, CAST(publish_time AS DATE) AS day, lower(regexp_replace(title, '[^A-Za-z]', '', 'g')) AS name,
-  list_distinct(list_filter(regexp_extract_all(lower(title), '[a-z]+'), lambda x: length(x) >= 4)) AS tk, doc_id % 100 AS heat FROM docs WHERE length(title) > 0),
+_EVENTS = f"""WITH {_DOCS}, e1 AS (SELECT *, list_distinct(list_filter(regexp_extract_all(lower(title), '[a-z]+'), lambda x: length(x) >= 4)) AS tk, list_distinct(regexp_extract_all(content, '[0-9]{{7,}}')) AS en, regexp_extract_all(content, '[0-9]{{7,}}') AS el FROM docs WHERE length(title) > 0),
+ev AS (SELECT doc_id AS id, lang AS subject, source AS industry, CAST(publish_time AS DATE) AS day, lower(regexp_replace(title, '[^A-Za-z]', '', 'g')) AS name, tk, en, list_filter(el, lambda v, i: list_position(el, v) = i) AS eo, list_distinct(tk || en) AS at, doc_id % 100 AS heat, doc_id % 7 AS intensity, 's' || (doc_id % 3) AS impact_scope FROM e1),
 pr AS (SELECT a.id AS a, b.id AS b FROM ev a JOIN ev b ON a.subject = b.subject AND a.id < b.id AND abs(a.day - b.day) <= 3
-  WHERE (len(a.tk) > 0 AND len(b.tk) > 0 AND len(list_intersect(a.tk, b.tk)) / len(list_distinct(a.tk || b.tk)) >= CASE WHEN a.industry = b.industry THEN 0.38 ELSE 0.5 END)
+  WHERE list_has_any(a.en, b.en) OR (len(a.tk) > 0 AND len(b.tk) > 0 AND len(list_intersect(a.tk, b.tk)) / len(list_distinct(a.tk || b.tk)) >= 0.5)
+     OR (a.industry = b.industry AND len(a.at) > 0 AND len(b.at) > 0 AND len(list_intersect(a.at, b.at)) / len(list_distinct(a.at || b.at)) >= 0.38)
      OR (a.name <> '' AND b.name <> '' AND (contains(a.name, b.name) OR contains(b.name, a.name))))"""
 _BODY = "(length(trim(content)) >= 300 AND trim(content) <> trim(title) AND NOT (starts_with(trim(content), trim(title)) AND length(trim(content)) <= length(trim(title)) + 40))"
 
 ORACLE_SQL = {
     "detect_events": f"{_FULL} SELECT doc_id, dedup_key, dup AS duplicate_group_size, filter_reason = 'event_signal_detected' AS is_event, filter_reason, s AS score FROM det",
     "classify_events": f"WITH {_DOCS}, {_classify_sql('dd')} SELECT doc_id, event_id, subject_type, industry_type, predictability_type, duration_type, sentiment, heat_score, novelty_score, intensity_score FROM cl",
-    "structured_events": f"{_FULL}, one AS (SELECT * FROM det WHERE filter_reason = 'event_signal_detected' QUALIFY row_number() OVER (PARTITION BY dedup_key ORDER BY doc_id) = 1), {_classify_sql('one')} SELECT subject_type, sentiment, count(*) AS events, CAST(sum(heat_score) AS BIGINT) AS heat, min(doc_id) AS first_doc FROM cl GROUP BY 1, 2",
-    "link_events": """WITH own AS (SELECT l_orderkey AS event_id, l_suppkey AS entity, max(CASE WHEN l_linenumber = 1 THEN 1 ELSE 0 END) AS sm FROM lineitem GROUP BY 1, 2),
-p AS (SELECT event_id, entity, sm, (event_id + entity) % 11 = 0 AS nm, CASE WHEN n_regionkey = o_custkey % 5 THEN 1 ELSE 0 END AS im, event_id % 4 AS eh, s_suppkey % 7 AS nh, (event_id + entity) % 3 AS th, event_id % 3 AS ti, o_orderstatus = 'F' AS spec
-  FROM own JOIN orders ON event_id = o_orderkey JOIN supplier ON entity = s_suppkey JOIN nation ON s_nationkey = n_nationkey),
-q AS (SELECT *, sm > 0 OR nm AS direct, least(CAST(nh AS DOUBLE) / 3, CAST(1 AS DOUBLE)) AS sim, least(CAST(th AS DOUBLE) / 2, CAST(1 AS DOUBLE)) AS tg, least(CAST(ti AS DOUBLE) / 2, CAST(1 AS DOUBLE)) AS tt, least(CAST(eh + nh AS DOUBLE) / 6, CAST(1 AS DOUBLE)) AS tog,
-  CAST(CASE WHEN nm THEN 1.0 WHEN sm > 0 THEN 0.9 WHEN nh > 0 OR th > 0 THEN 0.7 ELSE 0.2 END AS DOUBLE) AS ch FROM p),
-r AS (SELECT *, floor(CASE WHEN direct THEN 0.28::DOUBLE * im + 0.18::DOUBLE * sim + 0.10::DOUBLE * tg + 0.08::DOUBLE * tt + 0.20::DOUBLE * ch + 0.14::DOUBLE * tog + 0.06::DOUBLE * sm + 0.04::DOUBLE * CAST(nm AS INT)
-  WHEN spec OR im = 0 OR (eh = 0 AND nh = 0 AND th = 0 AND ti = 0) THEN 0::DOUBLE ELSE 0.24::DOUBLE * im + 0.18::DOUBLE * sim + 0.18::DOUBLE * tg + 0.10::DOUBLE * tt + 0.14::DOUBLE * ch + 0.10::DOUBLE * tog END * 1e4 + 0.5) / 1e4 AS score FROM q),
-w AS (SELECT *, row_number() OVER o AS rank, first_value(direct) OVER o AS df FROM r WHERE score >= 0.35 WINDOW o AS (PARTITION BY event_id ORDER BY score DESC, entity))
-SELECT event_id, entity, score, rank, CASE WHEN direct THEN 'direct_match' WHEN im > 0 THEN 'industry_match' ELSE 'candidate' END AS link_type FROM w WHERE rank <= CASE WHEN spec OR df THEN 3 ELSE 2 END""",
-    "propagate": f"""WITH {b.LINKS_SQL}, near AS (SELECT event_id, entity AS source, max(score) AS ss FROM links GROUP BY 1, 2 HAVING max(score) >= 0.9),
+    "propagate": f"""WITH {b.LINKS_SQL}, near AS (SELECT event_id, entity AS source, max(score) AS ss FROM links GROUP BY 1, 2 HAVING max(score) >= 0.35),
 rel AS (SELECT relation_id, source, target, d * 8 + 0.2::DOUBLE AS strength, relation_id % 2 = 0 AS un FROM (SELECT l_suppkey AS source, l_partkey % 50 AS target, min(l_orderkey) AS relation_id, max(l_discount) AS d FROM lineitem GROUP BY 1, 2)),
 sy AS (SELECT relation_id, source, target, strength FROM rel UNION ALL SELECT relation_id, target, source, strength FROM rel WHERE un),
 h AS (SELECT event_id, near.source, target, relation_id, floor(ss * strength * 1e4 + 0.5) / 1e4 AS score, strength FROM near JOIN sy ON near.source = sy.source WHERE near.source <> target),
 one AS (SELECT * FROM h WHERE score >= 0.2 QUALIFY row_number() OVER (PARTITION BY event_id, source, target ORDER BY relation_id DESC, strength DESC) = 1)
 SELECT source, target, count(*) AS edges, max(score) AS best, max(relation_id) AS relation_id FROM one GROUP BY 1, 2""",
-    "cluster_links": f"WITH {b.LINKS_SQL} SELECT event_id % 500 AS cluster, entity, max(score) AS score, count(DISTINCT event_id) AS events, min(event_id) AS first_member FROM links GROUP BY 1, 2",
+    "cluster_links": f"WITH {b.LINKS_SQL} SELECT event_id % 500 AS cluster, entity, max(score) AS score, count(DISTINCT event_id) AS events, string_agg(DISTINCT event_id, ',' ORDER BY event_id) AS members FROM links GROUP BY 1, 2",
     "canonical_pairs": f"{_EVENTS} SELECT a, b FROM pr",
     "canonical_clusters": _EVENTS.replace("WITH ", "WITH RECURSIVE ", 1) + """, e2 AS (SELECT a AS x, b AS y FROM pr UNION SELECT b, a FROM pr), reach(v, w) AS (SELECT x, x FROM e2 UNION SELECT reach.v, e2.y FROM reach JOIN e2 ON reach.w = e2.x),
 cc AS (SELECT v, min(w) AS c FROM reach GROUP BY 1), m AS (SELECT ev.*, coalesce(c, id) AS cluster FROM ev LEFT JOIN cc ON id = v),
-ind AS (SELECT cluster, industry FROM (SELECT cluster, industry, count(*) AS n, min(id) AS f FROM m GROUP BY 1, 2) QUALIFY row_number() OVER (PARTITION BY cluster ORDER BY n DESC, f) = 1),
-rep AS (SELECT cluster, id AS representative FROM m QUALIFY row_number() OVER (PARTITION BY cluster ORDER BY heat DESC, length(name) DESC, id) = 1)
-SELECT 'CEVT-' || substr(md5(string_agg(CAST(id AS VARCHAR), '|' ORDER BY id)), 1, 10) AS canonical_id, m.cluster, count(*) AS cluster_size, min(day) AS date_start, max(day) AS date_end, any_value(representative) AS representative, any_value(ind.industry) AS industry, max(heat) AS max_heat
-FROM m JOIN ind ON m.cluster = ind.cluster JOIN rep ON m.cluster = rep.cluster GROUP BY m.cluster""",
+""" + ", ".join(f"m_{c} AS (SELECT cluster, {c} FROM (SELECT cluster, {c}, count(*) AS n, min(id) AS f FROM m GROUP BY 1, 2) QUALIFY row_number() OVER (PARTITION BY cluster ORDER BY n DESC, f) = 1)" for c in ("subject", "industry", "impact_scope")) + """,
+rep AS (SELECT cluster, id AS representative FROM m QUALIFY row_number() OVER (PARTITION BY cluster ORDER BY heat DESC, intensity DESC, length(name) DESC, id) = 1),
+so AS (SELECT cluster, string_agg(industry || ':' || n, ',' ORDER BY industry) AS sources FROM (SELECT cluster, industry, count(*) AS n FROM m GROUP BY 1, 2) GROUP BY 1),
+en AS (SELECT cluster, string_agg(x, ',' ORDER BY o) AS entities FROM (SELECT cluster, x, min(o) AS o FROM (SELECT cluster, unnest(eo) AS x, id * 100000 + unnest(range(len(eo))) AS o FROM m) GROUP BY 1, 2) GROUP BY 1)
+SELECT 'CEVT-' || substr(md5(string_agg(CAST(id AS VARCHAR), '|' ORDER BY id)), 1, 10) AS canonical_id, m.cluster, count(*) AS cluster_size, min(day) AS date_start, max(day) AS date_end, any_value(representative) AS representative, any_value(m_subject.subject) AS subject, any_value(m_industry.industry) AS industry, any_value(m_impact_scope.impact_scope) AS impact_scope, max(heat) AS max_heat, max(intensity) AS max_intensity,
+  string_agg(CAST(id AS VARCHAR), ',' ORDER BY id) AS members, coalesce(any_value(entities), '') AS entities, any_value(sources) AS sources
+FROM m JOIN m_subject USING (cluster) JOIN m_industry USING (cluster) JOIN m_impact_scope USING (cluster) JOIN rep USING (cluster) JOIN so USING (cluster) LEFT JOIN en USING (cluster) GROUP BY m.cluster""",
     "fill_report": "SELECT 'documents' AS area, metric, value, total, CASE WHEN value / total >= 0.95 THEN 'OK' WHEN value / total >= 0.8 THEN 'WARN' ELSE 'BLOCK' END AS status FROM ("
     + " UNION ALL ".join(f"SELECT '{c}' AS metric, count(*) FILTER (trim(CAST({c} AS VARCHAR)) <> '') AS value, count(*) AS total FROM documents" for c in ("doc_id", "text", "lang", "source", "n_chars"))
     + ")",
@@ -330,6 +309,12 @@ g AS (SELECT profile, count(*) AS rows, count(*) FILTER ({_BODY}) AS good_rows,
     "keyword_search": f"WITH {_DOCS} SELECT doc_id, source FROM docs WHERE content ILIKE '%License%' OR content ILIKE '%stupid%' ORDER BY doc_id DESC LIMIT 20",
     "vector_top_k": """WITH n AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS e FROM embeddings), p AS (SELECT a.vec_id AS query_id, b.vec_id AS id, floor(list_dot_product(a.e, b.e) / (sqrt(list_dot_product(a.e, a.e)) * sqrt(list_dot_product(b.e, b.e)) + 1e-8) * 1e6 + 0.5) / 1e6 AS s FROM n a JOIN n b ON a.vec_id <> b.vec_id WHERE a.vec_id % 20 = 0)
 SELECT query_id, id, rank FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY s DESC, id) AS rank FROM p) WHERE rank <= 5""",
+    "page_articles": f"""WITH p AS (SELECT page_id, regexp_extract(html, '(?is)<h1[^>]*>(.*?)</h1>', 1) AS t, regexp_extract(html, '(?is)<article[^>]*>(.*?)(?:</article>|\\z)', 1) AS b, regexp_extract_all(html, '<a href="([^"]+)"', 1) AS l FROM pages)
+SELECT page_id, {_plain('t')} AS title, array_to_string(list_filter(l, lambda v, i: list_position(l, v) = i), ' ') AS links, md5({_plain('b')}) AS body FROM p""",
+    "text_chunks": """WITH RECURSIVE l AS (SELECT doc_id, list_filter(list_transform(string_split(text, chr(10)), lambda x: trim(x)), lambda x: x <> '') AS ls FROM documents WHERE text IS NOT NULL),
+f(doc_id, ls, i, chunk, acc) AS (SELECT doc_id, ls, 1, 0, ls[1] FROM l WHERE len(ls) > 0 UNION ALL
+  SELECT doc_id, ls, i + 1, CASE WHEN length(acc) + 1 + length(ls[i + 1]) <= 400 THEN chunk ELSE chunk + 1 END, CASE WHEN length(acc) + 1 + length(ls[i + 1]) <= 400 THEN acc || chr(10) || ls[i + 1] ELSE ls[i + 1] END FROM f WHERE i < len(ls))
+SELECT doc_id, chunk, md5(acc) AS content FROM f QUALIFY row_number() OVER (PARTITION BY doc_id, chunk ORDER BY i DESC) = 1""",
     "order_partners": f"WITH {b.LINKS_SQL} SELECT event_id, string_agg(DISTINCT \"group\", ', ' ORDER BY \"group\") AS partners FROM links GROUP BY 1",
 }
 

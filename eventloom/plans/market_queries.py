@@ -21,7 +21,7 @@ def _labels(spark: SparkSession, sf_dir: str) -> DataFrame:
 def control_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Suppliers without a strong order link on the day, by turnover, with forward labels."""
     links = b.links(spark, sf_dir).select("entity", F.col("event_date").alias("day"), "score")
-    return samples.control_samples(_features(spark, sf_dir), _labels(spark, sf_dir), links, per_day=10, min_score=0.8)
+    return samples.control_samples(_features(spark, sf_dir), _labels(spark, sf_dir), links, per_day=100, min_score=0.35)
 
 
 def panel_previous(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -51,7 +51,7 @@ def as_of_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _study(spark: SparkSession, sf_dir: str):
     days = event_study.common_days(panel.simple_returns(b.prices(spark, sf_dir)), panel.simple_returns(b.market(spark, sf_dir)))
-    links = b.links(spark, sf_dir).groupBy("event_id").agg(F.min("entity").alias("entity"), F.min("event_date").alias("event_date"))
+    links = b.links(spark, sf_dir).filter("score >= 0.35").select("event_id", "entity", "event_date").distinct()
     return days, event_study.aligned(links, days)
 
 
@@ -67,14 +67,14 @@ def market_model(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def abnormal_returns(spark: SparkSession, sf_dir: str) -> DataFrame:
     days, events = _study(spark, sf_dir)
-    cars = event_study.abnormal_returns(events, days, event_study.market_model(events, days))
-    return cars.select("event_id", *[rounded(F.col(c), 5).alias(c) for c in cars.columns[1:]])
+    cars = event_study.studied(events, days).filter("beta IS NOT NULL")
+    return cars.select("event_id", "entity", *[rounded(F.col(f"car_w{w}"), 5).alias(f"car_w{w}") for w in (1, 3, 5)])
 
 
 def event_study_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Mean and t-statistic of abnormal returns by the order's priority."""
     days, events = _study(spark, sf_dir)
-    cars = event_study.abnormal_returns(events, days, event_study.market_model(events, days))
+    cars = event_study.studied(events, days).filter("beta IS NOT NULL")
     o = b.table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("event_id"), "o_orderpriority", "o_totalprice")
     bucket = event_study.bucket3(F.col("o_totalprice") / 5000)
     rows = cars.join(o, "event_id").withColumn("price_bucket", bucket)
@@ -99,8 +99,9 @@ def market_environment(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Breadth of suppliers by day, the hottest nations, the joint series' state."""
     nation = b.table(spark, sf_dir, "supplier").join(b.table(spark, sf_dir, "nation"), F.col("s_nationkey") == F.col("n_nationkey")).select(F.col("s_suppkey").alias("entity"), F.col("n_name").alias("group"))
     quotes = panel.simple_returns(b.prices(spark, sf_dir)).join(nation, "entity", "left")
-    found = daily.market_environment(quotes, panel.simple_returns(b.market(spark, sf_dir)), 3)
-    return found.withColumn("hottest", F.col("hot_groups")[0]["group"]).drop("hot_groups")
+    found = daily.market_environment(quotes, panel.simple_returns(b.market(spark, sf_dir)), 10)
+    hot = F.transform("hot_groups", lambda x: F.concat_ws(":", x["rank"].cast("string"), x["group"], F.round(x["avg_return"] * 1e6).cast("long").cast("string"), x["n"].cast("string")))
+    return found.withColumn("hot_groups", F.array_join(hot, ","))
 
 
 QUERIES = {
@@ -133,17 +134,17 @@ def _panel_sql(rolling: bool) -> str:
 
 _LABELS = f"lab AS (SELECT entity, day, forward_return_1d, forward_return_3d, forward_return_5d FROM ({_panel_sql(False)}))"
 _DAYS = """days AS (SELECT entity, day, r, m, row_number() OVER (PARTITION BY entity ORDER BY day) - 1 AS idx FROM ret JOIN mret USING (day) WHERE r IS NOT NULL AND m IS NOT NULL),
-ev AS (SELECT o_orderkey AS event_id, min(l_suppkey) AS entity, CAST(min(o_orderdate) AS DATE) AS event_date FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY 1),
-nx AS (SELECT ev.event_id, d.day, d.idx FROM ev ASOF JOIN days d ON ev.entity = d.entity AND ev.event_date <= d.day),
-pv AS (SELECT ev.event_id, d.day, d.idx FROM ev ASOF JOIN days d ON ev.entity = d.entity AND ev.event_date >= d.day),
+ev AS (SELECT DISTINCT o_orderkey AS event_id, l_suppkey AS entity, CAST(o_orderdate AS DATE) AS event_date FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE l_quantity / 50 >= 0.35),
+nx AS (SELECT ev.event_id, ev.entity, d.day, d.idx FROM ev ASOF JOIN days d ON ev.entity = d.entity AND ev.event_date <= d.day),
+pv AS (SELECT ev.event_id, ev.entity, d.day, d.idx FROM ev ASOF JOIN days d ON ev.entity = d.entity AND ev.event_date >= d.day),
 al AS (SELECT ev.*, CASE WHEN nx.day - event_date <= 7 THEN nx.day WHEN event_date - pv.day <= 7 THEN pv.day END AS trade_day,
   CASE WHEN nx.day - event_date <= 7 THEN nx.idx WHEN event_date - pv.day <= 7 THEN pv.idx END AS idx,
   CASE WHEN nx.day - event_date <= 7 THEN CASE WHEN nx.day = event_date THEN 'exact' ELSE 'aligned_next_trade_date' END WHEN event_date - pv.day <= 7 THEN 'aligned_prev_trade_date' ELSE 'no_trade_date_within_gap' END AS alignment
-  FROM ev LEFT JOIN nx USING (event_id) LEFT JOIN pv USING (event_id)),
-fit AS (SELECT event_id, count(r) AS estimation_points, CASE WHEN count(r) >= 30 THEN regr_intercept(r, m) END AS alpha, CASE WHEN count(r) >= 30 THEN regr_slope(r, m) END AS beta
-  FROM al JOIN days d ON al.entity = d.entity AND d.idx BETWEEN al.idx - 120 AND al.idx - 20 GROUP BY 1),
-car AS (SELECT event_id, """ + ", ".join(f"CASE WHEN count(*) FILTER (d.idx - al.idx <= {w}) = {w + 1} THEN sum(r - (alpha + beta * m)) FILTER (d.idx - al.idx <= {w}) END AS car_w{w}" for w in (1, 3, 5)) + """
-  FROM al JOIN fit USING (event_id) JOIN days d ON al.entity = d.entity AND d.idx BETWEEN al.idx AND al.idx + 5 WHERE beta IS NOT NULL GROUP BY 1)"""
+  FROM ev LEFT JOIN nx USING (event_id, entity) LEFT JOIN pv USING (event_id, entity)),
+fit AS (SELECT event_id, al.entity, count(r) AS estimation_points, CASE WHEN count(r) >= 30 THEN regr_intercept(r, m) END AS alpha, CASE WHEN count(r) >= 30 THEN regr_slope(r, m) END AS beta
+  FROM al JOIN days d ON al.entity = d.entity AND d.idx BETWEEN al.idx - 120 AND al.idx - 20 GROUP BY 1, 2),
+car AS (SELECT al.event_id, al.entity, """ + ", ".join(f"CASE WHEN count(*) FILTER (d.idx - al.idx <= {w}) = {w + 1} THEN sum(r - (alpha + beta * m)) FILTER (d.idx - al.idx <= {w}) END AS car_w{w}" for w in (1, 3, 5)) + """
+  FROM al JOIN fit ON al.event_id = fit.event_id AND al.entity = fit.entity JOIN days d ON al.entity = d.entity AND d.idx BETWEEN al.idx AND al.idx + 5 WHERE beta IS NOT NULL GROUP BY ALL)"""
 _PX = "WITH " + b.PRICES_SQL
 
 ORACLE_SQL = {
@@ -154,7 +155,7 @@ SELECT * EXCLUDE (k), forward_return_1d > 0 AS up_1d, forward_return_3d > 0 AS u
   SELECT px.entity, px.day, amount AS turnover, forward_return_1d, forward_return_3d, forward_return_5d, 0 AS k,
     row_number() OVER (PARTITION BY px.day ORDER BY amount DESC NULLS LAST, px.entity) AS control_rank
   FROM px LEFT JOIN lab ON px.entity = lab.entity AND px.day = lab.day
-  WHERE NOT EXISTS (SELECT 1 FROM links WHERE links.entity = px.entity AND links.event_date = px.day AND links.score >= 0.8)) WHERE control_rank <= 10""",
+  WHERE NOT EXISTS (SELECT 1 FROM links WHERE links.entity = px.entity AND links.event_date = px.day AND links.score >= 0.35)) WHERE control_rank <= 100""",
     "event_samples": f"""{_PX}, {b.LINKS_SQL}, {_LABELS},
 sc AS (SELECT * FROM links WHERE score >= 0.35),
 br AS (SELECT event_id, count(DISTINCT entity) AS affected_entities, count(DISTINCT nullif("group", '')) AS affected_groups FROM sc GROUP BY 1),
@@ -167,8 +168,8 @@ FROM f JOIN br USING (event_id) LEFT JOIN lab ON lab.entity = f.entity AND lab.d
     "as_of_join": f"""{_PX}, o AS (SELECT o_orderkey AS event_id, o_custkey % 1000 AS entity, CAST(o_orderdate AS DATE) AS event_date FROM orders)
 SELECT event_id, o.entity, event_date, px.day AS feature_day, px.amount AS turnover FROM o ASOF LEFT JOIN px ON o.entity = px.entity AND o.event_date >= px.day""",
     "event_alignment": f"{_PX}, {_DAYS} SELECT * FROM al",
-    "market_model": f"{_PX}, {_DAYS} SELECT event_id, estimation_points, {_r('alpha')} AS alpha, {_r('beta')} AS beta FROM fit",
-    "abnormal_returns": f"{_PX}, {_DAYS} SELECT event_id, {', '.join(_r(f'car_w{w}', 5) + f' AS car_w{w}' for w in (1, 3, 5))} FROM car",
+    "market_model": f"{_PX}, {_DAYS} SELECT event_id, entity, estimation_points, {_r('alpha')} AS alpha, {_r('beta')} AS beta FROM fit",
+    "abnormal_returns": f"{_PX}, {_DAYS} SELECT event_id, entity, {', '.join(_r(f'car_w{w}', 5) + f' AS car_w{w}' for w in (1, 3, 5))} FROM car",
     "event_study_report": f"""{_PX}, {_DAYS} SELECT o_orderpriority, CASE WHEN o_totalprice / 5000 < 33 THEN 'low' WHEN o_totalprice / 5000 < 66 THEN 'mid' ELSE 'high' END AS price_bucket, count(car_w3) AS n,
   {_r('avg(car_w3)', 5)} AS mean, {_r('CASE WHEN count(car_w3) >= 2 AND stddev_samp(car_w3) > 0 THEN avg(car_w3) / (stddev_samp(car_w3) / sqrt(count(car_w3))) END', 3)} AS t_stat
 FROM car JOIN orders ON event_id = o_orderkey GROUP BY 1, 2""",
@@ -183,7 +184,7 @@ SELECT cluster, day, channel, reports, sources, positive, neutral, negative, {_r
   {_r('max(ms) OVER (PARTITION BY cluster, day) - min(ms) OVER (PARTITION BY cluster, day)')} AS stance_range, {_r('CASE WHEN rb > 0 THEN (reports - rb) / rb END')} AS growth, row_number() OVER (PARTITION BY cluster, channel, island ORDER BY day) AS streak FROM w""",
     "market_environment": f"""{_PX}, q AS (SELECT ret.*, n_name AS g FROM ret LEFT JOIN (supplier JOIN nation ON s_nationkey = n_nationkey) ON entity = s_suppkey),
 br AS (SELECT day, count(*) FILTER (r > 0) AS up, count(*) FILTER (r < 0) AS down, count(*) FILTER (r = 0) AS flat, count(*) FILTER (r >= 0.097) AS limit_up, count(*) FILTER (r <= -0.097) AS limit_down, CAST(sum(CAST(amount AS DECIMAL(18,2))) AS DOUBLE) AS amount FROM q GROUP BY 1),
-gr AS (SELECT day, g, avg(r) AS a FROM q WHERE r IS NOT NULL GROUP BY 1, 2), hot AS (SELECT day, g FROM gr QUALIFY row_number() OVER (PARTITION BY day ORDER BY {_r('a')} DESC, g) = 1),
+gr AS (SELECT day, g, avg(r) AS a, count(*) AS n FROM q WHERE r IS NOT NULL GROUP BY 1, 2), h1 AS (SELECT *, row_number() OVER (PARTITION BY day ORDER BY {_r('a')} DESC, g) AS k FROM gr), hot AS (SELECT day, string_agg(k || ':' || g || ':' || CAST(floor(a * 1e6 + 0.5) AS BIGINT) || ':' || n, ',' ORDER BY k) AS hot_groups FROM h1 WHERE k <= 10 GROUP BY 1),
 st AS (SELECT day, {_r('product(1 + m) OVER (ORDER BY day ROWS 4 PRECEDING) - 1')} AS benchmark_return_5d, {_r('stddev_samp(m) OVER (ORDER BY day ROWS 19 PRECEDING)')} AS benchmark_volatility_20d FROM mret WHERE m IS NOT NULL)
-SELECT br.day, up, down, flat, limit_up, limit_down, amount, benchmark_return_5d, benchmark_volatility_20d, {_r('coalesce(down / nullif(up + down, 0), 0.5)')} AS risk_score, g AS hottest FROM br LEFT JOIN hot USING (day) LEFT JOIN st USING (day)""",
+SELECT br.day, up, down, flat, limit_up, limit_down, amount, benchmark_return_5d, benchmark_volatility_20d, {_r('coalesce(down / nullif(up + down, 0), 0.5)')} AS risk_score, hot_groups FROM br LEFT JOIN hot USING (day) LEFT JOIN st USING (day)""",
 }
