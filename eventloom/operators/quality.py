@@ -98,7 +98,7 @@ def presence(tables: dict[str, DataFrame | None], least: dict[str, int]) -> Data
     rows = table_counts(there).select(F.col("name").alias("area"), F.lit("row_count").alias("metric"), F.col("rows").cast("double").alias("value"), F.element_at(wanted, F.col("name")).cast("double").alias("target"))
     rows = rows.withColumn("status", F.when(F.col("value") >= F.col("target"), "OK").otherwise("BLOCK"))
     missing = [(k, "table_presence", None, float(least.get(k, 1)), "BLOCK") for k, df in tables.items() if df is None]
-    return rows.unionByName(spark.createDataFrame(missing, rows.schema)) if missing else rows
+    return rows.unionByName(spark.createDataFrame(missing, "area string, metric string, value double, target double, status string")) if missing else rows
 
 
 def required_tables(spark, names: list[str]) -> list[str]:

@@ -81,7 +81,7 @@ def cached_series(text: DataFrame, body: str) -> DataFrame:
 def series_cache(rows: DataFrame) -> DataFrame:
     """(body): one JSON cache of (key, source, day, value), the counterpart of ``cached_series`` for a bounded set of keys."""
     by = rows.groupBy("key").agg(F.struct(F.max("source").alias("source"), F.map_from_entries(F.array_sort(F.collect_list(F.struct("day", "value")))).alias("returns")).alias("s"))
-    return by.agg(F.to_json(F.struct(F.map_from_entries(F.array_sort(F.collect_list(F.struct("key", "s")))).alias("series"))).alias("body"))
+    return by.agg(F.to_json(F.struct(F.map_from_entries(F.collect_list(F.struct("key", "s"))).alias("series"))).alias("body"))
 
 
 def health(text: DataFrame, body: str) -> DataFrame:
