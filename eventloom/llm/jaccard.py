@@ -11,9 +11,13 @@ n-grams.  Two documents link when their sets' Jaccard similarity is at least
 * Columns are dealt to blocks by their hash.  In columns of fewer than SMALL
   rows a block counts all pairs of rows.  In larger ones rows are first paired
   only with central rows of their column; each row's best such pair is verified
-  and components form, which is where large groups of near copies end.  Then
-  the blocks multiply the incidence of the rows of different components, tile
-  by tile, so that each pair's count is whole where it is made.
+  and components form, which is where large groups of near copies end.  A column
+  whose hint is over PIECE rows is cut into pieces by a salt, and the pieces'
+  central rows are paired in further rounds, so no task gets a whole hot column.
+* Then the incidence of the rows of different components is multiplied in the
+  larger columns: the rows of a column's largest component and the others are
+  cut into blocks of about SIDE, and each pair of blocks is a cell group of its
+  own, where each pair's count over its whole prefixes is made.
 * A pair is dropped when sizes rule it out, or when its count plus what can
   follow the shorter prefix is less than the overlap needed.
 * Pairs left are verified on whole sets.
@@ -38,6 +42,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 from .common import Scratch, at_most, fresh, word_bytes
 from .graph import components
@@ -48,8 +53,10 @@ THRESHOLD = Fraction(4, 5)
 HINTS = 1_000_000
 #: n-grams in one local count, and the local count from which a column is reported.
 LOCAL, REPORT = 4_000_000, 2
-#: Rows of a column from which pairs are formed by central rows first.
-SMALL = 16
+#: Rows of a column from which pairs are formed by central rows first, and the log2 of a piece of a hot column.
+SMALL, PIECE_BITS = 16, 8
+#: Rows on one side of a block pair in which different components are multiplied.
+SIDE = 256
 #: Sets of a component in one block when links are counted, and sets in one product.
 BLOCK, TILE = 1024, 256
 BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -117,10 +124,10 @@ def _frequent(docs: DataFrame, n: int, scratch: Scratch) -> tuple[np.ndarray, np
 
 
 def _rows(docs: DataFrame, n: int, t: Fraction, scratch: Scratch) -> DataFrame:
-    """(id, n, set_key, prefix, last_rank, last, usual): each document's size, ordered prefix, and how frequent that is."""
+    """(id, n, set_key, prefix, ranks, last_rank, last, usual): each document's size, ordered prefix, and how frequent that is."""
     hints = docs.sparkSession.sparkContext.broadcast(_frequent(docs, n, scratch))
-    schema = "id long, n int, set_key binary, prefix array<long>, last_rank int, last long, usual int"
-    arrow = pa.schema([("id", pa.int64()), ("n", pa.int32()), ("set_key", pa.binary()), ("prefix", pa.list_(pa.int64())), ("last_rank", pa.int32()), ("last", pa.int64()), ("usual", pa.int32())])
+    schema = "id long, n int, set_key binary, prefix array<long>, ranks array<byte>, last_rank int, last long, usual int"
+    arrow = pa.schema([("id", pa.int64()), ("n", pa.int32()), ("set_key", pa.binary()), ("prefix", pa.list_(pa.int64())), ("ranks", pa.list_(pa.int8())), ("last_rank", pa.int32()), ("last", pa.int64()), ("usual", pa.int32())])
 
     def make(batches):
         known, rank = hints.value
@@ -129,7 +136,7 @@ def _rows(docs: DataFrame, n: int, t: Fraction, scratch: Scratch) -> DataFrame:
             for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 s = shingle_set(text, n)
                 if not len(s):
-                    out.append((key, 0, b"", [], 0, 0, 0))
+                    out.append((key, 0, b"", [], [], 0, 0, 0))
                     continue
                 r = np.zeros(len(s), dtype=np.int32)
                 if len(known):
@@ -137,15 +144,25 @@ def _rows(docs: DataFrame, n: int, t: Fraction, scratch: Scratch) -> DataFrame:
                     r = np.where(known[at] == s, rank[at], 0)
                 p = len(s) - -(-t.numerator * len(s) // t.denominator) + 1
                 first = np.argsort(r, kind="stable")[:p]
-                out.append((key, len(s), hashlib.blake2b(s.tobytes(), digest_size=16).digest(), s[first], int(r[first[-1]]), int(s[first[-1]]), int(r[first].mean() * 1000)))
+                out.append((key, len(s), hashlib.blake2b(s.tobytes(), digest_size=16).digest(), s[first], r[first].astype(np.int8), int(r[first[-1]]), int(s[first[-1]]), int(r[first].mean() * 1000)))
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), arrow)] if out else [pa.array([], f.type) for f in arrow], schema=arrow)
 
     return docs.mapInArrow(make, schema)
 
 
-def _columns(rows: DataFrame, *more: str) -> DataFrame:
-    """The incidence matrix's prefix part, dealt by column hash to blocks and sorted by column."""
-    cells = rows.select(F.explode("prefix").alias("h"), "n", "id", *more)
+def _columns(rows: DataFrame, level: int = 0) -> DataFrame:
+    """(h, n, id, usual, hot): the incidence matrix's prefix part, dealt by column to blocks and sorted by it.
+
+    A hot column is cut into pieces of about 2^PIECE_BITS rows by a hash of the
+    row; at a higher level the rows are those that stood for a piece of the
+    level below, and only columns that were cut there come again.
+    """
+    cells = rows.select(F.explode(F.arrays_zip("prefix", "ranks")).alias("x"), "n", "id", "usual").select(F.col("x.prefix").alias("h"), F.col("x.ranks").cast("int").alias("rank"), "n", "id", "usual")
+    if level:
+        cells = cells.filter(F.col("rank") > PIECE_BITS * level)
+    bits = F.col("rank") - PIECE_BITS * (level + 1)
+    salt = F.expr(f"pmod(xxhash64(id, {level}), shiftleft(1L, greatest(rank - {PIECE_BITS * (level + 1)}, 0)))")
+    cells = cells.select(F.when(bits > 0, F.xxhash64("h", salt)).otherwise(F.col("h")).alias("h"), "n", "id", "usual", (F.col("rank") > PIECE_BITS).alias("hot"))
     return cells.repartition("h").sortWithinPartitions("h", "id")
 
 
@@ -170,9 +187,9 @@ def _comparable(a, b, t: Fraction):
 
 
 def _all_pairs(cells, cut, t: Fraction):
-    """Pairs of rows (smaller id first) in columns of fewer than SMALL rows."""
+    """Pairs of rows (smaller id first) in columns of fewer than SMALL rows; a piece of a hot column is none."""
     n, doc = cells[1], cells[2]
-    lengths = np.diff(cut)
+    lengths = np.where(cells[4][cut[:-1]], SMALL, np.diff(cut))
     for k in range(2, SMALL):
         first = cut[:-1][lengths == k]
         if len(first):
@@ -183,14 +200,14 @@ def _all_pairs(cells, cut, t: Fraction):
 
 
 def _central_pairs(cells, cut, t: Fraction):
-    """Pairs of a central row and another in columns of SMALL rows or more.
+    """Pairs of a central row and another in columns of SMALL rows or more, and in pieces of hot ones.
 
     Central are the rows whose prefix is most usual, so the source of copies
     rather than one of them; rows that sizes keep from one have a next.  A row
     without a partner is paired with itself, so that it is known to be here.
     """
     n, doc, usual = cells[1:4]
-    for i in np.flatnonzero(np.diff(cut) >= SMALL).tolist():
+    for i in np.flatnonzero((np.diff(cut) >= SMALL) | cells[4][cut[:-1]]).tolist():
         left = np.arange(cut[i], cut[i + 1])
         left = left[np.lexsort((doc[left], -usual[left]))]
         while len(left):
@@ -212,40 +229,63 @@ def _incidence(prefixes: list[np.ndarray]) -> np.ndarray:
     return out
 
 
-def _crossing_pairs(cells, cut, t: Fraction, tile: int = 1024):
-    """Pairs of rows of different components that share a column of SMALL rows or more and may be similar.
+def _crossing_pairs(cells, cut, t: Fraction):
+    """Pairs of rows of different components in the block pairs of ``_blocks`` that may be similar.
 
-    Tile by tile, the product of the rows' incidence matrices gives the whole
-    count of common prefix columns of each pair, so that the size-derived bound
-    is applied here and pairs that fail it never leave the block.
+    The product of the rows' incidence matrices gives the whole count of common
+    prefix columns of each pair, so that the size-derived bound is applied here
+    and pairs that fail it never leave the block.
     """
-    n, doc, comp, last_rank, last, prefix = cells[1:7]
+    second, doc, comp, n, last_rank, last, prefix, within = cells[1:9]
     num, den = t.numerator, t.numerator + t.denominator
-    for i in np.flatnonzero(np.diff(cut) >= SMALL).tolist():
-        at = np.arange(cut[i], cut[i + 1])
-        kinds, counts = np.unique(comp[at], return_counts=True)
-        if len(kinds) < 2:
-            continue
-        most = kinds[counts.argmax()]  # only on one side
-        out, main = at[comp[at] != most], at[comp[at] == most]
-        for j in range(0, len(out), tile):
-            left = out[j : j + tile]
-            for right in (main, out[j:]):
-                for k in range(0, len(right), tile):
-                    r = right[k : k + tile]
-                    both = _incidence([prefix[x] for x in (*left, *r)])
-                    common = (both[: len(left)] @ both[len(left) :].T).astype(np.int64)
-                    a, p = left[:, None], np.array([len(prefix[x]) for x in left])[:, None]
-                    q = np.array([len(prefix[x]) for x in r])
-                    first = (last_rank[a] < last_rank[r]) | ((last_rank[a] == last_rank[r]) & (last[a] <= last[r]))
-                    most_common = common + np.where(first, n[a] - p, n[r] - q)
-                    ok = (comp[a] != comp[r]) & _comparable(n[a], n[r], t) & (most_common * den >= num * (n[a].astype(np.int64) + n[r]))
-                    if right is not main:
-                        ok &= a < r
-                    x, y = np.nonzero(ok)
-                    if len(x):
-                        x, y = doc[left[x]], doc[r[y]]
-                        yield np.minimum(x, y), np.maximum(x, y)
+    for lo, hi in zip(cut[:-1].tolist(), cut[1:].tolist()):
+        at = np.arange(lo, hi)
+        left_side, right_side = at[second[lo:hi] == 0], at[second[lo:hi] == 1]
+        alone = bool(within[lo])
+        if alone:
+            right_side = left_side
+        for i in range(0, len(left_side), TILE):
+            left = left_side[i : i + TILE]
+            for k in range(0, len(right_side), TILE):
+                r = right_side[k : k + TILE]
+                both = _incidence([prefix[x] for x in (*left, *r)])
+                common = (both[: len(left)] @ both[len(left) :].T).astype(np.int64)
+                a, p = left[:, None], np.array([len(prefix[x]) for x in left])[:, None]
+                q = np.array([len(prefix[x]) for x in r])
+                first = (last_rank[a] < last_rank[r]) | ((last_rank[a] == last_rank[r]) & (last[a] <= last[r]))
+                most_common = common + np.where(first, n[a] - p, n[r] - q)
+                ok = (comp[a] != comp[r]) & _comparable(n[a], n[r], t) & (most_common * den >= num * (n[a].astype(np.int64) + n[r]))
+                if alone:  # a block with itself
+                    ok &= a < r
+                x, y = np.nonzero(ok)
+                if len(x):
+                    x, y = doc[left[x]], doc[r[y]]
+                    yield np.minimum(x, y), np.maximum(x, y)
+
+
+def _blocks(inner: DataFrame, scratch: Scratch) -> DataFrame:
+    """Cells of block pairs: the rows of large or hot columns with several components, by pairs of blocks of about SIDE rows.
+
+    A column's largest component stands on one side only: its rows meet all
+    others, never each other.
+    """
+    cells = inner.select(F.explode(F.arrays_zip("prefix", "ranks")).alias("x"), "id", "comp")
+    cells = scratch.put(cells.select(F.col("x.prefix").alias("h"), (F.col("x.ranks") > PIECE_BITS).alias("hot"), "id", "comp"), "cells")
+    by = cells.groupBy("h", "comp").agg(F.count(F.lit(1)).alias("k"), F.max("hot").alias("hot"))
+    mixed = by.groupBy("h").agg(F.sum("k").alias("n"), F.max(F.struct("k", "comp")).alias("m"), F.count(F.lit(1)).alias("kinds"), F.max("hot").alias("hot"))
+    mixed = mixed.filter(((F.col("n") >= SMALL) | F.col("hot")) & (F.col("kinds") > 1))
+    blocks = lambda n: F.ceil(n / SIDE).cast("int")
+    mixed = scratch.put(mixed.select("h", F.col("m.comp").alias("most"), blocks(F.col("m.k")).alias("mains"), blocks(F.col("n") - F.col("m.k")).alias("outs")), "mixed")
+    own = cells.join(mixed, "h")
+    main = F.col("comp") == F.col("most")
+    block = F.pmod(F.xxhash64("id"), F.when(main, F.col("mains")).otherwise(F.col("outs")))
+    at = lambda kind, x, y, second: F.struct(F.lit(kind).alias("kind"), x.cast("long").alias("x"), y.cast("long").alias("y"), second.cast("int").alias("second"))
+    upto = lambda n: F.sequence(F.lit(0), n - 1)
+    of_main = F.transform(upto(F.col("outs")), lambda j: at(0, block, j, F.lit(1)))
+    of_out = F.concat(F.transform(upto(F.col("mains")), lambda i: at(0, i, block, F.lit(0))), F.transform(upto(F.col("outs")), lambda j: at(1, F.least(block, j), F.greatest(block, j), block > j)))
+    keyed = own.select("h", "id", F.explode(F.when(main, of_main).otherwise(of_out)).alias("p"))
+    keyed = keyed.select(F.xxhash64("h", "p.kind", "p.x", "p.y").alias("h"), F.col("p.second").alias("second"), "id", ((F.col("p.kind") == 1) & (F.col("p.x") == F.col("p.y"))).alias("within"))
+    return keyed.join(inner.select("id", "comp", "n", "last_rank", "last", "prefix"), "id").select("h", "second", "id", "comp", "n", "last_rank", "last", "prefix", "within")
 
 
 def _summed(kind: int, pairs: list):
@@ -257,12 +297,12 @@ def _summed(kind: int, pairs: list):
     return pa.RecordBatch.from_arrays([pa.array(np.full(len(new), kind, dtype=np.int32)), pa.array(a[new]), pa.array(b[new]), pa.array(counts)], names=["kind", "a", "b", "c"])
 
 
-def _product(rows: DataFrame, more: list[str], steps: dict, t: Fraction) -> DataFrame:
-    """(kind, a, b, c): overlap counts over the blocks, by the kinds of pairs in ``steps``."""
+def _product(cells: DataFrame, width: int, steps: dict, t: Fraction) -> DataFrame:
+    """(kind, a, b, c): overlap counts over cells sorted by their group, by the kinds of pairs in ``steps``."""
 
     def multiply(batches):
         held, size = {kind: [] for kind in steps}, dict.fromkeys(steps, 0)
-        for cells, cut in _runs(batches, 3 + len(more)):
+        for cells, cut in _runs(batches, width):
             for kind, step in steps.items():
                 for pair in step(cells, cut, t):
                     if len(pair[0]):
@@ -275,10 +315,22 @@ def _product(rows: DataFrame, more: list[str], steps: dict, t: Fraction) -> Data
             if pairs:
                 yield _summed(kind, pairs)
 
-    got = _columns(rows, *more).mapInArrow(multiply, "kind int, a long, b long, c long")
+    got = cells.mapInArrow(multiply, "kind int, a long, b long, c long")
     return got.groupBy("kind", "a", "b").agg(F.sum("c").alias("c"))
 
 
+def _stars(reps: DataFrame, stars: DataFrame, t: Fraction, scratch: Scratch) -> DataFrame:
+    """Star pairs (a, b, c) of all levels: those given, and of the central rows of a hot column's pieces, until it is whole."""
+    highest = reps.agg(F.max(F.array_max("ranks").cast("int"))).first()[0] or 0
+    level, every = 1, stars
+    while highest > PIECE_BITS * level:
+        tops = reps.join(stars.filter("a <> b").select(F.col("a").alias("id")).distinct(), "id", "left_semi")
+        stars = scratch.put(_product(_columns(tops, level), 5, {1: _central_pairs}, t).select("a", "b", "c"), f"stars{level}")
+        every = every.unionByName(stars)
+        level += 1
+    return every
+
+
 def _whole_sets(docs: DataFrame, pairs: DataFrame, n: int) -> DataFrame:
     """(id, s): the sets of the documents in some pairs."""
 
@@ -374,30 +426,42 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text",
     ``n_links`` is the number of other documents whose similarity to this one
     is at least ``threshold``; without ``links`` it is null and costs nothing.
     """
-    spark = docs.sparkSession
-    t, scratch = Fraction(threshold), Scratch(spark, "jaccard")
-    docs = docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text"))
+    t, scratch = Fraction(threshold), Scratch(docs.sparkSession, "jaccard")
+    docs = docs.select(F.col(key).alias("id"), F.col(text).alias("text"))
+    if isinstance(docs.schema["id"].dataType, IntegralType):
+        out = _components(docs.withColumn("id", F.col("id").cast("long")), n, t, links, scratch)
+        kind = docs.schema["id"].dataType
+        return out.withColumns({c: F.col(c).cast(kind) for c in ("id", "component_id")})
+    # other keys are numbered in their order
+    keys = docs.select("id").filter("id IS NOT NULL").distinct().repartitionByRange("id").sortWithinPartitions("id").withColumn("n", F.monotonically_increasing_id())
+    keys = scratch.put(keys, "keys")
+    numbered = scratch.put(docs.join(keys, "id", "left").select(F.col("n").alias("id"), "text"), "numbered")
+    out = _components(numbered, n, t, links, scratch)
+    own, least = (keys.select(F.col("n").alias(a), F.col("id").alias(b)) for a, b in (("id", "_own"), ("component_id", "_least")))
+    out = out.join(own, "id", "left").join(least, "component_id", "left")
+    return out.select(F.col("_own").alias("id"), "n_shingles", F.col("_least").alias("component_id"), "n_links")
+
+
+def _components(docs: DataFrame, n: int, t: Fraction, links: bool, scratch: Scratch) -> DataFrame:
+    """The rows of ``jaccard_components`` for whole numbers as ids."""
     rows = scratch.put(_rows(docs, n, t, scratch), "rows")
     full = rows.filter("n > 0 AND id IS NOT NULL")
     # one row for each set: its smallest id stands for it
-    firsts = [F.first(c).alias(c) for c in ("n", "prefix", "last_rank", "last", "usual")]
+    firsts = [F.first(c).alias(c) for c in ("n", "prefix", "ranks", "last_rank", "last", "usual")]
     distinct = full.groupBy("set_key", "id").agg(*firsts)
     reps = scratch.put(distinct.groupBy("set_key").agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("copies"), *firsts), "reps")
     every, central, crossing = 0, 1, 2
-    first = scratch.put(_product(reps, ["usual"], {every: _all_pairs, central: _central_pairs}, t), "first")
-    stars = first.filter(F.col("kind") == central)
+    first = scratch.put(_product(_columns(reps), 5, {every: _all_pairs, central: _central_pairs}, t), "first")
+    stars = first.filter(F.col("kind") == central).select("a", "b", "c")
     in_large = scratch.put(stars.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "in_large")
-    best = stars.filter("a <> b").groupBy("b").agg(F.max(F.struct("c", (-F.col("a")).alias("a"))).alias("m")).select((-F.col("m.a")).alias("a"), "b")
+    # the best star pair of each row, and of each central row among the others
+    best = _stars(reps, stars, t, scratch).filter("a <> b").groupBy("b").agg(F.max(F.struct("c", (-F.col("a")).alias("a"))).alias("m")).select((-F.col("m.a")).alias("a"), "b")
     found = scratch.put(_verified(scratch.put(best, "best"), docs, n, t, scratch), "found")
     comp = components(found, scratch)
     inner = reps.join(in_large, "id", "left_semi").join(comp.select(F.col("v").alias("id"), F.col("c").alias("comp")), "id", "left")
     inner = scratch.put(inner.withColumn("comp", F.coalesce("comp", "id")), "inner")
-    # only columns of SMALL rows or more with several components are multiplied, so only their cells carry a row's prefix
-    cells = inner.select(F.explode("prefix").alias("h"), "id", "comp")
-    mixed = cells.groupBy("h").agg(F.count(F.lit(1)).alias("k"), F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter((F.col("k") >= SMALL) & (F.col("lo") < F.col("hi"))).select("h")
-    own = cells.join(scratch.put(mixed, "mixed"), "h").groupBy("id").agg(F.collect_list("h").alias("own"))
-    inner = scratch.put(inner.join(own, "id").withColumn("row", F.col("prefix")).withColumn("prefix", F.col("own")).drop("own"), "crossing")
-    rest = _product(inner, ["comp", "last_rank", "last", "row"], {crossing: _crossing_pairs}, t)
+    blocks = _blocks(inner, scratch)
+    rest = _product(blocks.repartition("h").sortWithinPartitions("h", "id"), 9, {crossing: _crossing_pairs}, t)
     pairs = first.filter(F.col("kind") == every)
     size = reps.select("id", "n", "last_rank", "last", F.size("prefix").alias("p"))
     sa, sb = (size.select(*[F.col(c).alias(c + k) for c in size.columns]) for k in ("a", "b"))
@@ -431,4 +495,4 @@ def keep_one(docs: DataFrame, key: str = "doc_id") -> DataFrame:
     """The rows of each component's smallest id; rows repeated with one id stay or go together; null ids stay."""
     found = jaccard_components(docs, key, links=False).filter("id IS NOT NULL AND id <> component_id").select("id").distinct()
     name = fresh(docs, "id")
-    return docs.join(found.withColumnRenamed("id", name), docs[key].cast("long") == F.col(name), "left_anti").select(*docs.columns)
+    return docs.join(found.withColumnRenamed("id", name), docs[key] == F.col(name), "left_anti").select(*docs.columns)
