@@ -12,9 +12,11 @@ Counts of all words come from all training texts by one shuffle.  Each pass of
 Baum-Welch reads every training text: tasks run forward and backward over
 batches of texts and give expected counts by symbol, which Spark sums.
 
-Bounds: the driver holds states x symbols parameters and the KNOWN most
-frequent words, which tasks get by broadcast; counts of all other words reach
-their texts by a join.
+Bounds: the driver holds states x symbols parameters, the SYMBOLS most frequent
+words and up to KNOWN frequent ones, which tasks get by broadcast; counts of all
+other words reach their texts by a join.  A pass keeps forward vectors of BLOCK
+steps and those at the blocks' borders, whatever a text's length.  Tasks' sums
+are added as decimals, so a run over the same partitions gives the same model.
 
 Edge cases: null and empty texts are the end token alone; texts are scored
 whole; with no training text the model is uniform and the base score counts
@@ -25,17 +27,22 @@ scores; a null id counts as the empty text in the split.
 from __future__ import annotations
 
 import zlib
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from .common import Scratch, at_most, crc_mod, word_bytes
 
 SYMBOLS, CLASSES, KNOWN = 4096, 1024, 400_000
 STATES, PASSES, SEED = 8, 4, 11
 GROUP = 300_000  # tokens in one vectorised pass over texts of like length
+BLOCK = 2048  # steps whose forward vectors are kept at a time
+#: What sums of tasks are added as.
+EXACT = "decimal(38,10)"
 
 
 def _class_of(word: bytes) -> int:
@@ -46,8 +53,6 @@ def _counts(texts: DataFrame) -> DataFrame:
     """(w, c): words of a column of texts with their counts, summed in tasks before the shuffle."""
 
     def count(batches):
-        from collections import Counter
-
         seen: Counter = Counter()
 
         def rows():
@@ -64,14 +69,35 @@ def _counts(texts: DataFrame) -> DataFrame:
     return texts.mapInArrow(count, "w binary, c long").groupBy("w").agg(F.sum("c").alias("c"))
 
 
+class _Known(dict):
+    """Places of words in a table of what is known of them; a worker's, made anew when it has grown too large."""
+
+    def __init__(self, vocabulary: Vocabulary):
+        super().__init__()
+        self.of = vocabulary
+        self.columns = np.zeros((3, 1 << 12))  # log10(c + 1), share in the class, whether the word is known
+        self.symbols = np.zeros(1 << 12, dtype=np.int16)
+
+    def __missing__(self, w: bytes) -> int:
+        at = self[w] = len(self)
+        if at == self.columns.shape[1]:
+            self.columns = np.concatenate([self.columns, np.zeros_like(self.columns)], axis=1)
+            self.symbols = np.concatenate([self.symbols, np.zeros_like(self.symbols)])
+        c, s, k = self.of.counts.get(w, 0), self.of.symbol.get(w, -1), _class_of(w)
+        log = np.log10(c + 1.0)
+        self.columns[:, at] = log, 0.0 if s >= 0 else log - self.of.log_share[k], c > 0
+        self.symbols[at] = s if s >= 0 else SYMBOLS + k
+        return at
+
+
 class Vocabulary:
-    """The broadcast part of the counts, and each word's symbol."""
+    """The broadcast part of the counts, and each word's symbol; ``words`` begins with the symbols."""
 
-    def __init__(self, words: list[bytes], counts: np.ndarray, total: int, types: int, ends: int, class_tokens: np.ndarray, class_types: np.ndarray):
-        self.counts = dict(zip(words, counts.tolist()))
+    def __init__(self, words: list[bytes], counts: list[int], symbols: int, total: int, types: int, ends: int, class_tokens: np.ndarray, class_types: np.ndarray):
+        self.counts = dict(zip(words, counts))
         self.total, self.types, self.ends = total, types, ends
-        self.symbol = {w: i for i, w in enumerate(words[:SYMBOLS])}
-        for w in words[:SYMBOLS]:
+        self.symbol = {w: i for i, w in enumerate(words[:symbols])}
+        for w in words[:symbols]:
             class_tokens[_class_of(w)] -= self.counts[w]
             class_types[_class_of(w)] -= 1
         self.log_share = np.log10(class_tokens + class_types + 1.0)
@@ -81,40 +107,25 @@ class Vocabulary:
     def read(self, text: str | None):
         """Symbols; sums of log10(c + 1) and of class shares; known tokens; words whose count isn't here."""
         words = word_bytes(text)
-        symbols = np.empty(len(words) + 1, dtype=np.int16)
-        logs, share, known, rest = np.log10(self.ends + 1.0), 0.0, int(self.ends > 0), {}
-        cache, parts = self.cache, []
-        for w in words:
-            got = cache.get(w)
-            if got is None:
-                if len(cache) > 300_000:
-                    cache.clear()
-                s, c = self.symbol.get(w, -1), self.counts.get(w, 0)
-                k = _class_of(w)
-                got = cache[w] = (s if s >= 0 else SYMBOLS + k, np.log10(c + 1.0) if c else 0.0, 1 if c else 0, 0.0 if s >= 0 else (np.log10(c + 1.0) if c else 0.0) - self.log_share[k])
-            parts.append(got)
-            if not got[2]:
-                rest[w] = rest.get(w, 0) + 1
-        if parts:
-            s, a, b, d = zip(*parts)
-            symbols[:-1] = s
-            logs, known, share = logs + sum(a), known + sum(b), sum(d)
-        symbols[-1] = self.end
-        return symbols, float(logs), float(share), known, rest
-
-    @property
-    def cache(self) -> dict:
-        return self.__dict__.setdefault("_cache", {})
+        known = self.__dict__.get("_known")
+        if known is None or len(known) > 300_000:
+            known = self._known = _Known(self)
+        at = np.fromiter(map(known.__getitem__, words), dtype=np.int64, count=len(words))
+        logs, share, there = known.columns[:, at].sum(axis=1).tolist()
+        rest = Counter(words[i] for i in np.flatnonzero(known.columns[2, at] == 0).tolist()) if there < len(words) else {}
+        symbols = np.append(known.symbols[at], np.int16(self.end))
+        return symbols, logs + float(np.log10(self.ends + 1.0)), share, int(there) + int(self.ends > 0), rest
 
     def __getstate__(self):
-        return {k: v for k, v in self.__dict__.items() if k != "_cache"}
+        return {k: v for k, v in self.__dict__.items() if k != "_known"}
 
 
 def _read_texts(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     """(row, held_out, n, symbols, logs, share, known, rest, times) of each text."""
     shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
-    schema = "id long, held_out boolean, n long, symbols binary, logs double, share double, known long, rest array<binary>, times array<int>"
-    types = [pa.int64(), pa.bool_(), pa.int64(), pa.binary(), pa.float64(), pa.float64(), pa.int64(), pa.list_(pa.binary()), pa.list_(pa.int32())]
+    kind = docs.schema["id"].dataType
+    schema = f"id {kind.simpleString()}, held_out boolean, n long, symbols binary, logs double, share double, known long, rest array<binary>, times array<int>"
+    types = [to_arrow_type(kind), pa.bool_(), pa.int64(), pa.binary(), pa.float64(), pa.float64(), pa.int64(), pa.list_(pa.binary()), pa.list_(pa.int32())]
     names = [x.split()[0] for x in schema.split(", ")]
 
     def read(batches):
@@ -143,50 +154,74 @@ def groups(sequences: list[np.ndarray]):
         yield part
 
 
-def _columns(sequences: list[np.ndarray]):
-    """Symbols by time for texts sorted by falling length: each step has those still running."""
-    lengths = np.array([len(s) for s in sequences])
-    flat, first = np.concatenate(sequences).astype(np.int64), np.concatenate([[0], np.cumsum(lengths)[:-1]])
-    running = len(lengths) - np.searchsorted(lengths[::-1], np.arange(lengths[0]), side="right")
-    return [flat[first[:n] + t] for t, n in enumerate(running.tolist())]
+class _Steps:
+    """Symbols by time of texts sorted by falling length: each step has those still running."""
+
+    def __init__(self, sequences: list[np.ndarray]):
+        lengths = np.array([len(s) for s in sequences])
+        self.flat = np.concatenate(sequences).astype(np.int64)
+        self.first = np.concatenate([[0], np.cumsum(lengths)[:-1]])
+        self.running = len(lengths) - np.searchsorted(lengths[::-1], np.arange(lengths[0]), side="right")
+
+    def __len__(self) -> int:
+        return len(self.running)
+
+    def __getitem__(self, t: int) -> np.ndarray:
+        return self.flat[self.first[: self.running[t]] + t]
+
+
+def _advance(a: np.ndarray | None, o: np.ndarray, start, move, emit) -> tuple[np.ndarray, np.ndarray]:
+    """The next scaled forward vectors, and their scales."""
+    a = start * emit[o] if a is None else (a[: len(o)] @ move) * emit[o]
+    s = a.sum(axis=1)
+    return a / s[:, None], s
+
+
+def forward(sequences: list[np.ndarray], start: np.ndarray, move: np.ndarray, emit: np.ndarray) -> np.ndarray:
+    """Natural log likelihoods of texts sorted by falling length; ``emit`` is symbols x states."""
+    steps, logs, a = _Steps(sequences), np.zeros(len(sequences)), None
+    for t in range(len(steps)):
+        a, s = _advance(a, steps[t], start, move, emit)
+        logs[: len(s)] += np.log(s)
+    return logs
 
 
-def forward(sequences: list[np.ndarray], start: np.ndarray, move: np.ndarray, emit: np.ndarray, keep: bool = False):
-    """Natural log likelihoods of texts sorted by falling length; also scaled forward vectors if kept.
+def expected(sequences, start, move, emit, block: int = BLOCK):
+    """Baum-Welch counts of one group: starts, moves, emissions by symbol, and the log likelihood.
 
-    ``emit`` is symbols x states.
+    The forward pass keeps the vectors before each block of steps; the backward
+    pass makes a block's vectors again.
     """
-    steps = _columns(sequences)
-    logs, a, alphas, scales = np.zeros(len(sequences)), None, [], []
-    for o in steps:
-        n = len(o)
-        a = start * emit[o] if a is None else (a[:n] @ move) * emit[o]
-        s = a.sum(axis=1)
-        a = a / s[:, None]
-        logs[:n] += np.log(s)
-        if keep:
+    steps, k = _Steps(sequences), len(start)
+    total, a, before = 0.0, None, []
+    for t in range(len(steps)):
+        if t % block == 0:
+            before.append(a)
+        a, s = _advance(a, steps[t], start, move, emit)
+        total += float(np.log(s).sum())
+    moves, emitted, b, first = np.zeros((k, k)), np.zeros((len(emit), k)), np.zeros((0, k)), None
+    for i in range(len(before) - 1, -1, -1):
+        lo, hi = i * block, min((i + 1) * block, len(steps))
+        alphas, scales, symbols = [before[i]], [], [steps[t] for t in range(lo, hi)]
+        for o in symbols:
+            a, s = _advance(alphas[-1], o, start, move, emit)
             alphas.append(a)
             scales.append(s)
-    return (logs, steps, alphas, scales) if keep else logs
-
-
-def expected(sequences, start, move, emit):
-    """Baum-Welch counts of one group: starts, moves, emissions by symbol, and the log likelihood."""
-    logs, steps, alphas, scales = forward(sequences, start, move, emit, True)
-    k = len(start)
-    moves, gammas, b = np.zeros((k, k)), [None] * len(steps), np.zeros((0, k))
-    for t in range(len(steps) - 1, -1, -1):
-        n = len(steps[t])
-        if len(b) < n:
-            b = np.vstack([b, np.ones((n - len(b), k))])
-        gammas[t] = alphas[t] * b
-        if t:
-            right = emit[steps[t]] * b / scales[t][:, None]
-            moves += alphas[t - 1][:n].T @ right
-            b = right @ move.T
-    symbols, weights = np.concatenate(steps), np.vstack(gammas)
-    emitted = np.stack([np.bincount(symbols, weights=weights[:, j], minlength=len(emit)) for j in range(k)], axis=1)
-    return gammas[0].sum(axis=0), moves * move, emitted, logs.sum()
+        gammas = [None] * (hi - lo)
+        for t in range(hi - lo - 1, -1, -1):
+            n = len(symbols[t])
+            if len(b) < n:
+                b = np.vstack([b, np.ones((n - len(b), k))])
+            gammas[t] = alphas[t + 1] * b
+            if lo + t:
+                right = emit[symbols[t]] * b / scales[t][:, None]
+                moves += alphas[t][:n].T @ right
+                b = right @ move.T
+        where, weights = np.concatenate(symbols), np.vstack(gammas)
+        for j in range(k):
+            emitted[:, j] += np.bincount(where, weights=weights[:, j], minlength=len(emit))
+        first = gammas[0]
+    return first.sum(axis=0), moves * move, emitted, total
 
 
 def train(texts: DataFrame, size: int, states: int = STATES, passes: int = PASSES, seed: int = SEED) -> tuple:
@@ -215,7 +250,7 @@ def train(texts: DataFrame, size: int, states: int = STATES, passes: int = PASSE
             yield pa.RecordBatch.from_arrays([pa.array(at), *(pa.array(total[at, j]) for j in range(states))], names=["row", *columns])
 
         sums = texts.select("symbols").mapInArrow(expect, "row long, " + ", ".join(f"{c} double" for c in columns))
-        sums = sums.groupBy("row").agg(*[F.sum(c).alias(c) for c in columns]).toPandas()
+        sums = sums.groupBy("row").agg(*[F.sum(F.col(c).cast(EXACT)).cast("double").alias(c) for c in columns]).toPandas()
         total = np.zeros((size + states + 2, states))
         total[sums.row.to_numpy()] = sums[columns].to_numpy()
         base = total[:size].sum(axis=1) + 0.5
@@ -237,7 +272,7 @@ def score(docs: DataFrame, held_out, key: str = "doc_id", text: str = "text", st
     """
     spark = docs.sparkSession
     scratch = Scratch(spark, "hmm")
-    docs = docs.select(F.col(key).cast("long").alias("id"), held_out.alias("held_out"), F.col(text).alias("text"))
+    docs = docs.select(F.col(key).alias("id"), held_out.alias("held_out"), F.col(text).alias("text"))
     training = docs.filter(~F.col("held_out"))
     ends = training.count()
     counts = scratch.put(_counts(training.select("text")), "counts")
@@ -247,11 +282,11 @@ def score(docs: DataFrame, held_out, key: str = "doc_id", text: str = "text", st
     for r in by_class:
         class_tokens[r["k"]], class_types[r["k"]] = r["n"], r["v"]
     total, types = int(class_tokens.sum()) + ends, int(class_types.sum()) + (ends > 0)
-    top = at_most(counts, "c", KNOWN).toPandas()
-    top["w"] = top["w"].map(bytes)
-    top = top.sort_values(["c", "w"], ascending=[False, True])
-    vocabulary = Vocabulary(top.w.tolist(), top.c.to_numpy(), total, types, ends, class_tokens, class_types)
-    least = int(top.c.min()) if len(top) else None
+    symbols = {bytes(r["w"]): r["c"] for r in counts.orderBy(F.desc("c"), "w").limit(SYMBOLS).collect()}  # the model's symbols
+    known = {bytes(r["w"]): r["c"] for r in at_most(counts, "c", KNOWN).collect()}
+    words = {**symbols, **known}
+    vocabulary = Vocabulary(list(words), list(words.values()), len(symbols), total, types, ends, class_tokens, class_types)
+    least = min(known.values(), default=None)
     read = scratch.put(_read_texts(docs, vocabulary).withColumn("row", F.monotonically_increasing_id()), "read")
     size = vocabulary.size
     model = train(read.filter(~F.col("held_out")), size, states, passes)
