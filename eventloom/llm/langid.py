@@ -10,7 +10,8 @@ has not seen.
 
 Bounds: BUCKETS features, ``sample_rows`` rows in the fit (an equal share for
 each language, drawn by a hash of the row's key), and languages times BUCKETS
-weights, which is what the driver holds.  Texts are used whole.
+weights, which is what the driver holds and what tasks get: 0.5 MB a language,
+checked against MODEL.  Texts are used whole.
 
 Edge cases: a null text, or one without a letter, is ``und`` with score 0; rows
 without a language teach nothing but get a prediction; with no labelled row
@@ -34,6 +35,8 @@ BITS = 16
 BUCKETS = 1 << BITS
 ORDERS = 3
 UNKNOWN = "und"
+#: Bytes of the weights that tasks get by broadcast; more languages are an error, not a cut.
+MODEL = 1 << 30
 #: Fixed multipliers of the n-gram hash: odd, from the golden ratio.
 MIX = np.uint32(0x9E3779B1)
 STEP = np.uint32(0x85EBCA6B)
@@ -118,8 +121,10 @@ def fit(
 ) -> dict:
     """The model of labelled rows: languages, IDF, weights and temperature."""
     labelled = docs.select(F.col(key).alias("key"), F.col(text).alias("text"), F.col(lang).cast("string").alias("lang")).filter("text IS NOT NULL AND lang IS NOT NULL")
-    counts = {r["lang"]: r["n"] for r in labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).limit(BUCKETS).collect()}
+    counts = {r["lang"]: r["n"] for r in labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
     langs = sorted(counts)
+    if len(langs) * BUCKETS * 8 > MODEL:
+        raise ValueError(f"{len(langs)} languages: the model of so many isn't broadcast")
     if not langs:
         return {"langs": [], "idf": None, "weights": None, "temperature": 1.0}
     total, df = document_frequencies(labelled, "text")
@@ -144,7 +149,7 @@ def fit(
         return pd.DataFrame({"c": np.append(c, -1), "b": np.append(b, 0), "w": np.append(w[c, b], 1.0)})
 
     fitted = sample.filter(F.col("shard") < shards).groupBy("shard").applyInPandas(train, "c long, b long, w double")
-    fitted = fitted.groupBy("c", "b").agg(F.sum("w").alias("w")).toPandas()
+    fitted = fitted.groupBy("c", "b").agg(F.sum(F.col("w").cast("decimal(38,15)")).cast("double").alias("w")).toPandas()
     weights = np.zeros((len(langs), BUCKETS))
     real = fitted[fitted.c >= 0]
     weights[real.c.to_numpy(), real.b.to_numpy()] = real.w.to_numpy() / max(1.0, fitted[fitted.c < 0].w.sum())
