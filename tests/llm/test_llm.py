@@ -207,8 +207,9 @@ def test_forward_and_counts_equal_enumeration():
             for a, b in zip(path, path[1:]):
                 moves[a, b] += p / total
     assert np.allclose(logs, wanted)
-    _, got_moves, got_emitted, _ = hmm.expected(texts, start, move, emit)
-    assert np.allclose(got_moves, moves) and np.allclose(got_emitted, emitted)
+    for block in (1, 2, 3, 100):
+        _, got_moves, got_emitted, total = hmm.expected(texts, start, move, emit, block)
+        assert np.allclose(got_moves, moves) and np.allclose(got_emitted, emitted) and np.isclose(total, sum(wanted))
 
 
 def test_hmm_query(spark, sf, docs):
@@ -254,7 +255,10 @@ def test_jaccard_query(spark, sf, docs):
     assert {i: (r["n_shingles"], r["component_id"]) for i, r in got.items()} == brute_components(docs)
 
 
-def test_jaccard_groups_with_chains_and_boilerplate(spark):
+@pytest.mark.parametrize("piece, side", [(8, 256), (2, 16)])
+def test_jaccard_groups_with_chains_and_boilerplate(spark, monkeypatch, piece, side):
+    monkeypatch.setattr(jaccard, "PIECE_BITS", piece)  # hot columns are cut into pieces and block pairs
+    monkeypatch.setattr(jaccard, "SIDE", side)
     random.seed(5)
     word = lambda: "".join(random.choice("abcdefgh") for _ in range(6))
     source, shared, texts = [word() for _ in range(120)], [word() for _ in range(60)], {}
@@ -275,6 +279,12 @@ def test_jaccard_groups_with_chains_and_boilerplate(spark):
     assert {i: (r["n_shingles"], r["component_id"]) for i, r in got.items()} == brute_components(texts)
 
 
+def test_jaccard_takes_other_keys(spark):
+    texts = [("b", "one two three four five six"), ("a", "one two three four five six"), ("c", "else where"), (None, "x"), ("d", None)]
+    got = {r["id"]: (r["component_id"], r["n_links"]) for r in jaccard.jaccard_components(spark.createDataFrame(texts, "k string, text string"), "k").collect()}
+    assert got == {"a": ("a", 1), "b": ("a", 1), "c": ("c", 0), None: (None, 0), "d": ("d", 0)}
+
+
 def test_jaccard_counts_every_link(spark, monkeypatch):
     monkeypatch.setattr(jaccard, "BLOCK", 20)
     monkeypatch.setattr(jaccard, "TILE", 7)
