@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventloom.llm import bpe, decontam, jaccard, langid, line_dedup
-from eventloom.llm.common import Scratch, table
+from eventloom.llm.common import Scratch, drop_since, scratches, table
 
 #: Language models, near-duplicate groups and doubled ranks are beyond SQL on whole tables; tests hold each stage against brute force.
 ORACLE_SQL = None
@@ -52,5 +52,8 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     scratch = Scratch(spark, "pipeline")
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
+        mark = scratches()
         docs = scratch.put(stage(spark, docs, sf_dir), name)
+        scratch.keep(docs)
+        drop_since(mark)  # the stage's own tables; its rows are written
     return STAGES[-1][1](spark, docs, sf_dir)

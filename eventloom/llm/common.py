@@ -23,12 +23,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder that the cluster names in spark.checkpoint.dir.
 
-    Only where the setting is missing (a local test session), a folder of this
-    machine is made once for the session.
+    Only where the setting is missing in a local session (a test), a folder of
+    this machine is made once for the session; on a cluster that is an error.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
         return root.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
     app = spark.sparkContext.applicationId
     if app not in _own_roots:
         made = tempfile.TemporaryDirectory(prefix="eventloom-scratch-")
@@ -37,30 +39,60 @@ def scratch_root(spark: SparkSession) -> str:
     return _own_roots[app]
 
 
+_made: list[Scratch] = []
+
+
 class Scratch:
     """Tables written to the shared folder to cut lineage; each is read back with its schema.
 
-    Written tables outlive a lost executor, unlike a local checkpoint.  ``drop``
-    removes one that no later step reads.
+    Written tables outlive a lost executor, unlike a local checkpoint.  An
+    operator drops what its result doesn't read; who has consumed a result
+    drops the rest with ``drop_since``.
     """
 
     def __init__(self, spark: SparkSession, name: str):
         self.spark = spark
         self.base = f"{scratch_root(spark)}/eventloom-{name}-{uuid.uuid4().hex}"
         self._n = 0
+        self._tables: list[tuple[str, DataFrame]] = []
+        _made.append(self)
 
     def put(self, df: DataFrame, label: str) -> DataFrame:
         self._n += 1
         path = f"{self.base}/{self._n:03d}-{label}"
         schema = df.schema
         df.write.mode("overwrite").parquet(path)
-        return self.spark.read.schema(schema).parquet(path)
+        back = self.spark.read.schema(schema).parquet(path)
+        self._tables.append((path, back))
+        return back
+
+    def keep(self, *tables: DataFrame) -> None:
+        """Removes the files of all tables that ``put`` has returned but these."""
+        for path, df in self._tables:
+            if not any(df is t for t in tables):
+                self._delete(path)
+        self._tables = [(p, df) for p, df in self._tables if any(df is t for t in tables)]
+
+    def drop(self) -> None:
+        """Removes all files."""
+        self._delete(self.base)
+        self._tables = []
+
+    def _delete(self, name: str) -> None:
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(name)
+        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def scratches() -> int:
+    """How many scratch spaces there are now: a mark for ``drop_since``."""
+    return len(_made)
+
 
-    def drop(self, df: DataFrame) -> None:
-        """Removes the files of a table that ``put`` has returned."""
-        for name in {f.rsplit("/", 1)[0] for f in df.inputFiles()[:1]}:
-            path = self.spark._jvm.org.apache.hadoop.fs.Path(name)
-            path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+def drop_since(mark: int) -> None:
+    """Removes the scratch spaces made since a mark; what reads from them must have been consumed."""
+    for s in _made[mark:]:
+        s.drop()
+    del _made[mark:]
 
 
 def fresh(df: DataFrame, name: str) -> str:

@@ -1,39 +1,13 @@
-"""Connected components of a graph given as a table of edges, by repeated contraction."""
+"""Connected components with tables of the shared folder between the rounds."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
+from ..operators.graph import connected
 from .common import Scratch
 
 
 def components(edges: DataFrame, scratch: Scratch) -> DataFrame:
-    """(v, c): each vertex of ``edges`` (a, b long) with the smallest vertex that it reaches.
-
-    Each round every root points to its smallest neighbour where that is
-    smaller, pointers are halved until they end at roots, and the edges are
-    rewritten to roots; edges inside a component vanish.  No vertex's whole
-    neighbourhood is gathered: only minima are, so a hub is no hot spot.
-    """
-    live = scratch.put(edges.filter("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "edges")
-    members = scratch.put(live.select(F.explode(F.array("a", "b")).alias("v")).distinct().withColumn("c", F.col("v")), "vertices")
-    while not live.isEmpty():
-        # b > a on every edge, so the smallest smaller neighbour of b is the least a
-        parent = live.groupBy("b").agg(F.min("a").alias("p")).select(F.col("b").alias("r"), "p")
-        while True:
-            parent = scratch.put(parent, "parents")
-            up = parent.select(F.col("r").alias("p"), F.col("p").alias("q"))
-            jumped = parent.join(up, "p", "left").select("r", F.coalesce("q", "p").alias("p"), F.col("q").isNotNull().alias("moved"))
-            jumped = scratch.put(jumped, "jumped")
-            parent = jumped.select("r", "p")
-            if jumped.filter("moved").isEmpty():
-                break
-        as_a = parent.select(F.col("r").alias("a"), F.col("p").alias("pa"))
-        as_b = parent.select(F.col("r").alias("b"), F.col("p").alias("pb"))
-        moved = live.join(as_a, "a", "left").join(as_b, "b", "left").select(F.coalesce("pa", "a").alias("x"), F.coalesce("pb", "b").alias("y"))
-        moved = moved.filter("x <> y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
-        as_c = parent.select(F.col("r").alias("c"), F.col("p").alias("pc"))
-        members = scratch.put(members.join(as_c, "c", "left").select("v", F.coalesce("pc", "c").alias("c")), "members")
-        live = scratch.put(moved, "edges")
-    return members
+    """(v, c): each vertex of ``edges`` (a, b long) with the smallest vertex that it reaches."""
+    return connected(edges, lambda df: scratch.put(df, "component"))

@@ -436,13 +436,13 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text",
     keys = docs.select("id").filter("id IS NOT NULL").distinct().repartitionByRange("id").sortWithinPartitions("id").withColumn("n", F.monotonically_increasing_id())
     keys = scratch.put(keys, "keys")
     numbered = scratch.put(docs.join(keys, "id", "left").select(F.col("n").alias("id"), "text"), "numbered")
-    out = _components(numbered, n, t, links, scratch)
+    out = _components(numbered, n, t, links, scratch, (keys, numbered))
     own, least = (keys.select(F.col("n").alias(a), F.col("id").alias(b)) for a, b in (("id", "_own"), ("component_id", "_least")))
     out = out.join(own, "id", "left").join(least, "component_id", "left")
     return out.select(F.col("_own").alias("id"), "n_shingles", F.col("_least").alias("component_id"), "n_links")
 
 
-def _components(docs: DataFrame, n: int, t: Fraction, links: bool, scratch: Scratch) -> DataFrame:
+def _components(docs: DataFrame, n: int, t: Fraction, links: bool, scratch: Scratch, kept: tuple[DataFrame, ...] = ()) -> DataFrame:
     """The rows of ``jaccard_components`` for whole numbers as ids."""
     rows = scratch.put(_rows(docs, n, t, scratch), "rows")
     full = rows.filter("n > 0 AND id IS NOT NULL")
@@ -475,8 +475,11 @@ def _components(docs: DataFrame, n: int, t: Fraction, links: bool, scratch: Scra
     if not more.isEmpty():
         comp = components(found.unionByName(more), scratch)
     of_set = reps.select("set_key", F.col("id").alias("v"), "copies").join(comp, "v", "left").withColumn("c", F.coalesce("c", "v"))
+    scratch.keep(rows, reps, comp, *kept)
     if links:
-        of_set = of_set.join(scratch.put(_links(comp, reps, docs, n, t, scratch), "links"), "v", "left")
+        counted = scratch.put(_links(comp, reps, docs, n, t, scratch), "links")
+        of_set = of_set.join(counted, "v", "left")
+        scratch.keep(rows, reps, comp, counted, *kept)
     else:
         of_set = of_set.withColumn("links", F.lit(None).cast("long"))
     n_links = F.coalesce("links", F.lit(0)) + F.col("copies") - 1

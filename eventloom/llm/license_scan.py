@@ -15,8 +15,9 @@ shingle with any template, so nothing is lost.
 Edge cases: words are split at white space, lowered, without outer punctuation;
 templates with fewer words than a shingle are one shingle of all of them, and
 match windows of as many; null and empty texts, and templates without words,
-match nothing; rows repeated are reported each; whole texts are scanned; ties
-between windows go to the earliest; no template means no result.
+match nothing; rows with equal id and text are one document; whole texts are
+scanned; ties between windows go to the earliest; templates repeated are one; no
+template means no result; further columns of both tables don't matter.
 """
 
 from __future__ import annotations

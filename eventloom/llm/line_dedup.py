@@ -1,6 +1,6 @@
 """Repeated runs of lines, by distributed prefix doubling; DataFrame operations only.
 
-A line that isn't blank is a symbol.  Level 0 ranks symbols; level k + 1 ranks
+A line that isn't blank is a symbol, named by two 64-bit hashes.  Level 0 ranks symbols; level k + 1 ranks
 runs of 2^(k + 1) lines by the sorted pairs of ranks at the run's start and
 middle, as a suffix array is built.  Equal ranks are the suffixes that share
 their first 2^k lines, which is an interval of longest common prefix; runs that
@@ -22,7 +22,7 @@ lines; an empty table gives an empty table.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import WORD_BREAKS, Scratch, fresh
@@ -31,10 +31,10 @@ MIN_WORDS = 50
 
 
 def _lines(docs: DataFrame) -> DataFrame:
-    """(d, th, seq, li, lh, nw): the lines of each distinct id and text that aren't blank."""
+    """(d, th, seq, li, lh, lg, nw): the lines of each distinct id and text that aren't blank."""
     lines = F.transform(F.split("text", "\n", -1), lambda x, i: F.struct(i.alias("li"), F.trim(F.translate(x, "\t\r\f\x0b", "    ")).alias("bare"), x.alias("line")))
     found = docs.select("d", "th", F.posexplode(F.filter(lines, lambda x: x.bare != "")).alias("seq", "x"))
-    return found.select("d", "th", "seq", F.col("x.li").alias("li"), F.xxhash64("x.line").alias("lh"), F.size(F.split("x.bare", WORD_BREAKS)).alias("nw"))
+    return found.select("d", "th", "seq", F.col("x.li").alias("li"), F.xxhash64("x.line").alias("lh"), F.xxhash64(F.lit(1), "x.line").alias("lg"), F.size(F.split("x.bare", WORD_BREAKS)).alias("nw"))
 
 
 def _ranked(keys: DataFrame, *columns: str) -> DataFrame:
@@ -42,10 +42,28 @@ def _ranked(keys: DataFrame, *columns: str) -> DataFrame:
     return keys.repartitionByRange(*columns).sortWithinPartitions(*columns).withColumn("r", F.monotonically_increasing_id())
 
 
+RUNS = "array<struct<first:int,lines:int>>"
+
+
+def _runs(lines: Column) -> Column:
+    """Runs of consecutive lines of a sorted array of struct(i, li)."""
+    start = F.struct(F.array().cast(RUNS).alias("done"), F.lit(None).cast("bigint").alias("i"))
+
+    def add(acc, x):
+        last = F.element_at(acc["done"], -1)
+        longer = F.concat(F.slice(acc["done"], 1, F.size(acc["done"]) - 1), F.array(F.struct(last["first"].alias("first"), (last["lines"] + 1).alias("lines"))))
+        fresh_run = F.concat(acc["done"], F.array(F.struct(x["li"].alias("first"), F.lit(1).alias("lines"))))
+        return F.struct(F.when(x["i"] == acc["i"] + 1, longer).otherwise(fresh_run).alias("done"), x["i"].alias("i"))
+
+    return F.aggregate(lines, start, add, lambda acc: acc["done"])
+
+
 def removed_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
-    """(d, th, removed): for documents that lose lines, their indices from 0 in the text's split by newline.
+    """(d, th, removed, runs): for documents that lose lines, their indices from 0 in the text's split by newline.
 
-    ``d`` is the id, ``th`` the text's hash.
+    ``d`` is the id, ``th`` the text's hash; ``runs`` are the maximal repeated
+    runs, struct(first, lines): the index of the first line, and how many lines
+    that aren't blank.
     """
     scratch = Scratch(docs.sparkSession, "lines")
     docs = docs.select(F.col(key).alias("d"), F.xxhash64(text).alias("th"), F.col(text).alias("text")).filter("text IS NOT NULL")
@@ -53,8 +71,8 @@ def removed_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", min_
     if not docs.groupBy("d", "th").count().filter("count > 1").isEmpty():
         lines = lines.dropDuplicates(["d", "th", "seq"])
     lines = scratch.put(lines, "lines")
-    symbols = scratch.put(_ranked(lines.groupBy("lh").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("lh"), "lh"), "symbols")
-    live = lines.join(symbols, "lh").select(F.struct(F.col("d").isNotNull().alias("known"), "d", "th").alias("doc"), "seq", "li", "nw", "r")
+    symbols = scratch.put(_ranked(lines.groupBy("lh", "lg").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("lh", "lg"), "lh", "lg"), "symbols")
+    live = lines.join(symbols, ["lh", "lg"]).select(F.struct(F.col("d").isNotNull().alias("known"), "d", "th").alias("doc"), "seq", "li", "nw", "r")
     live = scratch.put(live, "live")
 
     by_doc = Window.partitionBy("doc").orderBy("seq")
@@ -93,28 +111,33 @@ def removed_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", min_
         if level.isEmpty():
             break
     if not hits:
-        return docs.select("d", "th", F.array().cast("array<int>").alias("removed")).limit(0)
+        return docs.select("d", "th", F.array().cast("array<int>").alias("removed"), F.array().cast(RUNS).alias("runs")).limit(0)
     gone = hits[0]
     for more in hits[1:]:
         gone = gone.unionByName(more)
     gone = gone.distinct().join(live.select("doc", F.col("seq").cast("long").alias("i"), "li"), ["doc", "i"])
-    return gone.groupBy("doc").agg(F.sort_array(F.collect_set("li")).alias("removed")).select("doc.d", "doc.th", "removed")
+    found = gone.groupBy("doc").agg(F.array_sort(F.collect_list(F.struct("i", "li"))).alias("x"))
+    result = scratch.put(found.select("doc.d", "doc.th", F.transform("x", lambda x: x["li"]).alias("removed"), _runs(F.col("x")).alias("runs")), "removed")
+    scratch.keep(result)
+    return result
 
 
-def without_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", min_words: int = MIN_WORDS, out: str = "removed") -> DataFrame:
-    """``docs`` with shortened texts and a column ``out``: indices of the lines that are gone, null if none."""
+def without_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", min_words: int = MIN_WORDS, out: str = "removed", runs: str | None = None) -> DataFrame:
+    """``docs`` with shortened texts and a column ``out``: indices of the lines that are gone, null if none; with ``runs``, also these."""
     gone = removed_lines(docs, key, text, min_words)
     d, th = fresh(docs, "_key"), fresh(docs, "_hash")
-    gone = gone.select(F.col("d").alias(d), F.col("th").alias(th), F.col("removed").alias(out))
+    more = [] if runs is None else [F.col("runs").alias(runs)]
+    gone = gone.select(F.col("d").alias(d), F.col("th").alias(th), F.col("removed").alias(out), *more)
     joined = docs.join(gone, F.col(key).eqNullSafe(F.col(d)) & (F.xxhash64(docs[text]) == F.col(th)), "left")
     left = F.array_join(F.filter(F.split(F.col(text), "\n", -1), lambda x, i: ~F.array_contains(out, i)), "\n")
-    return joined.withColumn(text, F.when(F.col(out).isNull(), F.col(text)).otherwise(left)).select(*docs.columns, out)
+    return joined.withColumn(text, F.when(F.col(out).isNull(), F.col(text)).otherwise(left)).select(*docs.columns, out, *([] if runs is None else [runs]))
 
 
 def op8_line_dedup(docs: DataFrame) -> DataFrame:
     """Every document's text without later copies of repeated runs of lines."""
-    found = without_repeats(docs.select("doc_id", "text"))
-    return found.select("doc_id", "text", F.size(F.coalesce("removed", F.array().cast("array<int>"))).cast("long").alias("n_removed"), "removed")
+    found = without_repeats(docs.select("doc_id", "text"), runs="runs")
+    runs = F.array_join(F.transform("runs", lambda x: F.concat_ws("+", x["first"].cast("string"), x["lines"].cast("string"))), " ")
+    return found.select("doc_id", "text", F.coalesce(F.size("removed"), F.lit(0)).cast("long").alias("n_removed"), F.array_join(F.col("removed").cast("array<string>"), " ").alias("removed"), runs.alias("runs"))
 
 
 def keep_lines(docs: DataFrame) -> DataFrame:

@@ -7,6 +7,7 @@ from importlib import import_module
 
 from pyspark.sql import DataFrame, SparkSession
 
+from . import oracles
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -38,4 +39,4 @@ def queries() -> dict[str, Query]:
 
 def oracle_sql() -> dict[str, str]:
     """DuckDB SQL of the queries that SQL can express on whole tables."""
-    return {}
+    return oracles.oracle_sql()
