@@ -33,3 +33,73 @@ def daily_counts(events: DataFrame, time: str, by: str, late: str = "2 days") ->
 def first_by_url(documents: DataFrame, time: str, late: str = "1 day") -> DataFrame:
     """The first document of each URL within the watermark."""
     return documents.withWatermark(time, late).dropDuplicatesWithinWatermark(["url"])
+
+
+def of_the_past(documents: DataFrame, time: str, today: str) -> DataFrame:
+    """Rows that aren't of the future, which a stream drops."""
+    return documents.filter(F.to_date(time) <= F.lit(today).cast("date"))
+
+
+def versions(spark, out: str) -> list[int]:
+    """Numbers of the versions of a table that ``flush_stream`` keeps."""
+    from ..sources.files import exists
+
+    if not exists(spark, out):
+        return []
+    path = spark._jvm.org.apache.hadoop.fs.Path(out)
+    found = path.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(path)
+    names = [s.getPath().getName() for s in found]
+    return sorted(int(n[2:]) for n in names if n.startswith("v="))
+
+
+def stored(spark, out: str) -> DataFrame | None:
+    """The latest version of a table that ``flush_stream`` keeps, or None."""
+    have = versions(spark, out)
+    return spark.read.parquet(f"{out}/v={have[-1]}") if have else None
+
+
+def flush_stream(rows: DataFrame, key: str, order: str, out: str, checkpoint: str, prepare: Callable[[DataFrame], DataFrame] = lambda df: df, rows_per_flush: int | None = None):
+    """Upserts each micro-batch into a keyed table, the last row of a key by ``order`` wins; late rows take their keys too.
+
+    Every flush writes a version of its batch's number, so one that is run
+    again after a failure gives the same table.  ``rows_per_flush`` splits what
+    a batch brings into flushes of about so many rows.
+    """
+    from ..operators import upsert
+
+    def flush(batch: DataFrame, number: int) -> None:
+        spark = batch.sparkSession
+        before = [v for v in versions(spark, out) if v < number]
+        new = upsert.last_wins(prepare(batch), [key], order)
+        table = upsert.upserted(spark.read.parquet(f"{out}/v={before[-1]}"), new, [key]) if before else new
+        table.write.mode("overwrite").parquet(f"{out}/v={number}")
+
+    def step(batch: DataFrame, number: int) -> None:
+        parts = 1 if rows_per_flush is None else max(1, -(-batch.count() // rows_per_flush))
+        for i in range(parts):
+            part = batch if parts == 1 else batch.filter(F.pmod(F.xxhash64(key), F.lit(parts)) == i)
+            flush(part, number * 1_000_000 + i)
+
+    return rows.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def daily_streaks(events: DataFrame, time: str, by: str, late: str = "3 days") -> DataFrame:
+    """(by, first_day, days): runs of consecutive days with events, closed once the watermark is past them.
+
+    A run is a session of day starts that lie no more than a day apart.
+    """
+    days = events.withColumn("_day", F.date_trunc("day", time)).withWatermark("_day", late)
+    sessions = days.groupBy(F.session_window("_day", "25 hours").alias("s"), by).agg(F.count(F.lit(1)).alias("events"))
+    last = F.to_date(F.col("s.end") - F.expr("INTERVAL 25 HOURS"))
+    return sessions.select(by, F.to_date("s.start").alias("first_day"), (F.datediff(last, F.to_date("s.start")) + 1).alias("days"), "events")
+
+
+def recomputed(events: DataFrame, snapshot: Callable[[DataFrame], DataFrame], out: str, checkpoint: str):
+    """Keeps all rows and writes a whole snapshot anew at each batch, so late rows change past days."""
+
+    def step(batch: DataFrame, number: int) -> None:
+        spark = batch.sparkSession
+        batch.write.mode("overwrite").parquet(f"{out}/rows/b={number}")
+        snapshot(spark.read.parquet(f"{out}/rows")).write.mode("overwrite").parquet(f"{out}/snapshot")
+
+    return events.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
