@@ -11,9 +11,9 @@ n-grams.  Two documents link when their sets' Jaccard similarity is at least
 * Columns are dealt to blocks by their hash.  In columns of fewer than SMALL
   rows a block counts all pairs of rows.  In larger ones rows are first paired
   only with central rows of their column; each row's best such pair is verified
-  and components form, which is where large groups of near copies end.  A column
-  whose hint is over PIECE rows is cut into pieces by a salt, and the pieces'
-  central rows are paired in further rounds, so no task gets a whole hot column.
+  and components form, which is where large groups of near copies end.  Columns
+  whose hint is over HOT rows never meet in one task: their central rows, one for
+  each class of sizes, come from an aggregation, and rows join them by salted keys.
 * Then the incidence of the rows of different components is multiplied in the
   larger columns: the rows of a column's largest component and the others are
   cut into blocks of about SIDE, and each pair of blocks is a cell group of its
@@ -35,6 +35,7 @@ document; a null id is a document of its own without links.  Empty tables give e
 from __future__ import annotations
 
 import hashlib
+import math
 from fractions import Fraction
 
 import numpy as np
@@ -53,8 +54,10 @@ THRESHOLD = Fraction(4, 5)
 HINTS = 1_000_000
 #: n-grams in one local count, and the local count from which a column is reported.
 LOCAL, REPORT = 4_000_000, 2
-#: Rows of a column from which pairs are formed by central rows first, and the log2 of a piece of a hot column.
-SMALL, PIECE_BITS = 16, 8
+#: Rows of a column from which pairs are formed by central rows first; log2 of the hint above which a column is hot.
+SMALL, HOT = 16, 8
+#: Parts into which the rows of a hot column are dealt to meet their central row.
+SALTS = 32
 #: Rows on one side of a block pair in which different components are multiplied.
 SIDE = 256
 #: Sets of a component in one block when links are counted, and sets in one product.
@@ -66,7 +69,7 @@ class _Words(dict):
     """64-bit hashes of words, kept while there are not too many."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 500_000:
+        if len(self) > 250_000:
             self.clear()
         h = self[word] = xxhash.xxh3_64_intdigest(word)
         return h
@@ -150,20 +153,28 @@ def _rows(docs: DataFrame, n: int, t: Fraction, scratch: Scratch) -> DataFrame:
     return docs.mapInArrow(make, schema)
 
 
-def _columns(rows: DataFrame, level: int = 0) -> DataFrame:
-    """(h, n, id, usual, hot): the incidence matrix's prefix part, dealt by column to blocks and sorted by it.
+def _cells(rows: DataFrame) -> DataFrame:
+    """(h, hot, n, id, usual): the incidence matrix's prefix part."""
+    cells = rows.select(F.explode(F.arrays_zip("prefix", "ranks")).alias("x"), "n", "id", "usual")
+    return cells.select(F.col("x.prefix").alias("h"), (F.col("x.ranks") > HOT).alias("hot"), "n", "id", "usual")
 
-    A hot column is cut into pieces of about 2^PIECE_BITS rows by a hash of the
-    row; at a higher level the rows are those that stood for a piece of the
-    level below, and only columns that were cut there come again.
+
+def _columns(rows: DataFrame) -> DataFrame:
+    """(h, n, id, usual): the columns that aren't hot, dealt by column to blocks and sorted by it."""
+    return _cells(rows).filter("NOT hot").drop("hot").repartition("h").sortWithinPartitions("h", "id")
+
+
+def _hot_stars(rows: DataFrame, t: Fraction) -> DataFrame:
+    """(a, b, c): in how many hot columns row a is the central one of row b and of like size.
+
+    Central is the row whose prefix is most usual; sizes of one class are always comparable.
     """
-    cells = rows.select(F.explode(F.arrays_zip("prefix", "ranks")).alias("x"), "n", "id", "usual").select(F.col("x.prefix").alias("h"), F.col("x.ranks").cast("int").alias("rank"), "n", "id", "usual")
-    if level:
-        cells = cells.filter(F.col("rank") > PIECE_BITS * level)
-    bits = F.col("rank") - PIECE_BITS * (level + 1)
-    salt = F.expr(f"pmod(xxhash64(id, {level}), shiftleft(1L, greatest(rank - {PIECE_BITS * (level + 1)}, 0)))")
-    cells = cells.select(F.when(bits > 0, F.xxhash64("h", salt)).otherwise(F.col("h")).alias("h"), "n", "id", "usual", (F.col("rank") > PIECE_BITS).alias("hot"))
-    return cells.repartition("h").sortWithinPartitions("h", "id")
+    size = F.floor(F.log(F.col("n").cast("double")) / math.log(t.denominator / t.numerator))
+    cells = _cells(rows).filter("hot").select("h", size.alias("size"), "id", "usual")
+    central = cells.groupBy("h", "size").agg(F.max_by("id", F.struct("usual", (-F.col("id")).alias("id"))).alias("a"))
+    central = central.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    dealt = cells.select("h", "size", F.col("id").alias("b"), F.pmod(F.xxhash64("id"), F.lit(SALTS)).cast("int").alias("salt"))
+    return dealt.join(central, ["h", "size", "salt"]).groupBy("a", "b").agg(F.count(F.lit(1)).alias("c"))
 
 
 def _runs(batches, width: int):
@@ -187,9 +198,9 @@ def _comparable(a, b, t: Fraction):
 
 
 def _all_pairs(cells, cut, t: Fraction):
-    """Pairs of rows (smaller id first) in columns of fewer than SMALL rows; a piece of a hot column is none."""
+    """Pairs of rows (smaller id first) in columns of fewer than SMALL rows."""
     n, doc = cells[1], cells[2]
-    lengths = np.where(cells[4][cut[:-1]], SMALL, np.diff(cut))
+    lengths = np.diff(cut)
     for k in range(2, SMALL):
         first = cut[:-1][lengths == k]
         if len(first):
@@ -200,14 +211,14 @@ def _all_pairs(cells, cut, t: Fraction):
 
 
 def _central_pairs(cells, cut, t: Fraction):
-    """Pairs of a central row and another in columns of SMALL rows or more, and in pieces of hot ones.
+    """Pairs of a central row and another in columns of SMALL rows or more.
 
     Central are the rows whose prefix is most usual, so the source of copies
     rather than one of them; rows that sizes keep from one have a next.  A row
     without a partner is paired with itself, so that it is known to be here.
     """
     n, doc, usual = cells[1:4]
-    for i in np.flatnonzero((np.diff(cut) >= SMALL) | cells[4][cut[:-1]]).tolist():
+    for i in np.flatnonzero(np.diff(cut) >= SMALL).tolist():
         left = np.arange(cut[i], cut[i + 1])
         left = left[np.lexsort((doc[left], -usual[left]))]
         while len(left):
@@ -270,7 +281,7 @@ def _blocks(inner: DataFrame, scratch: Scratch) -> DataFrame:
     others, never each other.
     """
     cells = inner.select(F.explode(F.arrays_zip("prefix", "ranks")).alias("x"), "id", "comp")
-    cells = scratch.put(cells.select(F.col("x.prefix").alias("h"), (F.col("x.ranks") > PIECE_BITS).alias("hot"), "id", "comp"), "cells")
+    cells = scratch.put(cells.select(F.col("x.prefix").alias("h"), (F.col("x.ranks") > HOT).alias("hot"), "id", "comp"), "cells")
     by = cells.groupBy("h", "comp").agg(F.count(F.lit(1)).alias("k"), F.max("hot").alias("hot"))
     mixed = by.groupBy("h").agg(F.sum("k").alias("n"), F.max(F.struct("k", "comp")).alias("m"), F.count(F.lit(1)).alias("kinds"), F.max("hot").alias("hot"))
     mixed = mixed.filter(((F.col("n") >= SMALL) | F.col("hot")) & (F.col("kinds") > 1))
@@ -319,18 +330,6 @@ def _product(cells: DataFrame, width: int, steps: dict, t: Fraction) -> DataFram
     return got.groupBy("kind", "a", "b").agg(F.sum("c").alias("c"))
 
 
-def _stars(reps: DataFrame, stars: DataFrame, t: Fraction, scratch: Scratch) -> DataFrame:
-    """Star pairs (a, b, c) of all levels: those given, and of the central rows of a hot column's pieces, until it is whole."""
-    highest = reps.agg(F.max(F.array_max("ranks").cast("int"))).first()[0] or 0
-    level, every = 1, stars
-    while highest > PIECE_BITS * level:
-        tops = reps.join(stars.filter("a <> b").select(F.col("a").alias("id")).distinct(), "id", "left_semi")
-        stars = scratch.put(_product(_columns(tops, level), 5, {1: _central_pairs}, t).select("a", "b", "c"), f"stars{level}")
-        every = every.unionByName(stars)
-        level += 1
-    return every
-
-
 def _whole_sets(docs: DataFrame, pairs: DataFrame, n: int) -> DataFrame:
     """(id, s): the sets of the documents in some pairs."""
 
@@ -451,11 +450,10 @@ def _components(docs: DataFrame, n: int, t: Fraction, links: bool, scratch: Scra
     distinct = full.groupBy("set_key", "id").agg(*firsts)
     reps = scratch.put(distinct.groupBy("set_key").agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("copies"), *firsts), "reps")
     every, central, crossing = 0, 1, 2
-    first = scratch.put(_product(_columns(reps), 5, {every: _all_pairs, central: _central_pairs}, t), "first")
-    stars = first.filter(F.col("kind") == central).select("a", "b", "c")
+    first = scratch.put(_product(_columns(reps), 4, {every: _all_pairs, central: _central_pairs}, t), "first")
+    stars = first.filter(F.col("kind") == central).select("a", "b", "c").unionByName(scratch.put(_hot_stars(reps, t), "hot"))
     in_large = scratch.put(stars.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "in_large")
-    # the best star pair of each row, and of each central row among the others
-    best = _stars(reps, stars, t, scratch).filter("a <> b").groupBy("b").agg(F.max(F.struct("c", (-F.col("a")).alias("a"))).alias("m")).select((-F.col("m.a")).alias("a"), "b")
+    best = stars.filter("a <> b").groupBy("b").agg(F.max(F.struct("c", (-F.col("a")).alias("a"))).alias("m")).select((-F.col("m.a")).alias("a"), "b")
     found = scratch.put(_verified(scratch.put(best, "best"), docs, n, t, scratch), "found")
     comp = components(found, scratch)
     inner = reps.join(in_large, "id", "left_semi").join(comp.select(F.col("v").alias("id"), F.col("c").alias("comp")), "id", "left")

@@ -255,9 +255,9 @@ def test_jaccard_query(spark, sf, docs):
     assert {i: (r["n_shingles"], r["component_id"]) for i, r in got.items()} == brute_components(docs)
 
 
-@pytest.mark.parametrize("piece, side", [(8, 256), (2, 16)])
-def test_jaccard_groups_with_chains_and_boilerplate(spark, monkeypatch, piece, side):
-    monkeypatch.setattr(jaccard, "PIECE_BITS", piece)  # hot columns are cut into pieces and block pairs
+@pytest.mark.parametrize("hot, side", [(8, 256), (2, 16)])
+def test_jaccard_groups_with_chains_and_boilerplate(spark, monkeypatch, hot, side):
+    monkeypatch.setattr(jaccard, "HOT", hot)  # columns over so many rows never meet in one task
     monkeypatch.setattr(jaccard, "SIDE", side)
     random.seed(5)
     word = lambda: "".join(random.choice("abcdefgh") for _ in range(6))
