@@ -65,10 +65,6 @@ def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def canonical_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return canonical.merge_pairs(_events(spark, sf_dir))
-
-
 def _cut(spark: SparkSession):
     """Writes a table to the shared folder and reads it back; only a local session without one gets a folder of its machine."""
     base, n = f"{b.shared_folder(spark)}/canonical-{uuid.uuid4().hex}", iter(range(1 << 20))
@@ -81,6 +77,11 @@ def _cut(spark: SparkSession):
     return cut
 
 
+def canonical_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = _cut(spark)
+    return canonical.merge_pairs(cut(_events(spark, sf_dir)), cut=cut)
+
+
 def canonical_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = _cut(spark)
     events = cut(_events(spark, sf_dir))
