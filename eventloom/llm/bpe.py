@@ -38,7 +38,9 @@ ROW = 256
 #: Code points after a slice that the pattern looks at.
 AHEAD = 2
 #: Words, and their code points, that a worker remembers before it starts anew, looked at once a chunk.
-CACHE, CACHE_POINTS = 150_000, 4 << 20
+CACHE, CACHE_POINTS = 250_000, 8 << 20
+#: Bytes of a word up to which new words are merged side by side.
+SHORT = 48
 
 
 def _step(state: int, kind: int) -> tuple[int, bool]:
@@ -82,6 +84,9 @@ FUNCTION, THEN, VALUES = _monoid()
 NEXT = np.array([[_step(s, k)[0] for k in range(CLASSES)] for s in range(STATES)], dtype=np.uint8).ravel()
 STARTS = np.array([[_step(s, k)[1] for k in range(CLASSES)] for s in range(STATES)], dtype=bool).ravel()
 
+#: More than any id.
+NONE = np.int64(1 << 62)
+
 _class_table: np.ndarray | None = None
 
 
@@ -189,6 +194,7 @@ class Codec:
         self.cached_points = 0
         self.first, self.size = np.zeros(1 << 12, dtype=np.int64), np.zeros(1 << 12, dtype=np.int64)
         self.store, self.used = np.zeros(1 << 14, dtype=np.int32), 0
+        self.pair_keys: np.ndarray | None = None
         self.bytes = Strings(self.pieces)
         self.decimals = Strings([b"%d " % i for i in range(len(self.pieces))])
 
@@ -242,21 +248,91 @@ class Codec:
             i = end[i]
         return tuple(out)
 
-    def _remember(self, piece: str) -> int:
-        """The place in the store of a word that isn't remembered yet; the word is merged."""
-        ids = self.merge(piece.encode("utf-8", "surrogatepass"))
+    def _pair_table(self) -> None:
+        """Pairs of ids whose pieces join to a piece: sorted keys, and the id of each joined piece."""
+        ranks, keys, joined = self.ranks, [], []
+        for piece, rank in ranks.items():
+            for i in range(1, len(piece)):
+                a = ranks.get(piece[:i])
+                b = ranks.get(piece[i:]) if a is not None else None
+                if b is not None:
+                    keys.append(a << 32 | b)
+                    joined.append(rank)
+        keys, joined = np.array(keys, dtype=np.int64), np.array(joined, dtype=np.int64)
+        order = np.argsort(keys)
+        # one more key than any, so that every place that a search gives is there
+        self.pair_keys, self.pair_ids = np.append(keys[order], np.iinfo(np.int64).max), np.append(joined[order], NONE)
+        self.byte_ids = np.array([ranks[bytes([i])] for i in range(256)], dtype=np.int64)
+
+    def _joined(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """The ids of joined pairs, NONE where a pair is no piece."""
+        key = a << 32 | b
+        at = np.searchsorted(self.pair_keys, key)
+        return np.where(self.pair_keys[at] == key, self.pair_ids[at], NONE)
+
+    def merge_many(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of short words in a row, and how many each word has; a step joins one pair in every word that has one."""
+        if self.pair_keys is None:
+            self._pair_table()
+        sizes = np.array([len(w) for w in words], dtype=np.int64)
+        ids = self.byte_ids[np.frombuffer(b"".join(words), dtype=np.uint8)]
+        of = np.repeat(np.arange(len(words)), sizes)  # the word of each id
+        pair = np.full(len(ids), NONE)  # the id of each id joined with the next
+        inside = np.flatnonzero(of[1:] == of[:-1])
+        pair[inside] = self._joined(ids[inside], ids[inside + 1])
+        done = []
+        while len(ids):
+            first = np.flatnonzero(np.append(True, of[1:] != of[:-1]))
+            n = np.diff(np.append(first, len(of)))
+            low = np.repeat(np.minimum.reduceat(pair, first), n)
+            ended = low == NONE
+            if ended.any():
+                done.append((of[ended], ids[ended]))
+                ids, of, pair, low = (x[~ended] for x in (ids, of, pair, low))
+                if not len(ids):
+                    break
+            at = np.flatnonzero(pair == low)
+            at = at[np.append(True, of[at[1:]] != of[at[:-1]])]  # the leftmost of each word
+            ids[at] = pair[at]
+            keep = np.ones(len(ids), dtype=bool)
+            keep[at + 1] = False
+            ids, of, pair = ids[keep], of[keep], pair[keep]
+            at = at - np.arange(len(at))
+            for x in (at, at[at > 0] - 1):  # pairs with the new id on the left and on the right
+                x = x[x + 1 < len(ids)] if len(x) else x
+                same = of[x] == of[x + 1]
+                pair[x] = np.where(same, self._joined(ids[x], ids[x + 1]), NONE)
+            if len(ids) and at[-1] == len(ids) - 1:
+                pair[-1] = NONE
+        of, ids = (np.concatenate([d[i] for d in done]) if done else np.zeros(0, dtype=np.int64) for i in (0, 1))
+        order = np.argsort(of, kind="stable")
+        return ids[order], np.bincount(of, minlength=len(words))
+
+    def _remember(self, pieces: list[str]) -> None:
+        """Merges words that aren't remembered yet, and remembers them."""
+        raw = [p.encode("utf-8", "surrogatepass") for p in pieces]
+        short = [i for i, w in enumerate(raw) if len(w) <= SHORT]
+        ids, sizes = self.merge_many([raw[i] for i in short])
+        order = [*short]
+        if len(short) < len(raw):
+            there = set(short)
+            long = [i for i in range(len(raw)) if i not in there]
+            more = [self.merge(raw[i]) for i in long]
+            ids, sizes = np.concatenate([ids, *more]).astype(np.int64), np.append(sizes, [len(m) for m in more])
+            order += long
         at, used = len(self.cache), self.used
-        if at == len(self.size):
+        while at + len(order) > len(self.size):
             self.size = np.concatenate([self.size, np.zeros_like(self.size)])
             self.first = np.concatenate([self.first, np.zeros_like(self.first)])
         while used + len(ids) > len(self.store):
             self.store = np.concatenate([self.store, np.zeros_like(self.store)])
         self.store[used : used + len(ids)] = ids
-        self.first[at], self.size[at] = used, len(ids)
+        ends = used + np.cumsum(sizes)
+        self.size[at : at + len(order)] = sizes
+        self.first[at : at + len(order)] = ends - sizes
         self.used = used + len(ids)
-        self.cache[piece] = at
-        self.cached_points += len(piece)
-        return at
+        self.cache.update(zip((pieces[i] for i in order), range(at, at + len(order))))
+        self.cached_points += sum(map(len, pieces))
 
     def words(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all words in a row, and how many each word has."""
@@ -266,9 +342,10 @@ class Codec:
             self.used = self.cached_points = 0
             self.store = self.store[: 1 << 20]
         found = np.fromiter(map(cache.get, pieces, repeat(-1)), dtype=np.int64, count=len(pieces))
-        for i in np.flatnonzero(found < 0).tolist():
-            at = cache.get(pieces[i])
-            found[i] = self._remember(pieces[i]) if at is None else at
+        new = np.flatnonzero(found < 0).tolist()
+        if new:
+            self._remember(list(dict.fromkeys(pieces[i] for i in new)))
+            found[new] = [cache[pieces[i]] for i in new]
         sizes = self.size[found]
         ends = np.cumsum(sizes)
         total = int(ends[-1]) if len(ends) else 0
