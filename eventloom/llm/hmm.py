@@ -28,6 +28,7 @@ from __future__ import annotations
 
 import zlib
 from collections import Counter
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -40,6 +41,7 @@ from .common import Scratch, at_most, crc_mod, word_bytes
 SYMBOLS, CLASSES, KNOWN = 4096, 1024, 400_000
 STATES, PASSES, SEED = 8, 4, 11
 GROUP = 300_000  # tokens in one vectorised pass over texts of like length
+ABREAST = 64  # texts that a pass takes side by side, so that steps aren't too small
 BLOCK = 2048  # steps whose forward vectors are kept at a time
 #: What sums of tasks are added as.
 EXACT = "decimal(38,10)"
@@ -69,25 +71,36 @@ def _counts(texts: DataFrame) -> DataFrame:
     return texts.mapInArrow(count, "w binary, c long").groupBy("w").agg(F.sum("c").alias("c"))
 
 
-class _Known(dict):
-    """Places of words in a table of what is known of them; a worker's, made anew when it has grown too large."""
+class _Known:
+    """What is known of words: each word's place in a table, which a text's new words join together."""
 
     def __init__(self, vocabulary: Vocabulary):
-        super().__init__()
         self.of = vocabulary
+        self.place: dict[bytes, int] = {}
         self.columns = np.zeros((3, 1 << 12))  # log10(c + 1), share in the class, whether the word is known
         self.symbols = np.zeros(1 << 12, dtype=np.int16)
 
-    def __missing__(self, w: bytes) -> int:
-        at = self[w] = len(self)
-        if at == self.columns.shape[1]:
+    def places(self, words: list[bytes]) -> np.ndarray:
+        got = np.fromiter(map(self.place.get, words, repeat(-1)), dtype=np.int64, count=len(words))
+        missing = np.flatnonzero(got < 0).tolist()
+        if missing:
+            new = list(dict.fromkeys(words[i] for i in missing))
+            self._add(new)
+            got[missing] = [self.place[words[i]] for i in missing]
+        return got
+
+    def _add(self, new: list[bytes]) -> None:
+        lo, hi = len(self.place), len(self.place) + len(new)
+        while hi > self.columns.shape[1]:
             self.columns = np.concatenate([self.columns, np.zeros_like(self.columns)], axis=1)
             self.symbols = np.concatenate([self.symbols, np.zeros_like(self.symbols)])
-        c, s, k = self.of.counts.get(w, 0), self.of.symbol.get(w, -1), _class_of(w)
-        log = np.log10(c + 1.0)
-        self.columns[:, at] = log, 0.0 if s >= 0 else log - self.of.log_share[k], c > 0
-        self.symbols[at] = s if s >= 0 else SYMBOLS + k
-        return at
+        c = np.fromiter(map(self.of.counts.get, new, repeat(0)), dtype=np.float64, count=len(new))
+        s = np.fromiter(map(self.of.symbol.get, new, repeat(-1)), dtype=np.int64, count=len(new))
+        k = np.fromiter(map(_class_of, new), dtype=np.int64, count=len(new))
+        logs = np.log10(c + 1.0)
+        self.columns[0, lo:hi], self.columns[1, lo:hi], self.columns[2, lo:hi] = logs, np.where(s >= 0, 0.0, logs - self.of.log_share[k]), c > 0
+        self.symbols[lo:hi] = np.where(s >= 0, s, SYMBOLS + k)
+        self.place.update(zip(new, range(lo, hi)))
 
 
 class Vocabulary:
@@ -108,9 +121,9 @@ class Vocabulary:
         """Symbols; sums of log10(c + 1) and of class shares; known tokens; words whose count isn't here."""
         words = word_bytes(text)
         known = self.__dict__.get("_known")
-        if known is None or len(known) > 300_000:
+        if known is None or len(known.place) > 300_000:
             known = self._known = _Known(self)
-        at = np.fromiter(map(known.__getitem__, words), dtype=np.int64, count=len(words))
+        at = known.places(words)
         logs, share, there = known.columns[:, at].sum(axis=1).tolist()
         rest = Counter(words[i] for i in np.flatnonzero(known.columns[2, at] == 0).tolist()) if there < len(words) else {}
         symbols = np.append(known.symbols[at], np.int16(self.end))
@@ -141,13 +154,13 @@ def _read_texts(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
 
 
 def groups(sequences: list[np.ndarray]):
-    """Indices of texts of like length, longest first, with about GROUP tokens together."""
+    """Indices of texts of like length, longest first, with about GROUP tokens together; long texts with ABREAST at least, up to 8 times as many tokens."""
     order = np.argsort([-len(s) for s in sequences], kind="stable")
     part, size = [], 0
     for i in order.tolist():
         part.append(i)
         size += len(sequences[i])
-        if size >= GROUP:
+        if size >= GROUP and (len(part) >= ABREAST or size >= 8 * GROUP):
             yield part
             part, size = [], 0
     if part:
@@ -193,30 +206,39 @@ def expected(sequences, start, move, emit, block: int = BLOCK):
     pass makes a block's vectors again.
     """
     steps, k = _Steps(sequences), len(start)
-    total, a, before = 0.0, None, []
+    total, a, before, kept = 0.0, None, [], None
     for t in range(len(steps)):
         if t % block == 0:
             before.append(a)
-        a, s = _advance(a, steps[t], start, move, emit)
+            kept = ([a], [], [])  # vectors, scales and symbols of the block; those of the last stay
+        o = steps[t]
+        a, s = _advance(a, o, start, move, emit)
+        for held, x in zip(kept, (a, s, o)):
+            held.append(x)
         total += float(np.log(s).sum())
     moves, emitted, b, first = np.zeros((k, k)), np.zeros((len(emit), k)), np.zeros((0, k)), None
     for i in range(len(before) - 1, -1, -1):
         lo, hi = i * block, min((i + 1) * block, len(steps))
-        alphas, scales, symbols = [before[i]], [], [steps[t] for t in range(lo, hi)]
-        for o in symbols:
-            a, s = _advance(alphas[-1], o, start, move, emit)
-            alphas.append(a)
-            scales.append(s)
-        gammas = [None] * (hi - lo)
+        if kept is None:
+            kept = ([before[i]], [], [steps[t] for t in range(lo, hi)])
+            for o in kept[2]:
+                a, s = _advance(kept[0][-1], o, start, move, emit)
+                kept[0].append(a)
+                kept[1].append(s)
+        alphas, scales, symbols = kept
+        kept = None
+        gammas, rights = [None] * (hi - lo), [None] * (hi - lo)
         for t in range(hi - lo - 1, -1, -1):
             n = len(symbols[t])
             if len(b) < n:
                 b = np.vstack([b, np.ones((n - len(b), k))])
             gammas[t] = alphas[t + 1] * b
-            if lo + t:
-                right = emit[symbols[t]] * b / scales[t][:, None]
-                moves += alphas[t][:n].T @ right
-                b = right @ move.T
+            rights[t] = emit[symbols[t]] * b
+            rights[t] /= scales[t][:, None]
+            b = rights[t] @ move.T
+        since = 1 if lo == 0 else 0  # nothing moves into the first step
+        if hi - lo > since:
+            moves += np.vstack([alphas[t][: len(symbols[t])] for t in range(since, hi - lo)]).T @ np.vstack(rights[since:])
         where, weights = np.concatenate(symbols), np.vstack(gammas)
         for j in range(k):
             emitted[:, j] += np.bincount(where, weights=weights[:, j], minlength=len(emit))
