@@ -26,6 +26,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 LENGTH, WINDOW = 2048, 1 << 20
 END = PAD = 50256  # free in the vocabulary
@@ -81,11 +82,15 @@ def best_fit(sizes: list[int], length: int) -> list[list[int]]:
     return rows
 
 
-SCHEMA = "row_id long, n_tokens int, n_segments int, ids binary, cu_seqlens array<int>, resets array<int>, doc_ids array<long>, doc_offsets array<int>"
-_ARROW = pa.schema([("row_id", pa.int64()), ("n_tokens", pa.int32()), ("n_segments", pa.int32()), ("ids", pa.binary()), ("cu_seqlens", pa.list_(pa.int32())), ("resets", pa.list_(pa.int32())), ("doc_ids", pa.list_(pa.int64())), ("doc_offsets", pa.list_(pa.int32()))])
+SCHEMA = "row_id long, n_tokens int, n_segments int, ids binary, cu_seqlens array<int>, resets array<int>, doc_ids array<{key}>, doc_offsets array<int>"
 
 
-def pack_rows(parts: list[tuple[int | None, int, np.ndarray]], length: int, first: int, kind: np.dtype, pad: int):
+def _arrow(key: pa.DataType) -> pa.Schema:
+    ints = pa.list_(pa.int32())
+    return pa.schema([("row_id", pa.int64()), ("n_tokens", pa.int32()), ("n_segments", pa.int32()), ("ids", pa.binary()), ("cu_seqlens", ints), ("resets", ints), ("doc_ids", pa.list_(key)), ("doc_offsets", ints)])
+
+
+def pack_rows(parts: list[tuple[object, int, np.ndarray]], length: int, first: int, kind: np.dtype, pad: int, schema: pa.Schema):
     """One Arrow batch of rows from (document, offset, ids) parts, numbered from ``first``."""
     out = []
     for k, row in enumerate(best_fit([len(p[2]) for p in parts], length)):
@@ -95,7 +100,7 @@ def pack_rows(parts: list[tuple[int | None, int, np.ndarray]], length: int, firs
         ids[: ends[-1]] = np.concatenate([p[2] for p in chosen])
         cu = [0, *ends.tolist()]
         out.append((first + k, cu[-1], len(row), ids.tobytes(), cu, cu if cu[-1] < length else cu[:-1], [p[0] for p in chosen], [p[1] for p in chosen]))
-    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), _ARROW)], schema=_ARROW), len(out)
+    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), schema)], schema=schema), len(out)
 
 
 _tiktokens: dict = {}
@@ -123,6 +128,8 @@ def packed(docs: DataFrame, key: str = "doc_id", text: str = "text", length: int
     highest = max([pad, end or 0, *(int(x.split()[1]) for x in content.splitlines())])
     kind = np.dtype("<u2" if highest < 1 << 16 else "<u4")
     shared = docs.sparkSession.sparkContext.broadcast(content)
+    own = docs.schema[key].dataType
+    schema = _arrow(to_arrow_type(own))
 
     def run(batches):
         from pyspark import TaskContext
@@ -130,21 +137,21 @@ def packed(docs: DataFrame, key: str = "doc_id", text: str = "text", length: int
         coder = _tiktoken(shared.value, pattern)
         number, parts, held = TaskContext.get().partitionId() << 40, [], 0
         for batch in batches:
-            for doc, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                ids = np.asarray(coder.encode_ordinary(t or ""), dtype=kind)
+            for doc, t in zip(batch.column(0).to_pylist(), batch.column(1)):  # one text at a time is a Python string
+                ids = np.asarray(coder.encode_ordinary(t.as_py() or ""), dtype=kind)
                 if end is not None:
                     ids = np.append(ids, kind.type(end))
                 for at in range(0, len(ids), length):
                     parts.append((doc, at, ids[at : at + length]))
                 held += len(ids)
                 if held >= window:
-                    rows, n = pack_rows(parts, length, number, kind, pad)
+                    rows, n = pack_rows(parts, length, number, kind, pad, schema)
                     yield rows
                     number, parts, held = number + n, [], 0
         if parts:
-            yield pack_rows(parts, length, number, kind, pad)[0]
+            yield pack_rows(parts, length, number, kind, pad, schema)[0]
 
-    return docs.select(F.col(key).cast("long"), text).mapInArrow(run, SCHEMA)
+    return docs.select(key, text).mapInArrow(run, SCHEMA.format(key=own.simpleString()))
 
 
 def write_packed(rows: DataFrame, path: str) -> None:
@@ -152,6 +159,13 @@ def write_packed(rows: DataFrame, path: str) -> None:
     rows.write.mode("overwrite").parquet(path)
 
 
+def position_ids(rows: DataFrame, length: int = LENGTH, out: str = "position_ids") -> DataFrame:
+    """Packed rows with the position of each id in its segment, from the places where positions begin anew."""
+    ends = F.concat(F.slice("resets", 2, F.greatest(F.size("resets") - 1, F.lit(0))), F.array(F.lit(length)))
+    runs = F.transform(F.arrays_zip(F.col("resets").alias("a"), ends.alias("b")), lambda x: F.sequence(F.lit(0), x["b"] - x["a"] - 1))
+    return rows.withColumn(out, F.flatten(runs))
+
+
 def op6_pack_tokens(docs: DataFrame) -> DataFrame:
     """Packed rows of all documents, with a digest of each row's ids."""
     return packed(docs).withColumn("ids_sha256", F.sha2("ids", 256))

@@ -496,6 +496,17 @@ def test_best_fit_equals_a_linear_search():
     assert sorted(100 - sum(sizes[i] for i in row) for row in got) == wanted and sorted(itertools.chain(*got)) == list(range(400))
 
 
+def test_packed_rows_as_files(spark, tmp_path):
+    df = spark.createDataFrame([("a", "one two three " * 30), ("b", None), (None, "x")], "k string, text string")
+    rows = packing.packed(df, "k", length=16)
+    packing.write_packed(rows, f"file://{tmp_path}/p")
+    back = packing.position_ids(spark.read.parquet(f"file://{tmp_path}/p"), 16).collect()
+    for r in back:
+        wanted = [i - max(x for x in r["resets"] if x <= i) for i in range(16)]
+        assert r["position_ids"] == wanted and len(np.frombuffer(r["ids"], dtype="<u2")) == 16
+    assert {d for r in back for d in r["doc_ids"]} == {"a", "b", None}
+
+
 def test_packing_is_lossless(spark, sf, docs):
     enc, _ = reference_encoding()
     back = collections.defaultdict(dict)
