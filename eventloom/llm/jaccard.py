@@ -61,7 +61,7 @@ SALTS = 32
 #: Rows on one side of a block pair in which different components are multiplied.
 SIDE = 256
 #: Sets of a component in one block when links are counted, and sets in one product.
-BLOCK, TILE = 1024, 256
+BLOCK, TILE = 256, 256
 BASE = np.uint64(0x9E3779B97F4A7C15)
 
 
