@@ -472,6 +472,40 @@ def test_license_scan(spark):
     assert license_scan.bands_for(1, 8, 5) >= 10
 
 
+def brute_licenses(texts):
+    """The notices that a window of their class holds, by the definition."""
+    words = lambda t: [w for w in (re.sub(r"^[^\w]+|[^\w]+$", "", x.replace("_", " ").strip()) for x in t.lower().split()) if w]
+    found = set()
+    for i, t in texts.items():
+        ws = words(t or "")
+        for name, notice in license_scan.NOTICES:
+            ts = words(notice)
+            span, size = license_scan.span_of(len(ts)), min(5, len(ts))
+            grams = {tuple(ts[k : k + size]) for k in range(max(1, len(ts) - size + 1))}
+            for start in range(0, max(span, len(ws)), span):
+                w = ws[start : start + 2 * span]
+                have = {tuple(w[k : k + size]) for k in range(max(1, len(w) - size + 1))}
+                if w and len(grams & have) >= 0.8 * len(grams):
+                    found.add((i, name))
+    return found
+
+
+def test_license_scan_equals_brute_force_with_edits(spark):
+    random.seed(12)
+    pad = lambda n: [random.choice("the of in public note file work".split()) + random.choice(["", str(random.randrange(99))]) for _ in range(n)]
+    texts = {}
+    for i in range(160):  # edited notices, near the threshold of containment and on both sides of it
+        ws = license_scan.NOTICES[i % len(license_scan.NOTICES)][1].split()
+        for _ in range(random.randrange(0, 1 + len(ws) // 8)):
+            ws[random.randrange(len(ws))] = "x"
+        texts[i] = " ".join(pad(random.randrange(50)) + ws + pad(random.randrange(50)))
+    texts |= {900: " ".join(pad(3000)), 901: "", 902: None, 903: texts[0], 904: (texts[1] + " ") * 300}
+    df = spark.createDataFrame([(i, t, 1) for i, t in texts.items()] + [(0, texts[0], 1)], "doc_id long, text string, license_id int")
+    got = {(r["doc_id"], r["license_id"]) for r in license_scan.op4_license_scan(df).collect()}
+    wanted = brute_licenses(texts)
+    assert got <= wanted and len(got) >= 0.97 * len(wanted) and len(wanted) > 60
+
+
 def test_anchors_hit_every_shingle():
     texts = [license_scan.NOTICES[k][1].lower().split() for k in range(8)]
     chosen = set(license_scan.anchors(texts))
@@ -598,6 +632,55 @@ def test_html_edges(spark):
 # -- language
 
 
+def plain_ftrl(rows, classes, features, alpha, beta, l1, l2, epochs):
+    """Follow-the-regularised-leader, one weight at a time."""
+    z, n = np.zeros((classes, features)), np.zeros((classes, features))
+
+    def weight(c, i):
+        if abs(z[c, i]) <= l1:
+            return 0.0
+        return -(z[c, i] - np.sign(z[c, i]) * l1) / ((beta + np.sqrt(n[c, i])) / alpha + l2)
+
+    for _ in range(epochs):
+        for at, x, y in rows:
+            scores = np.array([sum(weight(c, i) * v for i, v in zip(at, x)) for c in range(classes)])
+            p = np.exp(scores - scores.max())
+            p /= p.sum()
+            old = {(c, i): weight(c, i) for c in range(classes) for i in at}
+            for c in range(classes):
+                for i, v in zip(at, x):
+                    g = (p[c] - (c == y)) * v
+                    sigma = (np.sqrt(n[c, i] + g * g) - np.sqrt(n[c, i])) / alpha
+                    z[c, i] += g - sigma * old[c, i]
+                    n[c, i] += g * g
+    return np.array([[weight(c, i) for i in range(features)] for c in range(classes)])
+
+
+def test_ftrl_equals_a_plain_one(monkeypatch):
+    monkeypatch.setattr(langid, "BUCKETS", 12)
+    rng = np.random.default_rng(3)
+    rows = []
+    for _ in range(40):
+        at = np.sort(rng.choice(12, rng.integers(1, 6), replace=False))
+        rows.append((at, rng.random(len(at)), int(rng.integers(3))))
+    options = dict(alpha=0.7, beta=0.1, l1=0.02, l2=0.05, epochs=2)
+    assert np.allclose(langid.ftrl(rows, 3, **options), plain_ftrl(rows, 3, 12, **options))
+
+
+def test_language_edges_and_ties(spark):
+    texts = ["the cat and the dog", "der hund und die katze", "le chat et le chien", "el perro y el gato"] * 12
+    langs = ["en", "de", "fr", "es"] * 12
+    rows = [(i, t, k, "x") for i, (t, k) in enumerate(zip(texts, langs))] + [(90, None, "en", "x"), (91, "123 !?", "de", "x"), (92, "the dog " * 30_000, None, "x"), (0, texts[0], "en", "x"), (None, "le chien", None, "x")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, score string")
+    got = {}
+    for r in langid.op10_language_id(df).collect():
+        got.setdefault(r["doc_id"], []).append((r["lang_pred"], r["score"]))
+    assert got[90] == got[91] == [("und", 0.0)] and got[92][0][0] == "en" and len(set(got[0])) == 1 and len(got[0]) == 2
+    assert all(got[i][0][0] == k for i, k in enumerate(langs))
+    none = langid.op10_language_id(df.withColumn("lang", F.lit(None).cast("string"))).collect()
+    assert {r["lang_pred"] for r in none} == {"und"}
+
+
 def test_language_accuracy(spark, sf):
     got = rows(langid.op10_language_id(table(spark, sf, "documents")))
     held = [(r["lang"], got[r["doc_id"]]["lang_pred"]) for r in table(spark, sf, "documents").collect() if got[r["doc_id"]]["held_out"]]
