@@ -52,9 +52,9 @@ def aligned(events: DataFrame, days: DataFrame, max_gap: int = 7) -> DataFrame:
 def _with_model(days: DataFrame, window: tuple[int, int], min_points: int) -> DataFrame:
     """``days`` with estimation_points, alpha and beta: least squares of r on m over the window before each day, null below ``min_points``."""
     past = Window.partitionBy("entity").orderBy("idx").rangeBetween(*window)
-    out = days.withColumns({"estimation_points": F.count("r").over(past), "_b": F.regr_slope("r", "m").over(past), "_a": F.regr_intercept("r", "m").over(past)})
-    enough = F.col("estimation_points") >= min_points
-    return out.withColumns({"alpha": F.when(enough, F.col("_a")), "beta": F.when(enough, F.col("_b"))}).drop("_a", "_b")
+    out = days.withColumns({"estimation_points": F.count("r").over(past), "_c": F.covar_pop("r", "m").over(past), "_v": F.var_pop("m").over(past), "_r": F.avg("r").over(past), "_m": F.avg("m").over(past)})
+    out = out.withColumn("beta", F.when((F.col("estimation_points") >= min_points) & (F.col("_v") > 0), F.col("_c") / F.col("_v")))
+    return out.withColumn("alpha", F.col("_r") - F.col("beta") * F.col("_m")).drop("_c", "_v", "_r", "_m")
 
 
 def _with_sums(days: DataFrame, windows: tuple[int, ...]) -> DataFrame:
