@@ -14,7 +14,7 @@ parts), and those with a word of class or id that is OUTSIDE times likelier
 outside.  An element is never passed over if it holds the page's main text by
 its marks (the main element or, without one, the article with the most words),
 or most of the words outside of links of that element or, without one, of the
-page; only readers' comments stay out even then.
+page; only readers' comments, menus, footers and controls stay out even then.
 
 Costs: (outside + prior) / (inside + prior) over the labelled pages, between
 LEAST and one more than the most words that a labelled page has outside of its
@@ -55,6 +55,8 @@ TOKEN = re.compile(
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split())
 OUT = frozenset("nav header footer aside form menu dialog button select option input label fieldset head title object canvas audio video".split())
+#: Names that never hold a main text by themselves, however many words they have.
+NEVER = OUT - frozenset("header aside form dialog label fieldset object canvas".split())
 CLOSES_P = frozenset("address article aside blockquote div dl fieldset footer form h1 h2 h3 h4 h5 h6 header hr main nav ol p pre section table ul".split())
 SAME = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 HOLDS = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"tr", "table"}, "th": {"tr", "table"}, "option": {"select"}}
@@ -235,7 +237,7 @@ class Page:
         for e in range(1, len(self.kinds)):
             if own[e] and e not in holds and words[e] * 2 > words[scope]:
                 within = scope == 0 or self.first[scope] <= self.first[e] < self.after[scope]
-                own[e] = not within or self.kinds[e].readers
+                own[e] = not within or self.kinds[e].readers or self.kinds[e].name in NEVER
             out[e] = out[self.up[e]] or own[e] and e not in holds
         return out
 
