@@ -34,8 +34,8 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Ids of each kept document with its id and source."""
-    coded = bpe.encode(docs.select("doc_id", "source", "text"), out="encoded")
-    return coded.select("doc_id", "source", F.size("encoded.ids").cast("long").alias("n_tokens"), F.col("encoded.ids").alias("ids"))
+    coded = docs.select("doc_id", "source", bpe.id_encoder(spark)(F.coalesce("text", F.lit(""))).alias("ids"))
+    return coded.select("doc_id", "source", F.size("ids").cast("long").alias("n_tokens"), "ids")
 
 
 STAGES = [

@@ -38,7 +38,7 @@ ROW = 256
 #: Code points after a slice that the pattern looks at.
 AHEAD = 2
 #: Words, and their code points, that a worker remembers before it starts anew, looked at once a chunk.
-CACHE, CACHE_POINTS = 250_000, 8 << 20
+CACHE, CACHE_POINTS = 120_000, 4 << 20
 #: Bytes of a word up to which new words are merged side by side.
 SHORT = 48
 
@@ -471,22 +471,45 @@ def encoder(spark: SparkSession, vocab_path: str | None = None):
     @F.arrow_udf(ENCODED)
     def encode(texts: pa.Array) -> pa.Array:
         coder = codec(shared.value)
-        ids, counts = [], []
+        ids, counts, firsts = [], [], []
         for batch in chunks(texts):
             a, b = coder.encode_texts(batch)
-            ids.append(a)
+            before = np.cumsum(coder.bytes.lengths[a]) - coder.bytes.lengths[a]
+            start = np.cumsum(b) - b
+            firsts.append((before - np.repeat(before[start[b > 0]], b[b > 0])).astype(np.int32))
+            ids.append(a.astype(np.int32))
             counts.append(b)
-        flat = np.concatenate(ids) if ids else np.zeros(0, dtype=np.int32)
-        bounds = np.concatenate([[0], *[c for c in counts]]).cumsum().astype(np.int32)
-        sizes = coder.bytes.lengths[flat]
-        before = np.concatenate([[0], np.cumsum(sizes)])
-        first = before[:-1] - np.repeat(before[bounds[:-1]], np.diff(bounds))
-        lists = [pa.ListArray.from_arrays(pa.array(bounds), pa.array(x.astype(np.int32))) for x in (flat, first)]
+        lists = [_lists(x, counts) for x in (ids, firsts)]
         return pa.StructArray.from_arrays(lists, names=["ids", "offsets"])
 
     return encode
 
 
+def _lists(parts: list[np.ndarray], counts: list[np.ndarray]) -> pa.ListArray:
+    """Lists of so many values of some arrays in a row; the arrays are let go."""
+    flat = np.concatenate(parts) if parts else np.zeros(0, dtype=np.int32)
+    parts.clear()
+    bounds = np.concatenate([[0], *counts]).cumsum().astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(bounds), pa.array(flat))
+
+
+def id_encoder(spark: SparkSession, vocab_path: str | None = None):
+    """A column function: text to ids alone."""
+    shared = _vocabulary(spark, vocab_path)
+
+    @F.arrow_udf("array<int>")
+    def encode(texts: pa.Array) -> pa.Array:
+        coder = codec(shared.value)
+        ids, counts = [], []
+        for batch in chunks(texts):
+            a, b = coder.encode_texts(batch)
+            ids.append(a.astype(np.int32))
+            counts.append(b)
+        return _lists(ids, counts)
+
+    return encode
+
+
 def decoder(spark: SparkSession, vocab_path: str | None = None):
     """A column function: array of ids to the text's bytes; null ids give null."""
     shared = _vocabulary(spark, vocab_path)

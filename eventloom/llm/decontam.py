@@ -59,7 +59,7 @@ FLIPS = np.array([0, *(1 << i for i in range(BITS // BLOCKS))], dtype=np.int64)
 
 class _Hashes(dict):
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 500_000:
+        if len(self) > 65_536:
             self.clear()
         h = self[word] = xxhash.xxh3_64_intdigest(word, seed=1)
         return h

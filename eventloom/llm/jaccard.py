@@ -69,7 +69,7 @@ class _Words(dict):
     """64-bit hashes of words, kept while there are not too many."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 250_000:
+        if len(self) > 65_536:
             self.clear()
         h = self[word] = xxhash.xxh3_64_intdigest(word)
         return h
