@@ -128,7 +128,8 @@ def without_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", mi
     d, th = fresh(docs, "_key"), fresh(docs, "_hash")
     more = [] if runs is None else [F.col("runs").alias(runs)]
     gone = gone.select(F.col("d").alias(d), F.col("th").alias(th), F.col("removed").alias(out), *more)
-    joined = docs.join(gone, F.col(key).eqNullSafe(F.col(d)) & (F.xxhash64(docs[text]) == F.col(th)), "left")
+    # a merge join at every size: what is gone grows with the texts
+    joined = docs.join(gone.hint("merge"), F.col(key).eqNullSafe(F.col(d)) & (F.xxhash64(docs[text]) == F.col(th)), "left")
     left = F.array_join(F.filter(F.split(F.col(text), "\n", -1), lambda x, i: ~F.array_contains(out, i)), "\n")
     return joined.withColumn(text, F.when(F.col(out).isNull(), F.col(text)).otherwise(left)).select(*docs.columns, out, *([] if runs is None else [runs]))
 
