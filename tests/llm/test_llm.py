@@ -418,7 +418,7 @@ def test_decontamination_recall_by_length():
     word = lambda: f"w{rng.integers(1 << 60)}"
     for n in (6, 9, 12, 16, 20, 24, 30, 40, 50, 59, 75, 100, 150, 300):
         found = wanted = 0
-        for _ in range(120):
+        for _ in range(120 if n < 100 else 40):
             item = [word() for _ in range(n)]
             copy, kind = list(item), random.randrange(4)
             size = random.randint(1, max(1, n // 10))
