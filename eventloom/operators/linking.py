@@ -141,10 +141,15 @@ def scored(pairs: DataFrame) -> DataFrame:
     return pairs.withColumn("score", F.floor(score * 1e4 + 0.5) / 1e4)
 
 
-def candidates(events: DataFrame, entities: DataFrame, rules: LinkRules, top_k: int) -> DataFrame:
-    """Pairs with the columns of ``scored``: all that match by symbol, name or tag, and the best of the industry."""
+def candidates(events: DataFrame, entities: DataFrame, rules: LinkRules, top_k: int, cut=lambda df: df) -> DataFrame:
+    """Pairs with the columns of ``scored``: all that match by symbol, name or tag, and the best of the industry.
+
+    ``cut`` may write the events' features as a table and read them back, so
+    that texts are searched once; they carry no bodies.
+    """
     industry = F.when(F.col("industry").isin(*rules.keywords), F.col("industry")).otherwise(rules.other)
     ev = event_features(events, entities, rules).withColumn("event_industry", industry).withColumn("level", F.least("event_hits", F.lit(6)))
+    ev = cut(ev.select("event_id", "members", "title", "symbol", "industry", "specific", "generic", "names", "found_tags", "event_hits", "title_hits", "wanted", "event_industry", "level"))
     of = entity_features(entities, rules)
     one = of.filter(F.col("event_industry") == rules.other)
     slim = ev.select("event_id", "symbol", "names", "found_tags", "wanted", "event_industry", "level", "generic")
@@ -159,7 +164,7 @@ def candidates(events: DataFrame, entities: DataFrame, rules: LinkRules, top_k:
     best = scored(least).withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= top_k).select("category", "event_industry", "level", "entity")
     by_industry = slim.filter("generic").withColumnRenamed("wanted", "category").join(best, ["category", "event_industry", "level"]).select("event_id", "entity")
     pairs = by_symbol.unionByName(by_name).unionByName(by_tag).unionByName(by_industry).distinct()
-    both = pairs.join(ev.drop("subject", "summary"), "event_id").join(of, ["entity", "event_industry"])
+    both = pairs.join(ev, "event_id").join(of, ["entity", "event_industry"])
     within = lambda c: F.coalesce((F.col("entity_name") != "") & F.contains(F.coalesce(c, F.lit("")), F.col("entity_name")), F.lit(False)).cast("int")
     return both.select(
         "event_id", "entity", "place", (F.col("category") == F.col("wanted")).cast("int").alias("industry_match"), ((F.substring_index("code", ".", 1) == F.col("symbol")) & (F.col("symbol") != "")).cast("int").alias("symbol_match"),
@@ -184,9 +189,9 @@ def best_links(pairs: DataFrame, rules: LinkRules, top_k: int = 3, min_score: fl
     return ranked.filter(F.col("rank") <= limit).withColumn("link_type", kind).drop("first_direct")
 
 
-def links(events: DataFrame, entities: DataFrame, rules: LinkRules, top_k: int = 3, min_score: float = 0.35) -> DataFrame:
+def links(events: DataFrame, entities: DataFrame, rules: LinkRules, top_k: int = 3, min_score: float = 0.35, cut=lambda df: df) -> DataFrame:
     """Links of every member of every event: (member, entity, score, rank, link_type, event_id)."""
-    best = best_links(candidates(events, entities, rules, top_k), rules, top_k, min_score)
+    best = best_links(candidates(events, entities, rules, top_k, cut), rules, top_k, min_score)
     return best.select(F.explode("members").alias("member"), "entity", "score", "rank", "link_type", "event_id")
 
 

@@ -110,7 +110,7 @@ def _link_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def link_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents linked to suppliers by symbol, name, tags and industry."""
-    found = linking.links(_link_events(spark, sf_dir), _companies(spark, sf_dir), LINKS, 5)
+    found = linking.links(_link_events(spark, sf_dir), _companies(spark, sf_dir), LINKS, 5, cut=e._cut(spark))
     return found.select("member", "entity", "score", F.col("rank").cast("long"), "link_type")
 
 
