@@ -34,6 +34,7 @@ def queries() -> dict[str, Query]:
         "op7_html_main": _on("html_main", "op7_html_main", "pages"),
         "op8_line_dedup": _on("line_dedup", "op8_line_dedup", "documents"),
         "op9_byte_bpe": _on("bpe", "op9_byte_bpe", "documents"),
+        "op11_sentencepiece": _on("pieces", "op11_sentencepiece", "documents"),
     }
 
 
