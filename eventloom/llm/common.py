@@ -6,7 +6,7 @@ import atexit
 import tempfile
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: White space that separates words: space, and U+0009 to U+000D.
@@ -125,3 +125,21 @@ def at_most(table: DataFrame, count: str, rows: int) -> DataFrame:
             break
         least = value
     return table.filter(F.lit(False) if least is None else level >= least)
+
+
+def numbered(df: DataFrame, scratch: Scratch, group: str, order: list[str], out: str = "pos") -> DataFrame:
+    """``df`` with each row's place from 0 within its group, by ``order``; ``group`` has no nulls.
+
+    Rows are sorted into ranges of (group, order) and written once, so a group
+    of any size spreads over many tasks and every place refers to the same
+    ranges; a group's rows of a range then get the count of its rows in the
+    ranges before.  Rows that are equal in ``order`` come in the input's order.
+    """
+    tie, at, seq, first, n = (fresh(df, x) for x in ("tie", "range", "seq", "first", "n"))
+    keys = [F.asc_nulls_first(c) for c in (group, *order, tie)]
+    ranges = df.withColumn(tie, F.monotonically_increasing_id()).repartitionByRange(*keys).sortWithinPartitions(*keys)
+    rows = scratch.put(ranges.drop(tie).withColumns({at: F.spark_partition_id(), seq: F.monotonically_increasing_id()}), "ranges")
+    counts = rows.groupBy(group, at).agg(F.min(seq).alias(first), F.count(F.lit(1)).alias(n))
+    before = F.coalesce(F.sum(n).over(Window.partitionBy(group).orderBy(at).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    offsets = counts.select(group, at, (before - F.col(first)).alias(first))
+    return rows.join(offsets, [group, at]).withColumn(out, F.col(seq) + F.col(first)).drop(at, seq, first)

@@ -74,6 +74,30 @@ c AS (SELECT doc_id, item_id, n, s, sum(hit) AS hit, (n - k + 1) + greatest(0, l
 SELECT doc_id, item_id, hit / total AS similarity, greatest(s, 0) AS start_word, n AS n_words FROM c WHERE hit / total >= {decontam.THRESHOLD} QUALIFY row_number() OVER (PARTITION BY doc_id, item_id ORDER BY hit / total DESC, greatest(s, 0)) = 1"""
 
 
+#: Unsigned crc32 of a decimal number's text, bit by bit.
+_CRC = "xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(CAST({0} AS VARCHAR), ''), lambda x: ascii(x)::BIGINT)), lambda c, b: list_reduce(list_prepend(xor(c, b), [0::BIGINT, 0, 0, 0, 0, 0, 0, 0]), lambda v, z: CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END)), 4294967295)"
+
+_LEAF = "sha256(" + " || ".join(f"coalesce(octet_length(encode(CAST({c} AS VARCHAR))) || ':' || CAST({c} AS VARCHAR), '-')" for c in ("doc_id", "source", "lang", "{0}", "text")) + ")"
+
+# all levels of each group's tree and of the tree over the groups; then every leaf climbs with its siblings
+MERKLE = f"""WITH RECURSIVE d AS (SELECT doc_id, coalesce('=' || lang, '') AS g, {_LEAF.format('n_chars')} AS leaf,
+  CASE WHEN doc_id IS NOT NULL AND {_CRC.format('coalesce(doc_id, 0)')} % 7 = 0 THEN {_LEAF.format('(n_chars + 1)')} ELSE {_LEAF.format('n_chars')} END AS now FROM documents),
+e AS (SELECT *, row_number() OVER () AS rid, row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos, count(*) OVER (PARTITION BY g) AS n FROM d),
+nodes(g, l, pos, h, n) AS (SELECT g, 0, pos, leaf, n FROM e UNION ALL SELECT g, l + 1, pos // 2, sha256(string_agg(h, '' ORDER BY pos)), (n + 1) // 2 FROM nodes WHERE n > 1 GROUP BY g, l, pos // 2, n),
+roots AS (SELECT g, h AS subroot, l AS high, row_number() OVER (ORDER BY g) - 1 AS pos, count(*) OVER () AS n FROM nodes WHERE n = 1),
+tops(l, pos, h, n) AS (SELECT 0, pos, subroot, n FROM roots UNION ALL SELECT l + 1, pos // 2, sha256(string_agg(h, '' ORDER BY pos)), (n + 1) // 2 FROM tops WHERE n > 1 GROUP BY l, pos // 2, n),
+root AS (SELECT h AS root, l AS high FROM tops WHERE n = 1),
+f(rid, l, h, proof) AS (SELECT rid, 0, now, '' FROM e UNION ALL
+  SELECT f.rid, f.l + 1, sha256(CASE WHEN coalesce(a.h, b.h) IS NULL THEN f.h WHEN ((CASE WHEN f.l < r.high THEN e.pos >> f.l ELSE r.pos >> (f.l - r.high) END) & 1) = 1 THEN coalesce(a.h, b.h) || f.h ELSE f.h || coalesce(a.h, b.h) END),
+    f.proof || coalesce(a.h, b.h, '')
+  FROM f JOIN e ON f.rid = e.rid JOIN roots r ON e.g = r.g CROSS JOIN root
+  LEFT JOIN nodes a ON f.l < r.high AND a.g = e.g AND a.l = f.l AND a.pos = xor(e.pos >> f.l, 1)
+  LEFT JOIN tops b ON f.l >= r.high AND b.l = f.l - r.high AND b.pos = xor(r.pos >> greatest(f.l - r.high, 0), 1)
+  WHERE f.l < r.high + root.high)
+SELECT doc_id, leaf, subroot, root, sha256(proof) AS proof_sha256, f.h AS folded_root, f.h = root AS verified
+FROM e JOIN roots r ON e.g = r.g CROSS JOIN root JOIN f ON f.rid = e.rid AND f.l = r.high + root.high"""
+
+
 def oracle_sql() -> dict[str, str]:
     """SQL by query name."""
-    return {"op1_decontaminate": leaks(), "op4_license_scan": licenses(), "op5_ngram_jaccard": JACCARD, "op8_line_dedup": LINES}
+    return {"op1_decontaminate": leaks(), "op4_license_scan": licenses(), "op5_ngram_jaccard": JACCARD, "op8_line_dedup": LINES, "op12_merkle_manifest": MERKLE}

@@ -35,6 +35,7 @@ def queries() -> dict[str, Query]:
         "op8_line_dedup": _on("line_dedup", "op8_line_dedup", "documents"),
         "op9_byte_bpe": _on("bpe", "op9_byte_bpe", "documents"),
         "op11_sentencepiece": _on("pieces", "op11_sentencepiece", "documents"),
+        "op12_merkle_manifest": _on("merkle", "op12_merkle_manifest", "documents"),
     }
 
 
