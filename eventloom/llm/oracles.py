@@ -98,6 +98,24 @@ SELECT doc_id, leaf, subroot, root, sha256(proof) AS proof_sha256, f.h AS folded
 FROM e JOIN roots r ON e.g = r.g CROSS JOIN root JOIN f ON f.rid = e.rid AND f.l = r.high + root.high"""
 
 
+# every place of every rebuilt conversation is named by its digests so far; totals are sums over pairs of node and ancestor
+TRIE = f"""WITH RECURSIVE t AS (SELECT conv_id AS c, coalesce(role, '') AS role, coalesce(text, '') AS text,
+  row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) - 1 AS pos FROM conversations WHERE conv_id IS NOT NULL),
+cs AS (SELECT c, n, c - c % 5 AS first, {_CRC.format('c')} % 9 AS h FROM (SELECT c, count(*) AS n FROM t GROUP BY 1)),
+rb AS (SELECT cs.c, pos + 1 AS depth, role, text FROM cs JOIN t ON t.c = cs.first AND pos < h UNION ALL
+  SELECT cs.c, least(cs.h, coalesce(f.n, 0)) + pos - cs.h + 1, role, text FROM cs JOIN t ON t.c = cs.c AND pos >= cs.h LEFT JOIN cs f ON f.c = cs.first),
+pl AS (SELECT c, depth, octet_length(encode(text)) AS size, string_agg(sha256(length(role) || ':' || role || text), '') OVER (PARTITION BY c ORDER BY depth ROWS UNBOUNDED PRECEDING) AS nm FROM rb
+  UNION ALL SELECT c, 0, 0, '' FROM cs),
+w AS (SELECT *, lag(nm) OVER (PARTITION BY c ORDER BY depth) AS up, max(depth) OVER (PARTITION BY c) AS length FROM pl),
+n AS (SELECT nm, depth, any_value(up) AS up, min(c) AS conv_id, count(*) AS n_convs, any_value(size) AS size, coalesce(string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) FILTER (depth = length), '') AS ends FROM w GROUP BY 1, 2),
+k AS (SELECT up, count(*) AS n_children FROM n WHERE up IS NOT NULL GROUP BY 1),
+m AS (SELECT n.*, coalesce(n_children, 0) AS n_children FROM n LEFT JOIN k ON k.up = n.nm),
+anc(nm, top) AS (SELECT nm, nm FROM n UNION ALL SELECT anc.nm, n.up FROM anc JOIN n ON n.nm = anc.top WHERE n.up IS NOT NULL),
+s AS (SELECT top, sum(CASE WHEN n_children = 0 THEN 1 ELSE 0 END) AS n_leaves, sum((n_convs - 1) * size) AS saved_tokens FROM anc JOIN m USING (nm) GROUP BY 1)
+SELECT m.conv_id, m.depth, p.conv_id AS parent_conv_id, m.n_convs, m.n_children, CAST(n_leaves AS BIGINT) AS n_leaves, CAST(saved_tokens AS BIGINT) AS saved_tokens, sha256(m.ends) AS ends_sha256
+FROM m JOIN s ON s.top = m.nm LEFT JOIN n p ON p.nm = m.up"""
+
+
 def oracle_sql() -> dict[str, str]:
     """SQL by query name."""
-    return {"op1_decontaminate": leaks(), "op4_license_scan": licenses(), "op5_ngram_jaccard": JACCARD, "op8_line_dedup": LINES, "op12_merkle_manifest": MERKLE}
+    return {"op1_decontaminate": leaks(), "op4_license_scan": licenses(), "op5_ngram_jaccard": JACCARD, "op8_line_dedup": LINES, "op12_merkle_manifest": MERKLE, "op13_prefix_trie": TRIE}

@@ -36,6 +36,7 @@ def queries() -> dict[str, Query]:
         "op9_byte_bpe": _on("bpe", "op9_byte_bpe", "documents"),
         "op11_sentencepiece": _on("pieces", "op11_sentencepiece", "documents"),
         "op12_merkle_manifest": _on("merkle", "op12_merkle_manifest", "documents"),
+        "op13_prefix_trie": _on("prefix_trie", "op13_prefix_trie", "conversations"),
     }
 
 
