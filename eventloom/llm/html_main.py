@@ -20,9 +20,11 @@ Costs: (outside + prior) / (inside + prior) over the labelled pages, between
 LEAST and one more than the most words that a labelled page has outside of its
 main text.  Labelled pages are those that mark their main text themselves, by an
 article or main element; the label is that element's inside, and the element's
-own tags are outside.  The fit takes a sample of at most about ``fit_pages``
+own tags are outside.  A name inside of such an element is text, so it costs what
+names inside cost; elsewhere it costs by where the name lies on labelled pages.
+Names in elements that are left out by their marks aren't counted.  The fit takes a sample of at most about ``fit_pages``
 pages, drawn by a hash of the key.  Priors stand for a few observations: names
-that hold text, and words that name menus, adverts, comments and so on.
+as they lie in texts, and words that name menus, adverts, comments and so on.
 
 Edge cases: null and empty html give the empty text; so do pages without words
 outside left-out elements; without labelled pages the priors decide; tags that
@@ -62,8 +64,8 @@ SAME = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td",
 HOLDS = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"tr", "table"}, "th": {"tr", "table"}, "option": {"select"}}
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert menu menubar toolbar".split())
 MAIN = frozenset(("article", "main"))
-#: Names that hold text, by prior.
-TEXT = frozenset("p br b i em strong span h1 h2 h3 h4 h5 h6 blockquote pre code sub sup q cite small mark u s html body".split())
+#: Ends the key of a name inside of an article or main element, where it is text; elsewhere, on a page that marks no main text, the name alone tells.
+INSIDE = "@main"
 #: Names that hold anything; where such an element has a class or id, that is what it is counted by.
 BOXES = frozenset("div section td th tr table tbody thead tfoot dl dt dd center figure figcaption details summary".split())
 #: Words of classes and ids that lie outside, by prior; the second only outside of an article.
@@ -88,7 +90,7 @@ class Element:
     __slots__ = ("name", "keys", "out", "readers")
 
     def __init__(self, name: str, attributes: str, in_main: bool):
-        self.name, self.keys, self.readers = name, (name,), False
+        self.name, self.keys, self.readers = name, (f"{name}{INSIDE}" if in_main and name not in MAIN else name,), False
         self.out = name in OUT and not (name in ("header", "label") and in_main)
         if not attributes or name in ("html", "body"):
             return
@@ -111,8 +113,10 @@ class Element:
 def prior(key: str) -> tuple[float, float]:
     """Observations (outside, inside) that stand for no page."""
     if key[0] in ".+":
-        return (OUTSIDE, 0.5) if key[1:] in MARKS or key[0] == "." and key[1:] in HEADS else (0.5, 5.0)
-    return (0.5, 5.0) if key in TEXT else (0.5, 2.0) if key in BOXES else (0.5, 0.5)
+        if key[1:] in MARKS or key[0] == "." and key[1:] in HEADS:
+            return OUTSIDE, 0.5
+        return (0.5, 2.0) if key[0] == "." else (0.5, 5.0)
+    return (0.5, 2.0) if key in BOXES else (0.5, 0.5) if key in MAIN else (0.5, 5.0)
 
 
 class Weights:
@@ -149,7 +153,7 @@ class Page:
         self.kinds: list[Element] = [Element("", "", False)]
         self.up, self.first, self.after = [-1], [0], [0]
         self._open, self._in_main, stack, at = Counter(), 0, [0], 0
-        plain: dict[str, Element] = {}
+        self._plains: dict[tuple[str, bool], Element] = {}
         for m in TOKEN.finditer(source):
             if m.start() > at:
                 self.tokens.append((source[at : m.start()], stack[-1], None))
@@ -159,7 +163,10 @@ class Page:
                 continue
             if m[2] or m[5]:
                 closed = self._close(name, stack)
-                self.tokens.append((None, stack[-1], closed or plain.setdefault(name, Element(name, "", False))))
+                if closed:  # an end tag lies in its element, so that it costs nothing where that is passed over
+                    self.tokens.append((None, closed, self.kinds[closed]))
+                else:
+                    self.tokens.append((None, stack[-1], self._plain(name)))
                 continue
             attributes = m[4] or m[7] or ""
             if name in CLOSES_P and any(self.kinds[e].name == "p" for e in stack[-4:]):
@@ -172,7 +179,7 @@ class Page:
                     if self.kinds[e].name in same:
                         self._close(self.kinds[e].name, stack)
                         break
-            kind = Element(name, attributes, self._in_main > 0) if attributes.strip(" /\n\t") or name in OUT else plain.get(name) or plain.setdefault(name, Element(name, "", False))
+            kind = Element(name, attributes, self._in_main > 0) if attributes.strip(" /\n\t") else self._plain(name)
             if name in VOID:
                 self.tokens.append((None, stack[-1], kind))
                 continue
@@ -189,10 +196,17 @@ class Page:
         for e in stack:
             self.after[e] = len(self.tokens)
 
-    def _close(self, name: str, stack: list[int]) -> Element | None:
-        """Ends the innermost open element of a name with all in it; a stray end tag does nothing."""
+    def _plain(self, name: str) -> Element:
+        """An element without attributes, one for each name and side of the main text's border."""
+        key = name, self._in_main > 0
+        if key not in self._plains:
+            self._plains[key] = Element(name, "", key[1])
+        return self._plains[key]
+
+    def _close(self, name: str, stack: list[int]) -> int:
+        """Ends the innermost open element of a name with all in it and gives its number; a stray end tag does nothing and gives 0."""
         if not self._open[name]:
-            return None
+            return 0
         while True:
             e = stack.pop()
             kind = self.kinds[e]
@@ -200,7 +214,7 @@ class Page:
             self._open[kind.name] -= 1
             self._in_main -= kind.name in MAIN
             if kind.name == name:
-                return kind
+                return e
 
     def words(self) -> list[int]:
         """Of each element: words outside of links in it and below."""
@@ -298,22 +312,27 @@ def page_counts(source: str) -> tuple[dict[str, tuple[int, int]], int]:
     if not e:
         return {}, 0
     lo, hi = page.first[e], page.after[e]
-    left = [kind.out for kind in page.kinds]
+    left, none = [kind.out for kind in page.kinds], Weights()
+
+    def count(keys: tuple[str, ...], inside: bool) -> None:
+        for key in keys:
+            for k in {key, key.removesuffix(INSIDE)}:
+                o, i = counts.get(k, (0, 0))
+                counts[k] = (o + (not inside), i + inside)
+
     for k, kind in enumerate(page.kinds):
         if not k:
             continue
         left[k] = left[k] or left[page.up[k]]
         if left[k]:  # the scan passes it over
             continue
-        inside = lo < page.first[k] < hi
         holds = page.first[k] < lo and page.after[k] >= hi
-        for key in kind.keys[len(kind.keys) > 1 and kind.name in BOXES :]:
-            o, i = counts.get(key, (0, 0))
-            counts[key] = (o + (not inside and not holds), i + (inside or holds))
+        marked = not holds and none.outside(kind)  # its own words are counted, names in it tell nothing
+        count(kind.keys[marked or len(kind.keys) > 1 and kind.name in BOXES :], lo < page.first[k] < hi or holds)
+        left[k] = marked
     for n, (text, up, kind) in enumerate(page.tokens):  # void tags aren't elements
         if text is None and kind.name in VOID and not left[up]:
-            o, i = counts.get(kind.name, (0, 0))
-            counts[kind.name] = (o + (not lo <= n < hi), i + (lo <= n < hi))
+            count(kind.keys[:1], lo <= n < hi)
     outside = sum(len(t.split()) for n, (t, k, _) in enumerate(page.tokens) if t is not None and not lo <= n < hi and not left[k])
     return counts, outside
 

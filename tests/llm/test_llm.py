@@ -574,6 +574,47 @@ def test_html_main_text(spark, sf):
         assert got[r["page_id"]]["text"] == wanted and got[r["page_id"]]["n_chars"] == len(wanted)
 
 
+LEFT_OUT = [
+    "<nav><ul><li><a href='/'>Home page</a></ul></nav>", "<div class='ad'>buy now and save</div>", "<aside><p>far from the text</p></aside>", "<form><label>Name</label><input><button>Send it</button></form>",
+    "<div id='cookie-notice'><p>we use them</p></div>", "<script>var a = '<p>no text</p>'</script>", "<style>p { color: red }</style>", "<section class='comments'><article class='comment'><p>a reader says a few words</p></article></section>",
+    "<footer>the end</footer>", "<ul class='share'><li><a>One</a><li><a>Two</a></ul>", "<div role='navigation'><a>x</a> <a>y</a></div>", "<div hidden>unseen words</div>", "<!-- a note -->", "<select><option>red<option>blue</select>", "<nav>x</nav>",
+]
+BLOCKS = [
+    ("<h1>A title</h1>", "A title"), ("<p>One two three.</p>", "One two three."), ("<ul>" + "".join(f"<li>w{i}</li>" for i in range(10)) + "</ul>", " ".join(f"w{i}" for i in range(10))), ("<p>four more words here</p>", "four more words here"),
+    ("<table><tr><th>k<th>v<tr><td>a<td>1</table>", "k v a 1"), ("<p><a href='a'>all</a> <a href='b'>of</a> <a href='c'>links</a></p>", "all of links"), ("<figure><img src='x'><figcaption>A picture</figcaption></figure>", "A picture"),
+    ("<dl><dt>term<dd>what it is</dl>", "term what it is"), ("<blockquote><p>said so</p></blockquote>", "said so"), ("<ol><li>x<li>y</ol>", "x y"), ("<p>b</p>", "b"),
+]
+
+
+@pytest.mark.parametrize("fitted", [False, True])
+@pytest.mark.parametrize("tag", ["article", "main", "div class='content'", "div id='post-7'"])
+def test_html_left_out_elements_split_nothing(spark, sf, fitted, tag):
+    learnt = html_main.fit(table(spark, sf, "pages")) if fitted else html_main.Weights()
+    want = " ".join(t for _, t in BLOCKS)
+    for left in LEFT_OUT:
+        for k in range(len(BLOCKS) + 1):
+            inner = "".join(b for b, _ in BLOCKS[:k]) + left + "".join(b for b, _ in BLOCKS[k:])
+            source = f"<html><body><nav><a>Home</a></nav><{tag}>{inner}</{tag.split()[0]}>{left}<footer>f g</footer></body></html>"
+            assert main_text(source, learnt) == want, (left, k)
+    every = "".join(b + x for (b, _), x in zip(BLOCKS, LEFT_OUT))
+    assert main_text(f"<body><{tag}>{every}</{tag.split()[0]}></body>", learnt) == want
+
+
+def test_html_names_seen_outside_cost_nothing_inside(spark):
+    lists = "<div class='more'><ul>" + "<li><a>some other page</a>" * 30 + "</ul></div>"
+    marked = [(i, f"<body>{lists}<article><h1>T {i}</h1><p>one two three</p></article>{lists}</body>") for i in range(60)]
+    learnt = html_main.fit(spark.createDataFrame(marked, "page_id long, html string"))
+    assert learnt.of("li") > 10 > 1 > learnt.of("li@main") and learnt.of("a@main") < 1
+    assert main_text(f"<body>{lists}<article><h1>T</h1><p>one two</p><ul><li>a<li><a>b</a><li>c</ul><p>d</p></article>{lists}</body>", learnt) == "T one two a b c d"
+    assert main_text(f"<body>{lists}<div class='text'><h1>T</h1><p>one two</p></div>{lists}</body>", learnt) == "T one two"
+
+
+def test_html_equal_sums_take_the_earlier_and_shorter():
+    assert html_main.best_region([1.0, -1.0, 1.0]) == (0, 1) and html_main.best_region([-1.0, 2.0, -3.0, 2.0, 0.0]) == (1, 2) and html_main.best_region([0.0, 0.0]) == (0, 0)
+    cut = html_main.Weights({"hr": (50, 0)}, 30.0)
+    assert main_text("<p>one two</p><hr><p>three four</p>", cut) == "one two"
+
+
 def test_html_region_is_the_maximum_over_all():
     random.seed(8)
     names = ("p", "div", "h1", "li", "section", "span", "article", "x")
