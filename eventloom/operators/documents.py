@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 from . import upsert
+from .tables import fresh
 
 EPOCH = "1970-01-01 00:00:00"
 
@@ -93,8 +94,8 @@ def backfill_candidates(docs: DataFrame, least: int, shards: int = 1, shard: int
 
 def batches(rows: DataFrame, order: str, size: int) -> DataFrame:
     """``rows`` with the number of their batch of ``size`` rows in the order of a unique column."""
-    numbered = upsert.numbered(rows, order, "_place")
-    return numbered.withColumn("batch", F.floor(F.col("_place") / size).cast("long")).drop("_place")
+    place = fresh(rows, "place")
+    return upsert.numbered(rows, order, place).withColumn("batch", F.floor(F.col(place) / size).cast("long")).drop(place)
 
 
 # -- the final merge

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .tables import fresh, written
+
 
 def last_wins(rows: DataFrame, keys: list[str], order: str) -> DataFrame:
     """The last row of each key by ``order``."""
@@ -55,19 +57,20 @@ def staged(rows: DataFrame, types: dict[str, str], defaults: dict[str, object])
 
 
 def numbered(rows: DataFrame, key: str, out: str) -> DataFrame:
-    """``rows`` with their place, from 0, in the order of a unique key.
+    """``rows`` with their place, from 0, in the order of ``key``; nulls first, rows of equal keys in any order.
 
-    Places come from counts by range partition, so no task sees all rows: the
-    rows are range partitioned by the key, numbered inside, and shifted by the
-    sizes of the partitions before.
+    The rows are sorted into ranges of the key and written once: the ranges'
+    sizes and the rows' places then come from the same table, whatever columns
+    a later plan reads.  No task sees more rows than a range has.
     """
-    parts = rows.repartitionByRange(key).sortWithinPartitions(key).withColumn("_g", F.monotonically_increasing_id())
-    parts = parts.withColumn("_p", F.shiftright("_g", 33))
-    sizes = parts.groupBy("_p").agg(F.count(F.lit(1)).alias("_n"), F.min("_g").alias("_lo"))
-    starts = sizes.withColumn("_start", F.coalesce(F.sum("_n").over(Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    return parts.join(starts, "_p").withColumn(out, F.col("_start") + F.col("_g") - F.col("_lo")).select(*rows.columns, out)
+    at, seq, n, first, before = (fresh(rows, x) for x in ("range", "seq", "n", "first", "before"))
+    ranges = written(rows.repartitionByRange(key).sortWithinPartitions(key).withColumns({at: F.spark_partition_id(), seq: F.monotonically_increasing_id()}), "ranges")
+    sizes = ranges.groupBy(at).agg(F.count(F.lit(1)).alias(n), F.min(seq).alias(first))  # a row for each range
+    starts = sizes.withColumn(before, F.coalesce(F.sum(n).over(Window.orderBy(at).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    return ranges.join(F.broadcast(starts.drop(n)), at).withColumn(out, F.col(before) + F.col(seq) - F.col(first)).select(*rows.columns, out)
 
 
 def sharded(rows: DataFrame, key: str, shards: int, shard: int) -> DataFrame:
     """Rows whose place in the order of ``key`` leaves ``shard`` modulo ``shards``."""
-    return numbered(rows, key, "_place").filter(F.pmod("_place", F.lit(shards)) == shard).drop("_place")
+    place = fresh(rows, "place")
+    return numbered(rows, key, place).filter(F.pmod(place, F.lit(shards)) == shard).drop(place)

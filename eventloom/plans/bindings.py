@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-import atexit
-import tempfile
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.numeric import money, rounded
+from ..operators.tables import shared_folder  # noqa: F401
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -16,24 +14,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder that the cluster names in spark.checkpoint.dir; a local session without one gets a temporary folder, a cluster an error."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if root:
-        return root.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
-    app = spark.sparkContext.applicationId
-    if app not in _folders:
-        made = tempfile.TemporaryDirectory(prefix="eventloom-")
-        atexit.register(made.cleanup)
-        _folders[app] = f"file://{made.name}"
-    return _folders[app]
-
-
-_folders: dict[str, str] = {}
-
-
 def prices(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Daily series of suppliers (entity, day, amount, volume, close) from order lines."""
     lines = table(spark, sf_dir, "lineitem").select(F.col("l_suppkey").alias("entity"), F.to_date("l_shipdate").alias("day"), money(F.col("l_extendedprice")).alias("a"), money(F.col("l_quantity")).alias("q"))
