@@ -7,6 +7,8 @@ from collections.abc import Iterable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .keywords import Scan
+
 SPACE = "(?U)\\s+"
 
 
@@ -15,30 +17,34 @@ def words(*items: str) -> Column:
     return F.array(*[F.lit(x) for x in items]) if items else F.array().cast("array<string>")
 
 
-def hits(text: Column, keywords: Iterable[str]) -> Column:
+def hits(text: Column | Scan, keywords: Iterable[str]) -> Column:
     """Keywords that the text contains, in the rules' order."""
+    if isinstance(text, Scan):
+        return text.hits(keywords)
     return F.filter(words(*keywords), lambda k: F.contains(text, k))
 
 
-def n_hits(text: Column, keywords: Iterable[str]) -> Column:
+def n_hits(text: Column | Scan, keywords: Iterable[str]) -> Column:
     """How many of the keywords the text contains."""
     return F.size(hits(text, keywords))
 
 
-def any_hit(text: Column, keywords: Iterable[str]) -> Column:
+def any_hit(text: Column | Scan, keywords: Iterable[str]) -> Column:
     """Whether the text contains one of the keywords."""
+    if isinstance(text, Scan):
+        return text.any_hit(keywords)
     out = F.lit(False)
     for k in keywords:
         out = out | F.contains(text, F.lit(k))
     return out
 
 
-def first_label(text: Column, rules: Iterable[tuple[str, Iterable[str]]], default: str) -> Column:
+def first_label(text: Column | Scan, rules: Iterable[tuple[str, Iterable[str]]], default: str) -> Column:
     """Label of the first rule with a keyword in the text."""
     return F.coalesce(*[F.when(any_hit(text, ks), label) for label, ks in rules], F.lit(default))
 
 
-def best_rule(text: Column, rules: dict[str, Iterable[str]], default: str) -> Column:
+def best_rule(text: Column | Scan, rules: dict[str, Iterable[str]], default: str) -> Column:
     """struct(label, hits) of the rule with the most keywords in the text; ties go to the earlier, none to the default without hits."""
     none = F.struct(F.lit(default).alias("label"), F.array().cast("array<string>").alias("hits"))
     if not rules:
@@ -48,7 +54,7 @@ def best_rule(text: Column, rules: dict[str, Iterable[str]], default: str) -> Co
     return F.when(best["n"] < 0, F.struct(best["label"].alias("label"), best["hits"].alias("hits"))).otherwise(none)
 
 
-def best_label(text: Column, rules: dict[str, Iterable[str]], default: str) -> Column:
+def best_label(text: Column | Scan, rules: dict[str, Iterable[str]], default: str) -> Column:
     """Label with the most keywords in the text; ties go to the earlier rule, none to the default."""
     return best_rule(text, rules, default)["label"]
 
@@ -60,7 +66,13 @@ def canonical(text: Column) -> Column:
 
 def dedup_key(title: Column, content: Column) -> Column:
     """12 hex digits that equal documents share."""
-    return F.substring(F.md5(F.concat(F.substring(canonical(title), 1, 80), F.lit("::"), F.substring(canonical(content), 1, 160)).cast("binary")), 1, 12)
+
+    def first(text: Column, n: int) -> Column:
+        """The first n canonical characters; the whole text is cleaned only if its beginning has too few."""
+        begin = canonical(F.substring(text, 1, 4 * n))
+        return F.substring(F.when((F.length(begin) > n) | (F.length(text) <= 4 * n), begin).otherwise(canonical(text)), 1, n)
+
+    return F.substring(F.md5(F.concat(first(title, 80), F.lit("::"), first(content, 160)).cast("binary")), 1, 12)
 
 
 def sanitized(text: Column) -> Column:

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as T
+from ..functions.keywords import Scan, scanner, words_of
 from .rules import RulePack
 
 
@@ -32,10 +33,28 @@ def with_duplicates(docs: DataFrame) -> DataFrame:
     return keyed.join(shared, "dedup_key", "left").withColumn("duplicate_group_size", F.coalesce("duplicate_group_size", F.lit(1))).select(*docs.columns, "dedup_key", "duplicate_group_size")
 
 
+def with_words(docs: DataFrame, *packs: object) -> DataFrame:
+    """``docs`` with _words: the packs' keywords in title and in title and content, from one pass over each text."""
+    if "_words" in docs.columns:
+        return docs
+    return docs.withColumn("_words", scanner(set().union(*map(words_of, packs)))(F.array("title", F.concat_ws(" ", "title", "content"))))
+
+
+def title_words() -> Scan:
+    """The keywords of the title, as found by ``with_words``."""
+    return Scan(F.col("_words")[0])
+
+
+def full_words() -> Scan:
+    """The keywords of title and content."""
+    return Scan(F.col("_words")[1])
+
+
 def detected(docs: DataFrame, pack: RulePack) -> DataFrame:
     """``docs`` (with duplicate_group_size) with is_event, filter_reason and score: the first exit that holds decides."""
-    title, source = F.col("title"), F.coalesce("source", F.lit(""))
-    full = F.concat_ws(" ", title, "content")
+    title, source, full = title_words(), F.coalesce("source", F.lit("")), full_words()
+    asked = list(docs.columns)
+    docs = with_words(docs, pack)
     event = T.hits(full, pack.event)
     strong = F.size(F.filter(event, lambda k: ~k.isin(*pack.generic_hits) if pack.generic_hits else F.lit(True))) + T.n_hits(full, pack.company_action) > 0
     listing = T.any_hit(title, pack.listing_title) & ~T.any_hit(title, pack.listing_excluded)
@@ -61,13 +80,14 @@ def detected(docs: DataFrame, pack: RulePack) -> DataFrame:
         found = F.struct(F.lit(reason).alias("reason"), F.lit(reason == "event_signal_detected").alias("is_event"), F.lit(points).cast("int").alias("score") if isinstance(points, int) else points.cast("int").alias("score"))
         result = F.when(holds, found) if result is None else result.when(holds, found)
     rest = F.struct(F.when(score >= pack.threshold, "event_signal_detected").otherwise("insufficient_signal").alias("reason"), (score >= pack.threshold).alias("is_event"), score.cast("int").alias("score"))
-    return docs.withColumn("_d", result.otherwise(rest)).select("*", F.col("_d.is_event").alias("is_event"), F.col("_d.reason").alias("filter_reason"), F.col("_d.score").alias("score")).drop("_d")
+    return docs.withColumn("_d", result.otherwise(rest)).select(*asked, F.col("_d.is_event").alias("is_event"), F.col("_d.reason").alias("filter_reason"), F.col("_d.score").alias("score"))
 
 
 def classified(docs: DataFrame, pack: RulePack) -> DataFrame:
     """``docs`` with the labels and scores of structured events."""
-    title = F.col("title")
-    full = F.concat_ws(" ", title, "content")
+    title, full = title_words(), full_words()
+    asked = list(docs.columns)
+    docs = with_words(docs, pack)
     good, bad, neutral = pack.sentiments
     up, down = T.n_hits(full, pack.positive), T.n_hits(full, pack.negative)
     weight = F.coalesce(*[F.when(F.contains("source", F.lit(k)), w) for k, w in pack.source_weights], F.lit(0.6)) if pack.source_weights else F.lit(0.6)
@@ -80,13 +100,13 @@ def classified(docs: DataFrame, pack: RulePack) -> DataFrame:
             "sentiment": F.when(up > down, good).when(down > up, bad).otherwise(neutral),
             "heat_score": F.least((weight * 40).cast("int") + F.least(T.n_hits(title, pack.emphasis) * 12, F.lit(24)) + F.least(F.col("duplicate_group_size") * 12, F.lit(36)), F.lit(100)),
             "novelty_score": F.greatest(F.lit(20), 90 - (F.col("duplicate_group_size") - 1) * 15),
-            "amount_yuan": T.amount_yuan(full),
+            "amount_yuan": T.amount_yuan(F.concat_ws(" ", "title", "content")),
         }
     )
     base = F.coalesce(*[F.when(F.col("subject_type") == k, v) for k, v in pack.intensity_base.items()], F.lit(55)) if pack.intensity_base else F.lit(55)
     bonus = F.when(F.col("predictability_type") == pack.surprise, 8).otherwise(0) + F.when(T.any_hit(full, pack.shock), 6).otherwise(0) + F.when(T.any_hit(full, pack.policy_bonus), 4).otherwise(0)
     event_id = F.concat(F.lit("EVT-"), F.substring(F.md5(F.concat_ws("|", F.date_format("publish_time", "yyyy-MM-dd HH:mm:ss"), "source", "title").cast("binary")), 1, 10))
-    return labels.withColumns({"intensity_score": F.least(base + bonus, F.lit(100)), "event_id": event_id})
+    return labels.withColumns({"intensity_score": F.least(base + bonus, F.lit(100)), "event_id": event_id}).select(*asked, *(c for c in labels.columns if c not in docs.columns), "intensity_score", "event_id")
 
 
 def first_of_keys(found: DataFrame, order: str) -> DataFrame:

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as T
+from ..functions.keywords import Scan, scanner, words_of
 
 # Words of the score and of the scope.
 POSITIVE = ("利好", "增长", "突破", "获批", "中标", "签约", "增持", "回购")
@@ -192,12 +193,14 @@ class EnrichRules:
     units: dict = field(default_factory=lambda: dict(T.UNITS))
 
 
-def scored_industries(title: Column, summary: Column, content: Column, evidence: Column, source: Column, coarse: Column, rules: EnrichRules) -> Column:
-    """array of struct(score, place, code, industry), best first, ties by the rules' order; those without a word are left out."""
-    intro = F.substring(content, 1, 240)
+def scored_industries(title: Scan, summary: Scan, intro: Scan, content: Scan, evidence: Scan, source: Scan, coarse: Column, rules: EnrichRules) -> Column:
+    """array of struct(score, place, code, industry), best first, ties by the rules' order; those without a word are left out.
+
+    ``intro`` is the beginning of ``content``.
+    """
     found = []
     for i, (code, name, ks) in enumerate(rules.industries):
-        body = T.n_hits(intro, ks) * 2.0 + F.size(F.filter(T.words(*ks), lambda k: F.contains(content, k) & ~F.contains(intro, k))) * 1.0
+        body = T.n_hits(intro, ks) * 2.0 + F.size(F.array_except(T.hits(content, ks), T.hits(intro, ks))) * 1.0
         score = T.n_hits(title, ks) * 3.0 + T.n_hits(summary, ks) * 2.5 + body + T.n_hits(evidence, ks) * 1.5 + F.when(T.any_hit(source, ks), 1.5).otherwise(0.0)
         hinted = [k for k, names in rules.hints.items() if name in names]
         if hinted:
@@ -238,14 +241,17 @@ def enriched(events: DataFrame, rules: EnrichRules | None = None, backfill: bool
         summary, body, source, coarse, subtype, triggers = t("event_summary"), t("content"), t("source"), t("industry_type"), t("event_subject_subtype"), F.coalesce("trigger_word_score", F.lit(0))
     proof = t("classification_evidence")
     d = events.withColumns({"_title": title, "_summary": summary, "_body": body, "_text": F.concat_ws(" ", title, summary, body, proof)})
-    text = F.col("_text")
-    d = d.withColumn("_s", scored_industries(F.col("_title"), F.col("_summary"), F.col("_body"), proof, source, coarse, rules))
+    amounts = F.col("_text")
+    texts = [F.col("_title"), F.col("_summary"), F.substring("_body", 1, 240), F.col("_body"), proof, source, amounts]
+    d = d.withColumn("_found", scanner(words_of(rules))(F.array(*texts)))
+    *parts, text = [Scan(F.col("_found")[i]) for i in range(len(texts))]
+    d = d.withColumn("_s", scored_industries(*parts, coarse, rules))
     top = F.get(F.col("_s"), F.lit(0))
     related = F.size(F.filter("_s", lambda x: -x["minus"] >= F.greatest(F.lit(2.0), -top["minus"] - 1.5)))
     d = d.withColumns({
         "sw_l1_industry_code": F.coalesce(top["code"], blank), "sw_l1_industry": F.coalesce(top["industry"], F.lit(rules.other)), "industry_count": F.when(F.size("_s") > 0, related).otherwise(0),
-        "company_count": F.size("subject_entities"), "province_count": T.n_hits(text, rules.provinces), "country_count": T.n_hits(text, rules.countries), "city_count": F.size(F.array_distinct(F.regexp_extract_all(text, F.lit(rules.city), F.lit(0)))),
-        "chain_stages": F.array_compact(F.array(*[F.when(T.any_hit(text, ks), k) for k, ks in rules.stages.items()])), "amount_max_rmb": _amount(text, rules),
+        "company_count": F.size("subject_entities"), "province_count": T.n_hits(text, rules.provinces), "country_count": T.n_hits(text, rules.countries), "city_count": F.size(F.array_distinct(F.regexp_extract_all(amounts, F.lit(rules.city), F.lit(0)))),
+        "chain_stages": F.array_compact(F.array(*[F.when(T.any_hit(text, ks), k) for k, ks in rules.stages.items()])), "amount_max_rmb": _amount(amounts, rules),
     })
     good, bad, neutral = rules.labels
     base = F.when(t("sentiment") == good, 62).when(t("sentiment") == bad, 38).otherwise(50)
@@ -268,7 +274,7 @@ def enriched(events: DataFrame, rules: EnrichRules | None = None, backfill: bool
         "shock_source_type": T.anchored(text, rules.shocks, F.coalesce(F.nullif(t("shock_source_type"), blank), F.lit(rules.other))),
         "impact_scope": scope, "classification_confidence": F.greatest(F.lit(500), F.least(points, F.lit(9900))) / 10000,
     })
-    return d.drop("_title", "_summary", "_body", "_text", "_s")
+    return d.drop("_title", "_summary", "_body", "_text", "_found", "_s")
 
 
 def needs_model(threshold: float, other: str = "其他", generic: tuple = GENERIC_SUBTYPES) -> Column:

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as T
+from ..functions.keywords import Scan
 from . import detect, entities
 from .rules import RulePack
 
@@ -86,7 +87,7 @@ NEUTRAL = LabelRules(
 )
 
 
-def impact_scope(subject: Column, industry: Column, full: Column, r: LabelRules, industry_default: str) -> Column:
+def impact_scope(subject: Column, industry: Column, full: Column | Scan, r: LabelRules, industry_default: str) -> Column:
     """The coarse scope: the market, a group of entities, or one."""
     market, group, single = r.scopes
     return (
@@ -120,7 +121,7 @@ def amount_scale(full: Column, r: LabelRules) -> Column:
     return F.when(most.isNull(), "none").when(most >= 1000, "huge").when(most >= 100, "large").when(most >= 10, "medium").otherwise("small")
 
 
-def _dimensions(full: Column, pack: RulePack) -> dict[str, Column]:
+def _dimensions(full: Column | Scan, pack: RulePack) -> dict[str, Column]:
     return {k: T.best_rule(full, getattr(pack, k), getattr(pack, f"{k}_default")) for k in ("subject", "industry", "predictability", "duration")}
 
 
@@ -130,11 +131,10 @@ def _hits(best: Column) -> Column:
 
 def candidates(docs: DataFrame, pack: RulePack) -> DataFrame:
     """Detected documents with the evidence of their decision and of each dimension."""
-    full = F.concat_ws(" ", "title", "content")
-    found = detect.detected(detect.with_duplicates(docs), pack)
-    parts = [F.concat(F.lit(f"{k}:"), _hits(best)) for k, best in _dimensions(full, pack).items()]
-    evidence = F.concat(F.lit("hits="), F.array_join(T.hits(full, pack.event), ","), F.lit(f"; rule_version={VERSION}; dimensions="), F.concat_ws("|", *parts))
-    return found.withColumn("evidence", evidence)
+    found = detect.detected(detect.with_words(detect.with_duplicates(docs), pack), pack)
+    parts = [F.concat(F.lit(f"{k}:"), _hits(best)) for k, best in _dimensions(detect.full_words(), pack).items()]
+    evidence = F.concat(F.lit("hits="), F.array_join(T.hits(detect.full_words(), pack.event), ","), F.lit(f"; rule_version={VERSION}; dimensions="), F.concat_ws("|", *parts))
+    return found.withColumn("evidence", evidence).drop("_words")
 
 
 def structured(docs: DataFrame, pack: RulePack, rules: LabelRules, symbol: str | None = None) -> DataFrame:
@@ -142,11 +142,12 @@ def structured(docs: DataFrame, pack: RulePack, rules: LabelRules, symbol: str |
     kept = ["url", *[c for c in docs.columns if c.endswith("_id")]]
     full, title = F.concat_ws(" ", "title", "content"), F.col("title")
     other_source, general, no_subtype, current, confirmed, other_shock, domestic = rules.defaults
-    d = detect.classified(docs, pack).withColumns({"_full": full, **{f"_{k}": v for k, v in _dimensions(full, pack).items()}})
+    words = detect.full_words()
+    d = detect.classified(detect.with_words(docs, pack, rules), pack).withColumns({"_full": full, **{f"_{k}": v for k, v in _dimensions(words, pack).items()}})
     full = F.col("_full")
     d = d.withColumn("subject_entities", entities.subject_entities(full, rules.entity, F.col(symbol) if symbol else None, title))
     d = d.withColumn("source_type", T.first_label(F.coalesce("source", F.lit("")), rules.source_type, other_source))
-    subtype = F.coalesce(*[F.when(T.any_hit(full, ks), label) for label, ks in rules.subtype], *[F.when(F.col("subject_type") == k, v) for k, v in rules.subtype_of.items()], F.lit(no_subtype))
+    subtype = F.coalesce(*[F.when(T.any_hit(words, ks), label) for label, ks in rules.subtype], *[F.when(F.col("subject_type") == k, v) for k, v in rules.subtype_of.items()], F.lit(no_subtype))
     d = d.withColumns(
         {
             "event_name": F.when(F.size("subject_entities") > 0, F.concat(F.col("subject_entities")[0], F.lit(rules.name_suffix))).otherwise(F.substring("title", 1, 24)),
@@ -154,15 +155,15 @@ def structured(docs: DataFrame, pack: RulePack, rules: LabelRules, symbol: str |
             "authority_level": T.first_label(F.coalesce("source", F.lit("")), rules.authority, general),
             "source_credibility_score": F.when(F.col("source_type").isin(*rules.official), 3).when(F.col("source_type").isin(*rules.trusted), 2).otherwise(1),
             "event_subject_subtype": subtype,
-            "time_orientation": T.first_label(full, rules.time, current),
-            "event_stage": T.first_label(full, rules.stage, confirmed),
-            "shock_source_type": T.first_label(full, rules.shock, other_shock),
-            "region_scope": T.first_label(full, rules.region, domestic),
-            "trigger_word_score": T.n_hits(full, rules.triggers),
+            "time_orientation": T.first_label(words, rules.time, current),
+            "event_stage": T.first_label(words, rules.stage, confirmed),
+            "shock_source_type": T.first_label(words, rules.shock, other_shock),
+            "region_scope": T.first_label(words, rules.region, domestic),
+            "trigger_word_score": T.n_hits(words, rules.triggers),
             "explicitness_score": explicitness(full, entities.subject_entities(full, rules.entity), rules),
-            "uncertainty_score": T.n_hits(full, rules.doubts),
+            "uncertainty_score": T.n_hits(words, rules.doubts),
             "amount_scale": amount_scale(full, rules),
-            "impact_scope": impact_scope(F.col("subject_type"), F.col("industry_type"), full, rules, pack.industry_default),
+            "impact_scope": impact_scope(F.col("subject_type"), F.col("industry_type"), words, rules, pack.industry_default),
             "event_summary": F.concat(title, F.lit(rules.stop), F.regexp_replace(F.substring("content", 1, 70), "[，。；; ]+$", "")),
             "classification_evidence": F.concat_ws("|", F.lit(f"rule_version={VERSION}"), *[F.concat(F.lit(f"{k}="), _hits(F.col(f"_{k}"))) for k in ("subject", "industry", "predictability", "duration")]),
         }

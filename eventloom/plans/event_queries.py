@@ -85,7 +85,7 @@ def canonical_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
 def canonical_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = _cut(spark)
     events = cut(_events(spark, sf_dir))
-    found = canonical.canonical_rows(canonical.clusters(events, cut(canonical.merge_pairs(events, cut=cut)), cut), ("subject", "industry", "impact_scope"))
+    found = canonical.canonical_rows(canonical.clusters(events, cut(canonical.merge_links(events, cut=cut)), cut), ("subject", "industry", "impact_scope"))
     lists = [F.array_join(F.col("members").cast("array<string>"), ",").alias("members"), F.array_join("entities", ",").alias("entities"), F.array_join(F.transform("sources", lambda x: F.concat_ws(":", x["source"], x["n"].cast("string"))), ",").alias("sources")]
     return found.select("canonical_id", "cluster", "cluster_size", "date_start", "date_end", "representative", "subject", "industry", "impact_scope", F.col("max_heat").cast("long"), F.col("max_intensity").cast("long"), *lists)
 
