@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 
 
-from ..operators import canonical, detect, graph, quality, retrieval, rules, upsert
+from ..operators import canonical, detect, graph, keyword_index, quality, retrieval, rules, upsert, vector_index
 from ..sources import files
 from . import bindings as b
 
@@ -167,6 +167,21 @@ def vector_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return retrieval.top_k(queries, e.select(F.col("vec_id").alias("id"), F.col("embedding").alias("v"))).select("query_id", "id", F.col("rank").cast("long"))
 
 
+def vector_index_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Five near vectors of every twentieth vector from the lists of an index over all."""
+    e = b.table(spark, sf_dir, "embeddings")
+    index = vector_index.build(e.select(F.col("vec_id").alias("id"), F.col("embedding").alias("v")))
+    queries = e.filter("vec_id % 20 = 0").select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("q"))
+    return vector_index.search(index, queries).select("query_id", "id", "similarity", F.col("rank").cast("long"))
+
+
+def indexed_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents with one of two words in title or content, through the index of trigrams."""
+    d = documents(spark, sf_dir)
+    index = keyword_index.build(d, "doc_id", ["title", "content"])
+    return keyword_index.search(index, d, ["License", "stupid"]).select("doc_id", "source")
+
+
 def text_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines of documents packed into chunks of at most 400 characters."""
     found = retrieval.chunked(b.table(spark, sf_dir, "documents"), "doc_id", "text", 400)
@@ -181,7 +196,7 @@ def order_partners(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (detect_events, classify_events, propagate, cluster_links, canonical_pairs, canonical_clusters, fill_report, source_overview, profile_progress, dictionary_misses, year_rollup, quality_sample, dedup_urls, upsert_documents, pending_orders, shard_scan, page_articles, event_props, keyword_search, vector_top_k, text_chunks, order_partners)
+    for f in (detect_events, classify_events, propagate, cluster_links, canonical_pairs, canonical_clusters, fill_report, source_overview, profile_progress, dictionary_misses, year_rollup, quality_sample, dedup_urls, upsert_documents, pending_orders, shard_scan, page_articles, event_props, keyword_search, vector_top_k, vector_index_top_k, indexed_search, text_chunks, order_partners)
 }
 
 
@@ -308,6 +323,7 @@ g AS (SELECT profile, count(*) AS rows, count(*) FILTER ({_BODY}) AS good_rows,
     "shard_scan": "SELECT o_orderkey, o_custkey FROM (SELECT *, row_number() OVER (ORDER BY o_orderkey) AS rn FROM orders) WHERE (rn - 1) % 5 = 2",
     "event_props": "SELECT event_type, prop, count(*) AS n FROM (SELECT event_type, unnest(json_keys(props)) AS prop FROM events) GROUP BY 1, 2",
     "keyword_search": f"WITH {_DOCS} SELECT doc_id, source FROM docs WHERE content ILIKE '%License%' OR content ILIKE '%stupid%' ORDER BY doc_id DESC LIMIT 20",
+    "indexed_search": f"WITH {_DOCS} SELECT doc_id, source FROM docs WHERE title ILIKE '%License%' OR title ILIKE '%stupid%' OR content ILIKE '%License%' OR content ILIKE '%stupid%'",
     "vector_top_k": """WITH n AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS e FROM embeddings), p AS (SELECT a.vec_id AS query_id, b.vec_id AS id, floor(list_dot_product(a.e, b.e) / (sqrt(list_dot_product(a.e, a.e)) * sqrt(list_dot_product(b.e, b.e)) + 1e-8) * 1e6 + 0.5) / 1e6 AS s FROM n a JOIN n b ON a.vec_id <> b.vec_id WHERE a.vec_id % 20 = 0)
 SELECT query_id, id, rank FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY s DESC, id) AS rank FROM p) WHERE rank <= 5""",
     "page_articles": f"""WITH p AS (SELECT page_id, regexp_extract(html, '(?is)<h1[^>]*>(.*?)</h1>', 1) AS t, regexp_extract(html, '(?is)<article[^>]*>(.*?)(?:</article>|\\z)', 1) AS b, regexp_extract_all(html, '<a href="([^"]+)"', 1) AS l FROM pages)
