@@ -110,6 +110,12 @@ PUBLISHED = RulePack(
         "行业类": ["行业", "产业链", "景气", "协会", "供需", "价格上涨", "技术突破", "样机"],
         "宏观类": ["降息", "降准", "CPI", "PPI", "GDP", "出口", "财政"],
     },
+    industry={
+        "军工": ["军工", "战机", "导弹", "无人机", "军品", "空战", "国防", "航空", "航天", "舰船", "兵装", "雷达", "坦克", "军贸", "军演", "装备", "高超音速", "军工股", "军工板块", "歼", "武装", "军控"],
+        "新能源": ["新能源", "储能", "锂电", "光伏", "风电", "电池", "充电桩", "新能源汽车", "锂矿", "碳酸锂", "硅料", "组件", "逆变器", "电网", "输变电", "核电", "氢能", "电车", "电动", "光伏产业链", "碳中和", "碳达峰", "绿电", "清洁能源", "分布式", "光伏设备", "风电设备"],
+        "科技": ["科技", "机器人", "芯片", "算力", "AI", "人工智能", "人形机器人", "样机", "半导体", "集成电路", "光刻", "5G", "通信", "物联网", "云计算", "大数据", "软件", "数字化", "智能化", "数字人民币", "大模型", "GPT", "量子", "操作系统", "自动驾驶", "智能驾驶", "工业互联网", "信创", "数据要素", "低空经济"],
+        "消费": ["消费", "白酒", "旅游", "零售", "餐饮", "食品", "饮料", "家电", "服装", "医美", "化妆品", "医药", "中药", "生物制品", "免税", "酒店", "航空出行", "电影", "游戏", "啤酒", "乳品", "创新药", "制药", "药房", "药企", "制药业", "药监", "临床", "新药", "房产", "房地产", "地产", "物业", "银行业", "证券", "保险", "银行", "金融", "信贷"],
+    },
     predictability={"突发型": ["空战", "爆发", "冲突", "突发", "事故", "击落", "伊朗", "中东", "霍尔木兹", "战事"], "预披露型": ["公告", "预告", "政策", "规划", "发布", "签订"]},
     duration={"脉冲型": ["空战", "冲突", "突发", "击落", "热点", "伊朗", "中东", "霍尔木兹", "停火", "战事"], "中期型": ["政策", "合同", "示范项目", "订单", "扩产", "发布", "样机"], "长尾型": ["规划", "技术突破", "产业趋势", "长期"]},
     subject_default="行业类",
@@ -127,6 +133,15 @@ PUBLISHED = RulePack(
     sentiments=("利好", "利空", "中性"),
 )
 
+# Words of a text that decide its subject and its industry over what a model has said.
+SUBJECT_ANCHORS = (("地缘类", ("中东", "霍尔木兹", "战事", "停火", "冲突", "空战", "印巴", "克什米尔")),)
+INDUSTRY_ANCHORS = (
+    ("军工", ("军工", "战机", "导弹", "无人机", "国防", "军品", "装备", "高超音速", "舰船", "雷达")),
+    ("新能源", ("新能源", "储能", "光伏", "锂电", "电池", "风电", "充电桩", "逆变器", "碳中和", "绿电")),
+    ("消费", ("轻工业", "零售", "餐饮", "文旅", "旅游", "消费", "医药", "药", "房产", "地产", "银行", "金融", "白酒", "食品")),
+    ("科技", ("无线电", "卫星", "通信", "物联网", "人工智能", "具身智能", "半导体", "芯片", "算力", "5G", "信创", "低空经济", "数字人民币")),
+)
+
 #: A pack for the given tables, of words that occur in them.
 NEUTRAL = RulePack(
     non_event=("scum",),

@@ -49,7 +49,27 @@ class LabelRules:
 PUBLISHED = LabelRules(
     source_type=(("官方文件", ("中国政府网", "国务院", "国家发展改革委", "发改委", "工信部", "商务部", "财政部", "央行")), ("监管/交易所", ("中国证监会", "证监会", "上交所", "深交所", "北交所")), ("公司公告", ("巨潮资讯网", "公司公告", "公告")), ("主流财经媒体", ("财新", "第一财经", "东方财富", "36氪", "证券时报", "中国证券报")), ("行业协会/机构", ("协会", "商会", "联盟", "研究院"))),
     authority=(("central", ("中国政府网", "国务院", "新华社", "人民日报", "央视财经")), ("ministry", ("国家发展改革委", "发改委", "工信部", "财政部", "央行", "商务部", "国家统计局", "海关总署")), ("exchange", ("中国证监会", "证监会", "上交所", "深交所", "北交所")), ("listed_company", ("巨潮资讯网", "公司公告", "年度报告", "临时公告")), ("top_media", ("财新", "第一财经", "上海证券报", "证券时报", "中国证券报", "Bloomberg", "Reuters"))),
-    subtype=(("产业政策", ("产业政策", "行动计划", "实施方案", "发展方案", "促进", "支持", "补贴")), ("监管政策", ("监管", "规范", "审查", "处罚", "问询", "征求意见", "规则")), ("财政税收", ("财政", "税", "减免", "退税", "专项债")), ("货币金融", ("利率", "降准", "降息", "社融", "信贷", "汇率")), ("业绩公告", ("业绩", "营收", "净利润", "利润", "财报", "预告")), ("重大合同", ("合同", "订单", "中标", "采购")), ("产能投产", ("投产", "扩产", "产能", "开工", "竣工"))),
+    subtype=(
+        ("产业政策", ("产业政策", "行动计划", "实施方案", "发展方案", "促进", "支持", "补贴")),
+        ("监管政策", ("监管", "规范", "审查", "处罚", "问询", "征求意见", "规则")),
+        ("财政税收", ("财政", "税", "减免", "退税", "专项债")),
+        ("货币金融", ("利率", "降准", "降息", "社融", "信贷", "汇率")),
+        ("业绩公告", ("业绩", "营收", "净利润", "利润", "财报", "预告")),
+        ("重大合同", ("合同", "订单", "中标", "采购")),
+        ("产能投产", ("投产", "扩产", "产能", "开工", "竣工")),
+        ("产品发布", ("产品发布", "新品", "发布会", "临床试验批准", "临床试验申请", "上市许可申请", "获受理", "获批")),
+        ("股权变动", ("股权", "增持", "减持", "回购", "并购", "重组", "定增", "递表", "IPO", "辅导验收", "发行H股", "赴港IPO", "股份冻结", "股份转让", "风险警示", "退市风险警示", "撤销退市风险警示", "摘帽", "摘星", "戴帽", "ST")),
+        ("诉讼仲裁", ("诉讼", "仲裁", "法院裁定", "处罚", "监管措施")),
+        ("高管变动", ("聘任", "辞职", "辞任", "财务总监", "董秘", "总裁", "董事长", "高管")),
+        ("技术标准", ("技术标准", "行业标准", "标准发布")),
+        ("供需价格", ("价格", "涨价", "降价", "库存", "供需", "资金流向", "资金流入", "资金流出", "资金流入榜", "资金流出榜", "两融余额", "融资余额", "杠杆资金", "股息率", "分红", "成交额突破", "成交额", "净流入", "净流出", "排行榜", "新建仓")),
+        ("宏观数据", ("GDP", "CPI", "PPI", "PMI", "社融", "失业率", "增加值")),
+        ("贸易摩擦", ("贸易摩擦", "关税", "制裁", "出口管制")),
+        ("区域冲突", ("冲突", "战事", "空战", "停火", "中东", "霍尔木兹", "印巴")),
+        ("自然灾害", ("地震", "洪水", "台风", "灾害")),
+        ("公共卫生", ("疫情", "公共卫生", "传染病")),
+        ("安全事故", ("事故", "爆炸", "停产", "罢工")),
+    ),
     subtype_of={"公司类": "公司事项", "行业类": "行业跟踪", "政策类": "政策动态", "宏观类": "宏观跟踪", "地缘类": "地缘事件"},
     time=(("future_oriented", ("将", "未来", "明年", "后续", "预计", "有望", "计划", "拟")), ("retrospective", ("已", "此前", "过去", "去年", "以来", "回顾", "复盘"))),
     stage=(("预期", ("拟", "计划", "预计", "可能", "或将", "有望", "征求意见")), ("落地/执行", ("发布", "印发", "实施", "落地", "执行", "正式", "启动")), ("反馈", ("同比", "增长", "下降", "运行", "成效", "反馈", "数据"))),
@@ -87,6 +107,11 @@ NEUTRAL = LabelRules(
 )
 
 
+def subtype(full: Column | Scan, r: LabelRules) -> Column:
+    """The first subtype with a word in the text, else the one of the subject type, else none."""
+    return F.coalesce(*[F.when(T.any_hit(full, ks), label) for label, ks in r.subtype], *[F.when(F.col("subject_type") == k, v) for k, v in r.subtype_of.items()], F.lit(r.defaults[2]))
+
+
 def impact_scope(subject: Column, industry: Column, full: Column | Scan, r: LabelRules, industry_default: str) -> Column:
     """The coarse scope: the market, a group of entities, or one."""
     market, group, single = r.scopes
@@ -141,20 +166,19 @@ def structured(docs: DataFrame, pack: RulePack, rules: LabelRules, symbol: str |
     """``docs`` (with duplicate_group_size) as structured events with all columns; url is the reference to the text."""
     kept = ["url", *[c for c in docs.columns if c.endswith("_id")]]
     full, title = F.concat_ws(" ", "title", "content"), F.col("title")
-    other_source, general, no_subtype, current, confirmed, other_shock, domestic = rules.defaults
+    other_source, general, _, current, confirmed, other_shock, domestic = rules.defaults
     words = detect.full_words()
     d = detect.classified(detect.with_words(docs, pack, rules), pack).withColumns({"_full": full, **{f"_{k}": v for k, v in _dimensions(words, pack).items()}})
     full = F.col("_full")
     d = d.withColumn("subject_entities", entities.subject_entities(full, rules.entity, F.col(symbol) if symbol else None, title))
     d = d.withColumn("source_type", T.first_label(F.coalesce("source", F.lit("")), rules.source_type, other_source))
-    subtype = F.coalesce(*[F.when(T.any_hit(words, ks), label) for label, ks in rules.subtype], *[F.when(F.col("subject_type") == k, v) for k, v in rules.subtype_of.items()], F.lit(no_subtype))
     d = d.withColumns(
         {
             "event_name": F.when(F.size("subject_entities") > 0, F.concat(F.col("subject_entities")[0], F.lit(rules.name_suffix))).otherwise(F.substring("title", 1, 24)),
             "event_date": F.to_date("publish_time"),
             "authority_level": T.first_label(F.coalesce("source", F.lit("")), rules.authority, general),
             "source_credibility_score": F.when(F.col("source_type").isin(*rules.official), 3).when(F.col("source_type").isin(*rules.trusted), 2).otherwise(1),
-            "event_subject_subtype": subtype,
+            "event_subject_subtype": subtype(words, rules),
             "time_orientation": T.first_label(words, rules.time, current),
             "event_stage": T.first_label(words, rules.stage, confirmed),
             "shock_source_type": T.first_label(words, rules.shock, other_shock),

@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 
 
 
-from ..operators import canonical, detect, graph, keyword_index, quality, retrieval, rules, upsert, vector_index
+from ..functions import text as T
+from ..functions.keywords import words_of
+from ..operators import canonical, detect, graph, keyword_index, quality, retrieval, rules, structured, upsert, vector_index
 from ..sources import files
 from . import bindings as b
 
@@ -36,6 +38,24 @@ def classify_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "event_id", "subject_type", "industry_type", "predictability_type", "duration_type", "sentiment", *[F.col(c).cast("long") for c in ("heat_score", "novelty_score", "intensity_score")])
 
 
+#: Words of the published lists and sources of its rules, which the given tables' documents take by their ids.
+_WORDS = sorted(w for w in words_of((rules.PUBLISHED, structured.PUBLISHED.subtype)) if w)
+_SOURCES = ("中国政府网", "上交所", "巨潮资讯网", "中国证监会", "财新网", "第一财经", "其他")
+
+
+def published_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents with words of the published lists put in by their ids, under the whole published packs."""
+    listed, sources, n = T.words(*_WORDS), T.words(*_SOURCES), len(_WORDS)
+    word = lambda a, c: F.get(listed, ((F.col("doc_id") * a + c) % n).cast("int"))
+    d = documents(spark, sf_dir).withColumns({
+        "source": F.get(sources, (F.col("doc_id") % len(_SOURCES)).cast("int")), "title": F.concat(word(7, 0), F.lit("、"), word(11, 3)),
+        "content": F.concat(word(13, 5), F.lit("，"), word(17, 1), F.lit("。"), "content"),
+    })
+    pack, labels = rules.PUBLISHED, structured.PUBLISHED
+    found = detect.classified(detect.detected(detect.with_words(detect.with_duplicates(d), pack, labels), pack), pack).withColumn("subtype", structured.subtype(detect.full_words(), labels))
+    return found.select("doc_id", "is_event", "filter_reason", F.col("score").cast("long"), "subject_type", "industry_type", "predictability_type", "duration_type", "sentiment", "subtype", F.col("heat_score").cast("long"), F.col("intensity_score").cast("long"))
+
+
 def _relations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Suppliers of a region as related: by neighbouring keys of their part lines, half of them undirected."""
     l = b.table(spark, sf_dir, "lineitem")  # noqa: E741
@@ -196,7 +216,7 @@ def order_partners(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (detect_events, classify_events, propagate, cluster_links, canonical_pairs, canonical_clusters, fill_report, source_overview, profile_progress, dictionary_misses, year_rollup, quality_sample, dedup_urls, upsert_documents, pending_orders, shard_scan, page_articles, event_props, keyword_search, vector_top_k, vector_index_top_k, indexed_search, text_chunks, order_partners)
+    for f in (detect_events, classify_events, published_events, propagate, cluster_links, canonical_pairs, canonical_clusters, fill_report, source_overview, profile_progress, dictionary_misses, year_rollup, quality_sample, dedup_urls, upsert_documents, pending_orders, shard_scan, page_articles, event_props, keyword_search, vector_top_k, vector_index_top_k, indexed_search, text_chunks, order_partners)
 }
 
 
@@ -242,8 +262,7 @@ k AS (SELECT *, title || ' ' || content AS ft, substr(md5(substr({_CANON.format(
 dd AS (SELECT *, count(*) OVER (PARTITION BY dedup_key) AS dup FROM k)"""
 
 
-def _detect_sql() -> str:
-    p = PACK
+def _detect_sql(p: rules.RulePack = PACK) -> str:
     strong = f"({_n('ft', [w for w in p.event if w not in p.generic_hits])} + {_n('ft', p.company_action)} > 0)"
     signal = f"({strong} OR ({_any('title', p.listing_title)} AND NOT {_any('title', p.listing_excluded)}))"
     ev, act, bonus = _n("ft", p.event), _n("ft", p.company_action), f"least(dup, {p.duplicate_cap})"
@@ -266,8 +285,7 @@ def _detect_sql() -> str:
     return f"det AS (SELECT *, {reason} AS filter_reason FROM (SELECT *, {score} AS s FROM (SELECT *, {number} AS x FROM dd)))"
 
 
-def _classify_sql(source: str) -> str:
-    p = PACK
+def _classify_sql(source: str, p: rules.RulePack = PACK) -> str:
     good, bad, neutral = p.sentiments
     up, down = _n("ft", p.positive), _n("ft", p.negative)
     weight = "CASE " + " ".join(f"WHEN contains(source, {_q(k)}) THEN CAST({w} AS DOUBLE)" for k, w in p.source_weights) + " ELSE CAST(0.6 AS DOUBLE) END"
@@ -279,6 +297,18 @@ def _classify_sql(source: str) -> str:
   'EVT-' || substr(md5(strftime(publish_time, '%Y-%m-%d %H:%M:%S') || '|' || source || '|' || title), 1, 10) AS event_id FROM {source}))"""
 
 
+def _published_sql() -> str:
+    listed, sources = (f"[{', '.join(map(_q, x))}]" for x in (_WORDS, _SOURCES))
+    word = lambda a, c: f"w[(doc_id * {a} + {c}) % {len(_WORDS)} + 1]"
+    docs = f"""docs AS (SELECT doc_id, {sources}[doc_id % {len(_SOURCES)} + 1] AS source, {word(7, 0)} || '、' || {word(11, 3)} AS title, {word(13, 5)} || '，' || {word(17, 1)} || '。' || content AS content, publish_time
+  FROM docs0 CROSS JOIN (SELECT {listed} AS w))"""
+    pack, labels = rules.PUBLISHED, structured.PUBLISHED
+    of_subject = "CASE subject_type " + " ".join(f"WHEN {_q(k)} THEN {_q(v)}" for k, v in labels.subtype_of.items()) + f" ELSE {_q(labels.defaults[2])} END"
+    subtype = "CASE " + " ".join(f"WHEN {_any('ft', ks)} THEN {_q(k)}" for k, ks in labels.subtype) + f" ELSE {of_subject} END"
+    return f"""WITH {_DOCS.replace("docs AS", "docs0 AS", 1).replace("k AS (", docs + ", k AS (", 1)}, {_detect_sql(pack)}, {_classify_sql('det', pack)}
+SELECT doc_id, filter_reason = 'event_signal_detected' AS is_event, filter_reason, s AS score, subject_type, industry_type, predictability_type, duration_type, sentiment, {subtype} AS subtype, heat_score, intensity_score FROM cl"""
+
+
 _FULL = f"WITH {_DOCS}, {_detect_sql()}"
 _EVENTS = f"""WITH {_DOCS}, e1 AS (SELECT *, list_distinct(list_filter(regexp_extract_all(lower(title), '[a-z]+'), lambda x: length(x) >= 4)) AS tk, list_distinct(regexp_extract_all(content, '[0-9]{{7,}}')) AS en, regexp_extract_all(content, '[0-9]{{7,}}') AS el FROM docs WHERE length(title) > 0),
 ev AS (SELECT doc_id AS id, lang AS subject, source AS industry, CAST(publish_time AS DATE) AS day, lower(regexp_replace(title, '[^A-Za-z]', '', 'g')) AS name, tk, en, list_filter(el, lambda v, i: list_position(el, v) = i) AS eo, list_distinct(tk || en) AS at, doc_id % 100 AS heat, doc_id % 7 AS intensity, 's' || (doc_id % 3) AS impact_scope FROM e1),
@@ -291,6 +321,7 @@ _BODY = "(length(trim(content)) >= 300 AND trim(content) <> trim(title) AND NOT
 ORACLE_SQL = {
     "detect_events": f"{_FULL} SELECT doc_id, dedup_key, dup AS duplicate_group_size, filter_reason = 'event_signal_detected' AS is_event, filter_reason, s AS score FROM det",
     "classify_events": f"WITH {_DOCS}, {_classify_sql('dd')} SELECT doc_id, event_id, subject_type, industry_type, predictability_type, duration_type, sentiment, heat_score, novelty_score, intensity_score FROM cl",
+    "published_events": _published_sql(),
     "propagate": f"""WITH {b.LINKS_SQL}, near AS (SELECT event_id, entity AS source, max(score) AS ss FROM links GROUP BY 1, 2 HAVING max(score) >= 0.35),
 rel AS (SELECT relation_id, source, target, d * 8 + 0.2::DOUBLE AS strength, relation_id % 2 = 0 AS un FROM (SELECT l_suppkey AS source, l_partkey % 50 AS target, min(l_orderkey) AS relation_id, max(l_discount) AS d FROM lineitem GROUP BY 1, 2)),
 sy AS (SELECT relation_id, source, target, strength FROM rel UNION ALL SELECT relation_id, target, source, strength FROM rel WHERE un),

@@ -156,3 +156,26 @@ def test_names_of_one_character_merge(spark):
     names = {1: "a", 2: "alpha", 3: "a", 4: "bet", 5: "", 6: "t", 7: "a"}
     events = spark.createDataFrame([(i, "s", "x", day + dt.timedelta(days=20 * (i == 7)), [], n, [], []) for i, n in names.items()], "id long, subject string, industry string, day date, entities array<string>, name string, name_tokens array<string>, all_tokens array<string>")
     assert {tuple(r) for r in canonical.merge_pairs(events).collect()} == {(1, 2), (1, 3), (2, 3), (4, 6)}
+
+
+def test_golden_cases_of_the_published_packs(spark):
+    from eventloom.operators import structured
+
+    docs = spark.createDataFrame(
+        [
+            ("巨潮资讯网/历史公告", "测试公司：关于签订重大合同的公告", "公司近日与某客户签订重大合同，合同金额为5亿元。", "2025-03-01 10:00:00", "u1", "000001.SZ"),
+            ("中国政府网/新华社", "国务院印发新一轮稳增长政策措施", "国务院发布政策措施，支持制造业升级和扩大内需。", "2025-03-02 09:00:00", "u2", ""),
+            ("巨潮资讯网/历史公告", "测试公司：关于召开2025年第一次临时股东大会的通知", "公司将召开股东大会审议议案。", "2025-03-01 10:00:00", "u3", "000001.SZ"),
+            ("财新网", "光伏逆变器企业扩产，储能订单增长", "无人机与雷达企业的军品订单", "2025-03-01 10:00:00", "u4", ""),
+        ],
+        "source string, title string, content string, publish_time string, url string, symbol_or_subject string",
+    ).withColumn("publish_time", F.to_timestamp("publish_time"))
+    found = detect.detected(detect.with_duplicates(docs), rules.PUBLISHED)
+    reasons = {r.url: (r.is_event, r.filter_reason) for r in found.collect()}
+    assert reasons["u1"][0] and reasons["u2"][0] and reasons["u3"] == (False, "generic_announcement_without_signal")
+    rows = {r.url: r for r in structured.structured(found, rules.PUBLISHED, structured.PUBLISHED).collect()}
+    labels = lambda u: tuple(rows[u][c] for c in ("event_subject_type", "event_subject_subtype", "predictability_type", "duration_type", "impact_scope", "sentiment"))
+    assert labels("u1") == ("公司类", "重大合同", "预披露型", "中期型", "个股链条", "利好")
+    assert labels("u2") == ("政策类", "产业政策", "预披露型", "中期型", "行业", "利好")
+    # three words each: the earlier rule wins
+    assert rows["u4"].industry_type == "军工" and rows["u4"].event_subject_subtype == "重大合同"
