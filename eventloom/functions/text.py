@@ -61,7 +61,7 @@ def best_label(text: Column | Scan, rules: dict[str, Iterable[str]], default: st
 
 def canonical(text: Column) -> Column:
     """Lowered text without white space and punctuation."""
-    return F.lower(F.regexp_replace(F.regexp_replace(text, SPACE, ""), "[，。、“”‘’!！?？:：;；,.]", ""))
+    return F.lower(F.translate(F.regexp_replace(text, SPACE, ""), "，。、“”‘’!！?？:：;；,.", ""))
 
 
 def dedup_key(title: Column, content: Column) -> Column:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..functions.numeric import rounded
-from ..operators import event_study, graph, panel, quality
+from ..operators import cluster_stats, delivery, event_study, graph, panel, quality
 from . import bindings as b
 from . import event_queries as e
 from . import market_queries as m
@@ -16,6 +16,76 @@ from .event_queries import _n, _q
 PROFILES = [("src1%", "ones"), ("src2%", "twos"), ("%5", "fives")]
 
 
+#: The given tables in the roles of the delivered ones; both engines read these expressions.
+_ROLES = {
+    "raw_documents": ("documents", ["source", "md5(text) AS url"]),
+    "label_dictionary": ("nation", ["CASE WHEN n_nationkey % 2 = 0 THEN 'event_subject_type' ELSE 'sentiment' END AS label_group", "n_name AS label_value"]),
+    "structured_events": ("orders", [f"CASE WHEN o_orderkey % {k + 11} > 0 THEN substr(o_orderpriority, 1, {k % 3 + 1}) END AS {c}" for k, c in enumerate(delivery._EVENT_COLUMNS)]),
+    "company_profiles": ("customer", ["c_custkey % 4 AS snapshot_date", "c_mktsegment AS region", "CASE WHEN c_custkey % 3 > 0 THEN 1 END AS list_date", "CASE WHEN c_custkey % 5 > 3 THEN 1 END AS state_owned_flag", "c_nationkey AS employees", "c_acctbal AS total_shares", "CASE WHEN c_acctbal > 0 THEN 1 END AS float_shares", "' ' AS core_products"]),
+    "stock_daily_quotes": ("lineitem", ["l_suppkey AS ts_code", "l_quantity AS open", "l_tax AS high", "CASE WHEN l_orderkey % 20 > 0 THEN 1 END AS low", "l_discount AS amount", "CASE WHEN l_partkey % 3 > 0 THEN 1 END AS turnover_rate", "NULL AS adj_factor", "l_discount > 0.095 AS is_limit_up", "l_tax > 0.079 AS is_limit_down", "CASE WHEN l_linenumber < 3 THEN 'sina' ELSE 'other' END AS data_source"]),
+    "sentiment_propagation_daily": ("events", ["value AS heat_score", "CASE WHEN value > 60 THEN 1 END AS heat_growth_rate", "user_id AS heat_duration_days", "CASE WHEN value > 90 THEN 1 END AS disagreement_score", "event_type AS sentiment_std"]),
+    "company_relations": ("part", ["CASE WHEN p_partkey % 5 = 0 THEN 'directed' ELSE 'undirected' END AS direction", "p_partkey % 7 AS relation_type", "p_size > 5 AS is_manual_override"]),
+    "event_company_links": ("lineitem", ["l_orderkey AS structured_event_id", "l_suppkey AS company_id", "CAST(l_linenumber AS DOUBLE) / 8 AS final_link_score"]),
+}
+
+
+def delivery_status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The published checks of all delivered tables, of which one is missing."""
+    tables = {role: b.table(spark, sf_dir, t).selectExpr(*c) for role, (t, c) in _ROLES.items()}
+    return delivery.delivery_status(tables | {"market_environment_daily": None})
+
+
+def _delivery_sql() -> str:
+    parts, named = [], []
+    for role, (t, c) in _ROLES.items():
+        named.append(f"{role} AS (SELECT {', '.join(c)} FROM {t})")
+    row = lambda area, metric, value, target, status, source: f"SELECT '{area}' AS area, '{metric}' AS metric, CAST({value} AS DOUBLE) AS value, CAST({target} AS DOUBLE) AS target, {status} AS status FROM {source}"
+    for role, c in delivery.PUBLISHED.items():
+        if role not in _ROLES:
+            parts.append(f"SELECT '{role}', 'table_presence', NULL, {c.least}, 'BLOCK'")
+            continue
+        parts.append(row(role, "row_count", "count(*)", c.least, f"CASE WHEN count(*) >= {c.least} THEN 'OK' ELSE 'BLOCK' END", role))
+        rows = role if c.snapshot is None else f"(SELECT * FROM {role} WHERE {c.snapshot} = (SELECT max({c.snapshot}) FROM {role}))"
+        shares = {f"{x}_fill": (f"trim(CAST({x} AS VARCHAR)) <> ''", *bounds) for x, bounds in c.fills.items()} | c.shares
+        for metric, (condition, ok, warn) in shares.items():
+            share = f"count(*) FILTER ({condition}) / count(*)"
+            parts.append(row(role, metric, share, ok, f"CASE WHEN {share} >= {ok} THEN 'OK' WHEN {share} >= {warn} THEN 'WARN' ELSE 'BLOCK' END", rows))
+        counts = c.counts | ({"latest_snapshot": (f"CASE WHEN count({c.snapshot}) > 0 THEN 1 ELSE 0 END", 1, "blocks")} if c.snapshot else {})
+        for metric, (value, bound, kind) in counts.items():
+            good = f"{value} <= {bound}" if kind == "most" else f"{value} >= {bound}"
+            parts.append(row(role, metric, value, bound, f"CASE WHEN {good} THEN 'OK' ELSE '{'BLOCK' if kind == 'blocks' else 'WARN'}' END", rows))
+        for x, group in c.labels.items():
+            missed = f"(SELECT r.{x} IN (SELECT label_value FROM label_dictionary WHERE label_group = '{group}') IS NOT TRUE AS miss FROM {role} r)"
+            parts.append(row(role, f"{x}_dictionary_miss", "count(*) FILTER (miss)", 0, "CASE WHEN count(*) FILTER (miss) = 0 THEN 'OK' ELSE 'WARN' END", missed))
+    return "WITH " + ", ".join(named) + " " + " UNION ALL ".join(parts)
+
+
+def cluster_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Five statistics of each event's cluster and day, from the states of two batches."""
+    ev = _cluster_events(spark, sf_dir)
+    state, dictionary = None, None
+    for batch in (ev.filter("event_id % 3 = 0"), ev.filter("event_id % 3 <> 0")):  # the first batch, and all the rest
+        dictionary = cluster_stats.with_new_sources(dictionary, batch)
+        state = cluster_stats.merged(state, cluster_stats.state(batch, dictionary, ("good", "flat", "bad")))
+    return cluster_stats.refreshed(ev.select("event_id", "cluster", "day"), state).select("event_id", "report_count", "media_coverage_count", "heat_duration_days", "heat_growth_rate", "disagreement_score")
+
+
+def _cluster_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = b.table(spark, sf_dir, "events")
+    key = cluster_stats.cluster_key(F.col("event_type"), (F.col("user_id") % 7).cast("string"), F.lit(None).cast("string"))
+    mood = F.when(F.col("value") > 60, "good").when(F.col("value") > 30, "flat").otherwise("bad")
+    return d.select("event_id", key.alias("cluster"), F.to_date("ts").alias("day"), F.when(F.col("user_id") % 10 > 0, F.concat(F.lit("s"), (F.col("user_id") % 83).cast("string"))).alias("source"), mood.alias("sentiment"))
+
+
+_CLUSTER_STATS = """WITH e AS (SELECT event_id, lower(event_type) || '|' || (user_id % 7) || '|' AS cluster, CAST(ts AS DATE) AS day, CASE WHEN user_id % 10 > 0 THEN 's' || (user_id % 83) END AS source, CASE WHEN value > 60 THEN 'good' WHEN value > 30 THEN 'flat' ELSE 'bad' END AS sentiment FROM events),
+d AS (SELECT cluster, day, count(*) AS reports, count(*) FILTER (sentiment = 'good') AS p, count(*) FILTER (sentiment = 'flat') AS u, count(*) FILTER (sentiment = 'bad') AS n FROM e GROUP BY 1, 2),
+g AS (SELECT cluster, CAST(sum(reports) AS BIGINT) AS report_count, count(*) AS heat_duration_days FROM d GROUP BY 1), s AS (SELECT cluster, count(DISTINCT source) AS media_coverage_count FROM e GROUP BY 1),
+x AS (SELECT d.*, (d.reports - b.reports) / (b.reports + 1) AS growth, -(CASE WHEN d.p > 0 THEN d.p / d.reports * ln(d.p / d.reports) ELSE 0 END) - (CASE WHEN d.u > 0 THEN d.u / d.reports * ln(d.u / d.reports) ELSE 0 END) - (CASE WHEN d.n > 0 THEN d.n / d.reports * ln(d.n / d.reports) ELSE 0 END) AS entropy
+  FROM d LEFT JOIN d b ON b.cluster = d.cluster AND b.day = d.day - 1)
+SELECT event_id, report_count, media_coverage_count, heat_duration_days, coalesce(sign(growth) * floor(abs(growth) * 1e6 + 0.5) / 1e6, 0.0) AS heat_growth_rate, floor(entropy * 1e6 + 0.5) / 1e6 AS disagreement_score
+FROM e JOIN g USING (cluster) JOIN s USING (cluster) JOIN x ON x.cluster = e.cluster AND x.day = e.day"""
+
+
 def delivery_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ratios and counts of several tables against their bounds, and their presence."""
     d, o, l, c = (b.table(spark, sf_dir, t) for t in ("documents", "orders", "lineitem", "customer"))
@@ -147,7 +217,7 @@ def labels_of_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (delivery_checks, dictionary_checks, source_families, category_summary, source_actions, category_updates, field_completeness, review_accuracy, wrong_reasons, link_quality, count_changes, panel_changes, panel_joined, study_outcomes, study_groups, stale_edges, labels_of_sources)
+    for f in (delivery_checks, delivery_status, cluster_statistics, dictionary_checks, source_families, category_summary, source_actions, category_updates, field_completeness, review_accuracy, wrong_reasons, link_quality, count_changes, panel_changes, panel_joined, study_outcomes, study_groups, stale_edges, labels_of_sources)
 }
 
 _FULLTEXT = "(length(content) >= {0} AND trim(content) <> trim(title) AND trim(content) <> trim(regexp_replace(title, '^[^：:]+[：:]', '')))"
@@ -171,6 +241,8 @@ _CHANGED = f"WITH {b.PRICES_SQL.replace('ret AS (SELECT *,', 'ret0 AS (SELECT *,
 _PANEL = m._panel_sql(False).replace("SELECT entity, day, amount, volume, close,", "SELECT entity, day, volume, pct_chg,")
 
 ORACLE_SQL = {
+    "delivery_status": _delivery_sql(),
+    "cluster_statistics": _CLUSTER_STATS,
     "delivery_checks": " UNION ALL ".join([
         _ratio("documents", "documents", "text_fill", "trim(text) <> ''", 0.98, 0.9), _ratio("documents", "documents", "lang_fill", "trim(lang) <> ''", 0.999, 0.5),
         _count("documents", "documents", "source_count", "count(DISTINCT source)", 8, ">=", "WARN"), _count("documents", "documents", "duplicate_texts", "(count(text) - count(DISTINCT text))", 0, "<=", "WARN"),
