@@ -7,22 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .buckets import Buckets
+
 
 def classify_stream(documents: DataFrame, classify: Callable[[DataFrame], DataFrame], out: str, checkpoint: str, key: str = "url"):
-    """Classifies each micro-batch and appends rows whose key isn't in ``out`` yet; runs until all that is there is read.
+    """Classifies rows whose key hasn't come before and adds them to ``out``; runs until all that is there is read.
 
-    A batch that is run again after a failure adds nothing twice.
+    Known keys are state of the stream, so a batch reads nothing of what is
+    stored.  A batch writes under its own number: run again after a failure, it
+    replaces what it had written.
     """
 
-    def step(batch: DataFrame, _: int) -> None:
-        from ..sources.files import exists
-
-        found = classify(batch.dropDuplicates([key]))
-        if exists(batch.sparkSession, out):
-            found = found.join(batch.sparkSession.read.parquet(out).select(key), key, "left_anti")
-        found.write.mode("append").parquet(out)
+    def step(batch: DataFrame, number: int) -> None:
+        classify(batch).write.mode("overwrite").parquet(f"{out}/batch={number}")
 
-    return documents.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    return documents.dropDuplicates([key]).writeStream.foreachBatch(step).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
 def daily_counts(events: DataFrame, time: str, by: str, late: str = "2 days") -> DataFrame:
@@ -40,45 +39,29 @@ def of_the_past(documents: DataFrame, time: str, today: str) -> DataFrame:
     return documents.filter(F.to_date(time) <= F.lit(today).cast("date"))
 
 
-def versions(spark, out: str) -> list[int]:
-    """Numbers of the versions of a table that ``flush_stream`` keeps."""
-    from ..sources.files import exists
-
-    if not exists(spark, out):
-        return []
-    path = spark._jvm.org.apache.hadoop.fs.Path(out)
-    found = path.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(path)
-    names = [s.getPath().getName() for s in found]
-    return sorted(int(n[2:]) for n in names if n.startswith("v="))
+def stored(spark, out: str, key: str, buckets: int = 64) -> DataFrame | None:
+    """The table that ``flush_stream`` keeps, or None."""
+    return Buckets(spark, out, [key], buckets).read()
 
 
-def stored(spark, out: str) -> DataFrame | None:
-    """The latest version of a table that ``flush_stream`` keeps, or None."""
-    have = versions(spark, out)
-    return spark.read.parquet(f"{out}/v={have[-1]}") if have else None
+def flush_stream(rows: DataFrame, key: str, order: str, out: str, checkpoint: str, prepare: Callable[[DataFrame], DataFrame] = lambda df: df, rows_per_flush: int | None = None, buckets: int = 64):
+    """Upserts each micro-batch into a keyed table of hash buckets, the last row of a key by ``order`` wins; late rows take their keys too.
 
-
-def flush_stream(rows: DataFrame, key: str, order: str, out: str, checkpoint: str, prepare: Callable[[DataFrame], DataFrame] = lambda df: df, rows_per_flush: int | None = None):
-    """Upserts each micro-batch into a keyed table, the last row of a key by ``order`` wins; late rows take their keys too.
-
-    Every flush writes a version of its batch's number, so one that is run
-    again after a failure gives the same table.  ``rows_per_flush`` splits what
-    a batch brings into flushes of about so many rows.
+    A flush rewrites the buckets that it touches.  ``rows_per_flush`` splits what
+    a batch brings into flushes of about so many rows, by bucket, so that they
+    touch different ones; there are at most ``buckets`` of them.  The last two
+    versions stay.
     """
     from ..operators import upsert
 
-    def flush(batch: DataFrame, number: int) -> None:
-        spark = batch.sparkSession
-        before = [v for v in versions(spark, out) if v < number]
-        new = upsert.last_wins(prepare(batch), [key], order)
-        table = upsert.upserted(spark.read.parquet(f"{out}/v={before[-1]}"), new, [key]) if before else new
-        table.write.mode("overwrite").parquet(f"{out}/v={number}")
-
     def step(batch: DataFrame, number: int) -> None:
-        parts = 1 if rows_per_flush is None else max(1, -(-batch.count() // rows_per_flush))
+        table = Buckets(batch.sparkSession, out, [key], buckets)
+        new = upsert.last_wins(prepare(batch), [key], order)
+        parts = 1 if rows_per_flush is None else min(buckets, max(1, -(-batch.count() // rows_per_flush)))
         for i in range(parts):
-            part = batch if parts == 1 else batch.filter(F.pmod(F.xxhash64(key), F.lit(parts)) == i)
-            flush(part, number * 1_000_000 + i)
+            part = new if parts == 1 else new.filter(table.of() % parts == i)
+            table.update(number * buckets + i, part, lambda old, b: b if old is None else upsert.upserted(old, b, [key]))
+        table.vacuum()
 
     return rows.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
@@ -94,12 +77,26 @@ def daily_streaks(events: DataFrame, time: str, by: str, late: str = "3 days") -
     return sessions.select(by, F.to_date("s.start").alias("first_day"), (F.datediff(last, F.to_date("s.start")) + 1).alias("days"), "events")
 
 
-def recomputed(events: DataFrame, snapshot: Callable[[DataFrame], DataFrame], out: str, checkpoint: str):
-    """Keeps all rows and writes a whole snapshot anew at each batch, so late rows change past days."""
+def recomputed(events: DataFrame, by: list[str], snapshot: Callable[[DataFrame], DataFrame], out: str, checkpoint: str, buckets: int = 64):
+    """Keeps all rows in buckets of their groups and recomputes the snapshot of the groups' buckets that a batch touches, so late rows change past days.
+
+    ``snapshot`` gives rows with the columns ``by``; ``current_snapshot`` reads
+    the last complete one.
+    """
 
     def step(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
-        batch.write.mode("overwrite").parquet(f"{out}/rows/b={number}")
-        snapshot(spark.read.parquet(f"{out}/rows")).write.mode("overwrite").parquet(f"{out}/snapshot")
+        rows, shown = Buckets(spark, f"{out}/rows", by, buckets), Buckets(spark, f"{out}/snapshot", by, buckets)
+        rows.update(number, batch, lambda old, b: b if old is None else old.unionByName(b))
+        touched = {r[0] for r in batch.select(rows.of()).distinct().collect()}
+        now = rows.read(touched, number + 1) if touched else None
+        shown.update(number, snapshot(batch.limit(0) if now is None else now), lambda _, new: new)
+        rows.vacuum()
+        shown.vacuum()
 
     return events.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def current_snapshot(spark, out: str, by: list[str], buckets: int = 64) -> DataFrame | None:
+    """The last complete snapshot of ``recomputed``."""
+    return Buckets(spark, f"{out}/snapshot", by, buckets).read()

@@ -2,8 +2,10 @@
 
 import datetime as dt
 
+import pytest
 from eventloom.operators import daily
 from eventloom.streaming import jobs
+from eventloom.streaming.buckets import Buckets
 from pyspark.sql import functions as F
 
 SCHEMA = "k long, url string, ts timestamp, seq long"
@@ -25,8 +27,8 @@ def test_flushes_upsert_with_late_rows(spark, tmp_path):
     jobs.flush_stream(read(spark, src), "url", "seq", out, cp, past, rows_per_flush=2).awaitTermination()
     put(spark, src, [(4, "b", t(1), 4), (5, "c", t(30), 5), (6, "d", t(7), 6)])
     jobs.flush_stream(read(spark, src), "url", "seq", out, cp, past, rows_per_flush=2).awaitTermination()
-    assert {(r["url"], r["k"]) for r in jobs.stored(spark, out).collect()} == {("a", 3), ("b", 4), ("d", 6)}
-    assert jobs.stored(spark, f"{out}-none") is None
+    assert {(r["url"], r["k"]) for r in jobs.stored(spark, out, "url").collect()} == {("a", 3), ("b", 4), ("d", 6)}
+    assert jobs.stored(spark, f"{out}-none", "url") is None
 
 
 def test_streaks(spark, tmp_path):
@@ -43,12 +45,50 @@ def test_streaks(spark, tmp_path):
 
 def test_late_rows_change_the_snapshot(spark, tmp_path):
     src, out, cp = (f"file://{tmp_path}/{n}" for n in ("src", "out", "cp"))
-    count = lambda df: daily.cluster_totals(df.select(F.col("k").alias("cluster"), F.to_date("ts").alias("day"), F.col("url").alias("source")))
-    put(spark, src, [(1, "a", dt.datetime(2024, 1, 5), 1)])
-    jobs.recomputed(read(spark, src), count, out, cp).awaitTermination()
+    count = lambda df: daily.cluster_totals(df.select(F.col("k").alias("cluster"), F.to_date("ts").alias("day"), F.col("url").alias("source"))).withColumnRenamed("cluster", "k")
+    put(spark, src, [(1, "a", dt.datetime(2024, 1, 5), 1), (2, "a", dt.datetime(2024, 1, 5), 1)])
+    jobs.recomputed(read(spark, src), ["k"], count, out, cp, 8).awaitTermination()
     put(spark, src, [(1, "b", dt.datetime(2023, 12, 5), 2)])
-    jobs.recomputed(read(spark, src), count, out, cp).awaitTermination()
-    assert [(r["cluster"], r["reports"], r["media"], str(r["first_day"])) for r in spark.read.parquet(f"{out}/snapshot").collect()] == [(1, 2, 2, "2023-12-05")]
+    jobs.recomputed(read(spark, src), ["k"], count, out, cp, 8).awaitTermination()
+    got = {(r["k"], r["reports"], r["media"], str(r["first_day"])) for r in jobs.current_snapshot(spark, out, ["k"], 8).collect()}
+    assert got == {(1, 2, 2, "2023-12-05"), (2, 1, 1, "2024-01-05")}
+
+
+def test_buckets_rewrite_what_they_touch_and_survive_a_killed_run(spark, tmp_path):
+    path = f"file://{tmp_path}/table"
+    table = Buckets(spark, path, ["k"], 8)
+    upsert = lambda old, new: new if old is None else old.join(new.select("k"), "k", "left_anti").unionByName(new)
+    rows = lambda ids, v: spark.createDataFrame([(i, v) for i in ids], "k long, v long")
+    table.update(0, rows(range(100), 0), upsert)
+    before = table.current()
+    table.update(1, rows([3], 1), upsert)
+    after = table.current()
+    assert sum(before[b] != after[b] for b in before) == 1 and table.read().count() == 100 and table.read().agg(F.sum("v")).first()[0] == 1
+
+    def killed(old, new):
+        raise RuntimeError("killed")
+
+    with pytest.raises(RuntimeError):
+        table.update(2, rows(range(50), 9), killed)
+    rows(range(50), 9).withColumn("_bucket", table.of()).write.partitionBy("_bucket").parquet(f"{path}/data/v=2")  # as if killed after the data
+    assert table.read().agg(F.sum("v")).first()[0] == 1
+    table.update(2, rows(range(50), 2), upsert)
+    table.update(2, rows(range(50), 2), upsert)  # the same batch again
+    assert table.read().count() == 100 and table.read().agg(F.sum("v")).first()[0] == 100
+    table.update(3, rows([], 2), upsert)
+    table.vacuum()
+    assert table.versions() == [2, 3] and table.read().count() == 100
+    assert Buckets(spark, f"{path}-none", ["k"], 8).read() is None
+
+
+def test_classified_once_without_reading_what_is_stored(spark, tmp_path):
+    src, out, cp = (f"file://{tmp_path}/{n}" for n in ("src", "out", "cp"))
+    label = lambda df: df.withColumn("label", F.lit("x"))
+    put(spark, src, [(1, "a", dt.datetime(2024, 1, 5), 1), (2, "b", dt.datetime(2024, 1, 5), 2), (3, "a", dt.datetime(2024, 1, 5), 3)])
+    jobs.classify_stream(read(spark, src), label, out, cp).awaitTermination()
+    put(spark, src, [(4, "a", dt.datetime(2024, 1, 6), 4), (5, "c", dt.datetime(2024, 1, 6), 5)])
+    jobs.classify_stream(read(spark, src), label, out, cp).awaitTermination()
+    assert sorted(r["url"] for r in spark.read.parquet(out).collect()) == ["a", "b", "c"]
 
 
 def test_daily_counts_and_first_urls(spark, tmp_path):
