@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as T
+from ..functions.numeric import rounded
 from . import entities as E
 from .upsert import without_stale
 
@@ -86,14 +87,14 @@ def cluster_events(events: DataFrame, clusters: DataFrame) -> DataFrame:
     return by.select("r.*", *[text(c).alias(c) for c in texts], F.transform("m", lambda x: x["id"]).alias("members"), F.coalesce("canonical_event_id", "r.event_id").alias("canonical_event_id"), F.size("m").alias("cluster_size"))
 
 
-def _hits_by(text: Column, rules: LinkRules, industry: Column) -> Column:
-    """How many of an industry's keywords a text holds."""
+def _words_by(text: Column, rules: LinkRules, industry: Column) -> Column:
+    """An industry's keywords that a text holds, in their order."""
     cases = None
     for name, words in rules.keywords.items():
         if name != rules.other:
-            n = T.n_hits(text, words)
-            cases = F.when(industry == name, n) if cases is None else cases.when(industry == name, n)
-    rest = T.n_hits(text, rules.keywords[rules.other])
+            found = T.hits(text, words)
+            cases = F.when(industry == name, found) if cases is None else cases.when(industry == name, found)
+    rest = T.hits(text, rules.keywords[rules.other])
     return rest if cases is None else cases.otherwise(rest)
 
 
@@ -106,16 +107,16 @@ def event_features(events: DataFrame, entities: DataFrame, rules: LinkRules) ->
     names = E.held(events, entities.select("name"))
     tags = E.held(events, entities.select(F.explode("tags").alias("name")))
     mapped = F.coalesce(*[F.when(F.col("industry") == k, v) for k, v in rules.by_name.items()], F.col("industry"))
-    out = events.withColumns({"symbol": symbol, "specific": symbol.rlike(rules.specific), "names": names(body), "found_tags": tags(whole), "event_hits": _hits_by(whole, rules, F.col("industry")), "title_hits": _hits_by(t("title"), rules, F.col("industry")), "wanted": mapped})
+    out = events.withColumns({"symbol": symbol, "specific": symbol.rlike(rules.specific), "names": names(body), "found_tags": tags(whole), "event_words": _words_by(whole, rules, F.col("industry")), "title_words": _words_by(t("title"), rules, F.col("industry")), "wanted": mapped})
     generic = ~F.col("specific") | F.col("symbol").isin(*rules.generic_symbols) if rules.generic_symbols else ~F.col("specific")
-    return out.withColumn("generic", generic)
+    return out.withColumns({"generic": generic, "event_hits": F.size("event_words"), "title_hits": F.size("title_words")})
 
 
 def entity_features(entities: DataFrame, rules: LinkRules) -> DataFrame:
     """A row for each entity and event industry: entity_hits, and the entity's category."""
-    per = F.array(*[F.struct(F.lit(k).alias("event_industry"), T.n_hits(F.col("text"), ws).alias("entity_hits")) for k, ws in rules.keywords.items()])
+    per = F.array(*[F.struct(F.lit(k).alias("event_industry"), T.hits(F.col("text"), ws).alias("entity_words")) for k, ws in rules.keywords.items()])
     out = entities.withColumn("category", category(F.col("industry"), rules)).withColumn("x", F.explode(per))
-    return out.select("entity", "place", "code", F.col("name").alias("entity_name"), "category", "tags", "x.event_industry", "x.entity_hits")
+    return out.select("entity", "place", "code", F.col("name").alias("entity_name"), "category", "tags", "x.event_industry", "x.entity_words", F.size("x.entity_words").alias("entity_hits"))
 
 
 def scored(pairs: DataFrame) -> DataFrame:
@@ -149,7 +150,7 @@ def candidates(events: DataFrame, entities: DataFrame, rules: LinkRules, top_k:
     """
     industry = F.when(F.col("industry").isin(*rules.keywords), F.col("industry")).otherwise(rules.other)
     ev = event_features(events, entities, rules).withColumn("event_industry", industry).withColumn("level", F.least("event_hits", F.lit(6)))
-    ev = cut(ev.select("event_id", "members", "title", "symbol", "industry", "specific", "generic", "names", "found_tags", "event_hits", "title_hits", "wanted", "event_industry", "level"))
+    ev = cut(ev.select("event_id", "members", "title", "symbol", "industry", "specific", "generic", "names", "found_tags", "event_words", "title_words", "event_hits", "title_hits", "wanted", "event_industry", "level"))
     of = entity_features(entities, rules)
     one = of.filter(F.col("event_industry") == rules.other)
     slim = ev.select("event_id", "symbol", "names", "found_tags", "wanted", "event_industry", "level", "generic")
@@ -169,6 +170,7 @@ def candidates(events: DataFrame, entities: DataFrame, rules: LinkRules, top_k:
     return both.select(
         "event_id", "entity", "place", (F.col("category") == F.col("wanted")).cast("int").alias("industry_match"), ((F.substring_index("code", ".", 1) == F.col("symbol")) & (F.col("symbol") != "")).cast("int").alias("symbol_match"),
         F.array_contains("names", F.col("entity_name")).cast("int").alias("name_match"), within(F.col("title")).alias("title_match"), "event_hits", "entity_hits",
+        "event_words", "entity_words", "title_words", F.filter("tags", lambda x: F.array_contains("found_tags", x)).alias("tag_words"),
         F.size(F.filter("tags", lambda x: F.array_contains("found_tags", x))).alias("tag_hits"), "title_hits", "specific", "generic", (F.col("generic") & (F.col("industry") == rules.other)).alias("generic_other"), "members",
     )
 
@@ -189,10 +191,42 @@ def best_links(pairs: DataFrame, rules: LinkRules, top_k: int = 3, min_score: fl
     return ranked.filter(F.col("rank") <= limit).withColumn("link_type", kind).drop("first_direct")
 
 
+#: Part scores of a link.
+PARTS = ("text_similarity_score", "concept_match_score", "title_keyword_score", "industry_match_score", "chain_position_score", "event_match_score", "direct_symbol_score", "direct_name_score")
+
+
+def evidence(pairs: DataFrame) -> DataFrame:
+    """Candidate pairs with the eight part scores, 4 digits, and ``evidence``: the words and matches that they come from, as JSON."""
+    capped = lambda c, n: rounded(F.least(F.col(c) / n, F.lit(1.0)), 4)
+    one = lambda c: (F.col(c) > 0).cast("double")
+    chain = F.when(F.col("name_match") > 0, 1.0).when(F.col("symbol_match") > 0, 0.9).when((F.col("entity_hits") > 0) | (F.col("tag_hits") > 0), 0.7).otherwise(0.2)
+    together = rounded(F.least((F.col("event_hits") + F.col("entity_hits")) / 6, F.lit(1.0)), 4)
+    parts = (capped("entity_hits", 3), capped("tag_hits", 2), capped("title_hits", 2), one("industry_match"), chain, together, one("symbol_match"), one("name_match"))
+    flag = lambda c, name: (F.col(c) > 0).alias(name)
+    told = F.to_json(F.struct(
+        F.col("entity_words").alias("matched_keywords"), F.col("tag_words").alias("matched_concepts"), F.col("title_words").alias("title_keyword_hits"), flag("industry_match", "industry_match"), F.col("event_words").alias("event_keywords"),
+        flag("symbol_match", "direct_symbol_match"), flag("name_match", "direct_name_match"), flag("title_match", "title_name_match"), F.col("generic").alias("generic_event"), F.col("generic_other").alias("generic_other_event"), F.col("specific").alias("specific_symbol_event"),
+    ))
+    return pairs.withColumns(dict(zip(PARTS, parts)) | {"evidence": told})
+
+
 def links(events: DataFrame, entities: DataFrame, rules: LinkRules, top_k: int = 3, min_score: float = 0.35, cut=lambda df: df) -> DataFrame:
-    """Links of every member of every event: (member, entity, score, rank, link_type, event_id)."""
-    best = best_links(candidates(events, entities, rules, top_k, cut), rules, top_k, min_score)
-    return best.select(F.explode("members").alias("member"), "entity", "score", "rank", "link_type", "event_id")
+    """Links of every member of every event: (member, entity, score, rank, link_type, event_id), the part scores and the evidence."""
+    best = evidence(best_links(candidates(events, entities, rules, top_k, cut), rules, top_k, min_score))
+    return best.select(F.explode("members").alias("member"), "entity", "score", "rank", "link_type", "event_id", *PARTS, "evidence")
+
+
+def symbol_of(symbol: Column, content: Column) -> Column:
+    """The six digits that an event's document names: those its symbol begins with, else those after the code's label in the text, else null."""
+    first = lambda text, pattern: F.nullif(F.regexp_extract(F.coalesce(text, F.lit("")), pattern, 1), F.lit(""))
+    return F.coalesce(first(symbol, "^([0-9]{6})"), first(content, "证券代码[:：]\\s*([0-9]{6})"))
+
+
+def event_scan(events: DataFrame, candidates: DataFrame, documents: DataFrame) -> DataFrame:
+    """Structured events (candidate_id, ...) with raw_title, raw_content and raw_symbol of the document that their candidate (id, raw_document_id) is from."""
+    raw = documents.select(F.col("id").alias("raw_document_id"), F.col("title").alias("raw_title"), F.col("content").alias("raw_content"), symbol_of(F.col("symbol_or_subject"), F.col("content")).alias("raw_symbol"))
+    of = candidates.select(F.col("id").alias("candidate_id"), "raw_document_id")
+    return events.join(of, "candidate_id").join(raw, "raw_document_id").select(*events.columns, "raw_title", "raw_content", "raw_symbol")
 
 
 def refreshed(old: DataFrame, new: DataFrame) -> DataFrame:

@@ -114,6 +114,25 @@ def link_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("member", "entity", "score", F.col("rank").cast("long"), "link_type")
 
 
+def link_evidence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Part scores and evidence of all links of ``link_events``."""
+    found = linking.links(_link_events(spark, sf_dir), _companies(spark, sf_dir), LINKS, 5, cut=e._cut(spark))
+    told = lambda k: F.get_json_object("evidence", f"$.{k}").alias(k)
+    concepts = F.array_join(F.array_sort(F.from_json(F.get_json_object("evidence", "$.matched_concepts"), "array<string>")), ",").alias("matched_concepts")
+    return found.select("member", "entity", *linking.PARTS, concepts, *map(told, ("matched_keywords", "title_keyword_hits", "event_keywords", "direct_symbol_match", "title_name_match", "generic_event", "generic_other_event")))
+
+
+def event_symbols(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as events with the symbols that their own fields and texts name."""
+    d = e.documents(spark, sf_dir)
+    i = F.col("doc_id")
+    code = F.lpad((i % 991).cast("string"), 6, "0")
+    docs = d.select(i.alias("id"), "title", F.when(i % 3 == 0, F.concat("content", F.lit("证券代码："), code)).when(i % 3 == 1, F.concat(F.lit("证券代码:  "), code, "content")).otherwise(F.col("content")).alias("content"), F.when(i % 4 == 0, F.concat(code, F.lit(".SZ"))).when(i % 4 == 1, "policy").alias("symbol_or_subject"))
+    candidates = d.select((i + 7).alias("id"), i.alias("raw_document_id"))
+    events = d.filter("lang IS NOT NULL").select(F.concat(F.lit("E"), i).alias("event_id"), (i + 7).alias("candidate_id"))
+    return linking.event_scan(events, candidates, docs).select("event_id", "raw_symbol", F.length("raw_content").cast("long").alias("raw_length"))
+
+
 def cluster_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents of one language and day of three as one event each: joined texts, the longest as representative."""
     d = e.documents(spark, sf_dir).filter("doc_id % 2 = 0 AND lang IS NOT NULL")
@@ -154,7 +173,7 @@ def label_stability(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.label_stability(d.withColumn("ref", F.substring("dedup_key", 1, 2)), "ref", ["subject_type", "duration_type"])
 
 
-QUERIES = {f.__name__: f for f in (candidate_rows, structured_rows, structured_events, phrases_and_tokens, enriched_events, enriched_backfill, link_events, cluster_events, stale_links, canonical_members, validation_checks, label_stability)}
+QUERIES = {f.__name__: f for f in (candidate_rows, structured_rows, structured_events, phrases_and_tokens, enriched_events, enriched_backfill, link_events, link_evidence, event_symbols, cluster_events, stale_links, canonical_members, validation_checks, label_stability)}
 
 
 def _label(text: str, pairs, default: str) -> str:
@@ -254,8 +273,16 @@ SELECT * EXCLUDE (raw_subtype), CASE WHEN chain_stages = '' THEN 0 ELSE len(stri
   sw_l1_industry = 'other' OR industry_count = 0 OR shock_source_type = 'other' OR raw_subtype IN ({generic}) OR classification_confidence < 0.5 AS needs_model FROM b5"""
 
 
-def _link_sql() -> str:
+def _link_sql(evidence: bool = False) -> str:
     r = LINKS
+    words = lambda text: f"list_filter(kws, lambda k: contains({text}, k))"
+    lists = f", {words('txt')} AS nw, {words('whole')} AS ew, {words('title')} AS tw, list_sort(list_filter(tags, lambda x: contains(whole, x))) AS cw" if evidence else ""
+    part = lambda x: f"floor({x} * 1e4 + 0.5) / 1e4"
+    kept = (
+        f"{part('sim')} AS text_similarity_score, {part('tg')} AS concept_match_score, {part('tt')} AS title_keyword_score, CAST(im AS DOUBLE) AS industry_match_score, ch AS chain_position_score, {part('tog')} AS event_match_score, "
+        "CAST(sm AS DOUBLE) AS direct_symbol_score, CAST(nmm AS DOUBLE) AS direct_name_score, array_to_string(cw, ',') AS matched_concepts, CAST(to_json(nw) AS VARCHAR) AS matched_keywords, CAST(to_json(tw) AS VARCHAR) AS title_keyword_hits, "
+        "CAST(to_json(ew) AS VARCHAR) AS event_keywords, CAST(sm > 0 AS VARCHAR) AS direct_symbol_match, CAST(tm > 0 AS VARCHAR) AS title_name_match, CAST(gen AS VARCHAR) AS generic_event, CAST(go AS VARCHAR) AS generic_other_event"
+    ) if evidence else "score, rank, CASE WHEN direct THEN 'direct_match' WHEN im > 0 THEN 'industry_match' ELSE 'candidate' END AS link_type"
     kw = "CASE ind " + " ".join(f"WHEN {_q(k)} THEN {_list(v)}" for k, v in r.keywords.items() if k != r.other) + f" ELSE {_list(r.keywords[r.other])} END"
     cat = "CASE {0} " + " ".join(f"WHEN {_q(k)} THEN {_q(v)}" for k, v in r.categories.items()) + " END"
     first = "CASE WHEN contains(t, ' ') THEN split_part(t, ' ', 1) ELSE t END"
@@ -269,14 +296,14 @@ co0 AS (SELECT s_suppkey AS entity, lpad(CAST(s_suppkey AS VARCHAR), 6, '0') AS
 co1 AS (SELECT *, CASE WHEN regexp_matches({first}, '^[A-Za-z][0-9]{{2}}') THEN substr({first}, 1, 3) ELSE {first} END AS k FROM co0),
 co AS (SELECT *, CASE WHEN t = '' THEN 'other' WHEN t IN ({', '.join(map(_q, r.labels))}) THEN t ELSE coalesce({cat.format('k')}, {cat.format('substr(k, 1, 2)')}, {cat.format('substr(k, 1, 1)')}, 'other') END AS category FROM co1),
 p0 AS (SELECT doc_id, entity, gen, spec, ind, CASE WHEN category = ind THEN 1 ELSE 0 END AS im, CASE WHEN sym <> '' AND code = sym THEN 1 ELSE 0 END AS sm, CASE WHEN name <> '' AND contains(body, name) THEN 1 ELSE 0 END AS nmm, CASE WHEN name <> '' AND contains(title, name) THEN 1 ELSE 0 END AS tm,
-  len(list_filter(kws, lambda k: contains(txt, k))) AS nh, len(list_filter(kws, lambda k: contains(whole, k))) AS eh, len(list_filter(kws, lambda k: contains(title, k))) AS ti, len(list_filter(tags, lambda x: contains(whole, x))) AS th FROM e2 CROSS JOIN co),
+  len(list_filter(kws, lambda k: contains(txt, k))) AS nh, len(list_filter(kws, lambda k: contains(whole, k))) AS eh, len(list_filter(kws, lambda k: contains(title, k))) AS ti, len(list_filter(tags, lambda x: contains(whole, x))) AS th{lists} FROM e2 CROSS JOIN co),
 p AS (SELECT *, sm > 0 OR nmm > 0 AS direct, gen AND ind = 'other' AS go, least(CAST(nh AS DOUBLE) / 3, CAST(1 AS DOUBLE)) AS sim, least(CAST(th AS DOUBLE) / 2, CAST(1 AS DOUBLE)) AS tg, least(CAST(ti AS DOUBLE) / 2, CAST(1 AS DOUBLE)) AS tt, least(CAST(eh + nh AS DOUBLE) / 6, CAST(1 AS DOUBLE)) AS tog,
   CAST(CASE WHEN nmm > 0 THEN 1.0 WHEN sm > 0 THEN 0.9 WHEN nh > 0 OR th > 0 THEN 0.7 ELSE 0.2 END AS DOUBLE) AS ch FROM p0),
 q AS (SELECT *, floor(CASE WHEN NOT direct AND (spec OR gen AND (im = 0 OR (eh = 0 AND nh = 0 AND th = 0 AND ti = 0) OR (go AND th = 0 AND nh < 2 AND tm = 0))) THEN 0::DOUBLE
   WHEN gen AND NOT direct THEN 0.24::DOUBLE * im + 0.18::DOUBLE * sim + 0.18::DOUBLE * tg + 0.10::DOUBLE * tt + 0.14::DOUBLE * ch + 0.10::DOUBLE * tog
   ELSE 0.28::DOUBLE * im + 0.18::DOUBLE * sim + 0.10::DOUBLE * tg + 0.08::DOUBLE * tt + 0.20::DOUBLE * ch + 0.14::DOUBLE * tog + 0.06::DOUBLE * sm + 0.04::DOUBLE * nmm END * 1e4 + 0.5) / 1e4 AS score FROM p),
 w AS (SELECT *, row_number() OVER o AS rank, first_value(direct) OVER o AS fd FROM q WHERE score >= CASE WHEN go THEN 0.45 ELSE 0.35 END WINDOW o AS (PARTITION BY doc_id ORDER BY score DESC, entity))
-SELECT doc_id AS member, entity, score, rank, CASE WHEN direct THEN 'direct_match' WHEN im > 0 THEN 'industry_match' ELSE 'candidate' END AS link_type FROM w WHERE rank <= CASE WHEN NOT gen OR fd THEN 5 WHEN go THEN 2 ELSE 4 END"""
+SELECT doc_id AS member, entity, {kept} FROM w WHERE rank <= CASE WHEN NOT gen OR fd THEN 5 WHEN go THEN 2 ELSE 4 END"""
 
 
 _PHRASE = lambda x, suffixes: "regexp_replace(" + _nested(f"regexp_replace({x}, '\\s+', '', 'g')", suffixes) + ", '^[｜|:：，,。. ]+|[｜|:：，,。. ]+$', '', 'g')"
@@ -300,6 +327,10 @@ ORACLE_SQL = {
     "enriched_events": _enrich_sql(False),
     "enriched_backfill": _enrich_sql(True),
     "link_events": _link_sql(),
+    "link_evidence": _link_sql(True),
+    "event_symbols": f"""WITH {e._DOCS}, c AS (SELECT doc_id, lpad(CAST(doc_id % 991 AS VARCHAR), 6, '0') AS code, content, lang FROM docs),
+x AS (SELECT doc_id, CASE doc_id % 3 WHEN 0 THEN content || '证券代码：' || code WHEN 1 THEN '证券代码:  ' || code || content ELSE content END AS content, CASE doc_id % 4 WHEN 0 THEN code || '.SZ' WHEN 1 THEN 'policy' END AS symbol FROM c WHERE lang IS NOT NULL)
+SELECT 'E' || doc_id AS event_id, coalesce(nullif(regexp_extract(symbol, '^([0-9]{{6}})', 1), ''), nullif(regexp_extract(content, '证券代码[:：]\\s*([0-9]{{6}})', 1), '')) AS raw_symbol, length(content) AS raw_length FROM x""",
     "cluster_events": f"""WITH {e._DOCS}, ev AS (SELECT doc_id AS id, 'E' || doc_id AS event_id, lang AS industry, title, content, source AS symbol, substr(title, 1, 5) AS summary, CASE WHEN doc_id % 4 = 0 THEN 'C' || (doc_id % 9 + doc_id // 300 * 9) END AS c, doc_id % 4 = 0 AND doc_id % 36 = 8 AS rep FROM docs WHERE doc_id % 2 = 0 AND lang IS NOT NULL),
 g AS (SELECT coalesce(c, event_id) AS canonical_event_id, list({{'id': id, 'title': title, 'content': content, 'symbol': symbol, 'summary': summary}} ORDER BY id) AS m, arg_min({{'e': event_id, 'i': industry}}, CASE WHEN rep THEN id ELSE id + 1000000000 END) AS r FROM ev GROUP BY 1),
 j AS (SELECT canonical_event_id, r.e AS event_id, r.i AS industry, list_transform(m, lambda x: x.title) AS t, list_transform(m, lambda x: x.content) AS ct, list_transform(m, lambda x: x.symbol) AS sy, list_transform(m, lambda x: x.summary) AS su, list_transform(m, lambda x: x.id) AS members, len(m) AS cluster_size FROM g)
