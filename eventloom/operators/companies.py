@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as T
+from .upsert import first_wins
 
 # Prefixes of listing codes, industries by words, provinces.
 EXCHANGES = {
@@ -152,6 +153,6 @@ def first_filled_of(base: DataFrame, key: str, sources: dict[str, DataFrame], fi
     """``base``'s keys with each field from the first place that has it: ``fields`` name to ["source.column", ...], base itself as "base"."""
     joined = base.alias("base")
     for name, df in sources.items():
-        joined = joined.join(df.dropDuplicates([key]).withColumnRenamed(key, f"_{name}").alias(name), F.col(f"base.{key}") == F.col(f"_{name}"), "left")
+        joined = joined.join(first_wins(df, [key], key).withColumnRenamed(key, f"_{name}").alias(name), F.col(f"base.{key}") == F.col(f"_{name}"), "left")
     pick = lambda places: F.coalesce(*[F.nullif(F.trim(F.col(p).cast("string")), F.lit("")) for p in places], F.lit(""))
     return joined.select(F.col(f"base.{key}"), *[pick(places).alias(f) for f, places in fields.items()])

@@ -47,11 +47,11 @@ def event_samples(links: DataFrame, features: DataFrame, labels: DataFrame, min_
 
     links (event_id, entity, event_date, score, group).  Of several links of
     a pair the lowest score stays, as rows are written by falling score and
-    later ones replace earlier ones.
+    later ones replace earlier ones; of equal scores the same row at every run.
     """
     scored = links.filter(F.col("score") >= min_score)
     breadth = scored.groupBy("event_id").agg(F.countDistinct("entity").alias("affected_entities"), F.countDistinct(F.when(F.col("group") != "", F.col("group"))).alias("affected_groups"))
-    last = Window.partitionBy("event_id", "entity").orderBy(F.asc("score"))
+    last = Window.partitionBy("event_id", "entity").orderBy(F.asc("score"), F.xxhash64(*scored.columns))
     one = scored.withColumn("_n", F.row_number().over(last)).filter("_n = 1").drop("_n")
     rank = F.row_number().over(Window.partitionBy("event_id").orderBy(F.desc("score"), "entity"))
     base = one.withColumn("relation_rank", rank).join(breadth, "event_id", "left")

@@ -2,22 +2,27 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .tables import fresh, written
 
 
 def last_wins(rows: DataFrame, keys: list[str], order: str) -> DataFrame:
-    """The last row of each key by ``order``."""
-    w = Window.partitionBy(*keys).orderBy(F.desc(order))
-    return rows.withColumn("_n", F.row_number().over(w)).filter("_n = 1").drop("_n")
+    """The last row of each key by ``order``; of equal ones the same at every run, by their values' hash."""
+    return _one(rows, keys, F.desc(order))
 
 
 def first_wins(rows: DataFrame, keys: list[str], order: str) -> DataFrame:
-    """The first row of each key by ``order``."""
-    w = Window.partitionBy(*keys).orderBy(order)
-    return rows.withColumn("_n", F.row_number().over(w)).filter("_n = 1").drop("_n")
+    """The first row of each key by ``order``; of equal ones the same at every run, by their values' hash."""
+    return _one(rows, keys, F.asc(order))
+
+
+def _one(rows: DataFrame, keys: list[str], order: Column) -> DataFrame:
+    n = fresh(rows, "n")
+    hashed = [c for c, kind in rows.dtypes if not kind.startswith(("map", "variant"))]
+    w = Window.partitionBy(*keys).orderBy(order, F.xxhash64(*hashed))
+    return rows.withColumn(n, F.row_number().over(w)).filter(F.col(n) == 1).drop(n)
 
 
 def upserted(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:

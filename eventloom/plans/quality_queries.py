@@ -155,7 +155,7 @@ def wrong_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def link_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Coverage and kinds of order links."""
-    links = b.links(spark, sf_dir).filter("score >= 0.9").withColumn("link_type", F.when(F.col("score") >= 0.96, "direct").otherwise("candidate"))
+    links = b.links(spark, sf_dir).withColumn("link_type", F.when(F.col("score") >= 0.96, "direct").otherwise("candidate"))
     return quality.link_quality(links, b.table(spark, sf_dir, "orders"))
 
 
@@ -261,7 +261,7 @@ SELECT *, CASE WHEN source = 'src3' THEN 'keep_fulltext_backfill' WHEN rows < 30
     "field_completeness": "SELECT 'doc_id' AS field, 1.0 AS share UNION ALL SELECT 'text', avg(CAST(coalesce(trim(text) <> '', false) AS INT)) FROM documents UNION ALL SELECT 'lang', avg(CAST(coalesce(trim(lang) <> '', false) AS INT)) FROM documents UNION ALL SELECT 'missing', 0",
     "review_accuracy": f"WITH {_REVIEWS} SELECT count(*) FILTER (manual <> '' AND manual = pred) AS correct, count(*) FILTER (manual <> '') AS reviewed, count(*) FILTER (manual <> '' AND manual = pred) / count(*) FILTER (manual <> '') AS share FROM r",
     "wrong_reasons": f"WITH {_REVIEWS} SELECT coalesce(nullif(comment, ''), nullif(reason, ''), 'none') AS reason, count(*) AS n FROM r WHERE manual <> '' AND manual <> pred GROUP BY 1 ORDER BY n DESC, reason LIMIT 8",
-    "link_quality": f"""WITH {b.LINKS_SQL}, l AS (SELECT * FROM links WHERE score >= 0.9), t AS (SELECT count(*) AS n, count(DISTINCT event_id) AS c, avg(score) AS a, (SELECT count(*) FROM orders) AS e FROM l)
+    "link_quality": f"""WITH {b.LINKS_SQL}, l AS (SELECT * FROM links), t AS (SELECT count(*) AS n, count(DISTINCT event_id) AS c, avg(score) AS a, (SELECT count(*) FROM orders) AS e FROM l)
 SELECT 'events' AS metric, CAST(e AS DOUBLE) AS value FROM t UNION ALL SELECT 'links', n FROM t UNION ALL SELECT 'covered_events', c FROM t UNION ALL SELECT 'coverage_pct', round(c * 100 / e, 2) FROM t UNION ALL SELECT 'mean_score', round(a, 4) FROM t
 UNION ALL SELECT 'type:' || CASE WHEN score >= 0.96 THEN 'direct' ELSE 'candidate' END, count(*) FROM l GROUP BY 1""",
     "count_changes": "SELECT 'orders' AS name, count(*) AS rows, count(*) - count(*) FILTER (o_orderkey % 2 = 0) AS change FROM orders UNION ALL SELECT 'customer', count(*), 0 FROM customer UNION ALL SELECT 'events', count(*), NULL FROM events",

@@ -134,8 +134,8 @@ def event_symbols(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def cluster_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents of one language and day of three as one event each: joined texts, the longest as representative."""
-    d = e.documents(spark, sf_dir).filter("doc_id % 2 = 0 AND lang IS NOT NULL")
+    """Documents as events, every fourth in a cluster by its id: joined texts and members of each."""
+    d = e.documents(spark, sf_dir)
     events = d.select(F.col("doc_id").alias("id"), F.concat(F.lit("E"), "doc_id").alias("event_id"), F.col("lang").alias("industry"), "title", "content", "source", F.concat(F.lit(" "), "source").alias("symbol"), F.substring("title", 1, 5).alias("summary"))
     events = events.drop("source")
     key = F.concat(F.lit("C"), (F.col("doc_id") % 9 + F.floor(F.col("doc_id") / 300) * 9).cast("string"))
@@ -331,7 +331,7 @@ ORACLE_SQL = {
     "event_symbols": f"""WITH {e._DOCS}, c AS (SELECT doc_id, lpad(CAST(doc_id % 991 AS VARCHAR), 6, '0') AS code, content, lang FROM docs),
 x AS (SELECT doc_id, CASE doc_id % 3 WHEN 0 THEN content || '证券代码：' || code WHEN 1 THEN '证券代码:  ' || code || content ELSE content END AS content, CASE doc_id % 4 WHEN 0 THEN code || '.SZ' WHEN 1 THEN 'policy' END AS symbol FROM c WHERE lang IS NOT NULL)
 SELECT 'E' || doc_id AS event_id, coalesce(nullif(regexp_extract(symbol, '^([0-9]{{6}})', 1), ''), nullif(regexp_extract(content, '证券代码[:：]\\s*([0-9]{{6}})', 1), '')) AS raw_symbol, length(content) AS raw_length FROM x""",
-    "cluster_events": f"""WITH {e._DOCS}, ev AS (SELECT doc_id AS id, 'E' || doc_id AS event_id, lang AS industry, title, content, source AS symbol, substr(title, 1, 5) AS summary, CASE WHEN doc_id % 4 = 0 THEN 'C' || (doc_id % 9 + doc_id // 300 * 9) END AS c, doc_id % 4 = 0 AND doc_id % 36 = 8 AS rep FROM docs WHERE doc_id % 2 = 0 AND lang IS NOT NULL),
+    "cluster_events": f"""WITH {e._DOCS}, ev AS (SELECT doc_id AS id, 'E' || doc_id AS event_id, lang AS industry, title, content, source AS symbol, substr(title, 1, 5) AS summary, CASE WHEN doc_id % 4 = 0 THEN 'C' || (doc_id % 9 + doc_id // 300 * 9) END AS c, doc_id % 4 = 0 AND doc_id % 36 = 8 AS rep FROM docs),
 g AS (SELECT coalesce(c, event_id) AS canonical_event_id, list({{'id': id, 'title': title, 'content': content, 'symbol': symbol, 'summary': summary}} ORDER BY id) AS m, arg_min({{'e': event_id, 'i': industry}}, CASE WHEN rep THEN id ELSE id + 1000000000 END) AS r FROM ev GROUP BY 1),
 j AS (SELECT canonical_event_id, r.e AS event_id, r.i AS industry, list_transform(m, lambda x: x.title) AS t, list_transform(m, lambda x: x.content) AS ct, list_transform(m, lambda x: x.symbol) AS sy, list_transform(m, lambda x: x.summary) AS su, list_transform(m, lambda x: x.id) AS members, len(m) AS cluster_size FROM g)
 SELECT canonical_event_id, event_id, industry, """ + ", ".join(f"{w}(array_to_string(list_filter(list_filter({c}, lambda v, i: list_position({c}, v) = i), lambda x: x <> ''), ' | ')) AS {n}" for w, c, n in (("md5", "t", "title"), ("md5", "ct", "content"), ("", "sy", "symbol"), ("", "su", "summary"))) + ", array_to_string(members, ',') AS members, cluster_size FROM j",
