@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import quality, scans
-from ..sources import variants
+from ..sources import paged, variants
 from . import bindings as b
 from . import event_queries as e
 from .event_queries import _q
@@ -82,7 +84,18 @@ def search_results(spark: SparkSession, sf_dir: str) -> DataFrame:
     return variants.search_items(pages.select("page", payload.alias("payload")), "payload", base="https://example.org")
 
 
-QUERIES = {f.__name__: f for f in (source_progress, active_companies, sentiment_rows, model_reasons, labelled_samples, search_results)}
+def paged_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents stored as pages, newest first, and read back for a range of days; suspensions are marked."""
+    d = e.documents(spark, sf_dir)
+    i = F.col("doc_id")
+    rows = d.select(F.concat(F.when(i % 7 == 0, "复牌 ").otherwise(""), F.lit("T"), i).alias("title"), F.md5(F.coalesce("content", F.lit("")).cast("binary")).alias("content"), F.date_format("publish_time", "yyyy-MM-dd HH:mm:ss").alias("publish_time"), F.concat(F.lit("u"), i).alias("url"), F.col("source").alias("category"))
+    path = f"{b.shared_folder(spark)}/pages-{uuid.uuid4().hex}"
+    paged.write_pages(rows, path, 50, [(-F.unix_timestamp("publish_time")).alias("t"), F.col("url")])
+    found = paged.history(spark, path, "2024-03-01", "2024-05-31")
+    return found.select("title", "content", "publish_time", "url", scans.suspension(F.col("title"), F.lit("")).alias("suspended"))
+
+
+QUERIES = {f.__name__: f for f in (source_progress, active_companies, sentiment_rows, model_reasons, labelled_samples, search_results, paged_history)}
 
 
 def _progress_sql() -> str:
@@ -107,6 +120,8 @@ SELECT ts_code, company_name, industry_l1 FROM c WHERE is_active AND (industry_l
     "labelled_samples": """WITH t AS (SELECT l_orderkey AS k, l_suppkey AS s, CAST(CAST(l_discount - 0.05 AS DECIMAL(6,2)) AS DOUBLE) AS w1, CASE WHEN l_orderkey % 4 <> 0 THEN CAST(CAST(l_tax - 0.04 AS DECIMAL(6,2)) AS DOUBLE) END AS w3, strftime(l_shipdate, '%Y-%m-%d') AS day,
   CASE WHEN l_orderkey % 2 = 0 THEN CASE WHEN l_orderkey % 3 = 0 THEN 'api|file' ELSE 'api' END WHEN l_orderkey % 3 = 0 THEN 'file' ELSE 'event_study' END AS origin FROM lineitem WHERE l_orderkey % 9 <> 0 AND l_suppkey % 17 <> 0 QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_suppkey ORDER BY l_linenumber DESC, w1 DESC, w3 DESC NULLS LAST, day DESC, origin DESC) = 1)
 SELECT DISTINCT l_orderkey AS structured_event_id, 'S' || l_suppkey AS ts_code, w1 AS label_car_w1, w3 AS label_car_w3, day AS event_trade_date, origin AS label_source, w1 > 0 AS up_w1, w3 > 0 AS up_w3 FROM lineitem LEFT JOIN t ON k = l_orderkey AND s = l_suppkey""",
+    "paged_history": f"""WITH {e._DOCS} SELECT CASE WHEN doc_id % 7 = 0 THEN '复牌 ' ELSE '' END || 'T' || doc_id AS title, md5(coalesce(content, '')) AS content, strftime(publish_time, '%Y-%m-%d %H:%M:%S') AS publish_time, 'u' || doc_id AS url, doc_id % 7 = 0 AS suspended
+  FROM docs WHERE CAST(publish_time AS DATE) BETWEEN DATE '2024-03-01' AND DATE '2024-05-31'""",
     "search_results": """SELECT doc_id // 10 AS page, 'T ' || doc_id AS title, CASE doc_id % 3 WHEN 0 THEN '2024-01-02' WHEN 1 THEN strftime(make_timestamp((1704067200 + doc_id % 365 * 86400) * 1000000), '%Y-%m-%d %H:%M:%S') ELSE '2024-03-04' END AS publish_time,
   'body ' || doc_id AS content, 'https://example.org/u/' || doc_id AS url FROM documents WHERE doc_id % 5 <> 4 AND doc_id // 10 % 9 <> 8""",
 }
