@@ -28,3 +28,23 @@ def test_stages(spark, sf, tmp_path):
     assert held and ids[3] == ids[2] - held
     assert {r["doc_id"]: len(r["ids"]) for r in seen[-1][2].collect()} == {r["doc_id"]: r["n_tokens"] for r in p.run(spark, sf).collect()}
     assert tokens.count() == len(ids[3])
+
+
+def test_stages_on_empty_null_and_repeated_input(spark, sf, tmp_path):
+    import corpus_pipeline as p
+
+    columns = "doc_id long, text string, lang string, source string, n_chars long"
+    long = "the same long passage of words that stands in two documents " * 6
+    some = [(1, None, None, None, None), (2, "", "en", "s", 0), (3, " \n\n", "en", "s", 3), (4, long, "en", "s", 9), (5, long, "en", "s", 9), (5, long, "en", "s", 9), (None, "text without an id", "en", None, None), (7, "12345 67", "en", "s", 8), (8, "ein kurzer Text ohne Kopie", "de", "s", 1)]
+    for k, rows in enumerate(([], [(1, None, None, None, None)], some)):
+        docs = spark.createDataFrame(rows, columns)
+        for name, stage in p.STAGES:
+            out = f"file://{tmp_path}/{k}-{name}"
+            stage(spark, docs, sf).write.parquet(out)
+            before, docs = docs, spark.read.parquet(out)
+            assert docs.count() <= before.count()
+            assert name == p.STAGES[-1][0] or docs.columns == before.columns
+        if k < 2:
+            assert docs.count() == 0
+        else:  # no text, blank ones, digits alone and copies are gone, the rest is whole
+            assert {r.doc_id for r in docs.collect()} - {None} == {4, 8}
