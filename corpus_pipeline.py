@@ -1,7 +1,7 @@
 """The corpus pipeline: each stage is written as Parquet and reread as the next one's documents.
 
 Null and empty texts, and those without letters, go in the first stage; an empty
-table gives empty stages; of repeated rows one stays, as near duplicates;
+table gives empty stages; of copies and repeated rows those with the smallest id stay;
 a row without an id passes through like any other.
 """
 

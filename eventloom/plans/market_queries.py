@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.numeric import rounded
-from ..operators import daily, event_study, panel, samples
+from ..operators import budget, daily, event_study, panel, samples
+from ..operators.tables import written
 from . import bindings as b
 
 
@@ -50,7 +53,8 @@ def as_of_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _study(spark: SparkSession, sf_dir: str):
-    days = event_study.common_days(panel.simple_returns(b.prices(spark, sf_dir)), panel.simple_returns(b.market(spark, sf_dir)))
+    # alignment and windows both read the days, which come from all order lines
+    days = written(event_study.common_days(panel.simple_returns(b.prices(spark, sf_dir)), panel.simple_returns(b.market(spark, sf_dir))), "days")
     links = b.links(spark, sf_dir).filter("score >= 0.35").select("event_id", "entity", "event_date").distinct()
     return days, event_study.aligned(links, days)
 
@@ -71,6 +75,16 @@ def abnormal_returns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cars.select("event_id", "entity", *[rounded(F.col(f"car_w{w}"), 5).alias(f"car_w{w}") for w in (1, 3, 5)])
 
 
+def budgeted_returns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The abnormal returns from a study in buckets of entities, of which a first run without time does none and the next the rest."""
+    days, events = _study(spark, sf_dir)
+    events, out, n = written(events, "aligned"), f"{b.shared_folder(spark)}/study-{uuid.uuid4().hex}", 3
+    of = lambda k: event_study.studied(budget.bucket_of(events, "entity", n, k), budget.bucket_of(days, "entity", n, k)).filter("beta IS NOT NULL").select("event_id", "entity", "car_w1", "car_w3", "car_w5")
+    for seconds in (0, 7200):
+        budget.run(spark, of, out, n, seconds)
+    return budget.results(spark, out, n).select("event_id", "entity", *[rounded(F.col(f"car_w{w}"), 5).alias(f"car_w{w}") for w in (1, 3, 5)])
+
+
 def event_study_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Mean and t-statistic of abnormal returns by the order's priority."""
     days, events = _study(spark, sf_dir)
@@ -106,7 +120,7 @@ def market_environment(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (control_samples, panel_previous, panel_rolling, event_samples, as_of_join, event_alignment, market_model, abnormal_returns, event_study_report, cluster_daily, cluster_totals, sentiment_daily, market_environment)
+    for f in (control_samples, panel_previous, panel_rolling, event_samples, as_of_join, event_alignment, market_model, abnormal_returns, budgeted_returns, event_study_report, cluster_daily, cluster_totals, sentiment_daily, market_environment)
 }
 
 
@@ -188,3 +202,4 @@ gr AS (SELECT day, g, avg(r) AS a, count(*) AS n FROM q WHERE r IS NOT NULL GROU
 st AS (SELECT day, {_r('product(1 + m) OVER (ORDER BY day ROWS 4 PRECEDING) - 1')} AS benchmark_return_5d, {_r('stddev_samp(m) OVER (ORDER BY day ROWS 19 PRECEDING)')} AS benchmark_volatility_20d FROM mret WHERE m IS NOT NULL)
 SELECT br.day, up, down, flat, limit_up, limit_down, amount, benchmark_return_5d, benchmark_volatility_20d, {_r('coalesce(down / nullif(up + down, 0), 0.5)')} AS risk_score, hot_groups FROM br LEFT JOIN hot USING (day) LEFT JOIN st USING (day)""",
 }
+ORACLE_SQL["budgeted_returns"] = ORACLE_SQL["abnormal_returns"]

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -64,11 +66,14 @@ def quote_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def series_cache(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Daily counts of event types written as one JSON cache and read back; values that are no numbers are gone."""
+    """Daily counts of event types put into a table of series in two runs and read back; values that are no numbers are gone."""
     ev = b.table(spark, sf_dir, "events")
     by = ev.groupBy(F.col("event_type").alias("key"), F.date_format("ts", "yyyy-MM-dd").alias("day")).agg(F.count(F.lit(1)).alias("n"))
     rows = by.select("key", F.concat(F.lit("s:"), "key").alias("source"), "day", F.when(F.substring("day", 9, 2) == "07", "n/a").otherwise(F.col("n").cast("string")).alias("value"))
-    return files.cached_series(files.series_cache(rows), "body")
+    path = f"{b.shared_folder(spark)}/series-{uuid.uuid4().hex}"
+    files.store_series(spark, path, rows.filter("day < '2024-01-15'").withColumn("value", F.lit("0")))  # an older run, replaced
+    files.store_series(spark, path, rows)
+    return files.stored_series(spark, path)
 
 
 def failure_kinds(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -79,11 +79,38 @@ def cached_series(text: DataFrame, body: str) -> DataFrame:
 
 
 def series_cache(rows: DataFrame) -> DataFrame:
-    """(body): one JSON cache of (key, source, day, value), the counterpart of ``cached_series`` for a bounded set of keys."""
+    """(body): one JSON cache of (key, source, day, value) for an exchange of a few series; ``store_series`` keeps any number."""
     by = rows.groupBy("key").agg(F.struct(F.max("source").alias("source"), F.map_from_entries(F.array_sort(F.collect_list(F.struct("day", "value")))).alias("returns")).alias("s"))
     return by.agg(F.to_json(F.struct(F.map_from_entries(F.collect_list(F.struct("key", "s"))).alias("series"))).alias("body"))
 
 
+SERIES_BUCKETS = 64
+
+
+def store_series(spark: SparkSession, path: str, rows: DataFrame) -> None:
+    """Puts (key, source, day, value) rows into a table of series; days that a series has are replaced, others stay.
+
+    The table lies in buckets by key and day, so a long series is no single row
+    or file, and only buckets with new days are written.
+    """
+    from ..operators import upsert
+    from ..streaming.buckets import Buckets
+
+    keys = ["key", "day"]
+    table = Buckets(spark, path, keys, SERIES_BUCKETS)
+    new = upsert.last_wins(rows.select("key", "source", "day", F.col("value").cast("string").alias("value")), keys, "value")
+    table.update(max(table.versions(), default=-1) + 1, new, lambda old, b: b if old is None else upsert.upserted(old, b, keys))
+    table.vacuum()
+
+
+def stored_series(spark: SparkSession, path: str) -> DataFrame | None:
+    """(key, source, day, value) of a table of series, None if there is none; values that are no numbers are dropped."""
+    from ..streaming.buckets import Buckets
+
+    rows = Buckets(spark, path, ["key", "day"], SERIES_BUCKETS).read()
+    return None if rows is None else rows.select("key", "source", "day", F.col("value").try_cast("double").alias("value")).filter("value IS NOT NULL")
+
+
 def health(text: DataFrame, body: str) -> DataFrame:
     """(source, consecutive_failures, skip_until_ts, last_failure_category, last_error, updated_at) of a JSON health record; malformed ones are empty."""
     kind = "struct<sources:map<string,struct<consecutive_failures:string,skip_until_ts:string,last_failure_category:string,last_error:string,updated_at:string>>>"
