@@ -109,8 +109,8 @@ def _automaton(df: DataFrame, names: list[str]):
             for w in words:
                 machine.add_word(w, w)
             machine.make_automaton()
-            if len(_automata) > 3:
-                _automata.clear()
+            if len(_automata) > 3:  # the last one goes, so that of more parts the first stay for the next batch
+                _automata.popitem()
             _automata[key] = machine
         machine = _automata[key]
         out = [sorted({w for _, w in machine.iter(t.as_py())}) if t.is_valid and words else [] for t in texts]
