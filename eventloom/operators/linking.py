@@ -153,11 +153,10 @@ def candidates(events: DataFrame, entities: DataFrame, rules: LinkRules, top_k:
     ev = cut(ev.select("event_id", "members", "title", "symbol", "industry", "specific", "generic", "names", "found_tags", "event_words", "title_words", "event_hits", "title_hits", "wanted", "event_industry", "level"))
     of = entity_features(entities, rules)
     one = of.filter(F.col("event_industry") == rules.other)
-    slim = ev.select("event_id", "symbol", "names", "found_tags", "wanted", "event_industry", "level", "generic")
+    slim = ev.select("event_id", "symbol", "names", "wanted", "event_industry", "level", "generic", F.array_sort("found_tags").alias("found_tags"), F.least("title_hits", F.lit(2)).alias("title_level"), (F.col("generic") & (F.col("industry") == rules.other)).alias("generic_other"))
     by_symbol = slim.filter("symbol <> ''").join(one.select("entity", F.substring_index("code", ".", 1).alias("symbol")), "symbol").select("event_id", "entity")
     by_name = slim.select("event_id", F.explode("names").alias("entity_name")).join(one.select("entity", "entity_name"), "entity_name").select("event_id", "entity")
-    tagged = slim.filter("generic").select("event_id", F.col("wanted").alias("category"), F.explode("found_tags").alias("tag"))
-    by_tag = tagged.join(one.select("entity", "category", F.explode(F.array_distinct("tags")).alias("tag")), ["category", "tag"]).select("event_id", "entity")
+    by_tag = _by_tag(slim, of, one, top_k)
     level = of.withColumn("level", F.explode(F.sequence(F.lit(0), F.lit(6))))
     least = level.withColumns({"industry_match": F.lit(1), "symbol_match": F.lit(0), "name_match": F.lit(0), "title_match": F.lit(0), "tag_hits": F.lit(0), "title_hits": F.lit(2), "event_hits": F.col("level"), "specific": F.lit(False), "generic": F.lit(True), "generic_other": F.col("event_industry") == rules.other})
     order = Window.partitionBy("category", "event_industry", "level").orderBy(F.desc("score"), "place")
@@ -175,6 +174,27 @@ def candidates(events: DataFrame, entities: DataFrame, rules: LinkRules, top_k:
     )
 
 
+def _by_tag(slim: DataFrame, of: DataFrame, one: DataFrame, top_k: int) -> DataFrame:
+    """(event_id, entity): the best of the entities of an event's category that share a tag with it.
+
+    Events alike in all that such a pair's score depends on are one group, so
+    an entity is scored once for a group, not for each event, and a common tag
+    leaves ``top_k`` pairs for an event.
+    """
+    key = ["wanted", "event_industry", "level", "title_level", "generic_other", "found_tags"]
+    groups = slim.filter(F.col("generic") & (F.size("found_tags") > 0)).select(*key).distinct()
+    shared = one.select("entity", F.col("category").alias("wanted"), F.explode(F.array_distinct("tags")).alias("tag"))
+    pairs = groups.withColumn("tag", F.explode("found_tags")).join(shared, ["wanted", "tag"]).select(*key, "entity").distinct()
+    both = pairs.join(of.select("entity", "event_industry", "place", "tags", "entity_hits"), ["entity", "event_industry"])
+    ranked = both.withColumns({
+        "industry_match": F.lit(1), "symbol_match": F.lit(0), "name_match": F.lit(0), "title_match": F.lit(0), "event_hits": F.col("level"), "title_hits": F.col("title_level"), "specific": F.lit(False), "generic": F.lit(True),
+        "tag_hits": F.size(F.filter("tags", lambda x: F.array_contains("found_tags", x))),
+    })
+    order = Window.partitionBy(*key).orderBy(F.desc("score"), "place")
+    best = scored(ranked).withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= top_k).select(*key, "entity")
+    return slim.filter("generic").join(best, key).select("event_id", "entity")
+
+
 def best_links(pairs: DataFrame, rules: LinkRules, top_k: int = 3, min_score: float = 0.35) -> DataFrame:
     """The best links of each event: entity, score, rank, link_type.
 
