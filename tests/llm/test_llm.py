@@ -731,4 +731,4 @@ def test_language_accuracy(spark, sf):
 
 def test_registered():
     names = sorted(int(re.match(r"op(\d+)_", q)[1]) for q in queries.queries())
-    assert names == list(range(1, 11)) and set(queries.oracle_sql()) <= set(queries.queries())
+    assert names == list(range(1, 14)) and set(queries.oracle_sql()) <= set(queries.queries())
