@@ -1,12 +1,15 @@
 """Event studies: align events to trading days, fit a market model, cumulate abnormal returns.
 
 Days are numbered within each entity over the days that it shares with the
-benchmark.  Alignment takes two range lookups by window functions over the
-union of events and days, so no event meets more than its entity's days.
+benchmark.  Alignment takes two running lookups by window functions over the
+union of events and days, once in each direction, so the work grows with the
+rows of an entity, not with their square.
 """
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -29,12 +32,14 @@ def aligned(events: DataFrame, days: DataFrame, max_gap: int = 7) -> DataFrame:
     """
     marks = events.select("entity", F.col("event_date").alias("day"), "event_id", F.lit(None).cast("int").alias("idx"), F.lit(0).alias("kind"))
     marks = marks.unionByName(days.select("entity", "day", F.lit(None).cast(events.schema["event_id"].dataType).alias("event_id"), "idx", F.lit(1).alias("kind")))
-    order = Window.partitionBy("entity").orderBy("day", "kind")
+    # a frame up to the last row would be read anew for each row, so the next day is the last one of the opposite order
+    forth = Window.partitionBy("entity").orderBy("day", "kind").rowsBetween(Window.unboundedPreceding, 0)
+    back = Window.partitionBy("entity").orderBy(F.desc("day"), F.desc("kind")).rowsBetween(Window.unboundedPreceding, 0)
     point = F.when(F.col("kind") == 1, F.struct("day", "idx"))
     nearest = marks.withColumns(
         {
-            "next": F.first(point, ignorenulls=True).over(order.rowsBetween(0, Window.unboundedFollowing)),
-            "prev": F.last(point, ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, 0)),
+            "next": F.last(point, ignorenulls=True).over(back),
+            "prev": F.last(point, ignorenulls=True).over(forth),
         }
     ).filter("kind = 0")
     near_next = F.datediff("next.day", "day") <= max_gap
@@ -49,20 +54,50 @@ def aligned(events: DataFrame, days: DataFrame, max_gap: int = 7) -> DataFrame:
     return nearest.select("event_id", "entity", F.col("day").alias("event_date"), chosen.day.alias("trade_day"), chosen.idx.alias("idx"), how.alias("alignment"))
 
 
-def _with_model(days: DataFrame, window: tuple[int, int], min_points: int) -> DataFrame:
-    """``days`` with estimation_points, alpha and beta: least squares of r on m over the window before each day, null below ``min_points``."""
-    past = Window.partitionBy("entity").orderBy("idx").rangeBetween(*window)
-    out = days.withColumns({"estimation_points": F.count("r").over(past), "_c": F.covar_pop("r", "m").over(past), "_v": F.var_pop("m").over(past), "_r": F.avg("r").over(past), "_m": F.avg("m").over(past)})
-    out = out.withColumn("beta", F.when((F.col("estimation_points") >= min_points) & (F.col("_v") > 0), F.col("_c") / F.col("_v")))
-    return out.withColumn("alpha", F.col("_r") - F.col("beta") * F.col("_m")).drop("_c", "_v", "_r", "_m")
+def _fits(r: np.ndarray, m: np.ndarray, has: np.ndarray, min_points: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Points, alpha and beta of each row's values where ``has``; NaN below ``min_points`` or where all m are equal."""
+    n = has.sum(axis=1)
+    count, first, every = np.maximum(n, 1), has.argmax(axis=1), np.arange(len(has))
 
+    def centered(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        from_first = np.where(has, x - x[every, first][:, None], 0.0)  # equal values are exactly 0
+        mean = from_first.sum(axis=1) / count
+        return np.where(has, from_first - mean[:, None], 0.0), x[every, first] + mean
 
-def _with_sums(days: DataFrame, windows: tuple[int, ...]) -> DataFrame:
-    """``days`` with counts and sums of r and m over [day, day + w]."""
-    for w in windows:
-        ahead = Window.partitionBy("entity").orderBy("idx").rangeBetween(0, w)
-        days = days.withColumns({f"_n{w}": F.count("r").over(ahead), f"_r{w}": F.sum("r").over(ahead), f"_m{w}": F.sum("m").over(ahead)})
-    return days
+    (cr, mean_r), (cm, mean_m) = centered(r), centered(m)
+    spread, fit = (cm * cm).sum(axis=1), (cr * cm).sum(axis=1)
+    beta = np.where((n >= min_points) & (spread > 0), fit / np.where(spread > 0, spread, 1.0), np.nan)
+    return n, mean_r - beta * mean_m, beta
+
+
+def _by_day(days: DataFrame, window: tuple[int, int], min_points: int, windows: tuple[int, ...] = ()) -> DataFrame:
+    """(entity, idx, estimation_points, alpha, beta) and counts and sums of r and m over [day, day + w] as _n, _r and _m of w.
+
+    alpha and beta: least squares of r on m over the window before each day,
+    null below ``min_points``.  An entity's series is one array, of 40 bytes a
+    day; frames of some thousand days at a time are views of it.
+    """
+    kinds = dict(days.dtypes)
+    sums = [f"_{x}{w}" for w in windows for x in "nrm"]
+    schema = f"entity {kinds['entity']}, idx {kinds['idx']}, estimation_points long, alpha double, beta double" + "".join(f", {c} {'long' if c[1] == 'n' else 'double'}" for c in sums)
+    low, high, rows = *window, 4096
+
+    def of_entity(table: pa.Table) -> pa.Table:
+        idx, r0, m0 = (table.column(c).combine_chunks().to_numpy(zero_copy_only=False) for c in ("idx", "r", "m"))
+        at = idx - idx.min()
+        before, size, reach = max(-low, 0), int(at.max()) + 1, max(high, *windows, 0) if windows else max(high, 0)
+        r, m, has = np.zeros(before + size + reach), np.zeros(before + size + reach), np.zeros(before + size + reach, bool)
+        r[at + before], m[at + before], has[at + before] = r0, m0, True
+        frames = [np.lib.stride_tricks.sliding_window_view(x, high - low + 1) for x in (r, m, has)]
+        parts = [_fits(*(x[(at[k : k + rows] + before + low)] for x in frames), min_points) for k in range(0, len(at), rows)]
+        points, alpha, beta = (np.concatenate(x) for x in zip(*parts))
+        out = [table.column("entity"), table.column("idx"), pa.array(points, pa.int64()), pa.array(alpha, mask=np.isnan(beta)), pa.array(beta, mask=np.isnan(beta))]
+        for w in windows:
+            places = [at + before + k for k in range(w + 1)]
+            out += [pa.array(sum(has[p].astype(np.int64) for p in places)), pa.array(sum(r[p] for p in places)), pa.array(sum(m[p] for p in places))]
+        return pa.table(out, names=["entity", "idx", "estimation_points", "alpha", "beta", *sums])
+
+    return days.select("entity", "idx", "r", "m").groupBy("entity").applyInArrow(of_entity, schema)
 
 
 def _cars(windows: tuple[int, ...]) -> list:
@@ -83,7 +118,7 @@ def studied(events: DataFrame, days: DataFrame, window: tuple[int, int] = ESTIMA
     the work grows with days, and events only look their day up.
     """
     placed, known = _of(events, days)
-    table = _with_sums(_with_model(known, window, min_points), windows)
+    table = _by_day(known, window, min_points, windows)
     table = table.select("entity", "idx", "estimation_points", "alpha", "beta", *_cars(windows))
     return placed.join(table, ["entity", "idx"])
 
@@ -91,8 +126,7 @@ def studied(events: DataFrame, days: DataFrame, window: tuple[int, int] = ESTIMA
 def market_model(events: DataFrame, days: DataFrame, window: tuple[int, int] = ESTIMATION, min_points: int = MIN_POINTS) -> DataFrame:
     """(event_id, entity, estimation_points, alpha, beta): least squares of r on m over the estimation window."""
     placed, known = _of(events, days)
-    table = _with_model(known, window, min_points).select("entity", "idx", "estimation_points", "alpha", "beta")
-    return placed.join(table, ["entity", "idx"]).filter("estimation_points > 0").select("event_id", "entity", "estimation_points", "alpha", "beta")
+    return placed.join(_by_day(known, window, min_points), ["entity", "idx"]).filter("estimation_points > 0").select("event_id", "entity", "estimation_points", "alpha", "beta")
 
 
 def abnormal_returns(events: DataFrame, days: DataFrame, model: DataFrame, windows: tuple[int, ...] = (1, 3, 5)) -> DataFrame:
@@ -100,7 +134,7 @@ def abnormal_returns(events: DataFrame, days: DataFrame, model: DataFrame, windo
     placed, known = _of(events, days)
     keys = [c for c in ("event_id", "entity") if c in model.columns]
     own = placed.join(model.filter("beta IS NOT NULL").select(*keys, "alpha", "beta"), keys)
-    sums = _with_sums(known, windows).drop("day", "r", "m")
+    sums = _by_day(known, ESTIMATION, MIN_POINTS, windows).drop("estimation_points", "alpha", "beta")
     return own.join(sums, ["entity", "idx"]).select("event_id", "entity", *_cars(windows))
 
 

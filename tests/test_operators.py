@@ -179,3 +179,41 @@ def test_golden_cases_of_the_published_packs(spark):
     assert labels("u2") == ("政策类", "产业政策", "预披露型", "中期型", "行业", "利好")
     # three words each: the earlier rule wins
     assert rows["u4"].industry_type == "军工" and rows["u4"].event_subject_subtype == "重大合同"
+
+
+def test_totals_of_propagation_are_those_of_its_rows(spark):
+    links = spark.createDataFrame([(e, e % 3, s) for e, s in enumerate((0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9, 1.0, 0.35, 0.36))], "event_id long, entity long, score double")
+    rows = [(1, 0, 1, 0.3, "directed"), (5, 0, 1, 0.9, "directed"), (9, 1, 0, 0.4, "undirected"), (7, 2, 5, 0.9, "directed"), (8, 2, 2, 0.9, "directed"), (3, 2, 5, 0.1, "undirected"), (4, 1, 6, 0.2, "directed")]
+    relations = spark.createDataFrame(rows, "relation_id long, source long, target long, strength double, direction string")
+    found = graph.propagated(links, relations).groupBy("source", "target").agg(F.count(F.lit(1)).alias("edges"), F.max("score").alias("best"), F.max("relation_id").alias("relation_id"))
+    totals = graph.propagated_totals(links, relations)
+    assert sorted(map(tuple, totals.collect())) == sorted(map(tuple, found.select(*totals.columns).collect())) and totals.count() >= 3
+    plan = totals._jdf.queryExecution().optimizedPlan().toString()
+    assert "row_number" not in plan.lower() and plan.count("Join") == 1
+
+
+def test_event_studies_read_no_frame_anew_for_each_row(spark):
+    import datetime as dt
+    import random
+
+    rng = random.Random(1)
+    first = dt.date(2024, 1, 1)
+    days = [(e, first + dt.timedelta(k), rng.gauss(0, 1), 0.1 if e == 1 else rng.gauss(0, 1), k) for e in (1, 2) for k in range(200)]
+    days = spark.createDataFrame(days, "entity long, day date, r double, m double, idx int")
+    events = spark.createDataFrame([(k, 1 + k % 2, first + dt.timedelta(k * 3)) for k in range(70)], "event_id long, entity long, event_date date")
+    placed = event_study.aligned(events, days)
+    assert "UnboundedFollowing" not in placed._jdf.queryExecution().toString().replace(" ", "") and "unboundedfollowing" not in placed._jdf.queryExecution().toString()
+    got = event_study.studied(placed, days)
+    assert "rangeframe" not in got._jdf.queryExecution().toString().lower()
+    by = {(r["entity"], r["idx"]): r for r in days.collect()}
+    for x in got.collect():
+        past = [by[x["entity"], i] for i in range(x["idx"] - 120, x["idx"] - 19) if i >= 0]
+        assert x["estimation_points"] == len(past)
+        if x["entity"] == 1 or len(past) < 30:
+            assert x["beta"] is None and x["alpha"] is None and x["car_w3"] is None
+            continue
+        mr, mm = sum(p["r"] for p in past) / len(past), sum(p["m"] for p in past) / len(past)
+        beta = sum((p["r"] - mr) * (p["m"] - mm) for p in past) / sum((p["m"] - mm) ** 2 for p in past)
+        assert abs(x["beta"] - beta) < 1e-9 and abs(x["alpha"] - (mr - beta * mm)) < 1e-9
+        ahead = [by.get((x["entity"], x["idx"] + k)) for k in range(4)]
+        assert x["car_w3"] is None if None in ahead else abs(x["car_w3"] - sum(p["r"] - x["alpha"] - x["beta"] * p["m"] for p in ahead)) < 1e-9
