@@ -217,3 +217,15 @@ def test_event_studies_read_no_frame_anew_for_each_row(spark):
         assert abs(x["beta"] - beta) < 1e-9 and abs(x["alpha"] - (mr - beta * mm)) < 1e-9
         ahead = [by.get((x["entity"], x["idx"] + k)) for k in range(4)]
         assert x["car_w3"] is None if None in ahead else abs(x["car_w3"] - sum(p["r"] - x["alpha"] - x["beta"] * p["m"] for p in ahead)) < 1e-9
+
+
+def test_panels_read_no_frame_anew_for_each_row(spark):
+    closes = [(1, k, c, v) for k, (c, v) in enumerate([(10.0, 1.0), (11.0, None), (0.0, 3.0), (5.0, 0.0), (6.0, 2.0), (6.6, 4.0)])] + [(2, 0, 1.0, 1.0), (3, 0, 2.0, 0.0), (3, 1, 2.0, 0.0), (3, 2, 2.0, 0.0)]
+    series = spark.createDataFrame(closes, "entity long, day int, close double, volume double")
+    got = panel.daily_panel(series)
+    assert got._jdf.queryExecution().optimizedPlan().toString().count("Window [") == 1  # only the close before
+    by = {(r["entity"], r["day"]): r for r in got.collect()}
+    assert by[1, 0]["daily_return"] is None and by[1, 3]["daily_return"] is None and by[2, 0]["trailing_return_5d"] is None and by[2, 0]["up_days_20d"] is None
+    assert (by[1, 1]["trailing_return_5d"], by[1, 2]["daily_return"], by[1, 0]["forward_return_1d"], by[1, 4]["forward_return_3d"], by[1, 5]["forward_return_1d"]) == (0.1, -1.0, 0.1, 0.1, None)
+    assert by[1, 1]["volatility_5d"] is None and by[3, 2]["volatility_5d"] == 0.0 and by[1, 5]["up_days_20d"] == 3
+    assert (by[1, 0]["volume_ratio"], by[1, 1]["volume_ratio"], by[1, 2]["volume_ratio"], by[1, 5]["volume_ratio"], by[3, 2]["volume_ratio"]) == (None, None, 3.0, 2.4, None)
