@@ -33,6 +33,19 @@ def written(df: DataFrame, label: str = "rows") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: Rows that a task gets of a table that is dealt out by a key.
+ROWS = 250_000
+
+
+def dealt(df: DataFrame, key: str, rows: int) -> DataFrame:
+    """``df``, of about ``rows`` rows, dealt out by a key to so many tasks that none gets more when the table grows.
+
+    For keys of few rows each: adaptive execution neither merges nor splits
+    these partitions, and tables dealt by the same key and rows meet as they are.
+    """
+    return df.repartition(max(df.sparkSession.sparkContext.defaultParallelism, -(-rows // ROWS)), key)
+
+
 def fresh(df: DataFrame, name: str) -> str:
     """A column name that ``df`` doesn't have in any case of letters."""
     have = {c.lower() for c in df.columns}

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.numeric import money, rounded
-from ..operators.tables import shared_folder  # noqa: F401
+from ..operators.tables import dealt, shared_folder  # noqa: F401
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -29,12 +29,16 @@ def market(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def links(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders as events, their suppliers as linked entities, quantity / 50 as score, the supplier's nation as group."""
+    """Orders as events, their suppliers as linked entities, quantity / 50 as score, the supplier's nation as group.
+
+    Dealt out by event, so what groups by it needs no other shuffle and a task's share doesn't grow.
+    """
     o = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("event_id"), F.to_date("o_orderdate").alias("event_date"))
     l = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("event_id"), F.col("l_suppkey").alias("entity"), (F.col("l_quantity") / 50).alias("score"))  # noqa: E741
-    s = table(spark, sf_dir, "supplier").join(table(spark, sf_dir, "nation"), F.col("s_nationkey") == F.col("n_nationkey"))
-    s = s.select(F.col("s_suppkey").alias("entity"), F.col("n_name").alias("group"))
-    return l.join(o, "event_id").join(s, "entity")
+    n = table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("s_nationkey"), F.col("n_name").alias("group"))
+    s = table(spark, sf_dir, "supplier").join(F.broadcast(n), "s_nationkey").select(F.col("s_suppkey").alias("entity"), "group")
+    rows = l.count()  # from the files' footers
+    return dealt(l.join(s, "entity"), "event_id", rows).join(dealt(o, "event_id", rows), "event_id").select("entity", "event_id", "score", "event_date", "group")
 
 
 def reports(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -229,3 +229,14 @@ def test_panels_read_no_frame_anew_for_each_row(spark):
     assert (by[1, 1]["trailing_return_5d"], by[1, 2]["daily_return"], by[1, 0]["forward_return_1d"], by[1, 4]["forward_return_3d"], by[1, 5]["forward_return_1d"]) == (0.1, -1.0, 0.1, 0.1, None)
     assert by[1, 1]["volatility_5d"] is None and by[3, 2]["volatility_5d"] == 0.0 and by[1, 5]["up_days_20d"] == 3
     assert (by[1, 0]["volume_ratio"], by[1, 1]["volume_ratio"], by[1, 2]["volume_ratio"], by[1, 5]["volume_ratio"], by[3, 2]["volume_ratio"]) == (None, None, 3.0, 2.4, None)
+
+
+def test_links_are_dealt_by_event_and_rows(spark, sf, monkeypatch):
+    """A task's share of links doesn't grow with the table, and an event's links lie in one task."""
+    from eventloom.operators import tables
+    from eventloom.plans import bindings as b
+
+    monkeypatch.setattr(tables, "ROWS", 500, raising=False)
+    found = b.links(spark, sf).groupBy(F.spark_partition_id().alias("p")).agg(F.count(F.lit(1)).alias("n"), F.collect_set("event_id").alias("events")).collect()
+    assert len(found) > 4 and max(r.n for r in found) < 1_500
+    assert sum(len(r.events) for r in found) == len({x for r in found for x in r.events})
