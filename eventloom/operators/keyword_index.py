@@ -18,6 +18,8 @@ from .tables import written
 
 #: Trigrams of a keyword that are looked up.
 LOOKED_UP = 4
+#: Shares of the keys into which a gram's list is dealt.
+SHARES = 64
 
 
 @dataclass
@@ -36,10 +38,10 @@ def _grams(text: Column) -> Column:
 
 def build(docs: DataFrame, key: str, columns: list[str]) -> KeywordIndex:
     """Postings of all trigrams of the columns of ``docs``; null texts have none."""
-    grams = F.array_distinct(F.concat(*(_grams(F.col(c)) for c in columns)))
-    rows = docs.select(F.col(key).alias("key"), F.explode(grams).alias("g")).select(F.xxhash64("g").alias("gram"), "key").distinct()
-    # ranges of (gram, key): a frequent gram's list spreads over many files
-    postings = written(rows.repartitionByRange("gram", "key").sortWithinPartitions("gram", "key"), "postings")
+    grams = F.array_distinct(F.transform(F.concat(*(_grams(F.col(c)) for c in columns)), lambda g: F.xxhash64(g)))
+    rows = docs.select(F.col(key).alias("key"), F.explode(grams).alias("gram"))
+    # by gram and a share of the keys: a frequent gram's list spreads over SHARES tasks; ranges would read all texts twice
+    postings = written(rows.repartition("gram", F.pmod(F.xxhash64("key"), F.lit(SHARES))).sortWithinPartitions("gram", "key"), "postings")
     return KeywordIndex(postings, written(postings.groupBy("gram").agg(F.count(F.lit(1)).alias("n")), "grams"), columns, key)
 
 
@@ -55,7 +57,7 @@ def candidates(index: KeywordIndex, keyword: str) -> DataFrame | None:
     if len(rare) < len(wanted):
         return index.postings.limit(0).select("key")
     use = [r.gram for r in rare[:LOOKED_UP]]
-    return index.postings.filter(F.col("gram").isin(*use)).groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") == len(use)).select("key")
+    return index.postings.filter(F.col("gram").isin(*use)).groupBy("key").agg(F.count_distinct("gram").alias("n")).filter(F.col("n") == len(use)).select("key")
 
 
 def search(index: KeywordIndex, docs: DataFrame, keywords: list[str]) -> DataFrame:

@@ -54,3 +54,14 @@ def test_keyword_index_equals_a_scan(spark, sf):
         assert sorted(r.doc_id for r in keyword_index.search(index, docs, words).collect()) == sorted(r.doc_id for r in docs.filter(hit).collect()), words
     plan = keyword_index.candidates(index, "License")._jdf.queryExecution().toString()
     assert "PushedFilters: [In(gram" in plan or "In(gram" in plan
+
+
+def test_keyword_index_shuffles_postings_once(spark):
+    """Keys that repeat are found, and postings are dealt out once: no pass before for distinct rows or for ranges."""
+    docs = spark.createDataFrame([(1, "the bank raised"), (1, "a bank"), (2, "steel"), (3, None)], "id long, text string")
+    spark.sparkContext.setJobGroup("postings", "postings")
+    index = keyword_index.build(docs, "id", ["text"])
+    jobs = spark.sparkContext.statusTracker().getJobIdsForGroup("postings")
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert len(jobs) <= 4
+    assert sorted(r.text for r in keyword_index.search(index, docs, ["bank"]).collect()) == ["a bank", "the bank raised"]
