@@ -61,16 +61,46 @@ def _automaton(words: tuple[str, ...]):
     return _automata[words]
 
 
-def scanner(words: Iterable[str]):
-    """A column function: an array of texts to an array of the keywords that each has; null for a null text."""
+def _across(texts: list[str], reach: int) -> list[str]:
+    """Pieces of the texts, joined by spaces, that hold all words of up to reach + 1 characters that no single text has."""
+    pieces = [""]
+    for i, t in enumerate(texts):
+        if i:
+            pieces[-1] += " "
+        if len(t) <= 2 * reach:
+            pieces[-1] += t
+        else:
+            pieces[-1] += t[:reach]
+            pieces.append(t[len(t) - reach :])
+    return pieces
+
+
+def scanner(words: Iterable[str], joined: int = 0):
+    """A column function: an array of texts to an array of the keywords that each has; null for a null text.
+
+    With ``joined``, one more item holds the keywords of the first ``joined``
+    texts joined by spaces, nulls left out; each text is sent and read once.
+    """
     listed = tuple(sorted(set(words)))
     always = [w for w in listed if not w]
+    reach = max(map(len, listed), default=1) - 1
 
     @F.arrow_udf("array<array<string>>")
     def scan(rows: pa.Array) -> pa.Array:
         automaton = _automaton(listed)
         find = automaton.iter if len(automaton) else lambda _: ()
-        return pa.array([None if texts is None else [None if t is None else [*always, *{w for _, w in find(t)}] for t in texts] for texts in rows.to_pylist()], pa.list_(pa.list_(pa.string())))
+
+        def of_row(row: pa.ListScalar) -> list | None:
+            texts = row.as_py()  # one row's texts at a time, so a batch isn't held twice
+            if texts is None:
+                return None
+            found = [None if t is None else {w for _, w in find(t)} for t in texts]
+            if joined:
+                pieces = _across([t for t in texts[:joined] if t is not None], reach)
+                found.append({w for p in pieces for _, w in find(p)}.union(*(f for f in found[:joined] if f is not None)))
+            return [None if f is None else [*always, *f] for f in found]
+
+        return pa.array(map(of_row, rows), pa.list_(pa.list_(pa.string())))
 
     return scan
 

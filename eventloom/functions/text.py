@@ -69,8 +69,8 @@ def dedup_key(title: Column, content: Column) -> Column:
 
     def first(text: Column, n: int) -> Column:
         """The first n canonical characters; the whole text is cleaned only if its beginning has too few."""
-        begin = canonical(F.substring(text, 1, 4 * n))
-        return F.substring(F.when((F.length(begin) > n) | (F.length(text) <= 4 * n), begin).otherwise(canonical(text)), 1, n)
+        begin = canonical(F.substring(text, 1, 2 * n))
+        return F.substring(F.when((F.length(begin) > n) | (F.length(text) <= 2 * n), begin).otherwise(canonical(text)), 1, n)
 
     return F.substring(F.md5(F.concat(first(title, 80), F.lit("::"), first(content, 160)).cast("binary")), 1, 12)
 
@@ -134,11 +134,16 @@ UNITS = {"万亿": 1e12, "亿港元": 0.92e8, "亿元": 1e8, "亿": 1e8, "千万
 AMOUNT = "(\\d+(?:\\.\\d+)?)\\s*(" + "|".join(UNITS) + ")"
 
 
+def amounts(text: Column, pattern: str) -> Column:
+    """array of struct(n, u): numbers and units by a pattern of two groups without anchors; the text is read once, its groups come from the matches."""
+    part = lambda x, k: F.regexp_extract(x, pattern, k)
+    return F.transform(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), lambda x: F.struct(part(x, 1).cast("double").alias("n"), part(x, 2).alias("u")))
+
+
 def amount_yuan(text: Column) -> Column:
     """The largest amount of money that the text names, in yuan."""
     rate = F.create_map(*[F.lit(x) for pair in UNITS.items() for x in pair])
-    found = F.arrays_zip(F.regexp_extract_all(text, F.lit(AMOUNT), F.lit(1)).alias("n"), F.regexp_extract_all(text, F.lit(AMOUNT), F.lit(2)).alias("u"))
-    return F.array_max(F.transform(found, lambda x: x["n"].cast("double") * F.element_at(rate, x["u"])))
+    return F.array_max(F.transform(amounts(text, AMOUNT), lambda x: x["n"] * F.element_at(rate, x["u"])))
 
 
 def amount_log(text: Column) -> Column:

@@ -37,7 +37,7 @@ def with_words(docs: DataFrame, *packs: object) -> DataFrame:
     """``docs`` with _words: the packs' keywords in title and in title and content, from one pass over each text."""
     if "_words" in docs.columns:
         return docs
-    return docs.withColumn("_words", scanner(set().union(*map(words_of, packs)))(F.array("title", F.concat_ws(" ", "title", "content"))))
+    return docs.withColumn("_words", scanner(set().union(*map(words_of, packs)), joined=2)(F.array("title", "content")))
 
 
 def title_words() -> Scan:
@@ -47,7 +47,7 @@ def title_words() -> Scan:
 
 def full_words() -> Scan:
     """The keywords of title and content."""
-    return Scan(F.col("_words")[1])
+    return Scan(F.col("_words")[2])
 
 
 def detected(docs: DataFrame, pack: RulePack) -> DataFrame:

@@ -216,8 +216,7 @@ def matching_industries(text: Column, rules: EnrichRules) -> Column:
 
 def _amount(text: Column, rules: EnrichRules) -> Column:
     rate = F.create_map(*[F.lit(x) for pair in rules.units.items() for x in pair])
-    found = F.arrays_zip(F.regexp_extract_all(text, F.lit(rules.amount), F.lit(1)).alias("n"), F.regexp_extract_all(text, F.lit(rules.amount), F.lit(2)).alias("u"))
-    return F.array_max(F.transform(found, lambda x: x["n"].cast("double") * F.element_at(rate, x["u"])))
+    return F.array_max(F.transform(T.amounts(text, rules.amount), lambda x: x["n"] * F.element_at(rate, x["u"])))
 
 
 def enriched(events: DataFrame, rules: EnrichRules | None = None, backfill: bool = False) -> DataFrame:
@@ -242,9 +241,9 @@ def enriched(events: DataFrame, rules: EnrichRules | None = None, backfill: bool
     proof = t("classification_evidence")
     d = events.withColumns({"_title": title, "_summary": summary, "_body": body, "_text": F.concat_ws(" ", title, summary, body, proof)})
     amounts = F.col("_text")
-    texts = [F.col("_title"), F.col("_summary"), F.substring("_body", 1, 240), F.col("_body"), proof, source, amounts]
-    d = d.withColumn("_found", scanner(words_of(rules))(F.array(*texts)))
-    *parts, text = [Scan(F.col("_found")[i]) for i in range(len(texts))]
+    texts = [F.col("_title"), F.col("_summary"), F.col("_body"), proof, F.substring("_body", 1, 240), source]
+    d = d.withColumn("_found", scanner(words_of(rules), joined=4)(F.array(*texts)))
+    parts, text = [Scan(F.col("_found")[i]) for i in (0, 1, 4, 2, 3, 5)], Scan(F.col("_found")[len(texts)])
     d = d.withColumn("_s", scored_industries(*parts, coarse, rules))
     top = F.get(F.col("_s"), F.lit(0))
     related = F.size(F.filter("_s", lambda x: -x["minus"] >= F.greatest(F.lit(2.0), -top["minus"] - 1.5)))

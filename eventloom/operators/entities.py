@@ -38,7 +38,14 @@ NEUTRAL = EntityRules(pattern="[A-Z][a-z]{7,}|[a-z]{4,}(?:tion|heit|ment)|[0-9]{
 
 def entity(candidate: Column, rules: EntityRules) -> Column:
     """A candidate without white space and outer punctuation; null where it is no entity."""
-    bare = F.regexp_replace(F.regexp_replace(candidate, T.SPACE, ""), "^[：:，。；;（）()\\[\\]【】]+|[：:，。；;（）()\\[\\]【】]+$", "")
+    return _checked(_bare(candidate), rules)
+
+
+def _bare(candidate: Column) -> Column:
+    return F.btrim(F.regexp_replace(candidate, T.SPACE, ""), F.lit("：:，。；;（）()[]【】"))
+
+
+def _checked(bare: Column, rules: EntityRules) -> Column:
     prefixed = F.lit(False)
     for p in rules.prefixes:
         prefixed = prefixed | bare.startswith(p)
@@ -46,14 +53,24 @@ def entity(candidate: Column, rules: EntityRules) -> Column:
     return F.when(~(none | bare.isin(*rules.tokens)) if rules.tokens else ~none, bare)
 
 
-def subject_entities(text: Column, rules: EntityRules = PUBLISHED, symbol: Column | None = None, title: Column | None = None) -> Column:
-    """Distinct entities in order: what stands before a colon in the title, the symbol, then the text's."""
+def _of(candidates: Column, rules: EntityRules) -> Column:
+    """Distinct entities of an array of candidates; a candidate is cleaned once, not for each check."""
+    return F.array_distinct(F.array_compact(F.transform(F.transform(F.array_distinct(candidates), _bare), lambda x: _checked(x, rules))))
+
+
+def named(text: Column, rules: EntityRules = PUBLISHED) -> Column:
+    """Distinct entities that a text names, in order; null for a null text."""
+    return _of(F.regexp_extract_all(text, F.lit(rules.pattern), F.lit(0)), rules)
+
+
+def subject_entities(text: Column, rules: EntityRules = PUBLISHED, symbol: Column | None = None, title: Column | None = None, own: Column | None = None) -> Column:
+    """Distinct entities in order: what stands before a colon in the title, the symbol, then the text's, which may be there as ``own``."""
     first = [] if title is None else [F.regexp_extract(title, "^[^：:]*", 0)]
     if symbol is not None:
         first.append(F.coalesce(symbol, F.lit("")))
-    found = F.regexp_extract_all(text, F.lit(rules.pattern), F.lit(0))
-    every = F.concat(F.array(*first), found) if first else found
-    return F.coalesce(F.array_distinct(F.array_compact(F.transform(every, lambda x: entity(x, rules)))), F.array().cast("array<string>"))
+    found = named(text, rules) if own is None else own
+    every = F.array_distinct(F.concat(_of(F.array(*first), rules), found)) if first else found
+    return F.coalesce(every, F.array().cast("array<string>"))
 
 
 def phrase(text: Column, suffixes: tuple = GENERIC_SUFFIXES) -> Column:

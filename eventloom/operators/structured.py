@@ -130,19 +130,22 @@ def explicitness(full: Column, own_entities: Column, r: LabelRules) -> Column:
     return sum((F.rlike(full, F.lit(p)).cast("int") for p in (amount, share, date)), F.lit(0)) + ((F.size(own_entities) > 0) | F.rlike(full, F.lit(actor))).cast("int")
 
 
-def amount_scale(full: Column, r: LabelRules) -> Column:
-    """none, small, medium, large or huge by the largest amount; amounts of 1000 and more aren't scaled down."""
+def largest_amount(full: Column, r: LabelRules) -> Column:
+    """The largest amount by its unit's factor; amounts of 1000 and more aren't scaled down."""
     units = "|".join(u for u, _, _ in r.units)
-    pattern = F.lit(f"(\\d+(?:\\.\\d+)?)\\s*({units})")
     factor = F.create_map(*[F.lit(x) for u, f, _ in r.units for x in (u, f)])
     small = [u for u, _, s in r.units if s]
-    found = F.arrays_zip(F.regexp_extract_all(full, pattern, F.lit(1)).alias("n"), F.regexp_extract_all(full, pattern, F.lit(2)).alias("u"))
 
     def value(x):
-        v = x["n"].cast("double") * F.element_at(factor, x["u"])
+        v = x["n"] * F.element_at(factor, x["u"])
         return F.when((v < 1000) & x["u"].isin(*small), v / 10000).otherwise(v) if small else v
 
-    most = F.array_max(F.transform(found, value))
+    return F.array_max(F.transform(T.amounts(full, f"(\\d+(?:\\.\\d+)?)\\s*({units})"), value))
+
+
+def amount_scale(full: Column, r: LabelRules, most: Column | None = None) -> Column:
+    """none, small, medium, large or huge by the largest amount, which may be there as ``most``."""
+    most = largest_amount(full, r) if most is None else most
     return F.when(most.isNull(), "none").when(most >= 1000, "huge").when(most >= 100, "large").when(most >= 10, "medium").otherwise("small")
 
 
@@ -162,15 +165,16 @@ def candidates(docs: DataFrame, pack: RulePack) -> DataFrame:
     return found.withColumn("evidence", evidence).drop("_words")
 
 
-def structured(docs: DataFrame, pack: RulePack, rules: LabelRules, symbol: str | None = None) -> DataFrame:
-    """``docs`` (with duplicate_group_size) as structured events with all columns; url is the reference to the text."""
-    kept = ["url", *[c for c in docs.columns if c.endswith("_id")]]
+def structured(docs: DataFrame, pack: RulePack, rules: LabelRules, symbol: str | None = None, keep: tuple = ()) -> DataFrame:
+    """``docs`` (with duplicate_group_size) as structured events with all columns and those of ``docs`` to keep; url is the reference to the text."""
+    kept = [*keep, "url", *[c for c in docs.columns if c.endswith("_id")]]
     full, title = F.concat_ws(" ", "title", "content"), F.col("title")
     other_source, general, _, current, confirmed, other_shock, domestic = rules.defaults
     words = detect.full_words()
     d = detect.classified(detect.with_words(docs, pack, rules), pack).withColumns({"_full": full, **{f"_{k}": v for k, v in _dimensions(words, pack).items()}})
     full = F.col("_full")
-    d = d.withColumn("subject_entities", entities.subject_entities(full, rules.entity, F.col(symbol) if symbol else None, title))
+    d = d.withColumns({"_own": entities.named(full, rules.entity), "_most": largest_amount(full, rules)})  # read more than once
+    d = d.withColumn("subject_entities", entities.subject_entities(full, rules.entity, F.col(symbol) if symbol else None, title, F.col("_own")))
     d = d.withColumn("source_type", T.first_label(F.coalesce("source", F.lit("")), rules.source_type, other_source))
     d = d.withColumns(
         {
@@ -184,9 +188,9 @@ def structured(docs: DataFrame, pack: RulePack, rules: LabelRules, symbol: str |
             "shock_source_type": T.first_label(words, rules.shock, other_shock),
             "region_scope": T.first_label(words, rules.region, domestic),
             "trigger_word_score": T.n_hits(words, rules.triggers),
-            "explicitness_score": explicitness(full, entities.subject_entities(full, rules.entity), rules),
+            "explicitness_score": explicitness(full, F.col("_own"), rules),
             "uncertainty_score": T.n_hits(words, rules.doubts),
-            "amount_scale": amount_scale(full, rules),
+            "amount_scale": amount_scale(full, rules, F.col("_most")),
             "impact_scope": impact_scope(F.col("subject_type"), F.col("industry_type"), words, rules, pack.industry_default),
             "event_summary": F.concat(title, F.lit(rules.stop), F.regexp_replace(F.substring("content", 1, 70), "[，。；; ]+$", "")),
             "classification_evidence": F.concat_ws("|", F.lit(f"rule_version={VERSION}"), *[F.concat(F.lit(f"{k}="), _hits(F.col(f"_{k}"))) for k in ("subject", "industry", "predictability", "duration")]),
