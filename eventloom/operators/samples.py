@@ -24,17 +24,26 @@ def control_samples(features: DataFrame, labels: DataFrame, links: DataFrame, pe
     return free.withColumn("control_rank", rank).filter(F.col("control_rank") <= per_day).withColumns(flags)
 
 
-def as_of(events: DataFrame, features: DataFrame, event_day: str = "event_date", feature_day: str = "day") -> DataFrame:
+def as_of(events: DataFrame, features: DataFrame, event_day: str = "event_date", feature_day: str = "day", **more: DataFrame) -> DataFrame:
     """Events (with entity) with ``f``: the entity's latest feature row at or before the event's day, or null.
 
-    One sort by entity over the union of both sides; no event is joined to more than one row.
+    One sort by entity over the union of all sides; no event is joined to more than one row.
+    ``more`` are other tables like the features, each with a column of its name; what
+    the columns entity and day of a row say stands outside of it and is sent once.
     """
-    row = F.struct(*[F.col(c) for c in features.columns])
-    empty = F.lit(None).cast(features.select(row.alias("f")).schema["f"].dataType)
-    e = events.select(F.struct("*").alias("e"), F.col("entity"), F.col(event_day).alias("at"), F.lit(1).alias("kind"), empty.alias("f"))
-    f = features.select(F.lit(None).cast(e.schema["e"].dataType).alias("e"), "entity", F.col(feature_day).alias("at"), F.lit(0).alias("kind"), row.alias("f"))
+    tables = {"f": features, **more}
+    kept = {n: [c for c in t.columns if c != "entity"] for n, t in tables.items()}
+    row = {n: F.struct(*cs) for n, cs in kept.items()}
+    own = [c for c in events.columns if c not in ("entity", event_day)]
+    e = events.select("entity", F.col(event_day).alias("at"), F.lit(1).alias("kind"), F.struct(*own).alias("e"))
+    both = e
+    for n, t in tables.items():
+        both = both.unionByName(t.select("entity", F.col(feature_day).alias("at"), F.lit(0).alias("kind"), row[n].alias(n)), allowMissingColumns=True)
     order = Window.partitionBy("entity").orderBy("at", "kind").rowsBetween(Window.unboundedPreceding, 0)
-    return e.unionByName(f).withColumn("f", F.last("f", ignorenulls=True).over(order)).filter("kind = 1").select("e.*", "f")
+    found = both.withColumns({n: F.last(n, ignorenulls=True).over(order) for n in tables}).filter("kind = 1")
+    whole = {n: F.when(F.col(n).isNotNull(), F.struct(*[(F.col("entity") if c == "entity" else F.col(n)[c]).alias(c) for c in t.columns])).alias(n) for n, t in tables.items()}
+    back = {"entity": F.col("entity"), event_day: F.col("at").alias(event_day)}
+    return found.select(*[back.get(c, F.col("e")[c].alias(c)) for c in events.columns], *whole.values())
 
 
 def impact_level(score):
@@ -48,13 +57,18 @@ def event_samples(links: DataFrame, features: DataFrame, labels: DataFrame, min_
     links (event_id, entity, event_date, score, group).  Of several links of
     a pair the lowest score stays, as rows are written by falling score and
     later ones replace earlier ones; of equal scores the same row at every run.
+    labels (entity, day, ...) have one row for an entity and a day.
     """
     scored = links.filter(F.col("score") >= min_score)
-    breadth = scored.groupBy("event_id").agg(F.countDistinct("entity").alias("affected_entities"), F.countDistinct(F.when(F.col("group") != "", F.col("group"))).alias("affected_groups"))
     last = Window.partitionBy("event_id", "entity").orderBy(F.asc("score"), F.xxhash64(*scored.columns))
-    one = scored.withColumn("_n", F.row_number().over(last)).filter("_n = 1").drop("_n")
+    # breadth: the first rows of an event's entities and groups are counted, so links are read and dealt out once
+    first = scored.withColumns({"_n": F.row_number().over(last), "_g": F.row_number().over(Window.partitionBy("event_id", "group").orderBy("group"))})
+    event = Window.partitionBy("event_id")
+    counted = {"affected_entities": F.count(F.when(F.col("_n") == 1, F.col("entity"))).over(event), "affected_groups": F.count(F.when((F.col("_g") == 1) & (F.col("group") != ""), 1)).over(event)}
+    one = first.withColumns(counted).filter("_n = 1").drop("_n", "_g")
     rank = F.row_number().over(Window.partitionBy("event_id").orderBy(F.desc("score"), "entity"))
-    base = one.withColumn("relation_rank", rank).join(breadth, "event_id", "left")
-    known = as_of(base, features)
-    out = known.join(labels.withColumnRenamed("day", "event_date"), ["entity", "event_date"], "left")
+    base = one.withColumn("relation_rank", rank)
+    known = as_of(base, features, label=labels)  # a label is that of its day, so the latest one will do
+    on_day = (F.col("label.day") == F.col("event_date")) & F.col("entity").isNotNull()
+    out = known.select("*", *[F.when(on_day, F.col("label")[c]).alias(c) for c in labels.columns if c not in ("entity", "day")]).drop("label")
     return out.withColumns({"impact_level": impact_level(F.col("score")), "feature_age_days": F.datediff("event_date", F.col("f.day"))})

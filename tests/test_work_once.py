@@ -4,7 +4,7 @@ import random
 import re
 
 from eventloom.functions.keywords import scanner
-from eventloom.operators import entities, structured
+from eventloom.operators import entities, samples, structured
 from eventloom.plans import registry
 from pyspark.sql import functions as F
 
@@ -49,3 +49,20 @@ def test_entities_are_those_of_cleaning_each_candidate(spark):
     ok = F.length(bare).between(2, 24) & ~bare.startswith("关于")
     rules = entities.EntityRules(pattern="x", prefixes=("关于",))
     assert df.filter(~F.when(ok, bare).eqNullSafe(entities.entity(F.col("t"), rules))).count() == 0
+
+
+def test_samples_read_links_once(spark, sf):
+    plan = _plan(registry.QUERIES["event_samples"](spark, sf))
+    assert plan.count("o_orderkey") and len(re.findall(r"Relation \[o_orderkey", plan)) == 1
+    assert "LeftOuter" not in plan  # labels meet events in the sort that features need
+
+
+def test_samples_count_entities_and_groups_of_all_links(spark):
+    import datetime as dt
+
+    day = dt.date(2024, 1, 3)
+    links = spark.createDataFrame([(1, 5, day, 0.9, "a"), (1, 5, day, 0.4, "b"), (1, 6, day, 0.5, ""), (1, 7, day, 0.1, "c"), (1, None, day, 0.6, None), (2, 5, None, 0.8, "a")], "event_id long, entity long, event_date date, score double, group string")
+    features = spark.createDataFrame([(5, dt.date(2024, 1, 1), 1.5), (6, dt.date(2024, 1, 4), 2.5)], "entity long, day date, turnover double")
+    labels = spark.createDataFrame([(5, dt.date(2024, 1, 2), 0.1), (5, day, 0.2), (6, dt.date(2024, 1, 2), 0.3), (None, day, 0.4)], "entity long, day date, forward double")
+    got = {(r["event_id"], r["entity"]): (r["score"], r["affected_entities"], r["affected_groups"], r["f"] and r["f"]["turnover"], r["forward"]) for r in samples.event_samples(links, features, labels).collect()}
+    assert got == {(1, 5): (0.4, 2, 2, 1.5, 0.2), (1, 6): (0.5, 2, 2, None, None), (1, None): (0.6, 2, 2, None, None), (2, 5): (0.8, 1, 1, None, None)}
