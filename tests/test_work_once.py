@@ -5,7 +5,7 @@ import re
 
 from eventloom.functions.keywords import scanner
 from eventloom.operators import entities, samples, structured
-from eventloom.plans import registry
+from eventloom.plans import registry, structured_queries
 from pyspark.sql import functions as F
 
 
@@ -66,3 +66,8 @@ def test_samples_count_entities_and_groups_of_all_links(spark):
     labels = spark.createDataFrame([(5, dt.date(2024, 1, 2), 0.1), (5, day, 0.2), (6, dt.date(2024, 1, 2), 0.3), (None, day, 0.4)], "entity long, day date, forward double")
     got = {(r["event_id"], r["entity"]): (r["score"], r["affected_entities"], r["affected_groups"], r["f"] and r["f"]["turnover"], r["forward"]) for r in samples.event_samples(links, features, labels).collect()}
     assert got == {(1, 5): (0.4, 2, 2, 1.5, 0.2), (1, 6): (0.5, 2, 2, None, None), (1, None): (0.6, 2, 2, None, None), (2, 5): (0.8, 1, 1, None, None)}
+
+
+def test_companies_take_their_words_before_they_meet_documents(spark, sf):
+    plan = _plan(structured_queries._companies(spark, sf))
+    assert plan.index("Join ") < plan.index("regexp_extract(")  # read below the join, so no text is shuffled
